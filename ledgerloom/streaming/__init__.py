@@ -1,0 +1,3 @@
+"""Reserved. Every input is a dated batch, so there is no streaming work to do:
+the daily re-run is `operators.quality.snapshot_changes` plus the append-only
+history of `sources.sinks.append_history`."""
