@@ -80,7 +80,7 @@ WITH lines AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line
 n AS (SELECT doc_id, nullif(regexp_extract(line, '^(.*) (\S+)$', 1), '') AS name,
   nullif(regexp_extract(line, '^(.*) (\S+)$', 2), '') AS value FROM lines)
 SELECT doc_id, count(*) AS n_lines, count(name) AS named, count(DISTINCT value) AS n_values,
-  coalesce(sum(length(name)), 0)::BIGINT AS name_size, count(try_cast(value AS DOUBLE)) AS numeric_values FROM n GROUP BY 1""")
+  coalesce(sum(length(name)), 0)::BIGINT AS name_size, count(*) FILTER (regexp_matches(value, '^-?\d+(\.\d+)?$')) AS numeric_values FROM n GROUP BY 1""")
 def line_parse(t):
     lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     name, value = name_value("line")
@@ -88,7 +88,7 @@ def line_parse(t):
     return parsed.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count("name").alias("named"), F.count_distinct("value").alias("n_values"),
         F.coalesce(F.sum(F.length("name")), F.lit(0)).cast("bigint").alias("name_size"),
-        F.count(F.when(value.rlike(r"^-?\d+(\.\d+)?$"), to_number("value"))).alias("numeric_values"))
+        F.count(F.when(F.col("value").rlike(r"^-?\d+(\.\d+)?$"), to_number("value"))).alias("numeric_values"))
 
 
 @query("safe_cast", """
