@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.inputs import (
     LEDGER, PARTIES, QUOTES, ctes, ledger, parties, quotes,
 )
-from ledgerloom.catalog.registry import num, query, text
+from ledgerloom.catalog.registry import num, query, text, usd
 from ledgerloom.catalog.windows import DAILY, daily_prices
 from ledgerloom.functions.columns import any_false, any_null
 from ledgerloom.functions.measures import (
@@ -51,22 +51,22 @@ def maturity_by_column(t):
 
 @query("fx_convert_asof", ctes(QUOTES, LEDGER) + """
 SELECT document, line_no, currency, amount, CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE round(coef, 6) END AS coef_to_usd,
-  round(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END, 2) AS amount_in_usd
+  round(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END + 1e-5, 2) AS amount_in_usd
 FROM ledger LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = DATE '1998-06-30'""")
 def fx_convert_asof(t):
     out = convert(ledger(t), quotes(t), "USD", "currency", "amount", F.lit("1998-06-30").cast("date"))
     return out.select("document", "line_no", "currency", "amount", F.when(F.col("currency") == "USD", F.lit(1.0)).otherwise(
-        num("coef_to_USD", 6)).alias("coef_to_usd"), num("amount_in_USD").alias("amount_in_usd"))
+        num("coef_to_USD", 6)).alias("coef_to_usd"), usd("amount_in_USD").alias("amount_in_usd"))
 
 
 @query("fx_convert_by_date", ctes(QUOTES, LEDGER) + """
 SELECT CAST(due AS VARCHAR) AS due, currency, count(*) AS lines, count(coef) + count(*) FILTER (currency = 'USD') AS converted,
-  round(sum(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END), 2) AS amount_in_usd
+  round(sum(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END) + 1e-5, 2) AS amount_in_usd
 FROM ledger LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = due GROUP BY ALL""")
 def fx_convert_by_date(t):
     out = convert(ledger(t), quotes(t), "USD", "currency", "amount", "due")
     return out.groupBy(text("due").alias("due"), "currency").agg(
-        F.count(F.lit(1)).alias("lines"), F.count("coef_to_USD").alias("converted"), num(F.sum("amount_in_USD")).alias("amount_in_usd"))
+        F.count(F.lit(1)).alias("lines"), F.count("coef_to_USD").alias("converted"), usd(F.sum("amount_in_USD")).alias("amount_in_usd"))
 
 
 @query("virtual_currency", """
@@ -397,7 +397,7 @@ UNION ALL SELECT b.deal_set, owner, b.entity, b.grp, v.entity, amount, amount_us
 @query("bond_netting", ctes(BONDS, NETTED) + """
 SELECT deal_set, owner, entity, grp, party, round(amount, 2) AS amount, amount_usd FROM netted""")
 def bond_netting(t):
-    return net_bonds(bonds(t), "deal_set", "owner", "ISSUED", "TRADED", ["entity", "grp"], "party", ["amount", "amount_usd"]).withColumn(
+    return net_bonds(bonds(t), ["deal_set"], "owner", "ISSUED", "TRADED", ["entity", "grp"], "party", ["amount", "amount_usd"]).withColumn(
         "amount", num("amount"))
 
 

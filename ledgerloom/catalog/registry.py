@@ -61,5 +61,10 @@ def num(c: str | Column, digits: int = 2) -> Column:
     return F.round(value, digits) + F.lit(0.0)
 
 
+def usd(c: str | Column) -> Column:
+    """Converted amount in cents; moved by 1e-5 against halves, as the SQL texts do."""
+    return F.round(as_col(c) + F.lit(1e-5), 2) + F.lit(0.0)
+
+
 def text(c: str | Column) -> Column:
     return as_col(c).cast("string")

@@ -162,13 +162,19 @@ def exact_quantiles(
 
 
 def without_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
-    """Rows whose values lie within k interquartile ranges of the quartiles in every column."""
-    def bound(c: str, side: int) -> Column:
-        q = exact_quantiles(df, [], c, {"q1": 0.25, "q3": 0.75})
-        spread = (F.col("q3") - F.col("q1")) * k
-        return q.select((F.col("q1") - spread) if side < 0 else (F.col("q3") + spread)).scalar()
+    """Rows whose values lie within k interquartile ranges of the quartiles in every column.
 
-    return df.where(all_of((F.col(c) >= bound(c, -1)) & (F.col(c) <= bound(c, 1)) for c in cols))
+    The quartiles of all columns come from one grouped computation and enter the filter as
+    one scalar map.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    quartiles = exact_quantiles(long, ["column"], "value", {"q1": 0.25, "q3": 0.75})
+    spread = (F.col("q3") - F.col("q1")) * k
+    fences = quartiles.select("column", F.struct((F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high")).alias("fence"))
+    # one entry per named column, so the map is as small as the column list
+    by_column = fences.agg(F.map_from_entries(F.collect_list(F.struct("column", "fence")))).scalar()
+    return df.where(all_of(
+        (F.col(c) >= by_column[c]["low"]) & (F.col(c) <= by_column[c]["high"]) for c in cols))
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -10,29 +10,33 @@ from ledgerloom.operators.joins import join_keys
 
 
 def net_bonds(
-    df: DataFrame, deal_set: str, role: str, issued: str, traded: str, entity: list[str],
-    counterparty: str, amounts: list[str],
+    df: DataFrame, set_keys: list[str], role: str, issued: str, traded: str, entity: list[str],
+    counterparty: str, amounts: list[str], carry: list[str] | None = None,
 ) -> DataFrame:
     """Net issued against traded bonds per deal set.
 
     All issued rows of a set become one row holding issued + traded; traded rows name the
     issuer (first column of `entity`) as counterparty. A set whose issued rows are missing,
-    or belong to more than one issuer and counterparty, is left out. Returns the columns
-    deal_set, role, entity, counterparty and amounts.
+    or belong to more than one issuer and counterparty, is left out. `carry` columns come
+    from the smallest issued row. Returns set keys, role, entity, counterparty, amounts, carry.
     """
+    carry = carry or []
     who = F.struct(*entity, counterparty)
     is_issued, is_traded = F.col(role) == issued, F.col(role) == traded
-    sets = df.groupBy(deal_set).agg(
+    carried = [F.min(F.when(is_issued, F.struct(*carry))).alias("__carry")] if carry else []
+    sets = df.groupBy(*set_keys).agg(
         F.min(F.when(is_issued, who)).alias("__who"), F.max(F.when(is_issued, who)).alias("__who_max"),
         *[F.coalesce(F.sum(F.when(is_issued | is_traded, F.col(a))), F.lit(0.0)).alias(f"__net_{a}") for a in amounts],
+        *carried,
     ).where(F.col("__who").isNotNull() & F.col("__who").eqNullSafe(F.col("__who_max"))).drop("__who_max")
     issued_rows = sets.select(
-        deal_set, F.lit(issued).alias(role), *[F.col("__who")[e].alias(e) for e in entity],
+        *set_keys, F.lit(issued).alias(role), *[F.col("__who")[e].alias(e) for e in entity],
         F.col("__who")[counterparty].alias(counterparty), *[F.col(f"__net_{a}").alias(a) for a in amounts],
+        *[F.col("__carry")[c].alias(c) for c in carry],
     )
-    valid = sets.select(deal_set, F.col("__who")[entity[0]].cast("string").alias("__issuer"))
-    traded_rows = join_keys(df.where(is_traded), valid, [deal_set], "inner", null_safe=False).select(
-        deal_set, role, *entity, F.col("__issuer").alias(counterparty), *amounts)
+    valid = sets.select(*set_keys, F.col("__who")[entity[0]].cast("string").alias("__issuer"))
+    traded_rows = join_keys(df.where(is_traded), valid, set_keys, "inner").select(
+        *set_keys, role, *entity, F.col("__issuer").alias(counterparty), *amounts, *carry)
     return issued_rows.unionByName(traded_rows)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str, cores: int | str = 8, partitions: int = 8) -> SparkSession:
@@ -34,3 +34,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="ledgerloom-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For a result that several later steps read: they share the written copy instead of
+    running its whole plan again, and a lost executor costs only the step at hand.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
