@@ -434,7 +434,7 @@ def report_deals(t):
         F.col("l_extendedprice").alias("price"), "l_linestatus")
     tables = {"external": rows.where(F.col("l_linestatus") == "F"), "internal": rows.where(F.col("l_linestatus") == "O")}
     out = positions.deals_position(tables, entities(t), "1998-06-30", "Purchasing Deal", "Sales Deal")
-    return out.withColumns({"money": num("money"), "delivery_to": text("delivery_to")}).drop("company_code", "party_code")
+    return out.withColumns({"money": num("money"), "delivery_to": text("delivery_to")})
 
 
 @query("report_cash", ctes(BALANCES, COMPANIES, MULTIKEY, """

@@ -38,38 +38,46 @@ def lookup(
     return joined.withColumns(filled).drop(*[f"__v_{n}" for n in values.values()])
 
 
-def key_index(dim: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
-    """One row (key, value) per distinct key text over several key columns.
+def key_index(dim: DataFrame, keys: list[str], values: list[str], order: list[str]) -> DataFrame:
+    """One row (key, values) per distinct key text over several key columns.
 
-    A later key column overrides an earlier one unless its value is null; duplicates within
-    a key column are settled by `order`.
+    A later key column overrides an earlier one unless its value is null, value by value;
+    duplicates within a key column are settled by `order`.
     """
     long = dim.select(
         F.explode(F.array(*[
             F.struct(F.lit(i).alias("rank"), F.col(k).cast("string").alias("key")) for i, k in enumerate(keys)
         ])).alias("k"),
-        F.struct(F.col(value).cast("string").alias("v")).alias("value"),
-        F.struct(*order).alias("ord"),
+        F.struct(*values).alias("value"), F.struct(*order).alias("ord"),
     ).select("k.*", "value", "ord").where(F.col("key").isNotNull())
     per_rank = long.groupBy("key").agg(*[
         F.min_by(F.when(F.col("rank") == i, F.col("value")), F.when(F.col("rank") == i, F.col("ord"))).alias(f"v{i}")
         for i in range(len(keys))
     ])
-    best = F.coalesce(*[F.col(f"v{i}")["v"] for i in reversed(range(len(keys)))])
-    return per_rank.select("key", best.alias("value"))
+    return per_rank.select("key", *[
+        F.coalesce(*[F.col(f"v{i}")[v] for i in reversed(range(len(keys)))]).alias(v) for v in values])
 
 
 def lookup_multikey(
-    df: DataFrame, col: str, dim: DataFrame, keys: list[str], value: str, order: list[str],
-    out: str, default: str = EXTERNAL,
+    df: DataFrame, col: str, dim: DataFrame, keys: list[str], values: str | dict[str, str], order: list[str],
+    out: str | None = None, default: str = EXTERNAL,
 ) -> DataFrame:
     """Resolve a code that may be any of several identifiers of a dimension row.
 
-    The identifiers are folded into one index, so the facts are joined once, not once per key.
+    `values` is one column (named `out`) or a mapping of columns to output names. All
+    identifiers and all values are folded into one index, so the facts are joined once.
     """
-    index = key_index(dim, keys, value, order).withColumnsRenamed({"key": "__key", "value": "__value"})
-    joined = join_keys(df, index, {col: "__key"}, "left", null_safe=False)
-    return joined.withColumn(out, F.coalesce(F.col("__value"), F.lit(default))).drop("__value")
+    names = {values: out or values} if isinstance(values, str) else values
+    return lookup_index(df, col, key_index(dim, keys, list(names), order), names, default)
+
+
+def lookup_index(df: DataFrame, col: str, index: DataFrame, names: dict[str, str], default: str = EXTERNAL,
+                 key: str = "key") -> DataFrame:
+    """Join an index holding one row per key; misses and nulls take the default."""
+    slim = index.select(F.col(key).alias("__key"), *[F.col(v).alias(f"__v_{n}") for v, n in names.items()])
+    joined = join_keys(df, slim, {col: "__key"}, "left", null_safe=False)
+    return joined.withColumns({n: F.coalesce(f"__v_{n}", F.lit(default)) for n in names.values()}).drop(
+        *[f"__v_{n}" for n in names.values()])
 
 
 def lookup_name(df: DataFrame, col: str, mapping: DataFrame, name: str, code: str, order: list[str],

@@ -7,13 +7,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.dimensions import EXTERNAL, lookup_multikey, lookup_name
+from ledgerloom.operators.dimensions import EXTERNAL, key_index, lookup_index
+from ledgerloom.operators.grouping import first_per_key
+from ledgerloom.operators.joins import join_keys
+
+ATTRIBUTES = ["segment", "holding"]
 
 
 @dataclass(frozen=True)
 class Entities:
     """Sales units (id, short_code, plant_code, segment, holding, unit_key) and the
-    name mapping (name, code), each with the column that settles duplicates."""
+    name mapping (name, code).
+
+    Dimension tables are resolved against each other first, so that each fact column costs
+    one join however many attributes are taken from it.
+    """
 
     units: DataFrame
     names: DataFrame
@@ -21,17 +29,22 @@ class Entities:
     unit_order: str = "unit_key"
     name_order: str = "code"
 
-    def code(self, df: DataFrame, name_col: str, out: str) -> DataFrame:
-        return lookup_name(df, name_col, self.names, "name", "code", [self.name_order], out)
+    def code_index(self) -> DataFrame:
+        """One row (key, segment, holding) per identifier."""
+        return key_index(self.units, list(self.keys), ATTRIBUTES, [self.unit_order])
 
-    def attribute(self, df: DataFrame, code_col: str, value: str, out: str) -> DataFrame:
-        return lookup_multikey(df, code_col, self.units, list(self.keys), value, [self.unit_order], out)
+    def name_index(self) -> DataFrame:
+        """One row (name, code, segment, holding) per company name."""
+        names = first_per_key(self.names.select("name", "code").na.drop(subset=["name"]), ["name"], [self.name_order])
+        return join_keys(names, self.code_index(), {"code": "key"}, "left", null_safe=False)
 
-    def segment(self, df: DataFrame, code_col: str, out: str) -> DataFrame:
-        return self.attribute(df, code_col, "segment", out)
+    def by_code(self, df: DataFrame, code_col: str, **outputs: str) -> DataFrame:
+        """Attributes of a code: `by_code(df, "company", segment="company_segment")`."""
+        return lookup_index(df, code_col, self.code_index(), outputs)
 
-    def holding(self, df: DataFrame, code_col: str, out: str) -> DataFrame:
-        return self.attribute(df, code_col, "holding", out)
+    def by_name(self, df: DataFrame, name_col: str, **outputs: str) -> DataFrame:
+        """Code and attributes of a name: `by_name(df, "party", code="party_code", segment=...)`."""
+        return lookup_index(df, name_col, self.name_index(), outputs, key="name")
 
 
 def first_known(*cols: str):

@@ -56,8 +56,8 @@ def liquidity(
     due = debt.where(
         (F.datediff("term_end", "report_day") <= horizon_days) & (F.col("partner_kind") == "other") & (F.col("amount") < 0)
     ).groupBy("report_day", "company_name", "party_name", "currency").agg(F.sum("amount").alias("amount"))
-    due = entities.holding(entities.code(due, "company_name", "company_code"), "company_code", "company_holding")
-    due = entities.holding(entities.code(due, "party_name", "party_code"), "party_code", "party_holding")
+    due = entities.by_name(due, "company_name", holding="company_holding")
+    due = entities.by_name(due, "party_name", holding="party_holding")
     due = due.where((F.col("company_holding") == EXTERNAL) | (F.col("company_holding") != F.col("party_holding")))
     due = convert(due, quotes, "USD", "currency", "amount", "report_day")
     outflow = due.groupBy("report_day", F.col("company_holding").alias("holding")).agg(sum0("amount_in_USD").alias("outflow"))
@@ -104,7 +104,7 @@ def bank_limits(
                        ["bank_id", "holding", "limit_type"], ["active_from", "limit"])
     agreed = valid.groupBy("bank_id", "holding").agg((F.sum("limit") / 1e6).alias("limit"))
     rows = lookup(today, agreed, {"bank_id": "bank_id", "holding": "holding"}, ["limit"], ["limit"])
-    rows = entities.segment(rows, "unit_code", "segment")
+    rows = entities.by_code(rows, "unit_code", segment="segment")
     rows = lookup(rows, banks, "bank_id", {"name": "listed_name"}, ["name"])
     rows = rows.select(
         "holding", F.coalesce("listed_name", "bank_name").alias("bank"), "country", "segment",
@@ -136,12 +136,10 @@ def arap_position(ledger: DataFrame, purpose: Column, entities: Entities, as_of:
     rows = ledger.withColumn("purpose", purpose).where(
         F.col("purpose").isin(*RECEIVABLE, *PAYABLE) & ~(F.col("org_name").isNull() & F.col("company_code").isNull())
     ).withColumn("currency", iso_code("currency"))
-    rows = entities.code(rows, "org_name", "org_code")
+    rows = entities.by_name(rows, "org_name", code="org_code")
     rows = rows.withColumn("company", first_known("company_code", "second_code", "org_code"))
-    rows = entities.segment(rows, "company", "comp_map")
-    rows = entities.code(rows, "customer_name", "cty_code")
-    rows = entities.segment(rows, "cty_code", "cty_map")
-    rows = entities.holding(rows, "cty_code", "cty_holding")
+    rows = entities.by_code(rows, "company", segment="comp_map")
+    rows = entities.by_name(rows, "customer_name", code="cty_code", segment="cty_map", holding="cty_holding")
     grouped = rows.groupBy(
         "holding", "customer_name", "cty_holding", "org_name", "company", "currency", "source", "purpose", "comp_map",
         "cty_code", "cty_map", "internal_flag", "due",
@@ -191,8 +189,8 @@ def external_debt(debt: DataFrame, quotes: DataFrame, entities: Entities, as_of:
 
     debt(company_code, party_name, currency, amount, term, and the internal/external flag).
     """
-    rows = entities.segment(entities.code(debt, "party_name", "party_code"), "party_code", "party_segment")
-    rows = entities.holding(entities.segment(rows, "company_code", "company_segment"), "company_code", "company_holding")
+    rows = entities.by_name(debt, "party_name", code="party_code", segment="party_segment")
+    rows = entities.by_code(rows, "company_code", segment="company_segment", holding="company_holding")
     rows = convert(rows, quotes, "USD", "currency", "amount", as_of)
     rows = rows.withColumns({"days": days_to("term", as_of), "period": maturity_bucket("term", as_of)})
     summary = rows.groupBy("company_holding", "company_code", "company_segment", group_flag).agg(
@@ -212,9 +210,8 @@ def debt_position(loans: DataFrame, quotes: DataFrame, entities: Entities, as_of
         F.count(F.lit(1)).alias("lines"))
     rows = convert(grouped, quotes, "USD", "currency", "outstanding", as_of)
     rows = rows.withColumn("outstanding_in_USD", F.col("outstanding_in_USD") * F.signum("display_amount"))
-    rows = entities.segment(entities.code(rows, "entity", "entity_code"), "entity_code", "entity_group")
-    rows = entities.segment(entities.code(rows, "party", "party_code"), "party_code", "party_group")
-    rows = entities.holding(rows, "entity_code", "holding")
+    rows = entities.by_name(rows, "entity", code="entity_code", segment="entity_group", holding="holding")
+    rows = entities.by_name(rows, "party", code="party_code", segment="party_group")
     return rows.withColumns({
         "days": days_to("term_end", as_of), "period": maturity_bucket("term_end", as_of), "source": F.lit("SAP")})
 
@@ -233,16 +230,16 @@ def treasury_debt(deals: DataFrame, entities: Entities, bond_mark: str = "Bond",
     amount, amount_usd). Bonds net per report day and set; other deals pass through.
     """
     rows = latest_version(deals, ["report_day"], "effective_from")
-    rows = entities.code(rows, "entity", "mapped")
+    rows = entities.by_name(rows, "entity", code="mapped")
     rows = rows.withColumn("entity_code", F.coalesce(F.nullif("mapped", F.lit(EXTERNAL)), "entity"))
-    rows = entities.segment(rows, "entity_code", "entity_group")
+    rows = entities.by_code(rows, "entity_code", segment="entity_group")
     is_bond = F.coalesce(F.col("deal_set").contains(bond_mark), F.lit(False))
     netted = net_bonds(
         rows.where(is_bond), ["report_day", "deal_set"], "owner", issued, traded, ["entity_code", "entity_group"], "party",
         ["amount", "amount_usd"], carry=["currency", "action_day"])
     both = netted.unionByName(rows.where(~is_bond).select(*netted.columns))
     both = both.withColumn("party_name", cut_suffix("party", r" \(EC\)"))
-    both = entities.segment(entities.code(both, "party_name", "party_code"), "party_code", "party_group")
+    both = entities.by_name(both, "party_name", code="party_code", segment="party_group")
     return both.withColumns({
         "days": days_to("action_day", "report_day"), "period": maturity_bucket("action_day", "report_day"),
         "source": F.lit("Treasury")})
@@ -256,7 +253,7 @@ def derivatives(forwards: DataFrame, swaps: DataFrame, debt_deals: DataFrame, qu
     """
     deals = forwards.unionByName(swaps)
     deals = join_keys(deals, debt_deals.select("deal_no").distinct(), ["deal_no"], "left_anti", null_safe=False)
-    deals = entities.segment(deals, "entity", "entity_group")
+    deals = entities.by_code(deals, "entity", segment="entity_group")
     rows = legs(deals, ["deal_no", "position_day", "entity", "entity_group", "party", "maturity"], "pay_ccy", "pay", "rec_ccy", "rec")
     rows = convert(rows, quotes, "USD", "currency", "amount", as_of)
     return rows.withColumns({
@@ -287,14 +284,13 @@ def deals_position(deals: dict[str, DataFrame], entities: Entities, as_of: str,
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    rows = entities.segment(entities.code(rows, "company_name", "company_code"), "company_code", "segment")
-    rows = entities.holding(rows, "company_code", "holding")
-    return entities.segment(entities.code(rows, "party", "party_code"), "party_code", "party_segment")
+    rows = entities.by_name(rows, "company_name", segment="segment", holding="holding")
+    return entities.by_name(rows, "party", segment="party_segment")
 
 
 def cash_position(balances: DataFrame, impairments: DataFrame, entities: Entities, as_of: str) -> DataFrame:
     """Balances of the latest day with impairment; impairments(unit_code, bank_name, impairment)."""
-    rows = entities.segment(latest_snapshot(balances, "report_day", as_of), "unit_code", "segment")
+    rows = entities.by_code(latest_snapshot(balances, "report_day", as_of), "unit_code", segment="segment")
     rows = lookup(rows, impairments, {"unit_code": "unit_code", "bank_name": "bank_name"}, ["impairment"], ["impairment"], 0.0)
     return rows.withColumns({"period": F.lit("<1M"), "balance_impaired": impaired(rows, "balance", "impairment")})
 

@@ -160,8 +160,8 @@ def internal_sales(orders: DataFrame, entities: Entities) -> dict[str, DataFrame
     the latest slice.
     """
     rows = orders.where(F.col("order_status") == "not_completed")
-    rows = entities.segment(rows, "seller_id", "seller_segment")
-    rows = entities.code(rows, "customer_name", "party_id")
+    rows = entities.by_code(rows, "seller_id", segment="seller_segment")
+    rows = entities.by_name(rows, "customer_name", code="party_id")
     known = rows.where(F.col("party_id") != EXTERNAL)
     pairs = known.groupBy(F.col("seller_id").alias("seller"), F.col("party_id").alias("buyer"), "currency").agg(
         F.sum("quantity").alias("quantity"), F.sum("value").alias("value"))
