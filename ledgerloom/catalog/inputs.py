@@ -67,7 +67,14 @@ LEDGER = """ledger AS (SELECT l_orderkey AS document, l_partkey AS item, l_suppk
 
 
 def companies(t: Tables) -> DataFrame:
-    """Sales units: three identifiers, a segment (missing for some) and a holding."""
+    """Sales units: three identifiers, a segment (missing for some) and a holding.
+
+    Written once per query: a dimension resolved from three tables, read with its real size.
+    """
+    return t.derived("companies", lambda: _companies(t))
+
+
+def _companies(t: Tables) -> DataFrame:
     nation = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("unit_key"), F.col("s_suppkey").cast("string").alias("id"),

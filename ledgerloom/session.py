@@ -19,6 +19,7 @@ def local_session(app: str, cores: int | str = 8, partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

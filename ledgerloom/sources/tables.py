@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions.columns import as_col
+from ledgerloom.session import staged
+
+
+# Declared column types of the landed tables; other tables are read with their own schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 class Tables:
@@ -17,13 +37,24 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._derived: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        table = read_table(self.spark, self.folder, name)
+        setattr(self, name, table)
+        return table
+
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table written once to the shared folder and read from there."""
+        if name not in self._derived:
+            self._derived[name] = staged(build(), name)
+        return self._derived[name]
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table by name; with a declared schema no file is opened before the query runs."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_jdbc(
