@@ -22,6 +22,7 @@ def local_session(app: str, cores: int | str = 8, partitions: int = 8) -> SparkS
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .getOrCreate()
     )
 
