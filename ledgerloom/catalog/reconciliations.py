@@ -97,18 +97,22 @@ kept AS (SELECT month, ccy, entity, party, only_unified, coalesce(amount, 0) AS
 
 
 def treasury_tables(t):
+    own = t.derived("treasury_own", lambda: own_treasury(t))
+    factor = F.when(F.col("entity") < "N12", 1).when(F.col("entity") < "N20", 2).otherwise(3)
+    straight = own.where(F.col("party") != "N7").withColumn("amount", F.col("amount") * factor)
+    mirrored = own.where(F.col("entity") > "N3").select("month", "ccy", F.col("party").alias("entity"), F.col("entity").alias("party"),
+                                                        (-F.col("amount")).alias("amount"))
+    return own, straight.unionByName(mirrored)
+
+
+def own_treasury(t):
     rows = lines_with_customer(t)
     rows = join_keys(rows, t.supplier.select("s_suppkey", "s_nationkey"), {"l_suppkey": "s_suppkey"}, "inner", null_safe=False)
     rows = join_keys(rows, t.customer.select("c_custkey", "c_nationkey"), {"o_custkey": "c_custkey"}, "inner", null_safe=False)
-    own = rows.where(F.col("l_linestatus") == "F").groupBy(
+    return rows.where(F.col("l_linestatus") == "F").groupBy(
         F.trunc(F.to_date("l_shipdate"), "month").alias("month"), F.col("l_returnflag").alias("ccy"),
         F.concat(F.lit("N"), "s_nationkey").alias("entity"), F.concat(F.lit("N"), "c_nationkey").alias("party"),
     ).agg(num(F.sum("l_extendedprice")).alias("amount"))
-    factor = F.when(F.col("entity") < "N12", 1).when(F.col("entity") < "N20", 2).otherwise(3)
-    straight = own.where(F.col("party") != "N7").withColumn("amount", F.col("amount") * factor)
-    mirrored = own.where(F.col("entity") > "N3").select("month", "ccy", F.col("party").alias("entity"), F.col("entity").alias("party"),
-                                                        (-F.col("amount")).alias("amount"))
-    return own, straight.unionByName(mirrored)
 
 
 @query("recon_treasury", TREASURY + """

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import sum0
+from ledgerloom.functions.columns import all_of, sum0
 from ledgerloom.functions.measures import differs, signed_pct
 from ledgerloom.operators.joins import join_keys
 
@@ -29,14 +29,31 @@ def reconcile(
 def mirror_pairs(pairs: DataFrame, a: str, b: str, keys: list[str], values: list[str]) -> DataFrame:
     """Each A->B row with the values of its B->A row (null where there is none).
 
-    `pairs` must hold one row per (a, b, keys).
+    `pairs` must hold one row per (a, b, keys). Both directions of a pair meet in one group
+    of at most two rows, so the table is read once and not joined with itself. Rows with a
+    missing party or key have no mirror.
     """
-    other = pairs.select(
-        F.col(a).alias("__b"), F.col(b).alias("__a"), *[F.col(k).alias(f"__k_{k}") for k in keys],
-        *[F.col(v).alias(f"{v}_mirror") for v in values],
-    )
-    on = {a: "__a", b: "__b"} | {k: f"__k_{k}" for k in keys}
-    return join_keys(pairs, other, on, "left", null_safe=False)
+    named = {v: f"{v}_mirror" for v in values}
+    known = all_of(F.col(c).isNotNull() for c in (a, b, *keys))
+    row = F.struct(*values)
+    both = pairs.where(known).groupBy(F.least(a, b).alias("__lo"), F.greatest(a, b).alias("__hi"), *keys).agg(
+        F.max(F.when(F.col(a) <= F.col(b), row)).alias("__up"), F.max(F.when(F.col(a) > F.col(b), row)).alias("__down"))
+    same = F.col("__lo") == F.col("__hi")
+
+    def direction(source: str, target: str, own: Column, other: Column) -> Column:
+        return F.struct(F.col(source).alias(a), F.col(target).alias(b), own.alias("own"), other.alias("other"))
+
+    rows = both.select(*keys, F.explode(F.array(
+        direction("__lo", "__hi", F.col("__up"), F.when(same, F.col("__up")).otherwise(F.col("__down"))),
+        direction("__hi", "__lo", F.col("__down"), F.col("__up")),
+    )).alias("r")).where(F.col("r.own").isNotNull())
+    mirrored = rows.select(
+        F.col(f"r.{a}").alias(a), F.col(f"r.{b}").alias(b), *keys, *[F.col(f"r.own.{v}").alias(v) for v in values],
+        *[F.col(f"r.other.{v}").alias(m) for v, m in named.items()])
+    types = dict(pairs.dtypes)
+    alone = pairs.where(~known).select(
+        a, b, *keys, *values, *[F.lit(None).cast(types[v]).alias(m) for v, m in named.items()])
+    return mirrored.unionByName(alone)
 
 
 def drop_mirrored(df: DataFrame, a: str, b: str, keys: list[str], only_right: str) -> DataFrame:

@@ -36,13 +36,17 @@ class Entities:
     @cached_property
     def code_index(self) -> DataFrame:
         """One row (key, segment, holding) per identifier."""
-        return staged(key_index(self.units, list(self.keys), ATTRIBUTES, [self.unit_order]), "code-index")
+        return staged(self._codes(), "code-index")
+
+    def _codes(self) -> DataFrame:
+        return key_index(self.units, list(self.keys), ATTRIBUTES, [self.unit_order])
 
     @cached_property
     def name_index(self) -> DataFrame:
         """One row (name, code, segment, holding) per company name."""
         names = first_per_key(self.names.select("name", "code").na.drop(subset=["name"]), ["name"], [self.name_order])
-        resolved = join_keys(names, self.code_index, {"code": "key"}, "left", null_safe=False)
+        codes = self.code_index if "code_index" in self.__dict__ else self._codes()
+        resolved = join_keys(names, codes, {"code": "key"}, "left", null_safe=False)
         return staged(resolved, "name-index")
 
     def by_code(self, df: DataFrame, code_col: str, **outputs: str) -> DataFrame:

@@ -10,7 +10,7 @@ from ledgerloom.functions.measures import second_best, week_label
 from ledgerloom.functions.text import keyword_tag, matches_any_column, to_number
 from ledgerloom.operators.dimensions import fill_missing, lookup
 from ledgerloom.operators.fx import convert
-from ledgerloom.operators.grouping import correlations, exact_quantiles, latest_version, with_group_value
+from ledgerloom.operators.grouping import correlations, exact_quantiles, latest_version, top_k, with_group_value
 from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.reshape import melt_pairs, pivot_sum
 from ledgerloom.operators.series import cross_rate, rolling_mean, to_series, volatility
@@ -118,14 +118,11 @@ def stock_sales(sales: DataFrame, stock: DataFrame, quotes: DataFrame, as_of: Co
     valued = convert(join_keys(summed, low, ["item"], "left_semi"), quotes, "USD", "currency", "money", as_of)
     by_item = valued.groupBy("item", "market", "country").agg(sum0("quantity").alias("quantity"), sum0("money_in_USD").alias("money_usd"))
     per_item = by_item.groupBy("market", "item").agg(F.sum("money_usd").alias("money_usd"))
-    markets = []
-    for market in ("Internal", "External"):
-        rows = per_item.where(F.col("market") == market)
-        best = rows.orderBy(F.desc("money_usd"), "item").limit(top).select(F.col("item").alias("__top"))
-        label = F.coalesce(F.col("__top").cast("string"), F.lit("other"))
-        markets.append(rows.join(best, F.col("item") == F.col("__top"), "left").groupBy("market", label.alias("label")).agg(
-            F.sum("money_usd").alias("money_usd")))
-    return {"sales": by_item, "shares": markets[0].unionByName(markets[1])}
+    best = top_k(per_item, ["market"], [F.desc("money_usd"), F.asc("item")], top).select("market", "item", F.lit(True).alias("__top"))
+    label = F.when(F.col("__top"), F.col("item").cast("string")).otherwise("other")
+    shares = join_keys(per_item, best, ["market", "item"], "left").groupBy("market", label.alias("label")).agg(
+        F.sum("money_usd").alias("money_usd"))
+    return {"sales": by_item, "shares": shares}
 
 
 def price_catalogue(catalogue: DataFrame, prices: DataFrame, attributes: Column, tags: list[str], dead: DataFrame, as_of: str,

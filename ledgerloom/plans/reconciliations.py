@@ -49,7 +49,7 @@ def treasury_amounts(debt: DataFrame, unified: DataFrame, keys: list[str], entit
     a = debt.groupBy(*keys, entity, party).agg(sum0("amount").alias("amount"), F.lit(True).alias("__own"))
     b = unified.groupBy(*keys, entity, party).agg(sum0("amount").alias("amount_unified"))
     both = join_keys(a, b, [*keys, entity, party], "full")
-    both = both.withColumns({"size": F.abs("amount_unified"), "only_unified": F.col("__own").isNull()})
+    both = staged(both.withColumns({"size": F.abs("amount_unified"), "only_unified": F.col("__own").isNull()}), "treasury")
     kept = drop_mirrored(both, entity, party, [*keys, "size"], "only_unified").drop("size", "__own")
     kept = kept.na.fill(0.0, subset=["amount", "amount_unified"])
     doubled = F.coalesce(F.try_divide("amount_unified", "amount") == 2, F.lit(False))
@@ -76,7 +76,7 @@ def order_books(first: DataFrame, second: DataFrame, third: DataFrame, keys: lis
 
 def missing_orders(compared: DataFrame, history: DataFrame, keys: list[str], order: str, day: str) -> DataFrame:
     """Orders absent from the third book, with their latest older version where there is one."""
-    absent = compared.where(F.col("quantity_3").isNull() & F.col("quantity_2").isNotNull()).select(*keys, "quantity_2")
+    absent = staged(compared.where(F.col("quantity_3").isNull() & F.col("quantity_2").isNotNull()).select(*keys, "quantity_2"), "absent")
     older = join_keys(history, absent.select(order).distinct(), [order], "left_semi")
     older = latest_version(older, [order], day).groupBy(*keys, day).agg(
         F.sum("quantity").alias("quantity_old"), F.avg("price").alias("price_old"))

@@ -18,10 +18,13 @@ def test_reconcile_matches_null_keys_and_sums_first(make):
 
 
 def test_mirror_pairs(make):
-    pairs = make([("A", "B", "USD", 1.0), ("B", "A", "USD", 2.0), ("A", "A", "USD", 3.0), ("A", "C", "USD", 4.0), ("C", "A", "EUR", 5.0)],
+    pairs = make([("A", "B", "USD", 1.0), ("B", "A", "USD", 2.0), ("A", "A", "USD", 3.0), ("A", "C", "USD", 4.0), ("C", "A", "EUR", 5.0),
+                  (None, "A", "USD", 6.0), ("A", None, "USD", 7.0), ("D", "A", None, 8.0), ("A", "D", None, 9.0), ("E", "A", "USD", None), ("A", "E", "USD", 1.5)],
                  "a string, b string, ccy string, v double")
     assert rows(mirror_pairs(pairs, "a", "b", ["ccy"], ["v"])) == {
-        ("A", "B", "USD", 1.0, 2.0), ("B", "A", "USD", 2.0, 1.0), ("A", "A", "USD", 3.0, 3.0), ("A", "C", "USD", 4.0, None), ("C", "A", "EUR", 5.0, None)}
+        ("A", "B", "USD", 1.0, 2.0), ("B", "A", "USD", 2.0, 1.0), ("A", "A", "USD", 3.0, 3.0), ("A", "C", "USD", 4.0, None), ("C", "A", "EUR", 5.0, None),
+        (None, "A", "USD", 6.0, None), ("A", None, "USD", 7.0, None), ("D", "A", None, 8.0, None), ("A", "D", None, 9.0, None),
+        ("E", "A", "USD", None, 1.5), ("A", "E", "USD", 1.5, None)}
 
 
 def test_drop_mirrored_only_touches_flagged_rows(make):
