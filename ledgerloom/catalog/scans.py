@@ -8,8 +8,8 @@ from ledgerloom.catalog.inputs import BALANCES, balances, ctes
 from ledgerloom.catalog.registry import num, query, text
 from ledgerloom.session import shared_dir
 from ledgerloom.sources import (
-    append_history, latest_snapshot, read_delimited, snapshot_pairs, trailing_period, union_sources, write_by,
-    write_delimited, write_named,
+    append_history, latest_snapshot, read_delimited, read_files, snapshot_pairs, trailing_period, union_sources,
+    write_by, write_delimited, write_named,
 )
 
 
@@ -39,6 +39,15 @@ def multi_source_union(t):
     return union_sources({"customer": customers, "supplier": suppliers})
 
 
+@query("files_with_provenance", """
+SELECT n_nationkey AS key, n_name AS name, 'nation.parquet' AS source_file FROM nation
+UNION ALL SELECT s_suppkey, s_name, 'supplier.parquet' FROM supplier""")
+def files_with_provenance(t):
+    df = read_files(t.spark, [f"{t.folder}/{n}.parquet" for n in ("nation", "supplier")])
+    return df.select(F.coalesce(F.col("n_nationkey").cast("bigint"), "s_suppkey").alias("key"), F.coalesce("n_name", "s_name").alias("name"),
+                     "source_file")
+
+
 @query("latest_snapshot", ctes(BALANCES) + """
 SELECT account, status, balance, CAST(report_day AS VARCHAR) AS report_day FROM balances
 WHERE report_day = (SELECT max(report_day) FROM balances)""")

@@ -1,8 +1,10 @@
 from ledgerloom.sources.sinks import append_history, write_by, write_delimited, write_named
 from ledgerloom.sources.tables import (
     Tables,
+    dated_files,
     latest_snapshot,
     read_delimited,
+    read_files,
     read_jdbc,
     read_table,
     snapshot_pairs,
@@ -11,7 +13,7 @@ from ledgerloom.sources.tables import (
 )
 
 __all__ = [
-    "Tables", "append_history", "latest_snapshot", "read_delimited", "read_jdbc", "read_table",
+    "Tables", "append_history", "dated_files", "latest_snapshot", "read_delimited", "read_files", "read_jdbc", "read_table",
     "snapshot_pairs", "trailing_period", "union_sources", "write_by", "write_delimited",
     "write_named",
 ]

@@ -89,6 +89,27 @@ def read_delimited(
     return df.select(*columns) if columns else df
 
 
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Many parquet files or folders as one table with merged columns and `source_file`."""
+    df = spark.read.option("mergeSchema", "true").parquet(*paths)
+    return df.withColumn("source_file", F.col("_metadata.file_name"))
+
+
+def dated_files(
+    spark: SparkSession, folder: str, glob: str = "*", date_pattern: str = r"(\d{2}\.\d{2}\.\d{4})", date_format: str = "dd.MM.yyyy",
+) -> DataFrame:
+    """Files below a folder with the day and the rest of their name: path, file, day, name.
+
+    Only the listing is read, no file content. Dates are compared as dates, not as text.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
+    file = F.element_at(F.split("path", "/"), -1)
+    day = F.nullif(F.regexp_extract("file", date_pattern, 1), F.lit(""))
+    name = F.regexp_replace(F.regexp_replace("file", r"\.[A-Za-z0-9]+$", ""), date_pattern, "")
+    return listing.select("path", file.alias("file")).select(
+        "path", "file", F.try_to_timestamp(day, F.lit(date_format)).cast("date").alias("day"), F.trim(F.translate(name, "_", " ")).alias("name"))
+
+
 def latest_snapshot(df: DataFrame, date: str | Column, as_of: Column | str | None = None) -> DataFrame:
     """Rows of the newest date, or of the newest date not after `as_of`.
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from ledgerloom.session import shared_dir, staged
 from ledgerloom.sources import (
-    append_history, latest_snapshot, read_delimited, read_jdbc, snapshot_pairs, trailing_period, union_sources, write_by, write_delimited, write_named,
+    append_history, dated_files, latest_snapshot, read_delimited, read_files, read_jdbc, snapshot_pairs, trailing_period, union_sources, write_by, write_delimited, write_named,
 )
 from tests.conftest import rows
 
@@ -31,6 +31,25 @@ def test_pairs(make):
     assert rows(snapshot_pairs(df, ["k"], "day")) == {("a", D[0], D[2], 2, True), ("b", D[1], D[1], 1, False)}
 
 
+def test_dated_files_pair_by_date(spark, tmp_path):
+    for name in ("BR1_31.12.2023.xlsx", "BR1_01.02.2024.xlsx", "BR2 05.01.2024.xlsx", "notes.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    files = dated_files(spark, str(tmp_path), "*.xlsx")
+    assert rows(files.select("file", "day", "name")) == {
+        ("BR1_31.12.2023.xlsx", dt.date(2023, 12, 31), "BR1"), ("BR1_01.02.2024.xlsx", dt.date(2024, 2, 1), "BR1"),
+        ("BR2 05.01.2024.xlsx", dt.date(2024, 1, 5), "BR2")}
+    # as text 01.02.2024 would come before 31.12.2023
+    assert rows(snapshot_pairs(files, ["name"], "day")) == {
+        ("BR1", dt.date(2023, 12, 31), dt.date(2024, 2, 1), 2, True), ("BR2", dt.date(2024, 1, 5), dt.date(2024, 1, 5), 1, False)}
+
+
+def test_read_files_merges_columns(make, spark, tmp_path):
+    make([(1, "a")], "id int, t string").coalesce(1).write.parquet(str(tmp_path / "one"))
+    make([(2, 5.0)], "id int, extra double").coalesce(1).write.parquet(str(tmp_path / "two"))
+    out = read_files(spark, [str(tmp_path / "one"), str(tmp_path / "two")])
+    assert rows(out.select("id", "t", "extra")) == {(1, "a", None), (2, None, 5.0)} and out.select("source_file").distinct().count() == 2
+
+
 def test_sinks_round_trip(make, spark, tmp_path):
     df = make([("h1", 1, "a\tb"), ("h2", 2, None), ("h1", 3, "c")], "holding string, id int, t string")
     path = write_by(df, str(tmp_path / "by"), ["holding"])
