@@ -463,7 +463,8 @@ def control_totals_(t):
 @query("attribute_agreement", """
 WITH a AS (SELECT c_name AS code, c_nationkey AS nation, c_acctbal > 0 AS solvent FROM customer),
 b AS (SELECT replace(s_name, 'Supplier', 'Customer') AS code, s_nationkey AS unit_nation, s_acctbal > 0 AS unit_solvent FROM supplier)
-SELECT coalesce(a.code, b.code) AS code, nation, unit_nation, solvent, unit_solvent, coalesce(nation = unit_nation, false) AS nation_equal,
+SELECT coalesce(a.code, b.code) AS code, CAST(nation AS VARCHAR) AS nation, CAST(unit_nation AS VARCHAR) AS unit_nation,
+  CAST(solvent AS VARCHAR) AS solvent, CAST(unit_solvent AS VARCHAR) AS unit_solvent, coalesce(nation = unit_nation, false) AS nation_equal,
   coalesce(solvent = unit_solvent, false) AS solvent_equal FROM a FULL JOIN b ON a.code = b.code
 WHERE NOT coalesce(nation = unit_nation, false) OR NOT coalesce(solvent = unit_solvent, false)""")
 def attribute_agreement(t):
@@ -471,7 +472,8 @@ def attribute_agreement(t):
     b = t.supplier.select(F.regexp_replace("s_name", "Supplier", "Customer").alias("code"), F.col("s_nationkey").alias("unit_nation"),
                           (F.col("s_acctbal") > 0).alias("unit_solvent"))
     both = agreement(a, b, ["code"], {"nation": "unit_nation", "solvent": "unit_solvent"})
-    return both.where(any_false(["nation_equal", "solvent_equal"]))
+    return both.where(any_false(["nation_equal", "solvent_equal"])).withColumns(
+        {c: text(c) for c in ("nation", "unit_nation", "solvent", "unit_solvent")})
 
 
 @query("difference_profile", """

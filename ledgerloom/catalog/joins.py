@@ -55,11 +55,12 @@ def entity_lookup_name(t):
 
 
 @query("lookup_left", """
-SELECT o_orderkey, o_custkey, c_mktsegment, c_nationkey FROM orders
+SELECT o_orderkey, o_custkey, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS nation FROM orders
 LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""")
 def lookup_left(t):
     return lookup(t.orders.select("o_orderkey", "o_custkey"), t.customer.where(F.col("c_acctbal") > 0),
-                  {"o_custkey": "c_custkey"}, ["c_mktsegment", "c_nationkey"], ["c_name"])
+                  {"o_custkey": "c_custkey"}, {"c_mktsegment": "c_mktsegment", "c_nationkey": "nation"}, ["c_name"]).withColumn(
+        "nation", text("nation"))
 
 
 @query("lookup_compound", """
@@ -289,14 +290,14 @@ def three_way(t):
 @query("ci_join", """
 WITH a AS (SELECT n_nationkey AS id, lower(n_name) AS name FROM nation),
 b AS (SELECT DISTINCT 'Nation_' || s_nationkey AS bu_name, s_nationkey AS bu_id FROM supplier WHERE s_acctbal > 5000)
-SELECT coalesce(upper(name), upper(bu_name)) AS upper_key, name, id, bu_name, bu_id, coalesce(id = bu_id, false) AS same_id
+SELECT coalesce(upper(name), upper(bu_name)) AS upper_key, name, CAST(id AS VARCHAR) AS id, bu_name, CAST(bu_id AS VARCHAR) AS bu_id, coalesce(id = bu_id, false) AS same_id
 FROM a FULL JOIN b ON upper(name) = upper(bu_name)""")
 def ci_join(t):
     a = t.nation.select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("name"))
     b = t.supplier.where(F.col("s_acctbal") > 5000).select(
         F.concat(F.lit("Nation_"), F.col("s_nationkey")).alias("bu_name"), F.col("s_nationkey").alias("bu_id")).distinct()
     return lookup_ignore_case(a, "name", b, "bu_name").withColumn(
-        "same_id", F.coalesce(F.col("id") == F.col("bu_id"), F.lit(False)))
+        "same_id", F.coalesce(F.col("id") == F.col("bu_id"), F.lit(False))).withColumns({"id": text("id"), "bu_id": text("bu_id")})
 
 
 @query("fill_from_dim", """

@@ -85,13 +85,13 @@ def pct_change_(t):
 
 
 ROLES = """turns AS (SELECT conv_id, turn, CASE WHEN role <> 'assistant' THEN role END AS section,
-  CASE WHEN role = 'assistant' THEN length(text) END AS size FROM conversations)"""
+  CASE WHEN role = 'assistant' THEN CAST(length(text) AS VARCHAR) END AS size FROM conversations)"""
 
 
 def turns(t):
     return t.conversations.select(
         "conv_id", "turn", F.when(F.col("role") != "assistant", F.col("role")).alias("section"),
-        F.when(F.col("role") == "assistant", F.length("text")).cast("bigint").alias("size"))
+        text(F.when(F.col("role") == "assistant", F.length("text"))).alias("size"))
 
 
 @query("forward_fill", ctes(ROLES) + """
