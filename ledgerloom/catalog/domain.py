@@ -314,6 +314,7 @@ def iqr_filter(t):
     return without_outliers(x, ["amount", "quantity"])
 
 
+# Threshold and early trigger per group, before and from a change date.
 PARAMS = [("F", "1900-01-01", "1998-07-01", 70.0, 159.0), ("F", "1998-07-01", None, 71.0, 154.0),
           ("O", "1900-01-01", "1998-07-01", 159.0, 273.0), ("O", "1998-07-01", None, 161.0, 289.0)]
 PARAMS_SQL = """params(o_orderstatus, valid_from, valid_to, threshold, early_trigger) AS (VALUES

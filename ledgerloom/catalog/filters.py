@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.registry import num, query, text
+from ledgerloom.catalog.registry import query
 from ledgerloom.functions.columns import all_null, any_false, any_null, any_of, columns_like
 from ledgerloom.functions.measures import ratio_above
 from ledgerloom.functions.text import contains_any_column, is_integer_text, matches_any_column

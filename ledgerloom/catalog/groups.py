@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import num, query, text
-from ledgerloom.functions.columns import sum0, sum_when
+from ledgerloom.functions.columns import sum_when
 from ledgerloom.operators.dimensions import append_checked
 from ledgerloom.operators.grouping import (
     collect_chunks, correlations, describe, exact_quantiles, group_sum, latest_version, subtotals, top_k,

@@ -52,3 +52,11 @@ def sum_when(condition: Column, c: str | Column) -> Column:
 def columns_like(names: list[str], pattern: str) -> list[str]:
     """Column names that contain `pattern`."""
     return [n for n in names if pattern in n]
+
+
+def case_when(branches: Iterable[tuple[Column, Column]], otherwise: Column) -> Column:
+    """CASE expression of (condition, value) branches, the first true condition wins."""
+    chain = None
+    for condition, value in branches:
+        chain = F.when(condition, value) if chain is None else chain.when(condition, value)
+    return otherwise if chain is None else chain.otherwise(otherwise)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import all_of, any_of, as_col
+from ledgerloom.functions.columns import all_of, any_of, as_col, case_when
 from ledgerloom.operators.joins import join_keys
 
 
@@ -47,19 +47,14 @@ def classify(
     `classify_by_table`.
     """
     cols = [as_col(c) for c in (source, report_type, code, account)]
-    chain = F
-    for rule in rules:
-        chain = chain.when(rule.condition(*cols), F.lit(rule.purpose))
-    return chain.otherwise(F.lit(otherwise))
+    return case_when([(rule.condition(*cols), F.lit(rule.purpose)) for rule in rules], F.lit(otherwise))
 
 
 def classify_by_prefix(account: str | Column, prefixes: dict[str, list[str]], otherwise: str | None = None) -> Column:
     """Label by account prefix, the first label with a matching prefix wins."""
     a = as_col(account)
-    chain = F
-    for label, starts in prefixes.items():
-        chain = chain.when(any_of(a.startswith(p) for p in starts), F.lit(label))
-    return chain.otherwise(F.lit(otherwise))
+    branches = [(any_of(a.startswith(p) for p in starts), F.lit(label)) for label, starts in prefixes.items()]
+    return case_when(branches, F.lit(otherwise))
 
 
 def classify_by_table(
@@ -150,6 +145,3 @@ def mapping_gaps(df: DataFrame, checks: dict[str, tuple[Column, list[str]]]) ->
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-
-def is_value(col: str, value: str) -> Column:
-    return F.coalesce(F.col(col) == value, F.lit(False))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import as_col, sum0
+from ledgerloom.functions.columns import as_col, case_when, sum0
+from ledgerloom.functions.measures import differs
 from ledgerloom.operators.joins import join_keys
 
 
@@ -69,10 +70,9 @@ def minimum_of_versions(
     """
     names = sorted({v for p in pairs.values() for v in p})
     wide = df.groupBy(*keys, holding).pivot(version, names).agg(F.sum(value)).na.fill(0.0, subset=names)
-    chain = F
-    for h, (a, b) in pairs.items():
-        chain = chain.when(F.col(holding) == h, F.least(F.col(a), F.col(b)))
-    return wide.withColumn("amount", chain.otherwise(F.lit(None).cast("double"))).where(F.col("amount") != 0)
+    lower = case_when(
+        [(F.col(holding) == h, F.least(a, b)) for h, (a, b) in pairs.items()], F.lit(None).cast("double"))
+    return wide.withColumn("amount", lower).where(F.col("amount") != 0)
 
 
 def impaired(df: DataFrame, balance: str, impairment: str) -> Column:
@@ -83,8 +83,6 @@ def impaired(df: DataFrame, balance: str, impairment: str) -> Column:
 def control_totals(df: DataFrame, stated: DataFrame, keys: list[str], value: str, stated_value: str,
                    tolerance: float = 0.01) -> DataFrame:
     """Sums of selected rows beside the stated totals with a within-tolerance flag."""
-    from ledgerloom.functions.measures import differs
-
     sums = df.groupBy(*keys).agg(sum0(value).alias("actual"))
     return join_keys(stated, sums, keys, "inner").withColumn(
         "ok", ~differs(stated_value, "actual", tolerance))
