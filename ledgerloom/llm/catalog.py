@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
+from ledgerloom.llm.ngram_jaccard import OP9_SQL, op9_ngram_jaccard
 
 QUERIES = {
     "op7_decontamination": op7_decontamination,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 SQL = {
     "op7_decontamination": OP7_SQL,
+    "op9_ngram_jaccard": OP9_SQL,
 }
