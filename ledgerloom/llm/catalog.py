@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm.common import ship
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
+from ledgerloom.llm.language import language_id_pages, op4_language_id
+from ledgerloom.llm.mixing import op10_mixing
 from ledgerloom.llm.ngram_jaccard import OP9_SQL, op9_ngram_jaccard
+from ledgerloom.llm.token_files import op2_token_files
 
-QUERIES = {
+_ALL = {
+    "op2_token_files": op2_token_files,
+    "op4_language_id": op4_language_id,
+    "language_id_pages": language_id_pages,
     "op7_decontamination": op7_decontamination,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_mixing": op10_mixing,
 }
+
+
+def _bind(fn):
+    def run(spark, folder):
+        ship(spark)
+        return fn(spark, folder)
+
+    return run
+
+
+QUERIES = {name: _bind(fn) for name, fn in _ALL.items()}
 SQL = {
     "op7_decontamination": OP7_SQL,
     "op9_ngram_jaccard": OP9_SQL,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,18 +13,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_dir, staged
 
-__all__ = ["staged", "shared_dir", "table", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
+__all__ = ["staged", "shared_dir", "ship", "table", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
 
 PIECE = 1 << 20
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+_SHIPPED: set[str] = set()
+
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, whatever their import path is."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "ledgerloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(spark.sparkContext.applicationId)
 
-def fresh(name: str) -> str:
-    """A column name that no input has."""
-    return f"__{name}_{uuid.uuid4().hex[:8]}"
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
