@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import os
+import posixpath
 import tempfile
 import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_dir, staged
 
-__all__ = ["staged", "shared_dir", "ship", "table", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
+__all__ = ["staged", "shared_dir", "ship", "table", "save", "load", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
 
 PIECE = 1 << 20
 
@@ -121,3 +123,22 @@ def scan_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tup
         hashes[done:last] = np.add.reduceat(values[data[low:end]] * up[:end - low], own) * down[own]
         done = last
     return starts, mix64(hashes), counts
+
+
+def _open(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def save(folder: str, name: str, data: bytes) -> str:
+    """Write a whole file below a shared folder; a path or a URI."""
+    system, base = _open(folder)
+    system.create_dir(base, recursive=True)
+    with system.open_output_stream(posixpath.join(base, name)) as out:
+        out.write(data)
+    return posixpath.join(folder, name)
+
+
+def load(path: str) -> bytes:
+    system, base = _open(path)
+    with system.open_input_stream(base) as source:
+        return source.read()

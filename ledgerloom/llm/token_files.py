@@ -15,19 +15,17 @@ no rows. Other columns are not stored.
 
 from __future__ import annotations
 
-import posixpath
 import struct
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import mix64, scan_words, shared_dir, slices, staged, table, text_buffer
+from ledgerloom.llm.common import load, mix64, save, scan_words, shared_dir, slices, staged, table, text_buffer
 from ledgerloom.llm.idcoder import read_ids, write_ids
 
 TOKENIZER = "word_bpe_49k.json"
@@ -97,25 +95,6 @@ class Encoder:
         return out, per_row
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
-def save(folder: str, name: str, data: bytes) -> str:
-    """Write a whole file below a shared folder; a path or a URI."""
-    system, base = _open(folder)
-    system.create_dir(base, recursive=True)
-    with system.open_output_stream(posixpath.join(base, name)) as out:
-        out.write(data)
-    return posixpath.join(folder, name)
-
-
-def load(path: str) -> bytes:
-    system, base = _open(path)
-    with system.open_input_stream(base) as source:
-        return source.read()
-
-
 MANIFEST = "file int, path string, docs long, ids long, bytes long"
 
 
