@@ -7,13 +7,19 @@ from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
 from ledgerloom.llm.language import language_id_pages, op4_language_id
 from ledgerloom.llm.mixing import op10_mixing
 from ledgerloom.llm.ngram_jaccard import OP9_SQL, op9_ngram_jaccard
+from ledgerloom.llm.secret_scan import op6_secret_scan
 from ledgerloom.llm.token_files import op2_token_files
+from ledgerloom.llm.url_filter import op8_url_filter
+from ledgerloom.llm.warc import op5_warc
 
 _ALL = {
     "op2_token_files": op2_token_files,
     "op4_language_id": op4_language_id,
     "language_id_pages": language_id_pages,
+    "op5_warc": op5_warc,
+    "op6_secret_scan": op6_secret_scan,
     "op7_decontamination": op7_decontamination,
+    "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
 }
