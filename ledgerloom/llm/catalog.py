@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm.bm25 import OP3_SQL, op3_topk_search
 from ledgerloom.llm.common import ship
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
 from ledgerloom.llm.language import language_id_pages, op4_language_id
@@ -14,6 +15,7 @@ from ledgerloom.llm.warc import op5_warc
 
 _ALL = {
     "op2_token_files": op2_token_files,
+    "op3_topk_search": op3_topk_search,
     "op4_language_id": op4_language_id,
     "language_id_pages": language_id_pages,
     "op5_warc": op5_warc,
@@ -35,6 +37,7 @@ def _bind(fn):
 
 QUERIES = {name: _bind(fn) for name, fn in _ALL.items()}
 SQL = {
+    "op3_topk_search": OP3_SQL,
     "op7_decontamination": OP7_SQL,
     "op9_ngram_jaccard": OP9_SQL,
 }
