@@ -6,6 +6,7 @@ from ledgerloom.llm.bm25 import OP3_SQL, op3_topk_search
 from ledgerloom.llm.common import ship
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
 from ledgerloom.llm.language import language_id_pages, op4_language_id
+from ledgerloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from ledgerloom.llm.mixing import op10_mixing
 from ledgerloom.llm.ngram_jaccard import OP9_SQL, op9_ngram_jaccard
 from ledgerloom.llm.secret_scan import op6_secret_scan
@@ -14,6 +15,7 @@ from ledgerloom.llm.url_filter import op8_url_filter
 from ledgerloom.llm.warc import op5_warc
 
 _ALL = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
     "op3_topk_search": op3_topk_search,
     "op4_language_id": op4_language_id,
@@ -37,6 +39,7 @@ def _bind(fn):
 
 QUERIES = {name: _bind(fn) for name, fn in _ALL.items()}
 SQL = {
+    "op1_line_dedup": OP1_SQL,
     "op3_topk_search": OP3_SQL,
     "op7_decontamination": OP7_SQL,
     "op9_ngram_jaccard": OP9_SQL,
