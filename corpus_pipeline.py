@@ -1,14 +1,80 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read by the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the
+last return the columns of documents. What a stage drops is written as a small table of keys
+first, so that Spark sees its true size when it joins the documents against it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.llm.common import ship, staged, table
+from ledgerloom.llm.decontamination import contamination
+from ledgerloom.llm.language import identify
+from ledgerloom.llm.mixing import mix
+from ledgerloom.llm.ngram_jaccard import link_components
+from ledgerloom.llm.token_files import encode_and_read
+
+
+def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """The documents whose id is not among the dropped ones."""
+    return docs.join(staged(dropped.where("doc_id IS NOT NULL").distinct(), name), "doc_id", "left_anti").select(docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that show one of the known languages; text without letters or of no known language goes."""
+    ship(spark)
+    mark = F.xxhash64("text")  # rows of one id are judged by their own text
+    judged = identify(docs.withColumn("_mark", mark), keys=["doc_id", "_mark"])
+    rejected = staged(judged.where("NOT accepted").select(F.col("doc_id").alias("_id"), "_mark").distinct(), "rejected")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (mark == F.col("_mark"))
+    return docs.join(rejected, same, "left_anti").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a shingle similarity of 0.9 or more, the one with the smallest id stays."""
+    ship(spark)
+    linked = staged(link_components(docs), "linked")
+    kept = _without(docs, linked.where("component_id <> id").select(F.col("id").alias("doc_id")), "copies")
+    repeated = linked.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
+    if repeated.limit(1).count():  # rows of one id are one document
+        repeated = staged(repeated, "repeated")
+        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+        kept = _without(kept, repeated, "repeated").unionByName(once)
+    return kept
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    ship(spark)
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated").select("doc_id"), "contaminated")
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources flattened by temperature to a repetition of at most 1.25; every document stays, some come twice."""
+    ship(spark)
+    mixed, _ = mix(docs)
+    return mixed.select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-id files in ascending document id, and what they hold per document."""
+    ship(spark)
+    return encode_and_read(docs)
 
-from ledgerloom.llm.common import staged, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mixture", mixture),
+    ("tokens", tokens),
+]
 
 #: Hash permutations, trained models and the id coder have no SQL form.
 ORACLE_SQL = None
