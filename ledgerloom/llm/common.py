@@ -6,7 +6,7 @@ import os
 import posixpath
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -99,11 +99,13 @@ def slices(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def scan_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def scan_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray,
+               cuts: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start byte and 64-bit hash of every word, and the number of words per row.
 
     `values` is a `word_table`. The hash is a polynomial over the bytes, scrambled at the end;
-    words never reach over a row's end.
+    words never reach over a row's end. `cuts` gets the bytes and the words' starts and returns
+    all places to start at, if words are to be cut further.
     """
     used = (values != 0)[data]
     begins = used.copy()
@@ -111,6 +113,8 @@ def scan_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tup
     inner = offsets[:-1][offsets[:-1] < len(data)]
     begins[inner] = used[inner]
     starts = np.flatnonzero(begins)
+    if cuts is not None:
+        starts = cuts(data, starts)
     counts = np.diff(np.searchsorted(starts, offsets))
     hashes = np.empty(len(starts), np.uint64)
     done = 0

@@ -57,10 +57,10 @@ class _Mixer:
         self.table1, self.table2 = np.zeros(lanes * GUESSES, kind), np.zeros(lanes * GUESSES, kind)
         self.gate2 = np.full(lanes * 32, 1 << ONE - 2, np.int32)
         self.gate1 = np.full(lanes * 32, 1 << ONE - 2, np.int32)
-        self.home = np.arange(lanes, dtype=np.int32) * GUESSES
-        self.node0 = np.arange(lanes, dtype=np.int32) * 32
-        self.one = np.zeros(lanes, np.int32)
-        self.two = np.zeros(lanes, np.int32)
+        self.home = np.arange(lanes) * GUESSES
+        self.node0 = np.arange(lanes) * 32
+        self.one = np.zeros(lanes, np.int64)
+        self.two = np.zeros(lanes, np.int64)
 
     def look(self, m: int) -> None:
         """Guesses and weights of the first m blocks."""

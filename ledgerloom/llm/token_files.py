@@ -4,9 +4,10 @@ Documents are range-partitioned and sorted by their id; every partition becomes
 shared folder, written under a name of its own and named in the manifest only when its task has
 succeeded, so retried tasks leave nothing that is read. Files are read back from the manifest.
 
-Encoding goes by distinct white-space separated pieces: the tokenizer drops white space before
-its merges and no merge reaches over it, so a text's ids are those of its pieces in order. Every
-distinct piece is encoded once per task, by the tokenizer itself.
+Encoding goes by distinct pieces: the tokenizer ignores letter case, drops white space and cuts
+words where letters, digits and signs meet before its merges, and no merge reaches over a cut,
+so a text's ids are those of its pieces in order. Every distinct piece of some megabytes of text
+is encoded once, by the tokenizer itself.
 
 A null text is empty and holds only the end id. Rows of one document id stand together in an
 undefined order; rows without an id come first and keep none. An empty table gives no files and
@@ -15,9 +16,11 @@ no rows. Other columns are not stored.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import load, mix64, save, scan_words, shared_dir, slices, staged, table, text_buffer
+from ledgerloom.llm.common import load, save, scan_words, shared_dir, slices, staged, table, text_buffer, word_table
 from ledgerloom.llm.idcoder import read_ids, write_ids
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
-CACHE_PIECES = 1 << 20
+GROUP_BYTES = 16 << 20
 SPACE = b" \t\n\x0b\x0c\r"
-#: Letter case is kept: markers of the vocabulary are told apart by it.
-VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-VALUES[list(SPACE)] = 0
+VALUES = word_table(SPACE)
+#: 0 other ASCII, 1 letters, 2 digits, 3 bytes beyond ASCII.
+KIND = np.zeros(256, np.int8)
+KIND[0x41:0x5B] = KIND[0x61:0x7B] = 1
+KIND[0x30:0x3A] = 2
+KIND[0x80:] = 3
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -43,55 +49,66 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Cut words where letters, digits and signs meet, as the tokenizer itself does before its merges.
+
+    A cut is only made before an ASCII character, which nothing composes with, and after an ASCII
+    character or a Latin letter. Words with an apostrophe or `<` stay whole, as these start
+    endings and markers that the tokenizer knows.
+    """
+    if len(data) < 3:
+        return starts
+    kind = KIND[data]
+    before, after = kind[:-1], kind[1:]
+    latin = np.zeros(len(data) - 1, bool)
+    lead, tail = data[:-2], data[1:-1]
+    latin[1:] = (lead >= 0xC3) & (lead <= 0xC9) & (tail >= 0x80) & ~((lead == 0xC3) & ((tail == 0x97) | (tail == 0xB7)))
+    cut = (after < 3) & (VALUES[data[1:]] != 0) & (VALUES[data[:-1]] != 0)
+    cut &= ((before < 3) & (before != after)) | ((before == 3) & latin & (after != 1))
+    places = np.flatnonzero(cut) + 1
+    special = np.flatnonzero((data == 0x27) | (data == 0x3C))
+    if len(special):
+        whole = np.unique(np.searchsorted(starts, special, "right") - 1)
+        places = places[~np.isin(np.searchsorted(starts, places, "right") - 1, whole)]
+    begins = np.zeros(len(data), bool)
+    begins[starts] = begins[places] = True
+    return np.flatnonzero(begins)
+
+
 class Encoder:
-    """Ids of texts, one tokenizer call per distinct piece."""
+    """Ids of texts, one tokenizer call per distinct piece of a group of texts."""
 
     def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[int, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.flat, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, pieces: list[str], hashes: list[int]) -> None:
-        coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        ids = [x.ids for x in coded]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        for h in hashes:
-            self.number[h] = len(self.number)
-        self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(lengths) - lengths]
-        self.lengths = np.r_[self.lengths, lengths]
-        self.flat = np.r_[self.flat, np.array([i for x in ids for i in x], np.int32)]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per row), each row closed by the end id."""
-        starts, hashes, counts = scan_words(data, offsets, VALUES)
-        own, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.number) > CACHE_PIECES:
-            self._forget()
-        keys = own.tolist()
-        known = [k in self.number for k in keys]
-        if not all(known):
-            bounds = np.r_[starts, len(data)]
-            raw = data.tobytes()
-            new = [i for i, k in enumerate(known) if not k]
-            at = where[new]
-            pieces = [raw[a:b].rstrip(SPACE).decode("utf-8", "replace") for a, b in zip(bounds[at].tolist(), bounds[at + 1].tolist())]
-            self._learn(pieces, [keys[i] for i in new])
-        number = np.array([self.number[k] for k in keys], np.int64)[back] if keys else np.zeros(0, np.int64)
-        length = self.lengths[number]
+        starts, hashes, counts = scan_words(data, offsets, VALUES, _cuts)
+        bounds = np.r_[starts, len(data)]
+        # markers are told apart by letter case, other pieces are not
+        for place in np.unique(np.searchsorted(starts, np.flatnonzero(data == 0x3C), "right") - 1).tolist():
+            own = data[bounds[place]:bounds[place + 1]].tobytes().rstrip(SPACE)
+            hashes[place] = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little")
+        _, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        pieces = [raw[a:b].rstrip(SPACE).decode("utf-8", "replace") for a, b in zip(bounds[where].tolist(), bounds[where + 1].tolist())]
+        coded = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)] if pieces else []
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum()))
+        first = np.cumsum(lengths) - lengths
+        length = lengths[back]
         before = np.r_[0, np.cumsum(length)]
         ends = np.cumsum(counts)
         per_row = before[ends] - before[ends - counts] + 1
-        out = np.full(int(per_row.sum()), end, np.int32)
-        row = np.repeat(np.arange(len(counts)), counts)
-        place = before[:-1] + row
-        shift = np.arange(before[-1]) - np.repeat(before[:-1], length)
-        out[np.repeat(place, length) + shift] = self.flat[np.repeat(self.starts[number], length) + shift]
+        inner = np.ones(int(per_row.sum()), bool)
+        inner[np.cumsum(per_row) - 1] = False
+        out = np.full(len(inner), end, np.int32)
+        out[inner] = flat[np.arange(before[-1]) + np.repeat(first[back] - before[:-1], length)]
         return out, per_row
 
 
@@ -109,7 +126,7 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
             keys.append(batch.column(0))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, GROUP_BYTES):
                 own, n = coder.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], end)
                 ids.append(own)
                 counts.append(n)
@@ -150,7 +167,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                      pa.array(counts, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.select("path", "before").repartition(F.xxhash64("path"))
+    files = manifest.count()
+    spread = placed.select("file", "path", "before").repartitionByRange(max(1, files), "file")  # a file a task
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
