@@ -60,7 +60,8 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
         first = 0
         for n in counts.tolist():
             if n >= width:
-                yield np.unique(whole[first:first + n - width + 1])
+                own = np.sort(whole[first:first + n - width + 1])
+                yield own[np.r_[True, own[1:] != own[:-1]]]
             elif n:
                 yield mix64((words[first:first + n] * np.array(_FACTORS[:n])).sum(keepdims=True, dtype=np.uint64) + _FACTORS[10 + n])
             else:
@@ -92,7 +93,7 @@ class Overlap:
     def parts(self, r: int) -> tuple[int, int]:
         """Parts for pairs whose larger set is in range r, and how many of them may be left out."""
         self.range_of(self.bounds[-1] + 1 if r >= len(self.bounds) else 1)
-        differ = 2 * self.bounds[r] - 2 * self.needed(self.bounds[r], self.bounds[r])
+        differ = 2 * self.bounds[r] * (100 - self.percent) // (100 + self.percent)
         spare = 0 if differ < 3 else 1 if differ < 20 else differ // 8
         return differ + 1 + spare, spare
 
