@@ -130,17 +130,26 @@ def score(rows: DataFrame, model) -> DataFrame:
 
 
 def calibrate(decided: DataFrame) -> float:
-    """Threshold from (class, score) rows by a histogram of fixed bins."""
+    """Threshold from (class, fold, score) rows, by a histogram of fold 0 in bins of fixed width.
+
+    Without rows of one class the other's verdict is always given; where only the fold misses a
+    class, the plain ratio decides.
+    """
     width = 2 * WIDEST / BINS
     spot = F.least(F.greatest(F.floor((F.col("score") + WIDEST) / width), F.lit(0)), F.lit(BINS - 1)).cast("int")
-    counts = np.zeros((2, BINS))
+    spot = F.when(F.col("fold") == 0, spot)
+    counts, rows = np.zeros((2, BINS)), np.zeros(2)
     for r in decided.groupBy("class", spot.alias("bin")).count().collect():
-        counts[r["class"], r["bin"]] = r["count"]
-    rejected, accepted = counts.sum(axis=1)
-    if not rejected:
+        rows[r["class"]] += r["count"]
+        if r["bin"] is not None:
+            counts[r["class"], r["bin"]] = r["count"]
+    if not rows[0]:
         return -np.inf
-    if not accepted:
+    if not rows[1]:
         return np.inf
+    rejected, accepted = counts.sum(axis=1)
+    if not rejected or not accepted:
+        return 0.0
     below = np.c_[np.zeros(2), counts.cumsum(axis=1)]
     gain = below[0] / rejected + (1 - below[1] / accepted)
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
@@ -157,7 +166,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         "url", (F.col("ruled") == "allow").cast("int").alias("class"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).alias("fold"))
     spark = pages.sparkSession
     model = spark.sparkContext.broadcast(fit(known.where("fold > 0").select("url", "class")))
-    threshold = calibrate(score(known.where("fold = 0").select("url", "class"), model))
+    threshold = calibrate(score(known, model))
     return score(rows, model).select(
         "id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("score") >= F.lit(float(threshold)), "allow").otherwise("block")).alias("verdict"),
