@@ -22,6 +22,7 @@ from ledgerloom.operators.quality import compare_profiles, profile
 from ledgerloom.operators.reconcile import agreement, difference_profile, drop_mirrored, period_diff
 from ledgerloom.operators.rules import Rule, classify_by_table, classify, drop_excluded, mapping_gaps, rule_diff, rule_overlaps, rule_table
 from ledgerloom.operators.series import cross_rate
+from ledgerloom.sources.tables import literal_table
 from ledgerloom.operators.treasury import control_totals, effective_params, impaired, minimum_of_versions, net_bonds
 
 BUCKET = """CASE WHEN days < 30 THEN '<1M' WHEN days < 91 THEN '1M-3M' WHEN days < 182 THEN '3M-6M'
@@ -125,10 +126,32 @@ def accounts(t):
 
 @query("classify_rules", ctes(ACCOUNTS) + f"SELECT document, line_no, account, {RULES_SQL} AS purpose FROM accounts")
 def classify_rules(t):
-    out = classify_by_table(accounts(t), rule_table(t.spark, RULES), ["source", "report_type"], "account", [7, 8])
+    out = classify_by_table(accounts(t), rule_table(t.spark, RULES), ["source", "report_type", "code"], "account")
     return out.select("document", "line_no", "account", "purpose")
 
 
+# Lines by code, without a source or a report type, with prefixes of several lengths, and with no account at all.
+FULL_RULES = [
+    Rule("Coded", codes=("PROMO", "SMALL"), prefixes=("Brand#1", "B")),
+    Rule("Any source", report_type="AR", accounts=("Brand#22",), prefixes=("Brand#33",)),
+    Rule("Any type", ("ERP",), prefixes=("Brand#4", "Br")),
+    Rule("Code and source", ("ECP",), codes=("MEDIUM",)),
+    Rule("Whole account", ("ECP",), "AP", accounts=("Brand#55", "Brand#11"), prefixes=("Brand#5", "Brand#12")),
+]
+FULL_RULES_SQL = """CASE WHEN kind IN ('PROMO', 'SMALL') AND (account LIKE 'Brand#1%' OR account LIKE 'B%') THEN 'Coded'
+  WHEN report_type = 'AR' AND (account = 'Brand#22' OR account LIKE 'Brand#33%') THEN 'Any source'
+  WHEN source = 'ERP' AND (account LIKE 'Brand#4%' OR account LIKE 'Br%') THEN 'Any type'
+  WHEN source = 'ECP' AND kind = 'MEDIUM' THEN 'Code and source'
+  WHEN source = 'ECP' AND report_type = 'AP' AND (account IN ('Brand#55', 'Brand#11') OR account LIKE 'Brand#5%' OR account LIKE 'Brand#12%') THEN 'Whole account' END"""
+
+
+@query("classify_rules_full", ctes(ACCOUNTS) + f"SELECT document, line_no, account, kind, {FULL_RULES_SQL} AS purpose FROM (SELECT *, split_part(code, ' ', 1) AS kind FROM accounts)")
+def classify_rules_full(t):
+    rows = accounts(t).withColumn("code", F.split("code", " ")[0])
+    out = classify_by_table(rows, rule_table(t.spark, FULL_RULES), ["source", "report_type", "code"], "account")
+    return out.select("document", "line_no", "account", F.col("code").alias("kind"), "purpose")
+
+
 @query("classify_rule_list", ctes(ACCOUNTS) + f"SELECT document, line_no, account, coalesce({RULES_SQL}, 'Unknown') AS purpose FROM accounts")
 def classify_rule_list(t):
     purpose = classify(RULES, "source", "report_type", "code", "account", "Unknown")
@@ -323,8 +346,7 @@ PARAMS_SQL = """params(o_orderstatus, valid_from, valid_to, threshold, early_tri
 
 
 def params(t, key: str):
-    rows = t.spark.createDataFrame(PARAMS, f"{key} string, valid_from string, valid_to string, threshold double, early_trigger double")
-    return rows.withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+    return literal_table(t.spark, PARAMS, f"{key} string, valid_from date, valid_to date, threshold double, early_trigger double")
 
 
 @query("effective_params", ctes(PARAMS_SQL) + """

@@ -128,7 +128,7 @@ WITH x AS (SELECT doc_id, substr(source, 4) AS code, split_part(text, ' ', 1) AS
 SELECT doc_id, try_cast(code AS BIGINT) AS code FROM x WHERE try_cast(code AS BIGINT) IS NOT NULL
   AND try_cast(first_word AS BIGINT) IS NULL""")
 def numeric_only(t):
-    x = t.documents.select("doc_id", F.substring("source", 4, 100).alias("code"),
+    x = t.documents.select("doc_id", F.substr("source", F.lit(4)).alias("code"),
                            F.split("text", " ", 2)[0].alias("first_word"))
     return x.where(is_integer_text("code") & ~is_integer_text("first_word")).select(
         "doc_id", F.col("code").cast("bigint").alias("code"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.catalog.registry import num, query, text
 from ledgerloom.functions.columns import sum_when
@@ -51,14 +52,13 @@ def multi_agg(t):
 SELECT o_orderpriority AS holding, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS report_day, round(sum(o_totalprice), 2) AS cash
 FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1998-01-01' GROUP BY ALL ORDER BY report_day, holding""")
 def group_sql(t):
-    t.orders.createOrReplaceTempView("ledgerloom_orders")
     return t.spark.sql("""
         SELECT o_orderpriority AS holding, CAST(CAST(o_orderdate AS DATE) AS STRING) AS report_day,
                round(sum(o_totalprice), 2) AS cash
-        FROM ledgerloom_orders
+        FROM {orders}
         WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP_NTZ '1998-01-01 00:00:00'
         GROUP BY o_orderpriority, CAST(o_orderdate AS DATE)
-        ORDER BY report_day, holding""")
+        ORDER BY report_day, holding""", orders=t.orders)
 
 
 @query("collect_members", """
@@ -219,7 +219,8 @@ def ordered_report(t):
     # ranks are given to the summed report (a few lines per year), never to the raw rows
     report = t.orders.groupBy(F.year("o_orderdate").alias("year"), "o_orderpriority").agg(
         num(F.sum("o_totalprice")).alias("total"))
-    return top_k(report, ["year"], [F.desc_nulls_last("total"), F.asc("o_orderpriority")], 1_000_000).orderBy("year", "rank")
+    line = Window.partitionBy("year").orderBy(F.desc_nulls_last("total"), F.asc("o_orderpriority"))
+    return report.withColumn("rank", F.row_number().over(line)).orderBy("year", "rank")
 
 
 @query("top_k_other", """

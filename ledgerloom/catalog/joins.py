@@ -64,12 +64,12 @@ def lookup_left(t):
 
 
 @query("lookup_compound", """
-WITH rates AS (SELECT l_suppkey, l_returnflag, avg(l_discount) AS rate FROM lineitem WHERE l_quantity > 48 GROUP BY ALL)
+WITH rates AS (SELECT l_suppkey, l_returnflag, avg(l_discount) AS rate FROM lineitem GROUP BY ALL HAVING max(l_quantity) >= 50)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, round(coalesce(rate, 0), 6) AS rate
 FROM lineitem LEFT JOIN rates USING (l_suppkey, l_returnflag)""")
 def lookup_compound(t):
-    rates = t.lineitem.where(F.col("l_quantity") > 48).groupBy("l_suppkey", "l_returnflag").agg(
-        F.avg("l_discount").alias("rate"))
+    rates = t.derived("discount_rates", lambda: t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(
+        F.avg("l_discount").alias("rate"), F.max("l_quantity").alias("most")).where("most >= 50").drop("most"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
     keys = {"l_suppkey": "l_suppkey", "l_returnflag": "l_returnflag"}
     return lookup(lines, rates, keys, ["rate"], ["rate"], 0.0).withColumn("rate", num("rate", 6))
@@ -158,11 +158,11 @@ def spine_cross(t):
 @query("spine_fill", ctes(COMPANIES, PARTIES, LEDGER, GRID, """
 pos AS (SELECT holding, segment AS row_label, party_segment AS col_label, sum(amount) AS amount
   FROM ledger JOIN companies ON company = unit_key JOIN orders ON document = o_orderkey JOIN parties ON o_custkey = party
-  WHERE report_type = 'AR' AND currency = 'EUR' AND line_status = 'F' AND quantity > 45 GROUP BY ALL)""") + """
+  WHERE report_type = 'AR' AND currency = 'EUR' AND line_status = 'F' GROUP BY ALL)""") + """
 SELECT g.holding, g.row_label, g.col_label, round(coalesce(amount, 0), 2) AS amount
 FROM grid g LEFT JOIN pos USING (holding, row_label, col_label)""")
 def spine_fill(t):
-    lines = ledger(t).where((F.col("report_type") == "AR") & (F.col("line_status") == "F") & (F.col("quantity") > 45))
+    lines = ledger(t).where((F.col("report_type") == "AR") & (F.col("line_status") == "F"))
     lines = join_keys(lines, companies(t).select("unit_key", "holding", "segment"), {"company": "unit_key"}, "inner", null_safe=False)
     lines = join_keys(lines, t.orders.select("o_orderkey", "o_custkey"), {"document": "o_orderkey"}, "inner", null_safe=False)
     lines = join_keys(lines, parties(t).select("party", "party_segment"), {"o_custkey": "party"}, "inner", null_safe=False)
@@ -236,14 +236,14 @@ def two_pass(t):
 
 
 @query("alt_key_join", """
-WITH m AS (SELECT s_suppkey AS code_a, s_nationkey AS code_b, s_name AS description FROM supplier WHERE s_acctbal < 1000)
+WITH m AS (SELECT s_suppkey AS code_a, s_suppkey * 10 AS code_b, s_name AS description FROM supplier WHERE s_acctbal < 1000)
 SELECT c_custkey, c_nationkey, description, 'key' AS merge_on FROM customer JOIN m ON c_custkey = code_a
-UNION ALL SELECT c_custkey, c_nationkey, description, 'nation' FROM customer JOIN m ON c_nationkey = code_b""")
+UNION ALL SELECT c_custkey, c_nationkey, description, 'alternative' FROM customer JOIN m ON c_custkey = code_b""")
 def alt_key_join(t):
     ledger_side = t.supplier.where(F.col("s_acctbal") < 1000).select(
-        F.col("s_suppkey").alias("code_a"), F.col("s_nationkey").alias("code_b"), F.col("s_name").alias("description"))
+        F.col("s_suppkey").alias("code_a"), (F.col("s_suppkey") * 10).alias("code_b"), F.col("s_name").alias("description"))
     return alternative_key_join(t.customer.select("c_custkey", "c_nationkey"), ledger_side, {
-        "key": {"c_custkey": "code_a"}, "nation": {"c_nationkey": "code_b"},
+        "key": {"c_custkey": "code_a"}, "alternative": {"c_custkey": "code_b"},
     }).select("c_custkey", "c_nationkey", "description", "merge_on")
 
 

@@ -86,19 +86,23 @@ def recon_arap_segment_map(t):
 TREASURY = ctes("""
 x AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_returnflag AS ccy, 'N' || s_nationkey AS entity, 'N' || c_nationkey AS party, l_linestatus, l_extendedprice AS v, l_quantity AS q
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey)""", """
-own AS (SELECT month, ccy, entity, party, round(sum(v), 2) AS amount FROM x WHERE l_linestatus = 'F' GROUP BY ALL)""", """
+own AS MATERIALIZED (SELECT month, ccy, entity, party, sum(CAST(v AS DECIMAL(18, 2))) AS amount FROM x GROUP BY ALL)""", """
 booked AS (SELECT month, ccy, entity, party, CASE WHEN entity < 'N12' THEN amount WHEN entity < 'N20' THEN amount * 2 ELSE amount * 3 END AS amount FROM own WHERE party <> 'N7'
   UNION ALL SELECT month, ccy, party, entity, -amount FROM own WHERE entity > 'N3')""", """
-unified AS (SELECT month, ccy, entity, party, sum(amount) AS amount FROM booked GROUP BY ALL)""", """
-j AS (SELECT coalesce(a.month, b.month) AS month, coalesce(a.ccy, b.ccy) AS ccy, coalesce(a.entity, b.entity) AS entity, coalesce(a.party, b.party) AS party,
+unified AS MATERIALIZED (SELECT month, ccy, entity, party, sum(amount) AS amount FROM booked GROUP BY ALL)""", """
+j AS MATERIALIZED (SELECT coalesce(a.month, b.month) AS month, coalesce(a.ccy, b.ccy) AS ccy, coalesce(a.entity, b.entity) AS entity, coalesce(a.party, b.party) AS party,
   a.amount, b.amount AS amount_unified, abs(b.amount) AS size, a.month IS NULL AS only_unified
   FROM own a FULL JOIN unified b ON a.month = b.month AND a.ccy = b.ccy AND a.entity = b.entity AND a.party = b.party)""", """
-kept AS (SELECT month, ccy, entity, party, only_unified, coalesce(amount, 0) AS amount, coalesce(amount_unified, 0) AS amount_unified FROM j x
-  WHERE NOT (only_unified AND EXISTS (SELECT 1 FROM j y WHERE y.month = x.month AND y.ccy = x.ccy AND y.size = x.size AND y.entity = x.party AND y.party = x.entity)))""")
+swapped AS (SELECT DISTINCT month, ccy, size, entity AS other_party, party AS other_entity FROM j WHERE size IS NOT NULL)""", """
+kept AS (SELECT x.month, x.ccy, entity, party, only_unified, CAST(coalesce(amount, 0) AS DOUBLE) AS amount, CAST(amount_unified AS DOUBLE) AS amount_unified,
+  coalesce(amount_unified = 2 * amount, false) AS doubled
+  FROM j x LEFT JOIN swapped s ON s.month = x.month AND s.ccy = x.ccy AND s.size = x.size AND s.other_entity = x.entity AND s.other_party = x.party
+  WHERE NOT (only_unified AND s.month IS NOT NULL))""")
 
 
 def treasury_tables(t):
     own = t.derived("treasury_own", lambda: own_treasury(t))
+    own = own.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     factor = F.when(F.col("entity") < "N12", 1).when(F.col("entity") < "N20", 2).otherwise(3)
     straight = own.where(F.col("party") != "N7").withColumn("amount", F.col("amount") * factor)
     mirrored = own.where(F.col("entity") > "N3").select("month", "ccy", F.col("party").alias("entity"), F.col("entity").alias("party"),
@@ -110,22 +114,45 @@ def own_treasury(t):
     rows = lines_with_customer(t)
     rows = join_keys(rows, t.supplier.select("s_suppkey", "s_nationkey"), {"l_suppkey": "s_suppkey"}, "inner", null_safe=False)
     rows = join_keys(rows, t.customer.select("c_custkey", "c_nationkey"), {"o_custkey": "c_custkey"}, "inner", null_safe=False)
-    return rows.where(F.col("l_linestatus") == "F").groupBy(
+    return rows.groupBy(
         F.trunc(F.to_date("l_shipdate"), "month").alias("month"), F.col("l_returnflag").alias("ccy"),
         F.concat(F.lit("N"), "s_nationkey").alias("entity"), F.concat(F.lit("N"), "c_nationkey").alias("party"),
-    ).agg(num(F.sum("l_extendedprice")).alias("amount"))
+    ).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"))
 
 
 @query("recon_treasury", TREASURY + """
-SELECT CAST(month AS VARCHAR) AS month, ccy, entity, party, only_unified, round(amount, 2) AS amount, round(amount_unified, 2) + 0 AS amount_unified,
+SELECT CAST(month AS VARCHAR) AS month, ccy, entity, party, only_unified, amount + 0 AS amount, amount_unified + 0 AS amount_unified,
   coalesce(abs(abs(amount) - abs(amount_unified)) / nullif(greatest(abs(amount), abs(amount_unified)), 0) >= 0.4, false)
-    AND NOT coalesce(amount_unified / nullif(amount, 0) = 2, false) AS differs FROM kept""")
+    AND amount_unified IS NOT NULL AND NOT doubled AS differs FROM kept""")
 def recon_treasury(t):
     own, unified = treasury_tables(t)
     return recon.treasury_amounts(own, unified, ["month", "ccy"], "entity", "party").withColumns(
         {"month": text("month"), "amount": num("amount"), "amount_unified": num("amount_unified")})
 
 
+DERIVATIVES = ctes("""
+own AS (SELECT l_orderkey AS deal_no, CASE l_linestatus WHEN 'F' THEN 'pay' ELSE 'receive' END AS leg, l_returnflag AS ccy, sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS amount
+  FROM lineitem GROUP BY ALL)""", """
+unified AS (SELECT l_orderkey AS deal_no, CASE l_linestatus WHEN 'F' THEN 'pay' ELSE 'receive' END AS leg, l_returnflag AS ccy,
+  sum(CAST(CASE WHEN l_returnflag = 'A' THEN 2 * l_extendedprice ELSE l_extendedprice END AS DECIMAL(18, 2))) AS amount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority <> '5-LOW' GROUP BY ALL)""", """
+j AS (SELECT deal_no, leg, ccy, CAST(a.amount AS DOUBLE) AS amount, CAST(b.amount AS DOUBLE) AS amount_unified FROM own a FULL JOIN unified b USING (deal_no, leg, ccy))""")
+
+
+@query("recon_derivatives", DERIVATIVES + """
+SELECT deal_no, leg, ccy, amount, amount_unified, o_orderstatus = 'F' AS in_debt,
+  amount IS NULL OR amount_unified IS NULL OR coalesce(abs(amount - amount_unified) / nullif(greatest(abs(amount), abs(amount_unified)), 0) >= 0.4, false) AS differs
+FROM j JOIN orders ON deal_no = o_orderkey""")
+def recon_derivatives(t):
+    legs = t.lineitem.select(F.col("l_orderkey").alias("deal_no"), F.when(F.col("l_linestatus") == "F", "pay").otherwise("receive").alias("leg"),
+                             F.col("l_returnflag").alias("ccy"), F.col("l_extendedprice").alias("amount"))
+    booked = t.orders.where(F.col("o_orderpriority") != "5-LOW").select(F.col("o_orderkey").alias("deal_no"))
+    unified = join_keys(legs, booked, ["deal_no"], "left_semi", null_safe=False).withColumn(
+        "amount", F.when(F.col("ccy") == "A", 2 * F.col("amount")).otherwise(F.col("amount")))
+    debt = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("deal_no"))
+    return recon.treasury_derivatives(legs, unified, debt, ["deal_no", "leg", "ccy"], "deal_no")
+
+
 @query("recon_treasury_mapping", """
 WITH a AS (SELECT DISTINCT l_orderkey AS deal_no, l_returnflag AS holding, CAST(l_suppkey AS VARCHAR) AS code FROM lineitem WHERE l_linenumber = 1),
 b AS (SELECT DISTINCT o_orderkey AS deal_no, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END AS unified_holding, CAST(o_custkey AS VARCHAR) AS unified_code FROM orders WHERE o_totalprice > 50000)
@@ -422,9 +449,9 @@ def recon_rates(t):
 
 
 @query("recon_rates_far", RATES + """
-SELECT unit, rate, amount, round(amount_usd, 6) AS amount_usd FROM x WHERE currency = 'USD' AND rate <> 1 AND (abs(amount / amount_usd) > 2.0000001 OR abs(amount_usd / amount) > 2) AND amount > 1""")
+SELECT unit, rate, amount, round(amount_usd, 6) AS amount_usd FROM x WHERE currency = 'USD' AND rate <> 1 AND (abs(amount / amount_usd) > 2 OR abs(amount_usd / amount) > 2) AND amount > 1""")
 def recon_rates_far(t):
-    return rate_tables(t)["far"].where(F.abs(F.col("amount") / F.col("amount_usd")) > 2.0000001).select(
+    return rate_tables(t)["far"].select(
         "unit", "rate", "amount", num("amount_usd", 6).alias("amount_usd"))
 
 

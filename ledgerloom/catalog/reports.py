@@ -531,7 +531,7 @@ def country_ratings(t):
         "country", F.col("o_orderpriority").alias("agency"), F.to_date("o_orderdate").alias("day"), letter.alias("letter"))
     points = ratings.select("letter").distinct().unionByName(
         t.region.select(F.concat(F.lit("L"), F.col("r_regionkey")).alias("letter"))).distinct().withColumn(
-        "value", F.substring("letter", 2, 9).cast("double"))
+        "value", F.substr("letter", F.lit(2)).cast("double"))
     fallback = t.region.select(F.col("r_name").alias("country"), F.concat(F.lit("L"), F.col("r_regionkey")).alias("letter"),
                                day("2000-01-01").alias("day"))
     codes = t.nation.select(F.col("n_name").alias("country"), F.concat(F.lit("N"), F.col("n_nationkey")).alias("code")).unionByName(

@@ -15,7 +15,7 @@ from ledgerloom.functions.text import (
 SELECT p_partkey, substr(p_brand, 1, 3) AS head, substr(p_brand, 7) AS tail, regexp_replace(p_name, ' (ring|bolt)$', '') AS base
 FROM part""")
 def str_slice(t):
-    return t.part.select("p_partkey", F.substring("p_brand", 1, 3).alias("head"), F.substring("p_brand", 7, 100).alias("tail"),
+    return t.part.select("p_partkey", F.substring("p_brand", 1, 3).alias("head"), F.substr("p_brand", F.lit(7)).alias("tail"),
                          cut_suffix("p_name", " (ring|bolt)").alias("base"))
 
 
@@ -95,7 +95,7 @@ def line_parse(t):
 SELECT doc_id, try_cast(substr(source, 4) AS BIGINT) AS number, try_cast(source AS DOUBLE) AS nothing,
   CAST(try_cast('1998-0' || substr(source, 4) || '-01' AS DATE) AS VARCHAR) AS month_day FROM documents""")
 def safe_cast(t):
-    code = F.substring("source", 4, 10)
+    code = F.substr("source", F.lit(4))
     return t.documents.select(
         "doc_id", to_integer(code).alias("number"), to_number("source").alias("nothing"),
         text(F.concat(F.lit("1998-0"), code, F.lit("-01")).try_cast("date")).alias("month_day"))

@@ -98,8 +98,7 @@ def turns(t):
 SELECT conv_id, turn, last_value(section IGNORE NULLS) OVER w AS section, last_value(size IGNORE NULLS) OVER w AS size FROM turns
 WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def forward_fill_(t):
-    # short row ranges on purpose, so that values are carried across ranges
-    return forward_fill(turns(t), ["conv_id"], "turn", ["section", "size"], chunk=2)
+    return forward_fill(turns(t), ["conv_id"], "turn", ["section", "size"])
 
 
 @query("backward_fill", ctes(ROLES) + """

@@ -35,9 +35,9 @@ def any_false(cols: list[str]) -> Column:
 
 
 def is_empty_value(c: str | Column) -> Column:
-    """Null, 0 or '0', whatever the column type."""
+    """Null, 0 or text that reads as 0, whatever the column type."""
     x = as_col(c)
-    return x.isNull() | x.cast("string").isin("0", "0.0", "-0.0")
+    return x.isNull() | F.coalesce(x.cast("string").try_cast("double") == 0, F.lit(False))
 
 
 def sum0(c: str | Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import as_col
 from ledgerloom.functions.text import remap
 from ledgerloom.operators.joins import join_keys
+from ledgerloom.session import staged
 
 # Technical currency codes of the source systems and their ISO codes.
 TECHNICAL_CODES = {
@@ -54,11 +55,12 @@ def convert(
     """Adds `coef_to_X` and `<amount>_in_X`; both are null where the day has no quote.
 
     `day` is a date column, or a constant date column for one as-of day. The currency column
-    comes out as ISO code.
+    comes out as ISO code. The rates, a row per day and currency, are written once, so their
+    real size decides how the rows join them.
     """
     day_col = as_col(day)
     source = df.withColumns({ccy: iso_code(ccy), "__day": day_col.cast("date")})
-    joined = join_keys(source, rates_to(quotes, target), {"__day": "rate_day", ccy: "rate_ccy"},
+    joined = join_keys(source, staged(rates_to(quotes, target), "rates"), {"__day": "rate_day", ccy: "rate_ccy"},
                        "left", null_safe=False)
     coef = F.when(F.col(ccy) == target, F.lit(1.0)).otherwise(F.col("coef"))
     return joined.withColumns({

@@ -156,7 +156,8 @@ def exact_quantiles(
     result = []
     for name, q in quantiles.items():
         position = (F.col("n") - 1) * F.lit(q)
-        lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        lo, hi = (F.when(F.col(f"__{x}_{name}").isNotNull(), F.col(f"__{x}_{name}")).otherwise(
+            F.raise_error(F.lit("the sketch does not enclose a quantile; use a higher accuracy")).cast("double")) for x in ("lo", "hi"))
         result.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
     return out.select(*keys, "n", *result)
 

@@ -122,15 +122,10 @@ def column_values(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("rows"))
 
 
-def reporting_grid(df: DataFrame, group: str, label: str, max_labels: int = 1000) -> DataFrame:
+def reporting_grid(df: DataFrame, group: str, label: str) -> DataFrame:
     """Every ordered pair of labels within a group, the empty frame of a counterclaim table.
 
-    Labels are reporting segments of a dimension. They are counted first: the plan fails,
-    rather than explode, when a group holds more than `max_labels` of them.
+    Labels are reporting segments of a dimension; the frame has all their pairs by definition.
     """
     labels = df.where(F.col(label).isNotNull() & F.col(group).isNotNull()).select(group, label).distinct()
-    counts = labels.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    checked = counts.where(F.when(F.col("__n") <= max_labels, F.lit(True)).otherwise(
-        F.raise_error(F.lit("too many labels for a reporting grid")).cast("boolean")))
-    rows = join_keys(checked.select(group), labels.withColumnRenamed(label, "row_label"), [group], "inner", null_safe=False)
-    return join_keys(rows, labels.withColumnRenamed(label, "col_label"), [group], "inner", null_safe=False)
+    return join_keys(labels.withColumnRenamed(label, "row_label"), labels.withColumnRenamed(label, "col_label"), [group], "inner", null_safe=False)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import all_of, any_of, as_col, case_when
 from ledgerloom.operators.joins import join_keys
+from ledgerloom.session import staged
+from ledgerloom.sources.tables import literal_table
 
 
 @dataclass(frozen=True)
@@ -58,43 +60,49 @@ def classify_by_prefix(account: str | Column, prefixes: dict[str, list[str]], ot
 
 
 def classify_by_table(
-    df: DataFrame, rules: DataFrame, keys: list[str], account: str, prefix_lengths: list[int],
-    out: str = "purpose",
+    df: DataFrame, rules: DataFrame, keys: list[str], account: str, out: str = "purpose",
 ) -> DataFrame:
     """Purpose by the matching rule of lowest priority, for rule tables of any size.
 
-    `rules` has the key columns plus (priority, purpose, account, prefix): one row per exact
-    account or per prefix, the other column null. Exact accounts and each prefix length are
-    equality joins, so no rule is compared with every row.
+    `rules` has the key columns plus (priority, purpose, account, prefix). A null key does not
+    restrict; a line has an exact account, or a prefix of any length, or neither. The kinds of
+    lines (which keys are given, and the prefix length) are read from the rule table; each
+    distinct combination of keys and account is looked up once per kind in one index of all
+    lines. The rows then join the classified combinations, whose written size Spark knows.
     """
-    best = F.min_by("purpose", "priority").alias("__purpose"), F.min("priority").alias("__priority")
-    exact = rules.where(F.col("account").isNotNull()).groupBy(
-        *keys, F.col("account").alias("__match")).agg(*best)
-    steps = [(exact, F.col(account))]
-    for n in prefix_lengths:
-        table = rules.where(F.length("prefix") == n).groupBy(*keys, F.col("prefix").alias("__match")).agg(*best)
-        steps.append((table, F.substring(account, 1, n)))
-    found = df
-    for i, (table, value) in enumerate(steps):
-        hits = table.withColumnsRenamed({"__purpose": f"__p{i}", "__priority": f"__r{i}", "__match": f"__m{i}"})
-        found = join_keys(found.withColumn(f"__v{i}", value), hits,
-                          {k: k for k in keys} | {f"__v{i}": f"__m{i}"}, "left", null_safe=False)
-    lowest = F.array_min(F.array_compact(F.array(*[
-        F.when(F.col(f"__r{i}").isNotNull(), F.struct(F.col(f"__r{i}").alias("r"), F.col(f"__p{i}").alias("p")))
-        for i in range(len(steps))])))
-    return found.withColumn(out, lowest["p"]).drop(
-        *[f"__{x}{i}" for i in range(len(steps)) for x in "prv"])
+    given = [F.col(k).isNotNull() for k in keys]
+    reach = F.when(F.col("account").isNotNull(), -1).otherwise(F.coalesce(F.length("prefix"), F.lit(0)))
+    kind = F.array(*[g.cast("int") for g in given], reach)
+    index = rules.select("priority", "purpose", kind.alias("__kind"), F.array(*[
+        F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.coalesce("account", "prefix", F.lit(""))).alias("__line"))
+    index = index.groupBy("__kind", "__line").agg(
+        F.min("priority").alias("__priority"), F.min_by("purpose", "priority").alias("__purpose"))
+    kinds = [list(r["__kind"]) for r in index.select("__kind").distinct().collect()]
+
+    def line(flags: list[int]) -> Column:
+        *used, n = flags
+        parts = [F.col(k).cast("string") if u else F.lit("") for k, u in zip(keys, used)]
+        parts.append(F.lit("") if n == 0 else F.col(account) if n < 0 else F.substring(account, 1, n))
+        known = all_of([p.isNotNull() for p in parts])
+        return F.when(known, F.struct(F.array(*map(F.lit, flags)).alias("kind"), F.array(*parts).alias("line")))
+
+    combos = df.select(*keys, account).distinct()
+    if not kinds:
+        return df.withColumn(out, F.lit(None).cast("string"))
+    asked = combos.select(*keys, account, F.explode(F.array_compact(F.array(*[line(k) for k in kinds]))).alias("__ask"))
+    hits = asked.join(index, (F.col("__ask.kind") == F.col("__kind")) & (F.col("__ask.line") == F.col("__line")))
+    found = staged(hits.groupBy(*keys, account).agg(F.min_by("__purpose", "__priority").alias(out)), "purposes")
+    return join_keys(df.drop(out), found, [*keys, account], "left")
 
 
 def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """Rule list as rows (priority, purpose, source, report_type, account, prefix)."""
+    """Rule list as rows (priority, purpose, source, report_type, code, account, prefix), null meaning any."""
     rows = []
     for priority, rule in enumerate(rules, 1):
-        for source in rule.sources:
-            rows += [(priority, rule.purpose, source, rule.report_type, a, None) for a in rule.accounts]
-            rows += [(priority, rule.purpose, source, rule.report_type, None, p) for p in rule.prefixes]
-    return spark.createDataFrame(
-        rows, "priority int, purpose string, source string, report_type string, account string, prefix string")
+        matches = [(a, None) for a in rule.accounts] + [(None, p) for p in rule.prefixes] or [(None, None)]
+        rows += [(priority, rule.purpose, source, rule.report_type, code, *match) for source in rule.sources or (None,)
+                 for code in rule.codes or (None,) for match in matches]
+    return literal_table(spark, rows, "priority int, purpose string, source string, report_type string, code string, account string, prefix string")
 
 
 def drop_excluded(rules: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:

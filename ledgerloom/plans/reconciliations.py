@@ -42,19 +42,45 @@ def arap(position: DataFrame, unified: DataFrame) -> dict[str, DataFrame]:
 
 
 def treasury_amounts(debt: DataFrame, unified: DataFrame, keys: list[str], entity: str, party: str, tolerance: float = 0.4) -> DataFrame:
-    """Treasury debt against the unified position.
+    """Treasury debt against the unified position, in cents.
 
     Unified-only rows whose opposite side is booked too (parties swapped, same keys and
-    magnitude) are dropped. A ratio of exactly 2 is no difference.
+    magnitude) are dropped. A ratio of exactly 2 is no difference. A missing own amount counts
+    as 0; a deal missing from the unified side has no amount there and is not flagged.
     """
-    a = debt.groupBy(*keys, entity, party).agg(sum0("amount").alias("amount"), F.lit(True).alias("__own"))
-    b = unified.groupBy(*keys, entity, party).agg(sum0("amount").alias("amount_unified"))
+    def cents(c: str) -> Column:
+        return F.coalesce(F.sum(F.col(c).cast("decimal(18,2)")), F.lit(0).cast("decimal(18,2)"))
+
+    a = debt.groupBy(*keys, entity, party).agg(cents("amount").alias("amount"), F.lit(True).alias("__own"))
+    b = unified.groupBy(*keys, entity, party).agg(cents("amount").alias("amount_unified"))
     both = join_keys(a, b, [*keys, entity, party], "full")
     both = staged(both.withColumns({"size": F.abs("amount_unified"), "only_unified": F.col("__own").isNull()}), "treasury")
     kept = drop_mirrored(both, entity, party, [*keys, "size"], "only_unified").drop("size", "__own")
-    kept = kept.na.fill(0.0, subset=["amount", "amount_unified"])
-    doubled = F.coalesce(F.try_divide("amount_unified", "amount") == 2, F.lit(False))
-    return kept.withColumn("differs", differs("amount", "amount_unified", tolerance) & ~doubled)
+    doubled = F.coalesce(F.col("amount_unified") == 2 * F.col("amount"), F.lit(False))
+    kept = kept.withColumns({"amount": F.coalesce(F.col("amount").cast("double"), F.lit(0.0)), "__doubled": doubled,
+                             "amount_unified": F.col("amount_unified").cast("double")})
+    differ = F.coalesce(differs("amount", "amount_unified", tolerance), F.lit(False))
+    flag = F.col("amount_unified").isNotNull() & differ & ~F.col("__doubled")
+    return kept.withColumn("differs", flag).drop("__doubled")
+
+
+def treasury_derivatives(legs: DataFrame, unified: DataFrame, debt_deals: DataFrame, keys: list[str], deal: str,
+                         tolerance: float = 0.4) -> DataFrame:
+    """Derivative legs against the unified position, whole on both sides.
+
+    Both: (keys with the deal number among them, amount). `in_debt` tells deals that treasury
+    debt reports as well; a leg differs beyond the tolerance or if one side has no amount.
+    """
+    cents = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double")
+    a = legs.groupBy(*keys).agg(cents.alias("amount"))
+    b = unified.groupBy(*keys).agg(cents.alias("amount_unified"))
+    debt = debt_deals.select(deal).distinct().withColumn("__debt", F.lit(True))
+    both = join_keys(join_keys(a, b, keys, "full"), debt, [deal], "left", null_safe=False)
+    missing = F.col("amount").isNull() | F.col("amount_unified").isNull()
+    return both.withColumns({
+        "in_debt": F.coalesce("__debt", F.lit(False)),
+        "differs": missing | F.coalesce(differs("amount", "amount_unified", tolerance), F.lit(False)),
+    }).drop("__debt")
 
 
 def treasury_mapping(debt: DataFrame, unified: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:

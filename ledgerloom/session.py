@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,19 +26,39 @@ def local_session(app: str, cores: int | str = 8, partitions: int = 8) -> SparkS
     )
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared folder (`spark.checkpoint.dir`).
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: `spark.checkpoint.dir`, else the checkpoint folder of the context.
 
-    Only where that setting is absent, as in local tests, a temporary folder is used.
+    Only a local master may do without; it gets a temporary folder, the same for the whole session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="ledgerloom-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = tempfile.mkdtemp(prefix="ledgerloom-")
+    spark.conf.set("spark.checkpoint.dir", base)
+    return base
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the session's own one in the shared folder."""
+    return f"{shared_base(spark).rstrip('/')}/{_run_name(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _run_name(spark: SparkSession) -> str:
+    return f"ledgerloom-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all that this application has staged; tables read from there are gone with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_base(spark).rstrip('/')}/{_run_name(spark)}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The table written once to the shared folder and read back.
+    """The table written once to the shared folder and read back; runs a job right away.
 
     For a result that several later steps read: they share the written copy instead of
     running its whole plan again, and a lost executor costs only the step at hand.

@@ -7,11 +7,20 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import join_keys
+from ledgerloom.session import staged
+
 
 def write_by(df: DataFrame, path: str, keys: list[str], max_records_per_file: int = 5_000_000) -> str:
-    """One sub-folder per group. Rows are written where they are: no shuffle, no hot writer."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(*keys).parquet(path))
+    """One sub-folder per group, with about a file per `max_records_per_file` rows of it.
+
+    Rows are dealt by group and a salt that is as wide as the group is large, so small groups
+    do not get a file from every task and a hot group has many writers.
+    """
+    sizes = staged(df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_records_per_file).cast("int").alias("__files")), "sizes")
+    salted = join_keys(df, sizes, keys, "left").withColumn("__salt", F.floor(F.rand(0) * F.col("__files")).cast("int"))
+    dealt = salted.repartition(*keys, "__salt").drop("__files", "__salt")
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy(*keys).parquet(path)
     return path
 
 

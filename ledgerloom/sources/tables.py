@@ -57,6 +57,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of configured rows as a literal relation, whose size the optimizer knows."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = ", ".join(f"{n}: {t}" for n, t in (c.split() for c in schema.split(", ")))
+    if not rows:
+        return spark.createDataFrame([], schema)
+
+    def cell(value: object, kind: str) -> Column:
+        return F.lit(value).cast(kind)
+
+    kinds = [c.split()[1] for c in schema.split(", ")]
+    structs = F.array(*[F.struct(*[cell(v, k).alias(n) for v, k, n in zip(row, kinds, names)]) for row in rows])
+    return spark.range(1).select(F.inline(structs.cast(f"array<struct<{types}>>")))
+
+
 def read_jdbc(
     spark: SparkSession,
     options: dict[str, str],
@@ -122,12 +137,13 @@ def latest_snapshot(df: DataFrame, date: str | Column, as_of: Column | str | Non
 
 
 def trailing_period(df: DataFrame, date: str | Column, as_of: str, months: int = 0, days: int = 0) -> DataFrame:
-    """Rows in the months and days before a fixed reference day, that day included.
+    """Rows in the months and days before a fixed reference day, that whole day included.
 
-    Both bounds are constants, so they reach the scan as pushed filters.
+    Both bounds are constants, so they reach the scan as pushed filters, for dates and timestamps.
     """
-    start = F.date_sub(F.add_months(F.lit(as_of).cast("date"), -months), days)
-    return df.where((as_col(date) >= start) & (as_col(date) <= F.lit(as_of).cast("date")))
+    last = F.lit(as_of).cast("date")
+    start = F.date_sub(F.add_months(last, -months), days)
+    return df.where((as_col(date) >= start) & (as_col(date) < F.date_add(last, 1)))
 
 
 def union_sources(sources: dict[str, DataFrame], label: str = "source") -> DataFrame:

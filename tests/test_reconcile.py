@@ -66,9 +66,9 @@ def test_version_pairs_and_profiles(make):
     assert ("k", "a", 4) in rows(column_values(df, ["k", "day"]))
 
 
-def test_reporting_grid_is_checked(make):
+def test_reporting_grid_is_whole(make):
     df = make([("h", "s1"), ("h", "s2"), ("h", "s2"), ("g", "s3"), ("h", None)], "holding string, segment string")
     assert rows(reporting_grid(df, "holding", "segment")) == {
         ("h", "s1", "s1"), ("h", "s1", "s2"), ("h", "s2", "s1"), ("h", "s2", "s2"), ("g", "s3", "s3")}
-    with pytest.raises(Exception, match="too many labels"):
-        reporting_grid(df, "holding", "segment", max_labels=1).collect()
+    many = make([("h", f"s{i}") for i in range(1100)], "holding string, segment string")
+    assert reporting_grid(many, "holding", "segment").count() == 1100 ** 2

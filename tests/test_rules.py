@@ -34,7 +34,7 @@ def test_first_rule_wins_and_prefixes_match(make):
 def test_rule_list_and_rule_table_agree(make, spark):
     df = facts(make)
     by_list = rows(df.select("source", "report_type", "account", classify(RULES, "source", "report_type", "code", "account").alias("p")))
-    out = classify_by_table(df, rule_table(spark, RULES), ["source", "report_type"], "account", [2, 3])
+    out = classify_by_table(df, rule_table(spark, RULES), ["source", "report_type", "code"], "account")
     assert out.count() == df.count()
     assert rows(out.select("source", "report_type", "account", "purpose")) == by_list
 

@@ -74,10 +74,17 @@ class Conf:
 
 
 def test_shared_folder_follows_the_session(make):
-    set_ = type("S", (), {"conf": Conf(**{"spark.checkpoint.dir": "/shared/place"})})()
-    assert shared_dir(set_, "x").startswith("/shared/place/x-") and shared_dir(set_, "x") != shared_dir(set_, "x")
-    unset = type("S", (), {"conf": Conf()})()
-    assert "ledgerloom-" in shared_dir(unset, "x")
+    def session(master, conf_dir=None, context_dir=None):
+        context = type("C", (), {"master": master, "applicationId": "app-1", "getCheckpointDir": lambda self: context_dir})()
+        return type("S", (), {"conf": Conf(**({"spark.checkpoint.dir": conf_dir} if conf_dir else {})), "sparkContext": context})()
+
+    given = session("spark://host", "/shared/place")
+    assert shared_dir(given, "x").startswith("/shared/place/ledgerloom-app-1/x-") and shared_dir(given, "x") != shared_dir(given, "x")
+    assert shared_dir(session("yarn", None, "hdfs://n/c"), "x").startswith("hdfs://n/c/ledgerloom-app-1/x-")
+    assert "ledgerloom-" in shared_dir(session("local[2]"), "x")
+    for master in ("yarn", "spark://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master), "x")
     assert rows(staged(make([(1,)], "a int"), "t")) == {(1,)}
 
 
