@@ -158,13 +158,13 @@ def classify_rule_list(t):
     return accounts(t).select("document", "line_no", "account", purpose.alias("purpose"))
 
 
-RULE_LINES = """old_rules AS (SELECT DISTINCT p_type AS purpose, p_brand AS account FROM part WHERE p_size > 40),
-new_rules AS (SELECT DISTINCT p_type AS purpose, p_brand AS account FROM part WHERE p_size < 20)"""
+RULE_LINES = """old_rules AS (SELECT DISTINCT p_type AS purpose, p_brand AS account FROM part WHERE p_brand <> 'Brand#11'),
+new_rules AS (SELECT DISTINCT p_type AS purpose, p_brand AS account FROM part WHERE p_type NOT LIKE 'PROMO%')"""
 
 
 def rule_lines(t):
     cols = [F.col("p_type").alias("purpose"), F.col("p_brand").alias("account")]
-    return (t.part.where(F.col("p_size") > 40).select(*cols).distinct(), t.part.where(F.col("p_size") < 20).select(*cols).distinct())
+    return (t.part.where(F.col("p_brand") != "Brand#11").select(*cols).distinct(), t.part.where(~F.col("p_type").startswith("PROMO")).select(*cols).distinct())
 
 
 @query("rule_diff", ctes(RULE_LINES) + """
@@ -176,10 +176,10 @@ def rule_diff_(t):
 
 
 @query("rule_overlaps", """
-SELECT p_brand AS account, count(DISTINCT p_type) AS n_purposes, min(p_size) AS first_priority FROM part WHERE p_size > 48
+SELECT p_brand AS account, count(DISTINCT p_type) AS n_purposes, min(p_size) AS first_priority FROM part
 GROUP BY 1 HAVING count(DISTINCT p_type) > 1""")
 def rule_overlaps_(t):
-    lines = t.part.where(F.col("p_size") > 48).select(
+    lines = t.part.select(
         F.col("p_brand").alias("account"), F.col("p_type").alias("purpose"), F.col("p_size").alias("priority"))
     return rule_overlaps(lines, ["account"])
 
@@ -435,12 +435,13 @@ def mirror_dedupe(t):
 
 
 @query("impaired_balance", """
-WITH ecl AS (SELECT l_suppkey, l_returnflag, round_even(avg(l_tax) * 3, 3) AS impairment FROM lineitem WHERE l_quantity > 49 GROUP BY ALL)
+WITH ecl AS (SELECT l_suppkey, l_returnflag, round_even(avg(l_tax) * 3, 3) AS impairment FROM lineitem GROUP BY ALL HAVING max(l_quantity) >= 50)
 SELECT l_suppkey, l_returnflag, round(coalesce(impairment, 0), 3) AS impairment, round(sum(l_extendedprice) * (1 - coalesce(impairment, 0)), 2) AS balance
 FROM lineitem LEFT JOIN ecl USING (l_suppkey, l_returnflag) GROUP BY l_suppkey, l_returnflag, impairment""")
 def impaired_balance(t):
     keys = ["l_suppkey", "l_returnflag"]
-    ecl = t.lineitem.where(F.col("l_quantity") > 49).groupBy(*keys).agg(F.bround(F.avg("l_tax") * 3, 3).alias("impairment"))
+    ecl = t.derived("impairment", lambda: t.lineitem.groupBy(*keys).agg(
+        F.bround(F.avg("l_tax") * 3, 3).alias("impairment"), F.max("l_quantity").alias("most")).where("most >= 50").drop("most"))
     held = t.lineitem.groupBy(*keys).agg(F.sum("l_extendedprice").alias("held"))
     both = lookup(held, ecl, {k: k for k in keys}, ["impairment"], ["impairment"])
     return both.select(*keys, num(F.coalesce("impairment", F.lit(0.0)), 3).alias("impairment"),
@@ -523,8 +524,8 @@ def exclusion_latest(t):
 
 
 @query("price_volume", """
-WITH s AS (SELECT l_partkey AS product, -sum(l_quantity) AS sales FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40 GROUP BY 1),
-p AS (SELECT l_partkey AS product, sum(l_quantity) AS purchases FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 40 GROUP BY 1),
+WITH s AS (SELECT l_partkey AS product, -sum(l_quantity) AS sales FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+p AS (SELECT l_partkey AS product, sum(l_quantity) AS purchases FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
 j AS (SELECT coalesce(s.product, p.product) AS product, sales, purchases FROM s FULL JOIN p ON s.product = p.product),
 v AS (SELECT CAST(product AS VARCHAR) AS product, p_retailprice AS price, sales, purchases, p_retailprice * sales AS amount_sales, p_retailprice * purchases AS amount_purchases
   FROM j LEFT JOIN part ON product = p_partkey)
@@ -532,9 +533,8 @@ SELECT product, round(coalesce(sum(price), 0), 2) AS price, coalesce(sum(sales),
   round(coalesce(sum(amount_sales), 0), 2) AS amount_sales, round(coalesce(sum(amount_purchases), 0), 2) AS amount_purchases, 0 AS level FROM v GROUP BY product
 UNION ALL SELECT 'Total', round(sum(price), 2), sum(sales), sum(purchases), round(sum(amount_sales), 2), round(sum(amount_purchases), 2), 1 FROM v""")
 def price_volume(t):
-    big = F.col("l_quantity") > 40
-    sales = t.lineitem.where(big & (F.col("l_returnflag") == "R")).groupBy(F.col("l_partkey").alias("product")).agg((-F.sum("l_quantity")).alias("sales"))
-    bought = t.lineitem.where(big & (F.col("l_returnflag") == "A")).groupBy(F.col("l_partkey").alias("product")).agg(F.sum("l_quantity").alias("purchases"))
+    sales = t.lineitem.where(F.col("l_returnflag") == "R").groupBy(F.col("l_partkey").alias("product")).agg((-F.sum("l_quantity")).alias("sales"))
+    bought = t.lineitem.where(F.col("l_returnflag") == "A").groupBy(F.col("l_partkey").alias("product")).agg(F.sum("l_quantity").alias("purchases"))
     both = lookup(join_keys(sales, bought, ["product"], "full"), t.part, {"product": "p_partkey"}, {"p_retailprice": "price"}, ["p_name"])
     valued = both.withColumns({
         "amount_sales": F.col("price") * F.col("sales"), "amount_purchases": F.col("price") * F.col("purchases"), "product": text("product")})

@@ -105,13 +105,13 @@ def quantile_thresholds(t):
 
 @query("conditional_sum", """
 SELECT l_suppkey, round(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 0), 2) AS amount_ar,
-  round(coalesce(sum(CASE WHEN l_returnflag <> 'R' AND l_quantity > 49 THEN l_extendedprice END), 0), 2) AS amount_ap,
+  round(coalesce(sum(CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END), 0), 2) AS amount_ap,
   count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS ar_flag FROM lineitem GROUP BY 1""")
 def conditional_sum(t):
     ar = F.col("l_returnflag") == "R"
     return t.lineitem.groupBy("l_suppkey").agg(
         num(sum_when(ar, "l_extendedprice")).alias("amount_ar"),
-        num(sum_when(~ar & (F.col("l_quantity") > 49), "l_extendedprice")).alias("amount_ap"),
+        num(sum_when(~ar, "l_extendedprice")).alias("amount_ap"),
         F.count_if(ar).alias("ar_flag"))
 
 
@@ -249,10 +249,10 @@ def union_by_name(t):
 
 
 @query("key_intersect", """
-SELECT l_partkey AS id FROM lineitem WHERE l_quantity = 50 AND l_returnflag = 'R' INTERSECT
+SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R' INTERSECT
 SELECT p_partkey FROM part WHERE p_size < 25""")
 def key_intersect(t):
-    return t.lineitem.where((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "R")).select(
+    return t.lineitem.where(F.col("l_returnflag") == "R").select(
         F.col("l_partkey").alias("id")).intersect(t.part.where(F.col("p_size") < 25).select(F.col("p_partkey").alias("id")))
 
 

@@ -17,7 +17,7 @@ from ledgerloom.sources.tables import latest_snapshot
 ARAP_COPIES = ctes("""
 own AS (SELECT l_linestatus AS holding, n_name AS segment, CASE WHEN l_tax > 0.07 THEN NULL ELSE 'C' || l_linenumber END AS currency, l_returnflag AS purpose,
   CAST(l_suppkey AS VARCHAR) AS company, CASE WHEN l_discount > 0.05 THEN 'P' || l_linenumber ELSE 'External' END AS party, l_extendedprice AS amount
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_suppkey > 3)""", """
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > -500)""", """
 unified AS (SELECT l_linestatus AS holding, n_name AS segment, CASE WHEN l_tax > 0.07 THEN NULL ELSE 'C' || l_linenumber END AS currency, l_returnflag AS purpose,
   CASE WHEN s_acctbal < 500 THEN 'S' || l_suppkey ELSE CAST(l_suppkey AS VARCHAR) END AS company, CASE WHEN l_discount > 0.05 THEN 'P' || l_linenumber END AS party,
   CASE WHEN l_quantity > 30 AND l_returnflag = 'A' THEN l_extendedprice * 2.5 ELSE l_extendedprice END AS amount
@@ -31,7 +31,7 @@ def arap_copies(t):
     shared = [F.col("l_linestatus").alias("holding"), "segment", F.when(~(F.col("l_tax") > 0.07), F.concat(F.lit("C"), "l_linenumber")).alias("currency"),
               F.col("l_returnflag").alias("purpose")]
     party = F.when(F.col("l_discount") > 0.05, F.concat(F.lit("P"), "l_linenumber"))
-    own = rows.where(F.col("l_suppkey") > 3).select(
+    own = rows.where(F.col("s_acctbal") > -500).select(
         *shared, text("l_suppkey").alias("company"), F.coalesce(party, F.lit("External")).alias("party"), F.col("l_extendedprice").alias("amount"))
     unified = rows.where(~((F.col("l_returnflag") == "N") & (F.col("l_quantity") < 20))).select(
         *shared, F.when(F.col("s_acctbal") < 500, F.concat(F.lit("S"), text("l_suppkey"))).otherwise(text("l_suppkey")).alias("company"), party.alias("party"),
@@ -212,13 +212,13 @@ def recon_orders_missing(t):
 # --- ledger cover and names -----------------------------------------------------------------
 
 COVER = ctes("""
-accounts AS (SELECT p_type AS unit, p_brand AS gl, p_name AS bsc, p_size AS seq FROM part WHERE p_size > 40)""", """
-sums AS (SELECT p_type AS unit, p_brand AS gl, p_name AS bsc, sum(l_extendedprice) AS amount FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 45 GROUP BY ALL)""")
+accounts AS (SELECT p_type AS unit, p_brand AS gl, p_name AS bsc, p_size AS seq FROM part WHERE p_retailprice > 950)""", """
+sums AS (SELECT p_type AS unit, p_brand AS gl, p_name AS bsc, sum(l_extendedprice) AS amount FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)""")
 
 
 def cover_tables(t):
-    accounts = t.part.where(F.col("p_size") > 40).select(F.col("p_type").alias("unit"), F.col("p_brand").alias("gl"), F.col("p_name").alias("bsc"), F.col("p_size").alias("seq"))
-    sold = t.lineitem.where(F.col("l_quantity") > 45).groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("amount"))
+    accounts = t.part.where(F.col("p_retailprice") > 950).select(F.col("p_type").alias("unit"), F.col("p_brand").alias("gl"), F.col("p_name").alias("bsc"), F.col("p_size").alias("seq"))
+    sold = t.lineitem.groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("amount"))
     ledger = join_keys(sold, t.part.select("p_partkey", F.col("p_type").alias("unit"), F.col("p_brand").alias("gl"), F.col("p_name").alias("bsc")),
                        {"l_partkey": "p_partkey"}, "inner", null_safe=False)
     return accounts, ledger

@@ -439,14 +439,14 @@ def report_deals(t):
 
 @query("report_cash", ctes(BALANCES, COMPANIES, MULTIKEY, """
 ecl AS (SELECT CAST(l_suppkey AS VARCHAR) AS unit_code, CASE l_returnflag WHEN 'R' THEN 'view' WHEN 'A' THEN 'click' ELSE 'purchase' END AS bank_name,
-  round_even(abs(sum(l_tax * l_extendedprice) / sum(l_extendedprice)) * 7, 3) AS impairment FROM lineitem WHERE l_quantity > 40 GROUP BY ALL)""") + """
+  round_even(abs(sum(l_tax * l_extendedprice) / sum(l_extendedprice)) * 7, 3) AS impairment FROM lineitem GROUP BY ALL)""") + """
 SELECT account, status AS bank_name, balance, coalesce(segment, 'External') AS segment, round(coalesce(impairment, 0), 3) AS impairment,
   round(balance * (1 - coalesce(impairment, 0)), 5) AS balance_impaired, '<1M' AS period
 FROM balances LEFT JOIN best ON k = account_no LEFT JOIN ecl ON unit_code = account_no AND bank_name = status WHERE report_day = DATE '2024-01-15'""")
 def report_cash(t):
     bank = F.when(F.col("l_returnflag") == "R", "view").when(F.col("l_returnflag") == "A", "click").otherwise("purchase")
     weighted = F.sum(F.col("l_tax") * F.col("l_extendedprice")) / F.sum("l_extendedprice")
-    ecl = t.lineitem.where(F.col("l_quantity") > 40).groupBy(text("l_suppkey").alias("unit_code"), bank.alias("bank_name")).agg(
+    ecl = t.lineitem.groupBy(text("l_suppkey").alias("unit_code"), bank.alias("bank_name")).agg(
         F.bround(F.abs(weighted) * 7, 3).alias("impairment"))
     held = balances(t).withColumnsRenamed({"account_no": "unit_code", "status": "bank_name"})
     return positions.cash_position(held, ecl, entities(t), "2024-01-15").select(

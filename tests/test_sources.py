@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 import datetime as dt
 
 from ledgerloom.session import shared_dir, staged
@@ -72,6 +74,9 @@ class Conf:
     def get(self, key, default=None):
         return self.values.get(key, default)
 
+    def set(self, key, value):
+        self.values[key] = value
+
 
 def test_shared_folder_follows_the_session(make):
     def session(master, conf_dir=None, context_dir=None):
