@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import staged, table
 
 LEAST_WORDS = 8
+LINES = 1 << 32  # more than a text can have
+NO_ID = -(10 ** 19)  # below all ids
+FILTER_BITS = 1 << 23
 
 
 def _hashes(line: Column) -> list[Column]:
@@ -44,30 +47,48 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.array_distinct(F.array(*sides))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, no, line) of every line."""
-    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("no", "line"))
+def _place(key: Column, no: Column) -> Column:
+    """Document id and line number as one number that sorts like the pair, a null id first."""
+    return F.coalesce(key.cast("decimal(20,0)"), F.lit(str(NO_ID)).cast("decimal(20,0)")) * F.lit(LINES).cast("decimal(11,0)") + no
 
 
-def _blank(line: Column) -> Column:
-    return F.trim(line) == ""
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(place, line) of every line with words."""
+    lines = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("no", "line"))
+    return lines.where(F.trim("line") != "").select(_place(F.col("id"), F.col("no")).alias("place"), "line")
 
 
 def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2, place, k1..k4): every distinct line, its earliest place, and its half keys (null if it has none)."""
-    lines = _lines(docs, id_col, text_col).where(~_blank(F.col("line"))).withColumn("words", F.split("line", " "))
+    lines = _lines(docs, id_col, text_col).withColumn("words", F.split("line", " "))
     n = F.size("words")
     keyed = lines.withColumn("k", F.when(n >= LEAST_WORDS, _half_keys(F.col("words"), n)))
     keys = [F.get("k", F.lit(i)).alias(f"k{i + 1}") for i in range(4)]
-    flat = keyed.select("id", "no", *_hashes(F.col("line")), *keys)
-    return flat.groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("place"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(1, 5)))
+    flat = keyed.select("place", *_hashes(F.col("line")), *keys)
+    return flat.groupBy("h1", "h2").agg(F.min("place").alias("place"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(1, 5)))
+
+
+def _perhaps_in(value: Column, wanted: DataFrame, column: str) -> Column:
+    """Whether a hash may be among the wanted ones: a filter of FILTER_BITS bits, whatever their number.
+
+    It only spares rows from an exact join that follows; with very many wanted hashes it lets all pass.
+    """
+    def spot(c):
+        return F.pmod(c, F.lit(FILTER_BITS))
+
+    words = wanted.groupBy((spot(F.col(column)) / 64).cast("int").alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot(F.col(column)) % 64).cast("int"))).alias("b"))
+    every = wanted.sparkSession.range(FILTER_BITS // 64).join(words, F.col("id") == F.col("w"), "left")
+    bits = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0)).alias("b")))),
+                                 lambda x: x["b"]).alias("bits")).scalar()
+    word = F.get(bits, (spot(value) / 64).cast("int"))
+    return F.call_function("shiftright", word, (spot(value) % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def _variants(words: Column) -> Column:
-    """(place of the missing word from 1, or 0 for the whole line; hash) of the deletion neighbourhood."""
-    return F.transform(F.sequence(F.lit(0), F.size(words)), lambda i: F.struct(i.alias("at"), F.when(
-        i == 0, F.xxhash64(words)).otherwise(F.xxhash64(F.concat(
-            F.slice(words, F.lit(1), i - 1), F.slice(words, i + 1, F.size(words))))).alias("v")))
+def _without_word(line: Column, n: Column, i: Column) -> Column:
+    """A line of n words without its i-th, from 1; with i = 0 the whole line."""
+    before, after = F.expr("substring_index(line, ' ', at - 1)"), F.expr("substring_index(line, ' ', at - n)")
+    return F.when(i == 0, line).when(i == 1, after).when(i == n, before).otherwise(F.concat(before, F.lit(" "), after))
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -82,17 +103,21 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def near_duplicates(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within their bound."""
-    halves = lines.where("k1 IS NOT NULL").select("h1", "h2", "place", F.explode(F.array_compact(
+    halves = lines.where("k1 IS NOT NULL").select("h1", "h2", F.explode(F.array_compact(
         F.array("k1", "k2", "k3", "k4"))).alias("k"))
     shared = halves.groupBy("k").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("k")
-    wanted = staged(halves.join(shared, "k", "left_semi").select("h1", "h2", "place").distinct(), "halves")
-    texts = _lines(docs, id_col, text_col).where(~_blank(F.col("line"))).select(
-        F.struct("id", "no").alias("place"), *_hashes(F.col("line")), F.split("line", " ").alias("words"))
-    texts = texts.join(wanted.withColumnRenamed("place", "first"), ["h1", "h2"])
-    texts = staged(texts.where(F.col("place") == F.col("first")).dropDuplicates(["h1", "h2"]).select(
-        "h1", "h2", "place", "words"), "texts")
-    keys = staged(texts.select("h1", "h2", "place", F.explode(_variants(F.col("words"))).alias("e")).select(
-        "h1", "h2", "place", "e.at", "e.v"), "variants")
+    shared = staged(shared, "shared")
+    wanted = halves.where(_perhaps_in(F.col("k"), shared, "k")).join(shared, "k", "left_semi").select("h1", "h2").distinct()
+    wanted = staged(lines.where("k1 IS NOT NULL").join(wanted, ["h1", "h2"], "left_semi").select("h1", "h2", "place"), "wanted")
+    texts = _lines(docs, id_col, text_col).select("place", *_hashes(F.col("line")), "line")
+    texts = texts.where(_perhaps_in(F.col("h1"), wanted, "h1")).join(wanted, ["h1", "h2", "place"], "left_semi")
+    texts = staged(texts.dropDuplicates(["h1", "h2"]).withColumn("n", F.size(F.split("line", " "))), "texts")
+    keys = texts.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n")))).select(
+        "h1", "h2", "place", "at", F.xxhash64(_without_word(F.col("line"), F.col("n"), F.col("at"))).alias("v"))
+    keys = staged(keys, "variants")
+    # variants of a single line meet nothing
+    common = staged(keys.groupBy("v").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("v"), "common")
+    keys = staged(keys.where(_perhaps_in(F.col("v"), common, "v")).join(common, "v", "left_semi"), "variants")
     earliest = F.min(F.struct("place", "h1", "h2"))
     # the same word is missing: one replaced by another
     replaced = keys.groupBy("v", "at").agg(earliest.alias("e"), F.count("*").alias("n")).where("n > 1 AND at > 0")
@@ -103,8 +128,8 @@ def near_duplicates(docs: DataFrame, lines: DataFrame, id_col: str, text_col: st
     pairs = pairs.union(keys.where("at > 0").join(whole, "v").select("h1", "h2", "place", "e"))
     pairs = pairs.union(keys.where("at = 0").join(longer, "v").select("h1", "h2", "place", "e"))
     pairs = pairs.where("e.place < place").select("h1", "h2", F.col("e.h1").alias("g1"), F.col("e.h2").alias("g2")).distinct()
-    own = texts.select("h1", "h2", F.col("words").alias("a"))
-    other = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("words").alias("b"))
+    own = texts.select("h1", "h2", F.split("line", " ").alias("a"))
+    other = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.split("line", " ").alias("b"))
     judged = pairs.join(own, ["h1", "h2"]).join(other, ["g1", "g2"]).where(_one_edit(F.col("a"), F.col("b")))
     return judged.select("h1", "h2").distinct()
 
@@ -113,9 +138,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents with `text_col` cut to the kept lines, and `n_lines` and `n_kept` (which replace columns so named)."""
     lines = staged(distinct_lines(docs, id_col, text_col), "lines")
     near = staged(near_duplicates(docs, lines, id_col, text_col), "near")
-    kept = lines.join(near, ["h1", "h2"], "left_anti").select("place.id", F.struct("place.no", "h1").alias("l"))
+    no = F.pmod("place", F.lit(LINES).cast("decimal(11,0)"))
+    key = ((F.col("place") - no) / F.lit(LINES)).cast("decimal(20,0)")
+    kept = lines.join(near, ["h1", "h2"], "left_anti").select(
+        F.when(key != F.lit(str(NO_ID)).cast("decimal(20,0)"), key).cast("long").alias("id"), F.struct(no.cast("int").alias("no"), "h1").alias("l"))
     kept = kept.groupBy("id").agg(F.sort_array(F.collect_list("l")).alias("l"))
-    held = docs.select(F.col(id_col).alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+    held = docs.select(F.col(id_col).cast("long").alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
                        F.split(F.col(text_col).cast("string"), "\n").alias("all"))
     joined = held.join(kept.select(F.col("id").alias("other"), "l"), F.col("key").eqNullSafe(F.col("other")), "left")
     # rows of one id may differ, so a line counts at its place only if it is the line kept there
