@@ -19,7 +19,7 @@ changes AS (SELECT CASE WHEN n_last = 0 THEN 'missing' ELSE 'new' END AS status_
 
 
 def changes(t):
-    return snapshot_changes(balances(t).withColumnRenamed("status", "account_status"), "report_day",
+    return snapshot_changes(balances(t).withColumnRenamed("status", "account_status"), "ts",
                             ["account", "account_status"], "balance")
 
 

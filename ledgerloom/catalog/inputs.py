@@ -15,9 +15,9 @@ AS_OF = "1998-06-30"
 
 
 def balances(t: Tables) -> DataFrame:
-    """Daily account balances: one row per event."""
+    """Daily account balances: one row per event, with its time as landed."""
     return t.events.select(
-        F.to_date("ts").alias("report_day"), F.col("user_id").alias("account"),
+        "ts", F.to_date("ts").alias("report_day"), F.col("user_id").alias("account"),
         F.col("event_type").alias("status"), F.col("value").alias("balance"),
         F.col("user_id").cast("string").alias("account_no"),
     )

@@ -14,6 +14,7 @@ from ledgerloom.operators.dimensions import (
 from ledgerloom.operators.grouping import collect_chunks
 from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.quality import last_seen
+from ledgerloom.sources.tables import newest_days, within_day
 from ledgerloom.operators.reconcile import mirror_pairs, reconcile, reporting_grid, version_pairs
 
 CODES = """coded AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN CAST(l_suppkey AS VARCHAR)
@@ -183,10 +184,9 @@ SELECT account, status, balance FROM balances b WHERE report_day = (SELECT prev_
     AND n.account = b.account AND n.status = b.status)""")
 def anti_missing(t):
     b = balances(t)
-    newest = b.agg(F.max("report_day")).scalar()
-    previous = b.where(F.col("report_day") < newest).agg(F.max("report_day")).scalar()
-    now = b.where(F.col("report_day") == newest).select("account", "status").distinct()
-    return join_keys(b.where(F.col("report_day") == previous), now, ["account", "status"], "left_anti").select(
+    newest, previous = newest_days(b, "ts", 2)
+    now = b.where(within_day("ts", newest)).select("account", "status").distinct()
+    return join_keys(b.where(within_day("ts", previous)), now, ["account", "status"], "left_anti").select(
         "account", "status", "balance")
 
 
@@ -196,10 +196,9 @@ SELECT account, status, balance FROM balances b WHERE report_day = (SELECT last_
     AND n.account = b.account AND n.status = b.status)""")
 def anti_new(t):
     b = balances(t)
-    newest = b.agg(F.max("report_day")).scalar()
-    previous = b.where(F.col("report_day") < newest).agg(F.max("report_day")).scalar()
-    before = b.where(F.col("report_day") == previous).select("account", "status").distinct()
-    return join_keys(b.where(F.col("report_day") == newest), before, ["account", "status"], "left_anti").select(
+    newest, previous = newest_days(b, "ts", 2)
+    before = b.where(within_day("ts", previous)).select("account", "status").distinct()
+    return join_keys(b.where(within_day("ts", newest)), before, ["account", "status"], "left_anti").select(
         "account", "status", "balance")
 
 
@@ -256,12 +255,11 @@ seen AS (SELECT account, status, max(report_day) AS day FROM balances
 SELECT account, status, coalesce(CAST(day AS VARCHAR), 'never') AS last_seen FROM fresh LEFT JOIN seen USING (account, status)""")
 def last_seen_(t):
     b = balances(t)
-    newest = b.agg(F.max("report_day")).scalar()
-    previous = b.where(F.col("report_day") < newest).agg(F.max("report_day")).scalar()
-    before = b.where(F.col("report_day") == previous).select("account", "status").distinct()
-    fresh = join_keys(b.where(F.col("report_day") == newest).select("account", "status").distinct(), before,
+    newest, previous = newest_days(b, "ts", 2)
+    before = b.where(within_day("ts", previous)).select("account", "status").distinct()
+    fresh = join_keys(b.where(within_day("ts", newest)).select("account", "status").distinct(), before,
                       ["account", "status"], "left_anti")
-    return last_seen(b, "report_day", ["account", "status"], fresh, newest)
+    return last_seen(b, "ts", ["account", "status"], fresh, F.lit(newest))
 
 
 @query("three_way_reconcile", """

@@ -133,7 +133,7 @@ SELECT c.status_change AS status, c.account, c.status AS account_status, rows, r
   CASE WHEN s >= CASE c.status_change WHEN 'missing' THEN 3000 ELSE 2000000 END THEN 'CRITICAL' ELSE 'ALERT' END AS level
 FROM changes c JOIN sums USING (status_change) LEFT JOIN seen_before b ON b.account = c.account AND b.status = c.status""")
 def report_liquidity_qc(t):
-    out = positions.liquidity_qc(balances(t).withColumnRenamed("status", "account_status"), "report_day", ["account", "account_status"],
+    out = positions.liquidity_qc(balances(t).withColumnRenamed("status", "account_status"), "ts", ["account", "account_status"],
                                  "balance", {"missing": 3000.0, "new": 2000000.0})
     return out.select("status", "account", "account_status", "rows", num("amount").alias("amount"), "last_seen", "level")
 
@@ -161,7 +161,7 @@ def bank_limit_tables(t):
     b = balances(t)
     home = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"))
     held = join_keys(b, home, {"account": "c_custkey"}, "left", null_safe=False).select(
-        "report_day", F.col("status").alias("holding"), F.col("account").alias("bank_id"),
+        "ts", F.col("status").alias("holding"), F.col("account").alias("bank_id"),
         F.concat(F.lit("Bank "), F.col("account")).alias("bank_name"), "country", F.col("account_no").alias("unit_code"),
         F.when(F.col("balance") > 20, "active").when(F.col("balance") > 10, "mmarket").otherwise("blocked").alias("status"),
         (F.col("balance") * 1e6).alias("balance"))
@@ -170,7 +170,7 @@ def bank_limit_tables(t):
         F.col("o_custkey").alias("bank_id"), holding.alias("holding"), F.col("o_orderpriority").alias("limit_type"),
         (F.col("o_totalprice") * 100).alias("limit"), F.to_date("o_orderdate").alias("active_from"))
     banks = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("bank_id"), F.col("c_name").alias("name"))
-    return positions.bank_limits(held, limits, banks, entities(t))
+    return positions.bank_limits(held, limits, banks, entities(t), day="ts")
 
 
 @query("report_bank_limits", BANK_LIMITS + """, g AS (SELECT holding, bank, coalesce(avg("limit"), 0) AS "limit", sum(active) AS active,

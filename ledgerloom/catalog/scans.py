@@ -52,7 +52,7 @@ def files_with_provenance(t):
 SELECT account, status, balance, CAST(report_day AS VARCHAR) AS report_day FROM balances
 WHERE report_day = (SELECT max(report_day) FROM balances)""")
 def latest(t):
-    return latest_snapshot(balances(t), "report_day").select(
+    return latest_snapshot(balances(t), "ts").select(
         "account", "status", "balance", text("report_day").alias("report_day"))
 
 
@@ -60,7 +60,7 @@ def latest(t):
 SELECT account, status, balance, CAST(report_day AS VARCHAR) AS report_day FROM balances
 WHERE report_day = (SELECT max(report_day) FROM balances WHERE report_day <= DATE '2024-01-15')""")
 def latest_as_of(t):
-    return latest_snapshot(balances(t), "report_day", "2024-01-15").select(
+    return latest_snapshot(balances(t), "ts", "2024-01-15").select(
         "account", "status", "balance", text("report_day").alias("report_day"))
 
 

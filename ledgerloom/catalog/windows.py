@@ -164,4 +164,4 @@ def second_best_(t):
 SELECT CAST(report_day AS VARCHAR) AS report_day, CAST(row_number() OVER (ORDER BY report_day DESC) AS INTEGER) AS position
 FROM (SELECT DISTINCT report_day FROM balances) QUALIFY position <= 2""")
 def last_two_snapshots(t):
-    return last_two_days(balances(t), "report_day").withColumn("report_day", text("report_day"))
+    return last_two_days(balances(t), "ts").select(text("ts").alias("report_day"), "position")

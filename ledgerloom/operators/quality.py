@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import all_of, is_empty_value
 from ledgerloom.functions.measures import mostly_equal
 from ledgerloom.operators.joins import join_keys
+from ledgerloom.sources.tables import literal_table, newest_days, within_day
 
 
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -65,19 +68,20 @@ def empty_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def last_two_days(df: DataFrame, day: str) -> DataFrame:
     """The two newest dates of a table, newest first (`position` 1 and 2)."""
-    newest = df.agg(F.max(day)).scalar()
-    two = df.select(day).distinct().orderBy(F.desc(day)).limit(2)
-    return two.withColumn("position", F.when(F.col(day) == newest, 1).otherwise(2))
+    days = [(d, i) for i, d in enumerate(newest_days(df, day, 2), 1)]
+    return literal_table(df.sparkSession, days, f"{day} date, position int")
 
 
-def snapshot_changes(df: DataFrame, day: str, keys: list[str], amount: str) -> DataFrame:
+def snapshot_changes(
+    df: DataFrame, day: str, keys: list[str], amount: str, days: list[datetime.date] | None = None,
+) -> DataFrame:
     """Keys lost ('missing') or gained ('new') between the last two dates, with rows and amount.
 
-    Both sides come from one grouped pass over the two dates.
+    `day` may be a timestamp. The two days are read first unless given; both sides come from one
+    grouped pass over them, with constant bounds that reach the scan.
     """
-    newest = df.agg(F.max(day)).scalar()
-    previous = df.where(F.col(day) < newest).agg(F.max(day)).scalar()
-    last, before = F.col(day) == newest, F.col(day) == previous
+    newest, previous = [*(newest_days(df, day, 2) if days is None else days), None, None][:2]
+    last, before = within_day(day, newest), within_day(day, previous)
     seen = df.where(last | before).groupBy(*keys).agg(
         F.count_if(last).alias("__last"), F.count_if(before).alias("__before"),
         F.coalesce(F.sum(amount), F.lit(0.0)).alias("amount"),
@@ -91,11 +95,11 @@ def snapshot_changes(df: DataFrame, day: str, keys: list[str], amount: str) -> D
 def last_seen(df: DataFrame, day: str, keys: list[str], wanted: DataFrame, before: Column, months: int = 3) -> DataFrame:
     """Newest date of each wanted key in the months before a day, as text, else 'never'.
 
-    One grouped pass for all keys instead of one query per key.
+    One grouped pass for all keys instead of one query per key; a constant day bounds the scan.
     """
     history = df.where((F.col(day) < before) & (F.col(day) >= F.add_months(before, -months)))
     seen = join_keys(history, wanted.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(
-        F.max(day).cast("string").alias("last_seen"))
+        F.max(F.col(day).cast("date")).cast("string").alias("last_seen"))
     return join_keys(wanted, seen, keys, "left").withColumn(
         "last_seen", F.coalesce("last_seen", F.lit("never")))
 

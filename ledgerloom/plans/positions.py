@@ -19,7 +19,8 @@ from ledgerloom.operators.reconcile import reporting_grid
 from ledgerloom.operators.reshape import exposure_matrix, pivot_sum
 from ledgerloom.operators.treasury import effective_params, impaired, legs, minimum_of_versions, net_bonds
 from ledgerloom.plans.entities import Entities, first_known
-from ledgerloom.sources.tables import latest_snapshot
+from ledgerloom.session import staged
+from ledgerloom.sources.tables import latest_snapshot, newest_days
 
 RECEIVABLE = ("Trade receivables", "Other receivables", "Provisions")
 PAYABLE = ("Trade payables", "Other payables")
@@ -79,10 +80,10 @@ def liquidity_qc(balances: DataFrame, day: str, keys: list[str], amount: str, li
 
     The level is CRITICAL when the amounts of that status reach their limit.
     """
-    changes = snapshot_changes(balances, day, keys, amount)
-    newest = balances.agg(F.max(day)).scalar()
+    days = newest_days(balances, day, 2)
+    changes = staged(snapshot_changes(balances, day, keys, amount, days), "changes")
     fresh = changes.where(F.col("status") == "new").select(*keys)
-    seen = last_seen(balances, day, keys, fresh, newest)
+    seen = last_seen(balances, day, keys, fresh, F.lit(days[0] if days else None).cast("date"))
     totals = changes.groupBy("status").agg(F.sum("amount").alias("status_amount"))
     limit = F.coalesce(*[F.when(F.col("status") == s, F.lit(float(v))) for s, v in limits.items()])
     levels = totals.select("status", F.when(F.col("status_amount") >= limit, "CRITICAL").otherwise("ALERT").alias("level"))
@@ -91,14 +92,14 @@ def liquidity_qc(balances: DataFrame, day: str, keys: list[str], amount: str, li
 
 def bank_limits(
     balances: DataFrame, limits: DataFrame, banks: DataFrame, entities: Entities,
-    active_statuses: tuple[str, ...] = ("active", "mmarket"),
+    active_statuses: tuple[str, ...] = ("active", "mmarket"), day: str = "report_day",
 ) -> dict[str, DataFrame]:
     """Use of bank limits on the last day, in millions: by bank, country and segment.
 
     balances(report_day, holding, bank_id, bank_name, country, unit_code, status, balance);
     limits(bank_id, holding, limit_type, limit, active_from); banks(bank_id, name).
     """
-    today = latest_snapshot(balances, "report_day").withColumn("total", F.col("balance") / 1e6)
+    today = latest_snapshot(balances, day).withColumn("total", F.col("balance") / 1e6)
     today = today.withColumn("active", F.when(F.col("status").isin(*active_statuses), F.col("total")).otherwise(0.0))
     valid = latest_one(limits.select("bank_id", "holding", "limit_type", "limit", "active_from"),
                        ["bank_id", "holding", "limit_type"], ["active_from", "limit"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -125,15 +126,29 @@ def dated_files(
         "path", "file", F.try_to_timestamp(day, F.lit(date_format)).cast("date").alias("day"), F.trim(F.translate(name, "_", " ")).alias("name"))
 
 
-def latest_snapshot(df: DataFrame, date: str | Column, as_of: Column | str | None = None) -> DataFrame:
-    """Rows of the newest date, or of the newest date not after `as_of`.
+def within_day(date: str | Column, day: datetime.date | None) -> Column:
+    """Rows of one day, as constant bounds on a date or timestamp column, so the scan is pruned."""
+    if day is None:
+        return F.lit(False)
+    c = as_col(date)
+    return (c >= F.lit(day)) & (c < F.lit(day + datetime.timedelta(days=1)))
 
-    The date is a scalar subquery over one column, so the main scan filters on a value.
+
+def newest_days(df: DataFrame, date: str | Column, n: int = 1, as_of: str | None = None) -> list[datetime.date]:
+    """The newest days of a date or timestamp column, newest first, up to a day; one grouped pass, run right away."""
+    c = as_col(date)
+    seen = df if as_of is None else df.where(c < F.date_add(F.lit(as_of).cast("date"), 1))
+    days = seen.select(c.cast("date").alias("day")).where("day IS NOT NULL").distinct()
+    return [r.day for r in days.orderBy(F.desc("day")).limit(n).collect()]
+
+
+def latest_snapshot(df: DataFrame, date: str | Column, as_of: str | None = None) -> DataFrame:
+    """Rows of the newest day, or of the newest day not after `as_of`; `date` may be a timestamp.
+
+    The day is read first, so the main scan filters on constants.
     """
-    day = as_col(date)
-    eligible = df if as_of is None else df.where(day <= (F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of))
-    newest = eligible.agg(F.max(day)).scalar()
-    return df.where(day == newest)
+    days = newest_days(df, date, 1, as_of)
+    return df.where(within_day(date, days[0] if days else None))
 
 
 def trailing_period(df: DataFrame, date: str | Column, as_of: str, months: int = 0, days: int = 0) -> DataFrame:

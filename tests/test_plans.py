@@ -90,3 +90,24 @@ def test_hot_key_results(skewed, spark):
         assert convert(sold, quotes, "USD", "ccy", "v", "day").where("v_in_USD = 2 * v").count() == 60_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["latest_snapshot", "latest_snapshot_as_of", "anti_missing", "anti_new", "qc_missing_new", "trailing_period"])
+def test_day_filters_reach_the_scan(spark, small, name):
+    column = "o_orderdate" if name == "trailing_period" else "ts"
+    plan = plan_of(queries()[name](spark, small))
+    assert f"GreaterThanOrEqual({column}," in plan and f"LessThan({column}," in plan
+
+
+@pytest.mark.parametrize("name", ["classify_rules", "classify_rules_full", "effective_params", "fx_convert_asof", "fx_convert_by_date", "lookup_compound"])
+def test_small_tables_do_not_shuffle_facts(spark, small, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(100 << 10))  # under the size of the facts here
+    try:
+        assert "SortMergeJoin" not in plan_of(queries()[name](spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
