@@ -157,6 +157,10 @@ rows AS (SELECT t.holding, coalesce(b.name, 'Bank ' || t.bank_id) AS bank, n_nam
 kept AS (SELECT * FROM rows WHERE active <> 0 AND ("limit" IS NULL OR "limit" <> 0))""")
 
 
+# Groups of segments with a table of their own.
+LIMIT_PARTS = {"south": ["NATION_1", "NATION_2", "NATION_3", "NATION_5"], "rest": ["NATION_8", "NATION_13", "NATION_21", "External"]}
+
+
 def bank_limit_tables(t):
     b = balances(t)
     home = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"))
@@ -170,7 +174,7 @@ def bank_limit_tables(t):
         F.col("o_custkey").alias("bank_id"), holding.alias("holding"), F.col("o_orderpriority").alias("limit_type"),
         (F.col("o_totalprice") * 100).alias("limit"), F.to_date("o_orderdate").alias("active_from"))
     banks = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("bank_id"), F.col("c_name").alias("name"))
-    return positions.bank_limits(held, limits, banks, entities(t), day="ts")
+    return positions.bank_limits(held, limits, banks, entities(t), day="ts", parts=LIMIT_PARTS)
 
 
 @query("report_bank_limits", BANK_LIMITS + """, g AS (SELECT holding, bank, coalesce(avg("limit"), 0) AS "limit", sum(active) AS active,
@@ -204,6 +208,33 @@ def report_bank_limits_frame(t):
     return bank_limit_tables(t)["frame"].withColumns({"active": num("active"), "total": num("total")})
 
 
+@query("report_bank_limits_matrix", BANK_LIMITS + """, c AS (SELECT * FROM kept WHERE country IS NOT NULL),
+seg AS (SELECT holding, segment, row_number() OVER (PARTITION BY holding ORDER BY sum(active) DESC, sum(total) DESC, segment) AS segment_no FROM c GROUP BY holding, segment),
+ctry AS (SELECT holding, country, sum(active) AS active, sum(total) AS total,
+  row_number() OVER (PARTITION BY holding ORDER BY sum(active) DESC, sum(total) DESC, country) AS country_no FROM c GROUP BY holding, country),
+bank AS (SELECT holding, country, bank, sum(active) AS active, sum(total) AS total,
+  row_number() OVER (PARTITION BY holding, country ORDER BY sum(active) DESC, sum(total) DESC, bank) AS bank_no FROM c GROUP BY holding, country, bank),
+lines AS (SELECT b.holding, b.country, country_no, bank, bank_no, b.active, b.total FROM bank b JOIN ctry t ON b.holding = t.holding AND b.country = t.country
+  UNION ALL SELECT t.holding, t.country, country_no, NULL, (SELECT count(*) + 1 FROM bank b WHERE b.holding = t.holding AND b.country = t.country), active, total FROM ctry t),
+held AS (SELECT holding, country, bank, segment, sum(total) AS v FROM c GROUP BY GROUPING SETS ((holding, country, bank, segment), (holding, country, segment)))
+SELECT l.holding, l.country, CAST(country_no AS INTEGER) AS country_no, l.bank, CAST(bank_no AS INTEGER) AS bank_no, round(active, 2) AS active, round(total, 2) AS total,
+  s.segment, CAST(segment_no AS INTEGER) AS segment_no, round(coalesce(v, 0), 2) AS segment_total
+FROM lines l JOIN seg s ON s.holding = l.holding LEFT JOIN held h ON h.holding = l.holding AND h.country = l.country AND h.bank IS NOT DISTINCT FROM l.bank AND h.segment = s.segment""")
+def report_bank_limits_matrix(t):
+    return bank_limit_tables(t)["matrix"].withColumns({c: num(c) for c in ("active", "total", "segment_total")})
+
+
+@query("report_bank_limits_by_part", BANK_LIMITS + """, parts(part, segment) AS (VALUES ('south', 'NATION_1'), ('south', 'NATION_2'), ('south', 'NATION_3'), ('south', 'NATION_5'),
+  ('rest', 'NATION_8'), ('rest', 'NATION_13'), ('rest', 'NATION_21'), ('rest', 'External')),
+w AS (SELECT holding, bank, sum(total) AS total FROM kept GROUP BY ALL),
+g AS (SELECT holding, part, bank, coalesce(avg("limit"), 0) AS "limit", sum(active) AS active FROM kept JOIN parts USING (segment) GROUP BY ALL)
+SELECT holding, part, bank, round("limit", 2) AS "limit", round(active, 2) AS active, round(total, 2) AS total,
+  round(coalesce(active / nullif("limit", 0) * 100, 0), 1) AS pct_active, round(coalesce(total / nullif("limit", 0) * 100, 0), 1) AS pct_total FROM g JOIN w USING (holding, bank)""")
+def report_bank_limits_by_part(t):
+    return bank_limit_tables(t)["by_part"].withColumns({
+        "limit": num("limit"), "active": num("active"), "total": num("total"), "pct_active": num("pct_active", 1), "pct_total": num("pct_total", 1)})
+
+
 # --- receivables and payables ----------------------------------------------------------------
 
 ARAP = ctes(*ENTITY, f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.functions.columns import as_col, sum0
 from ledgerloom.functions.measures import (
@@ -93,8 +94,10 @@ def liquidity_qc(balances: DataFrame, day: str, keys: list[str], amount: str, li
 def bank_limits(
     balances: DataFrame, limits: DataFrame, banks: DataFrame, entities: Entities,
     active_statuses: tuple[str, ...] = ("active", "mmarket"), day: str = "report_day",
+    parts: dict[str, list[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Use of bank limits on the last day, in millions: by bank, country and segment.
+    """Use of bank limits on the last day, in millions: by bank, country and segment, banks by
+    segment with country totals in report order, and by bank within `parts`, named groups of segments.
 
     balances(report_day, holding, bank_id, bank_name, country, unit_code, status, balance);
     limits(bank_id, holding, limit_type, limit, active_from); banks(bank_id, name).
@@ -124,9 +127,52 @@ def bank_limits(
     return {
         "by_bank": by_bank, "by_country": sums("country"), "by_segment": sums("segment"),
         "frame": subtotals(sums("country", "bank", "segment"), ["holding", "country", "bank", "segment"], ["active", "total"]),
+        "matrix": _limit_matrix(sums("country", "bank", "segment")),
+        "by_part": _limit_parts(rows, parts or {}),
     }
 
 
+def _placed(df: DataFrame, within: list[str], name: str, position: str) -> DataFrame:
+    """Lines of a summed table with their place: by active, then total, both falling, then name."""
+    line = Window.partitionBy(*within).orderBy(F.desc("active"), F.desc("total"), name)
+    return df.withColumn(position, F.row_number().over(line))
+
+
+def _limit_matrix(cells: DataFrame) -> DataFrame:
+    """Banks by segment, in report order: countries by size, their banks by size and then a total
+    of the country (bank null), segments by size. One row per line and segment, 0 where nothing is held.
+
+    `cells` holds one row per holding, country, bank and segment; windows rank summed lines only.
+    """
+    cells = staged(cells.where(F.col("country").isNotNull()), "cells")
+
+    def summed(*keys: str) -> DataFrame:
+        return cells.groupBy("holding", *keys).agg(F.sum("active").alias("active"), F.sum("total").alias("total"))
+
+    segments = _placed(summed("segment"), ["holding"], "segment", "segment_no").select("holding", "segment", "segment_no")
+    countries = _placed(summed("country"), ["holding"], "country", "country_no")
+    banks = _placed(summed("country", "bank"), ["holding", "country"], "bank", "bank_no")
+    banks = join_keys(banks, countries.select("holding", "country", "country_no"), ["holding", "country"], "inner", null_safe=False)
+    last = banks.groupBy("holding", "country").agg((F.max("bank_no") + 1).alias("bank_no"))
+    totals = join_keys(countries, last, ["holding", "country"], "inner", null_safe=False).withColumn("bank", F.lit(None).cast("string"))
+    lines = join_keys(banks.unionByName(totals), segments, ["holding"], "inner", null_safe=False)
+    held = cells.groupBy("holding", "country", "bank", "segment").agg(F.sum("total").alias("segment_total"))
+    held = held.unionByName(held.groupBy("holding", "country", "segment").agg(F.sum("segment_total").alias("segment_total")).withColumn(
+        "bank", F.lit(None).cast("string")))
+    return join_keys(lines, held, ["holding", "country", "bank", "segment"], "left").na.fill(0.0, ["segment_total"])
+
+
+def _limit_parts(rows: DataFrame, parts: dict[str, list[str]]) -> DataFrame:
+    """Use of limits by bank within named groups of segments; the total is the bank's over all segments."""
+    whole = rows.groupBy("holding", "bank").agg(F.sum("total").alias("total"))
+    names = F.array_compact(F.array(*[F.when(F.col("segment").isin(*segments), F.lit(p)) for p, segments in parts.items()])) \
+        if parts else F.array().cast("array<string>")
+    chosen = rows.withColumn("part", F.explode(names)).groupBy("holding", "part", "bank").agg(
+        F.coalesce(F.avg("limit"), F.lit(0.0)).alias("limit"), sum0("active").alias("active"))
+    both = join_keys(chosen, whole, ["holding", "bank"], "inner", null_safe=False)
+    return both.withColumns({f"pct_{c}": safe_ratio(c, "limit", 100.0) for c in ("active", "total")})
+
+
 def arap_position(ledger: DataFrame, purpose: Column, entities: Entities, as_of: Column) -> DataFrame:
     """Receivables and payables by company, counterparty, currency, purpose and due date.
 
