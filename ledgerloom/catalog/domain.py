@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.inputs import (
     LEDGER, PARTIES, QUOTES, ctes, ledger, parties, quotes,
 )
-from ledgerloom.catalog.registry import num, query, text, usd
+from ledgerloom.catalog.registry import num, query, settled, settled_sql, text, usd
 from ledgerloom.catalog.windows import DAILY, daily_prices
 from ledgerloom.functions.columns import any_false, any_null
 from ledgerloom.functions.measures import (
@@ -52,7 +52,7 @@ def maturity_by_column(t):
 
 @query("fx_convert_asof", ctes(QUOTES, LEDGER) + """
 SELECT document, line_no, currency, amount, CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE round(coef, 6) END AS coef_to_usd,
-  round(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END + 1e-5, 2) AS amount_in_usd
+  round(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END, 2) AS amount_in_usd
 FROM ledger LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = DATE '1998-06-30'""")
 def fx_convert_asof(t):
     out = convert(ledger(t), quotes(t), "USD", "currency", "amount", F.lit("1998-06-30").cast("date"))
@@ -62,7 +62,7 @@ def fx_convert_asof(t):
 
 @query("fx_convert_by_date", ctes(QUOTES, LEDGER) + """
 SELECT CAST(due AS VARCHAR) AS due, currency, count(*) AS lines, count(coef) + count(*) FILTER (currency = 'USD') AS converted,
-  round(sum(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END) + 1e-5, 2) AS amount_in_usd
+  round(sum(amount * CASE WHEN currency = 'USD' THEN 1.0::DOUBLE ELSE coef END), 2) AS amount_in_usd
 FROM ledger LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = due GROUP BY ALL""")
 def fx_convert_by_date(t):
     out = convert(ledger(t), quotes(t), "USD", "currency", "amount", "due")
@@ -301,11 +301,11 @@ def default_rates(t):
     return t.customer.select("c_custkey", "c_nationkey", F.when(F.col("c_acctbal") > 2000, F.col("c_acctbal") / 100000).alias("pd"))
 
 
-@query("impute_group_mean", ctes(PD) + """
-SELECT c_custkey, c_nationkey, round(coalesce(pd, avg(pd) OVER (PARTITION BY c_nationkey)), 6) AS pd FROM pd""")
+@query("impute_group_mean", ctes(PD) + f"""
+SELECT c_custkey, c_nationkey, {settled_sql("coalesce(pd, avg(pd) OVER (PARTITION BY c_nationkey))", 6)} AS pd FROM pd""")
 def impute_group_mean(t):
     return with_group_value(default_rates(t), ["c_nationkey"], mean=F.avg("pd")).select(
-        "c_custkey", "c_nationkey", num(F.coalesce("pd", "mean"), 6).alias("pd"))
+        "c_custkey", "c_nationkey", settled(F.coalesce("pd", "mean"), 6).alias("pd"))
 
 
 @query("impute_report", ctes(PD) + """

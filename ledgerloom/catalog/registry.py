@@ -12,10 +12,6 @@ from ledgerloom.sources.tables import Tables
 MODULES = ["scans", "filters", "joins", "groups", "windows", "scalars", "reshaping", "domain", "checks",
            "reports", "reconciliations"]
 
-# Figures rounded to 6 digits are moved by this much first, on both sides, so that an exact
-# half is not rounded up here and down there by the last bit of a float sum.
-NUDGE = 1e-9
-
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -27,7 +23,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         _QUERIES[name] = fn
         if sql is not None:
-            _SQL[name] = sql.replace(", 6)", f" + {NUDGE}, 6)")
+            _SQL[name] = sql
         return fn
     return add
 
@@ -57,13 +53,21 @@ def module_of(name: str) -> str:
 
 def num(c: str | Column, digits: int = 2) -> Column:
     """Rounded output value without a negative zero."""
-    value = as_col(c) + F.lit(NUDGE) if digits == 6 else as_col(c)
-    return F.round(value, digits) + F.lit(0.0)
+    return F.round(as_col(c), digits) + F.lit(0.0)
+
+
+def settled(c: str | Column, digits: int = 2) -> Column:
+    """Rounded as a decimal with three spare digits, where sums of floats land next to exact halves."""
+    return F.round(as_col(c).cast(f"decimal(28,{digits + 3})"), digits).cast("double") + F.lit(0.0)
+
+
+def settled_sql(expression: str, digits: int = 2) -> str:
+    return f"CAST(round(CAST({expression} AS DECIMAL(28, {digits + 3})), {digits}) AS DOUBLE)"
 
 
 def usd(c: str | Column) -> Column:
-    """Converted amount in cents; moved by 1e-5 against halves, as the SQL texts do."""
-    return F.round(as_col(c) + F.lit(1e-5), 2) + F.lit(0.0)
+    """Converted amount in cents."""
+    return num(c, 2)
 
 
 def text(c: str | Column) -> Column:

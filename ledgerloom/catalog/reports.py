@@ -10,7 +10,7 @@ from ledgerloom.catalog.inputs import (
     BALANCES, COMPANIES, NATIONS, QUOTES, REGIONS, balances, companies, ctes, quotes,
 )
 from ledgerloom.catalog.joins import DAYS, GRID, MULTIKEY
-from ledgerloom.catalog.registry import num, query, text, usd
+from ledgerloom.catalog.registry import num, query, settled, settled_sql, text, usd
 from ledgerloom.operators.fx import iso_code
 from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.rules import classify
@@ -310,7 +310,7 @@ x AS (SELECT CAST(l_suppkey AS VARCHAR) AS company_code, CASE WHEN l_tax > 0.04
   l_extendedprice * CASE WHEN {CURRENCY_SQL} = 'USD' THEN 1 ELSE coef END AS amount
   FROM lineitem LEFT JOIN usd_rates ON rate_ccy = {CURRENCY_SQL} AND rate_day = DATE '1998-06-30')""") + """
 SELECT coalesce(holding, 'External') AS company_holding, company_code, coalesce(segment, 'External') AS company_segment, out_group,
-  round(coalesce(sum(amount), 0) + 1e-5, 2) AS amount_usd, count(amount) AS lines FROM x LEFT JOIN best b ON b.k = company_code LEFT JOIN best_hold h ON h.k = company_code GROUP BY ALL""")
+  round(coalesce(sum(amount), 0), 2) AS amount_usd, count(amount) AS lines FROM x LEFT JOIN best b ON b.k = company_code LEFT JOIN best_hold h ON h.k = company_code GROUP BY ALL""")
 def report_external_debt(t):
     return external_debt(t)["summary"].withColumn("amount_usd", usd("amount_usd"))
 
@@ -356,7 +356,7 @@ def debt_position(t):
 
 
 @query("report_debt", DEBT + f"""
-SELECT entity, entity_group, party, party_group, relation, currency, round(outstanding, 2) AS outstanding, round(outstanding_usd + 1e-5, 2) + 0 AS outstanding_usd,
+SELECT entity, entity_group, party, party_group, relation, currency, round(outstanding, 2) AS outstanding, round(outstanding_usd, 2) + 0 AS outstanding_usd,
   CAST(term_end AS VARCHAR) AS term_end, CAST(days AS INTEGER) AS days, {BUCKET} AS period, holding, lines, 'SAP' AS source FROM debt""")
 def report_debt(t):
     return debt_position(t).select(
@@ -365,7 +365,7 @@ def report_debt(t):
 
 
 @query("report_debt_matrix", DEBT + "SELECT holding, currency, entity_group, " + ", ".join(
-    f"round(coalesce(sum(outstanding_usd) FILTER (party_group = '{n}'), 0) + 1e-5, 2) + 0 AS \"{n}\"" for n in NATIONS) + """
+    f"round(coalesce(sum(outstanding_usd) FILTER (party_group = '{n}'), 0), 2) + 0 AS \"{n}\"" for n in NATIONS) + """
 FROM debt WHERE party_group <> 'External' GROUP BY ALL""")
 def report_debt_matrix(t):
     return positions.debt_matrix(debt_position(t), NATIONS).withColumns({n: usd(n) for n in NATIONS})
@@ -424,13 +424,13 @@ def deriv_inputs(t):
 legs AS (SELECT entity, maturity, 'pay' AS leg, pay_ccy AS currency, -pay AS amount FROM deals UNION ALL SELECT entity, maturity, 'receive', rec_ccy, rec FROM deals)""", """
 x AS (SELECT *, date_diff('day', DATE '1998-06-30', maturity) AS days, amount * CASE WHEN currency = 'USD' THEN 1 ELSE coef END AS usd
   FROM legs LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = DATE '1998-06-30' LEFT JOIN best ON k = entity)""") + f"""
-SELECT coalesce(segment, 'External') AS entity_group, leg, currency, {BUCKET} AS period, count(*) AS lines, round(sum(amount), 2) AS amount, round(sum(usd) + 1e-5, 2) AS amount_usd
+SELECT coalesce(segment, 'External') AS entity_group, leg, currency, {BUCKET} AS period, count(*) AS lines, round(sum(amount), 2) AS amount, {settled_sql("sum(usd)")} AS amount_usd
 FROM x GROUP BY ALL""")
 def report_derivatives(t):
     forwards, swaps, debt = deriv_inputs(t)
     rows = positions.derivatives(forwards, swaps, debt, quotes(t), entities(t), day("1998-06-30"))
     return rows.groupBy("entity_group", "leg", "currency", "period").agg(
-        F.count(F.lit(1)).alias("lines"), num(F.sum("amount")).alias("amount"), usd(F.sum("amount_in_USD")).alias("amount_usd"))
+        F.count(F.lit(1)).alias("lines"), num(F.sum("amount")).alias("amount"), settled(F.sum("amount_in_USD")).alias("amount_usd"))
 
 
 @query("report_derivative_totals", """
@@ -490,7 +490,7 @@ p AS (SELECT l_linestatus AS holding, l_suppkey AS company, l_linenumber > 4 AS
   coalesce(sum(l_extendedprice) FILTER (l_returnflag = 'N'), 0) AS n, coalesce(sum(l_extendedprice) FILTER (l_returnflag = 'R'), 0) AS r FROM lineitem GROUP BY ALL)""", """
 m AS (SELECT *, CASE holding WHEN 'F' THEN least(a, n) ELSE least(n, r) END AS amount FROM p)""") + """
 SELECT holding, company, party, currency, CAST(month AS VARCHAR) AS month, round(amount, 2) AS amount,
-  round(amount * CASE WHEN currency = 'USD' THEN 1 ELSE coef END + 1e-5, 2) AS amount_usd
+  round(amount * CASE WHEN currency = 'USD' THEN 1 ELSE coef END, 2) AS amount_usd
 FROM m LEFT JOIN usd_rates ON rate_ccy = currency AND rate_day = DATE '1998-06-30' WHERE amount <> 0""")
 def report_investments(t):
     plan = t.lineitem.select(
@@ -696,14 +696,14 @@ def stock_tables(t):
     return markets.stock_sales(sales, stock, quotes(t), day("1998-06-30"))
 
 
-@query("report_stock_sales", STOCK + "SELECT item, market, country, sum(q) AS quantity, round(coalesce(sum(usd), 0) + 1e-5, 2) AS money_usd FROM v GROUP BY ALL")
+@query("report_stock_sales", STOCK + "SELECT item, market, country, sum(q) AS quantity, round(coalesce(sum(usd), 0), 2) AS money_usd FROM v GROUP BY ALL")
 def report_stock_sales(t):
     return stock_tables(t)["sales"].withColumn("money_usd", usd("money_usd"))
 
 
 @query("report_market_shares", STOCK + """, i AS (SELECT market, item, coalesce(sum(usd), 0) AS usd FROM v GROUP BY ALL),
 k AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY usd DESC, item) AS rank FROM i)
-SELECT market, CASE WHEN rank <= 10 THEN CAST(item AS VARCHAR) ELSE 'other' END AS label, round(sum(usd) + 1e-5, 2) AS money_usd FROM k GROUP BY ALL""")
+SELECT market, CASE WHEN rank <= 10 THEN CAST(item AS VARCHAR) ELSE 'other' END AS label, round(sum(usd), 2) AS money_usd FROM k GROUP BY ALL""")
 def report_market_shares(t):
     return stock_tables(t)["shares"].withColumn("money_usd", usd("money_usd"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import BALANCES, balances, ctes
-from ledgerloom.catalog.registry import num, query, text
+from ledgerloom.catalog.registry import num, query, settled, settled_sql, text
 from ledgerloom.functions.measures import second_best
 from ledgerloom.operators.grouping import latest_one, latest_version, with_group_value
 from ledgerloom.operators.quality import last_two_days
@@ -62,17 +62,17 @@ def rolling_mean_(t):
                     num(rolling_mean(d, ["product"], "period", "value", 14), 6).alias("mean"))
 
 
-@query("rolling_full_window", ctes(DAILY) + """
+@query("rolling_full_window", ctes(DAILY) + f"""
 , r AS (SELECT product, period, count(value) OVER w2 AS n2, avg(value) OVER w2 AS m2, count(value) OVER w60 AS n60,
     stddev_samp(value) OVER w60 AS s60 FROM daily
   WINDOW w2 AS (PARTITION BY product ORDER BY period ROWS BETWEEN 1 PRECEDING AND CURRENT ROW),
     w60 AS (PARTITION BY product ORDER BY period ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))
-SELECT product, CAST(period AS VARCHAR) AS period, round(CASE WHEN n2 = 2 THEN m2 END, 6) AS mean_2,
+SELECT product, CAST(period AS VARCHAR) AS period, {settled_sql("CASE WHEN n2 = 2 THEN m2 END", 6)} AS mean_2,
   round(CASE WHEN n60 = 60 THEN s60 END, 6) AS std_60 FROM r""")
 def rolling_full_window(t):
     d = daily_prices(t)
     return d.select("product", text("period").alias("period"),
-                    num(rolling_mean(d, ["product"], "period", "value", 2, full_window=True), 6).alias("mean_2"),
+                    settled(rolling_mean(d, ["product"], "period", "value", 2, full_window=True), 6).alias("mean_2"),
                     num(rolling_std(d, ["product"], "period", "value", 60), 6).alias("std_60"))
 
 

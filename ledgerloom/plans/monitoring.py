@@ -11,6 +11,7 @@ from ledgerloom.operators.quality import compare_profiles, drop_empty_rows, prof
 from ledgerloom.operators.reconcile import period_diff
 from ledgerloom.operators.reshape import melt
 from ledgerloom.operators.series import forward_fill, section_slice
+from ledgerloom.sources.tables import literal_table
 
 
 def sheet_section(sheets: DataFrame, start: Column, end: Column, values: list[str]) -> DataFrame:
@@ -49,9 +50,14 @@ def balance_changes(items: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def archive_compare(old: dict[str, DataFrame], new: dict[str, DataFrame], tolerance: float = 0.4) -> dict[str, DataFrame]:
-    """Column profiles of two runs of the same outputs (those named in both), and the
-    outputs with a difference."""
+    """Column profiles of two runs of the same outputs, the outputs with a difference, and the
+    outputs that only one run has (`unpaired`: dataset, side)."""
     names = sorted(set(old) & set(new))
+    spark = next(iter((old or new).values())).sparkSession
+    lone = [(n, "only_old") for n in sorted(set(old) - set(new))] + [(n, "only_new") for n in sorted(set(new) - set(old))]
+    unpaired = literal_table(spark, lone, "dataset string, side string")
+    if not names:
+        return {"unpaired": unpaired}
     compared = None
     for name in names:
         part = compare_profiles(profile(old[name]), profile(new[name]), tolerance).withColumn("dataset", F.lit(name))
@@ -59,7 +65,7 @@ def archive_compare(old: dict[str, DataFrame], new: dict[str, DataFrame], tolera
     flags = ["nulls_equal", "sum_equal", "rows_equal", "zero_rows_equal", "type_equal", "n_columns_equal"]
     problems = compared.groupBy("dataset").agg(*[F.every(f).alias(f) for f in flags])
     problems = problems.where(~sum((F.col(f).cast("int") for f in flags), F.lit(0)).eqNullSafe(len(flags)))
-    return {"columns": compared, "problems": problems}
+    return {"columns": compared, "problems": problems, "unpaired": unpaired}
 
 
 def summary_compare(history: DataFrame, keys: list[str], values: list[str], tolerance: float = 0.4) -> DataFrame:
