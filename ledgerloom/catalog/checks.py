@@ -8,7 +8,7 @@ from ledgerloom.catalog.inputs import BALANCES, COMPANIES, LEDGER, balances, com
 from ledgerloom.catalog.joins import CODES, DAYS, MULTIKEY, coded_lines
 from ledgerloom.catalog.registry import num, query
 from ledgerloom.operators.dimensions import lookup_multikey
-from ledgerloom.operators.quality import alerts, count_differences, expectations, repeated_keys, snapshot_changes
+from ledgerloom.operators.quality import alerts, checklist, count_differences, expectations, repeated_keys, snapshot_changes
 from ledgerloom.operators.reconcile import coverage
 
 CHANGES = """seen AS (SELECT account, status, count(*) FILTER (report_day = (SELECT last_day FROM d)) AS n_last,
@@ -80,6 +80,21 @@ def qc_duplicates(t):
     return repeated_keys(ledger(t).select("company", F.abs(signed).alias("size")), ["company", "size"])
 
 
+OUTLIERS = " UNION ALL ".join(f"""SELECT 'outlier' AS "check", '{c}' AS "column", count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS rows
+  FROM lineitem, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem)""" for c in ("l_quantity", "l_extendedprice"))
+
+
+@query("qc_checklist", f"""
+SELECT 'repeated' AS "check", 'l_orderkey, l_partkey' AS "column", coalesce(sum(n - 1), 0)::BIGINT AS rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)
+UNION ALL SELECT 'null', 'l_orderkey', count(*) FILTER (l_orderkey IS NULL) FROM lineitem UNION ALL SELECT 'null', 'l_partkey', count(*) FILTER (l_partkey IS NULL) FROM lineitem
+UNION ALL SELECT 'null', 'l_quantity', count(*) FILTER (l_quantity IS NULL) FROM lineitem UNION ALL SELECT 'null', 'l_extendedprice', count(*) FILTER (l_extendedprice IS NULL) FROM lineitem
+UNION ALL SELECT 'null', 'code', count(*) FILTER (code IS NULL) FROM x UNION ALL SELECT 'no number', 'code', count(*) FILTER (code IS NOT NULL AND try_cast(code AS DOUBLE) IS NULL) FROM x
+UNION ALL {OUTLIERS}""".replace("FROM x", "FROM (SELECT CASE l_returnflag WHEN 'A' THEN CAST(l_linenumber AS VARCHAR) WHEN 'N' THEN 'N/A' END AS code FROM lineitem)"))
+def qc_checklist(t):
+    code = F.when(F.col("l_returnflag") == "A", F.col("l_linenumber").cast("string")).when(F.col("l_returnflag") == "N", "N/A")
+    return checklist(t.lineitem.withColumn("code", code), ["l_orderkey", "l_partkey"], ["l_quantity", "l_extendedprice"], ["code"])
+
+
 @query("qc_coverage", """
 WITH a AS (SELECT DISTINCT c_nationkey AS nation, o_orderpriority AS kind FROM orders JOIN customer ON o_custkey = c_custkey),
 b AS (SELECT DISTINCT s_nationkey AS nation, CASE WHEN s_acctbal > 5000 THEN '1-URGENT' ELSE '2-HIGH' END AS kind FROM supplier)

@@ -808,6 +808,20 @@ def report_archive_compare(t):
     return monitoring.archive_compare(old, new)["problems"]
 
 
+@query("report_archive_unpaired", """
+WITH old_run(dataset) AS (SELECT 'orders' UNION ALL SELECT DISTINCT 'market ' || c_mktsegment FROM customer),
+new_run(dataset) AS (SELECT 'orders' UNION ALL SELECT 'region ' || r_name FROM region)
+SELECT coalesce(o.dataset, n.dataset) AS dataset, CASE WHEN n.dataset IS NULL THEN 'only_old' ELSE 'only_new' END AS side
+FROM old_run o FULL JOIN new_run n ON o.dataset = n.dataset WHERE o.dataset IS NULL OR n.dataset IS NULL""")
+def report_archive_unpaired(t):
+    # outputs named after the data, as runs leave one per market or region
+    markets = [r[0] for r in t.customer.select("c_mktsegment").distinct().collect()]
+    regions = [r[0] for r in t.region.select("r_name").collect()]
+    old = {"orders": t.orders.select("o_totalprice"), **{f"market {m}": t.customer.where(F.col("c_mktsegment") == m).select("c_acctbal") for m in markets}}
+    new = {"orders": t.orders.select("o_totalprice"), **{f"region {r}": t.region.where(F.col("r_name") == r).select("r_regionkey") for r in regions}}
+    return monitoring.archive_compare(old, new)["unpaired"]
+
+
 @query("report_summary_compare", """
 WITH h AS (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS run_date, o_orderpriority, o_orderstatus, sum(o_totalprice) AS amount, count(*) AS lines FROM orders
   WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW' AND o_orderdate >= TIMESTAMP '2001-01-01') GROUP BY ALL),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import all_of, is_empty_value
 from ledgerloom.functions.measures import mostly_equal
+from ledgerloom.operators.grouping import exact_quantiles
 from ledgerloom.operators.joins import join_keys
+from ledgerloom.session import staged
 from ledgerloom.sources.tables import literal_table, newest_days, within_day
 
 
@@ -126,6 +128,28 @@ def expectations(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> Dat
     return facts.select(lines.alias("l")).select("l.*").withColumn("ok", F.col("actual").eqNullSafe(F.col("expected")))
 
 
+def checklist(df: DataFrame, keys: list[str], numbers: list[str], texts: list[str], k: float = 1.5) -> DataFrame:
+    """Counts per check and column: repeated keys, nulls, text that is no number, and outliers.
+
+    An outlier lies more than k interquartile ranges outside the quartiles of its column. One
+    pass counts nulls and texts, one grouped pass the repeated keys; quartiles are exact.
+    """
+    cols = list(dict.fromkeys([*keys, *numbers, *texts]))
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null/{c}") for c in cols] + [
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(f"no number/{c}") for c in texts]
+    simple = df.agg(*counts)
+    lines = simple.unpivot([], simple.columns, "line", "rows").select(
+        F.split("line", "/")[0].alias("check"), F.split("line", "/", 2)[1].alias("column"), "rows")
+    again = repeated_keys(df, keys).agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("rows")).select(
+        F.lit("repeated").alias("check"), F.lit(", ".join(keys)).alias("column"), "rows")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in numbers]).unpivot([], numbers, "column", "value")
+    quartiles = staged(exact_quantiles(long, ["column"], "value", {"q1": 0.25, "q3": 0.75}), "quartiles")
+    spread = (F.col("q3") - F.col("q1")) * k
+    outside = (F.col("value") < F.col("q1") - spread) | (F.col("value") > F.col("q3") + spread)
+    far = join_keys(long, quartiles, ["column"], "inner", null_safe=False).groupBy("column").agg(F.count_if(outside).alias("rows"))
+    return lines.unionByName(again).unionByName(far.select(F.lit("outlier").alias("check"), "column", "rows"))
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
