@@ -392,6 +392,39 @@ def recon_investments_added(t):
     return invest_tables(t)["added_profile"]
 
 
+@query("recon_investments_unified", """
+WITH a AS (SELECT l_orderkey AS element, l_linenumber AS cost, l_linestatus AS holding, CAST(l_suppkey AS VARCHAR) AS segment, abs(sum(CAST(l_extendedprice AS DECIMAL(18, 2))))::DOUBLE AS amount_own
+  FROM lineitem GROUP BY ALL),
+b AS (SELECT l_orderkey AS element, l_linenumber AS cost, CASE WHEN o_orderstatus = 'P' THEN 'P' ELSE l_linestatus END AS unified_holding,
+  CASE WHEN l_tax > 0.06 THEN 'External' ELSE CAST(l_suppkey AS VARCHAR) END AS unified_segment,
+  abs(sum(CAST(CASE WHEN l_returnflag = 'A' THEN -l_extendedprice WHEN l_discount > 0.08 THEN 0 ELSE l_extendedprice END AS DECIMAL(18, 2))))::DOUBLE AS amount_unified
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority <> '5-LOW' GROUP BY ALL)
+SELECT element, cost, holding, segment, amount_own, unified_holding, unified_segment, amount_unified, coalesce(holding = unified_holding, false) AS holding_equal,
+  coalesce(segment = unified_segment, false) AS segment_equal, coalesce(amount_own = amount_unified, false) AS amount_equal FROM a FULL JOIN b USING (element, cost)""")
+def recon_investments_unified(t):
+    own = t.lineitem.select(F.col("l_orderkey").alias("element"), F.col("l_linenumber").alias("cost"), F.col("l_linestatus").alias("holding"),
+                            text("l_suppkey").alias("segment"), F.col("l_extendedprice").alias("amount"))
+    lines = join_keys(t.lineitem, t.orders.where(F.col("o_orderpriority") != "5-LOW").select("o_orderkey", "o_orderstatus"), {"l_orderkey": "o_orderkey"},
+                      "inner", null_safe=False)
+    booked = F.when(F.col("l_returnflag") == "A", -F.col("l_extendedprice")).when(F.col("l_discount") > 0.08, 0.0).otherwise(F.col("l_extendedprice"))
+    unified = lines.select(
+        F.col("l_orderkey").alias("element"), F.col("l_linenumber").alias("cost"),
+        F.when(F.col("o_orderstatus") == "P", "P").otherwise(F.col("l_linestatus")).alias("unified_holding"),
+        F.when(F.col("l_tax") > 0.06, "External").otherwise(text("l_suppkey")).alias("unified_segment"), booked.alias("amount"))
+    return recon.investments_unified(own, unified, ["element", "cost"], {"holding": "unified_holding", "segment": "unified_segment"})
+
+
+@query("recon_ledger_account_map", """
+WITH k AS (SELECT DISTINCT p_brand AS account, p_type AS code FROM part JOIN (SELECT DISTINCT p_brand AS account FROM part WHERE p_retailprice > 950) a ON a.account = p_brand
+  WHERE p_size > 10)
+SELECT p_partkey, p_name AS line, code, k.account FROM part JOIN k ON code = p_type""")
+def recon_ledger_account_map(t):
+    mapping = t.part.where(F.col("p_size") > 10).select(F.col("p_brand").alias("account"), F.col("p_type").alias("code")).distinct()
+    accounts = t.part.where(F.col("p_retailprice") > 950).select(F.col("p_brand").alias("account")).distinct()
+    ledger = t.part.select("p_partkey", F.col("p_name").alias("line"), F.col("p_type").alias("code"))
+    return recon.ledger_account_map(ledger, mapping, accounts, "account", "code").select("p_partkey", "line", "code", "account")
+
+
 # --- internal market and rates --------------------------------------------------------------
 
 INTERNAL = ctes(*ENTITY, f"""

@@ -502,6 +502,18 @@ def report_investments(t):
                       usd("amount_in_USD").alias("amount_usd"))
 
 
+@query("report_investments_unified", """
+SELECT l_linestatus AS holding, l_suppkey AS company, 'P' || l_linenumber AS project, CAST(date_trunc('month', l_shipdate) AS DATE)::VARCHAR AS month_start,
+  round(sum(CASE WHEN l_tax > 0 THEN l_extendedprice ELSE 0 END), 2) AS amount, count(*) AS lines, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+FROM lineitem WHERE l_tax > 0 GROUP BY ALL""")
+def report_investments_unified(t):
+    rows = t.lineitem.select(
+        F.col("l_linestatus").alias("holding"), F.col("l_suppkey").alias("company"), F.to_date("l_shipdate").alias("maturity"),
+        F.concat(F.lit("P"), F.col("l_linenumber"), F.lit("-"), F.col("l_orderkey")).alias("record_id"),
+        F.when(F.col("l_tax") > 0, F.col("l_extendedprice")).otherwise(0.0).alias("amount"))
+    return positions.investments_from_unified(rows, ["holding", "company"]).withColumns({"amount": num("amount"), "month_start": text("month_start")})
+
+
 # --- markets ---------------------------------------------------------------------------------
 
 TRIGGERS = ctes("""

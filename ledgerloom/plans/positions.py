@@ -352,3 +352,15 @@ def investments(plan: DataFrame, quotes: DataFrame, pairs: dict[str, tuple[str,
     chosen = minimum_of_versions(rows, keys, "holding", "version", "amount", pairs)
     summed = group_sum(chosen, [*keys, "holding"], ["amount"])
     return convert(summed, quotes, "USD", "currency", "amount", as_of)
+
+
+def investments_from_unified(unified: DataFrame, keys: list[str]) -> DataFrame:
+    """The second source of investments: rows of the unified position by project and calendar month.
+
+    unified(record_id 'PROJECT-...', maturity, amount, keys). The maturity rolls back to the first
+    of its month, the project is the head of the record id, and rows without an amount are left out.
+    """
+    rows = unified.where(F.col("amount") != 0).withColumns({
+        "project": F.split("record_id", "-")[0], "month_start": F.trunc("maturity", "month")})
+    sums = rows.groupBy(*keys, "project", "month_start").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("lines"))
+    return sums.withColumns({"year": F.year("month_start"), "month": F.month("month_start")})

@@ -178,6 +178,29 @@ def investments(first: DataFrame, second: DataFrame, keys: list[str], profile_co
     return {"amounts": amounts, "differing": amounts.where("differs"), "added_profile": difference_profile(added, profile_cols)}
 
 
+def investments_unified(own: DataFrame, unified: DataFrame, keys: list[str], attributes: dict[str, str]) -> DataFrame:
+    """A manual or scripted investment table against the unified one, line by line.
+
+    Amounts are compared as magnitudes in cents. `attributes` maps own columns to unified ones;
+    each gets a flag that is false where a side is missing, and so has the amount.
+    """
+    def side(df: DataFrame, names: list[str], out: str) -> DataFrame:
+        cents = F.sum(F.col("amount").cast("decimal(18,2)"))
+        return df.groupBy(*keys, *names).agg(F.abs(cents).cast("double").alias(out))
+
+    both = agreement(side(own, list(attributes), "amount_own"), side(unified, list(attributes.values()), "amount_unified"),
+                     keys, {**attributes, "amount_own": "amount_unified"})
+    return both.withColumnRenamed("amount_own_equal", "amount_equal")
+
+
+def ledger_account_map(ledger: DataFrame, mapping: DataFrame, accounts: DataFrame, account: str, code: str) -> DataFrame:
+    """Ledger lines with the account they map to: mapping and account list meet on the account,
+    their distinct lines meet the ledger on the code. Only lines known to all three stay.
+    """
+    known = join_keys(mapping, accounts, [account], "inner", null_safe=False).distinct()
+    return join_keys(ledger, known, [code], "inner", null_safe=False)
+
+
 def internal_sales(orders: DataFrame, entities: Entities) -> dict[str, DataFrame]:
     """Open internal-market orders: counterclaims of each pair, units to map, rows with gaps.
 
