@@ -29,16 +29,15 @@ def local_session(app: str, cores: int | str = 8, partitions: int = 8) -> SparkS
 def shared_base(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`, else the checkpoint folder of the context.
 
-    Only a local master may do without; it gets a temporary folder, the same for the whole session.
+    Only a local master may do without; its context gets a temporary one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    base = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -75,3 +75,28 @@ def test_reshapes(make):
     assert rows(melt_pairs(wide, ["id"], {"F": ("fa", "fd"), "G": ("ga", "gd")})) == {(1, "F", "u", "d1"), (1, "G", "w", "d2")}
     assert rows(stack_halves(wide, {"fa": "name", "fd": "value"}, {"ga": "name", "gd": "value"}, ("Assets", "Equity"))) == {
         (1, "Assets", "u", "d1"), (1, "Equity", "w", "d2")}
+
+
+def test_outputs_of_one_run_are_listed(make):
+    from ledgerloom.plans.monitoring import archive_compare
+
+    df = make([(1,)], "a int")
+    found = archive_compare({"x": df, "y": df}, {"y": df, "z": df})
+    assert rows(found["unpaired"]) == {("x", "only_old"), ("z", "only_new")} and found["columns"].count() == 1
+    assert rows(archive_compare({"x": df}, {"z": df})["unpaired"]) == {("x", "only_old"), ("z", "only_new")}
+
+
+def test_checklist_counts(make):
+    from ledgerloom.operators.quality import checklist
+
+    df = make([(1, float(v), "5") for v in range(20)] + [(2, 1000.0, "x"), (3, None, None)], "k int, v double, t string")
+    assert rows(checklist(df, ["k"], ["v"], ["t"])) == {
+        ("null", "k", 0), ("null", "v", 1), ("null", "t", 1), ("no number", "t", 1), ("repeated", "k", 19), ("outlier", "v", 1)}
+
+
+def test_decimal_zero_is_empty(make):
+    from ledgerloom.functions.columns import is_empty_value
+
+    df = make([("0.00",), ("0",), ("x",), (None,), ("1",)], "t string").withColumn("d", F.col("t").try_cast("decimal(10,2)"))
+    assert [tuple(r) for r in df.select(is_empty_value("t"), is_empty_value("d")).collect()] == [
+        (True, True), (True, True), (False, True), (True, True), (False, False)]

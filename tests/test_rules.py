@@ -63,3 +63,18 @@ def test_exclusions_overlaps_and_gaps(make):
     df = make([("n1", "External", True), ("n1", "External", True), ("n2", "s", True), ("n3", "External", False)], "name string, seg string, internal boolean")
     gaps = mapping_gaps(df, {"party": (F.col("internal") & (F.col("seg") == "External"), ["name", "seg"])})
     assert rows(gaps) == {("party", "n1", "External")}
+
+
+def test_rule_table_equals_rule_list_with_wildcards_and_any_prefix(make, spark):
+    rules = [
+        Rule("coded", codes=("C1", "C2"), prefixes=("1234567890", "9")), Rule("any source", report_type="AR", accounts=("5",)),
+        Rule("any type", ("S1",), prefixes=("77", "7")), Rule("no account", ("S2",), codes=("C3",)), Rule("long", ("S3",), "AP", prefixes=("a" * 200,)),
+    ]
+    accounts = ["1234567890x", "123456789", "9", "5", "77", "7", "8", None, "", "a" * 200 + "b", "a" * 199]
+    facts = [(s, r, c, a) for s in ("S1", "S2", "S3", None) for r in ("AR", "AP", None) for c in ("C1", "C3", None) for a in accounts]
+    df = make(facts + facts[:7], "source string, report_type string, code string, account string")
+    by_list = df.select("*", classify(rules, "source", "report_type", "code", "account").alias("p")).collect()
+    by_table = classify_by_table(df, rule_table(spark, rules), ["source", "report_type", "code"], "account", "p")
+    assert sorted(map(repr, by_list)) == sorted(map(repr, by_table.select("source", "report_type", "code", "account", "p").collect()))
+    nothing = classify_by_table(df, rule_table(spark, []), ["source", "report_type", "code"], "account", "p")
+    assert nothing.where("p IS NOT NULL").count() == 0 and nothing.count() == df.count()

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
-import pytest
-
 import datetime as dt
 
-from ledgerloom.session import shared_dir, staged
+import pytest
+from pyspark.sql import functions as F
+
+import ledgerloom.session as session_module
+from ledgerloom.session import clean_up, shared_dir, staged
 from ledgerloom.sources import (
     append_history, dated_files, latest_snapshot, read_delimited, read_files, read_jdbc, snapshot_pairs, trailing_period, union_sources, write_by, write_delimited, write_named,
 )
+from ledgerloom.sources.tables import literal_table
 from tests.conftest import rows
 
 D = [dt.date(2024, 1, 31), dt.date(2024, 4, 29), dt.date(2024, 4, 30)]
@@ -74,13 +77,12 @@ class Conf:
     def get(self, key, default=None):
         return self.values.get(key, default)
 
-    def set(self, key, value):
-        self.values[key] = value
-
 
 def test_shared_folder_follows_the_session(make):
     def session(master, conf_dir=None, context_dir=None):
-        context = type("C", (), {"master": master, "applicationId": "app-1", "getCheckpointDir": lambda self: context_dir})()
+        folders = [context_dir]
+        context = type("C", (), {"master": master, "applicationId": "app-1", "getCheckpointDir": lambda self: folders[-1],
+                                 "setCheckpointDir": lambda self, folder: folders.append(folder)})()
         return type("S", (), {"conf": Conf(**({"spark.checkpoint.dir": conf_dir} if conf_dir else {})), "sparkContext": context})()
 
     given = session("spark://host", "/shared/place")
@@ -120,3 +122,33 @@ def test_jdbc_options():
     assert read_jdbc(fake, {"url": "u"}, "select 1") == {"format": "jdbc", "url": "u", "query": "select 1"}
     seen = read_jdbc(fake, {"url": "u"}, "select * from t", "id", ("0", "100"), 4)
     assert (seen["dbtable"], seen["partitionColumn"], seen["numPartitions"]) == ("(select * from t) q", "id", "4")
+
+
+def test_days_of_timestamps_are_whole(make):
+    df = make([(1, "2024-04-29 23:59:59"), (2, "2024-04-30 10:00:00"), (3, "2024-05-01 00:00:00"), (4, "2024-03-30 00:00:00"), (5, None)], "v int, t string")
+    df = df.withColumn("ts", F.col("t").cast("timestamp"))
+    assert rows(trailing_period(df, "ts", "2024-04-30", months=1).select("v")) == {(1,), (2,), (4,)}
+    assert rows(latest_snapshot(df, "ts").select("v")) == {(3,)}
+    assert rows(latest_snapshot(df, "ts", "2024-04-30").select("v")) == {(2,)}
+    assert latest_snapshot(df.where("v = 5"), "ts").count() == 0
+
+
+def test_literal_tables(spark):
+    got = literal_table(spark, [("a", 1, None), (None, 2, "2024-01-31")], "k string, n int, d date").collect()
+    assert [(r.k, r.n, str(r.d)) for r in got] == [("a", 1, "None"), (None, 2, "2024-01-31")]
+    assert literal_table(spark, [], "k string, n int").columns == ["k", "n"]
+
+
+def test_groups_are_clustered_when_written(make, spark, tmp_path):
+    df = make([(f"g{i % 3}", i) for i in range(300)], "g string, v int").repartition(8)
+    path = write_by(df, str(tmp_path / "out"), ["g"])
+    assert spark.read.parquet(path).count() == 300
+    assert all(len(list((tmp_path / "out" / f"g=g{i}").glob("*.parquet"))) == 1 for i in range(3))
+
+
+def test_staged_tables_can_be_cleaned_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session_module, "shared_base", lambda spark: str(tmp_path))
+    staged(spark.range(3), "gone")
+    assert list(tmp_path.glob("ledgerloom-*/gone-*"))
+    clean_up(spark)
+    assert not list(tmp_path.glob("ledgerloom-*"))
