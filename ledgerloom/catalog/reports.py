@@ -783,6 +783,41 @@ def report_balance_monitor(t):
     return monitoring.balance_changes(items, files).withColumn("value_pct_diff", num("value_pct_diff", 6))
 
 
+BLOCK_NAMES = {0: "USD Equivalent", 1: "Net exposure", 4: "USD denominated", 5: "Current assets", 8: "Equity", 10: "Total assets", 11: "Total liabilities",
+               12: "Off-balance sheet", 14: "Total Off Balance Assets"}
+BLOCK_SQL = ctes(f"""
+l AS (SELECT doc_id AS file, i - 1 AS row_no, parts[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS t(i)),
+sheets AS (SELECT file, row_no, CASE row_no {' '.join(f"WHEN {i} THEN '{n}'" for i, n in BLOCK_NAMES.items())} ELSE split_part(line, ' ', 1) END AS name,
+  CAST(length(line) AS DOUBLE) AS usd, CAST(length(line) - length(replace(line, 'e', '')) AS DOUBLE) AS brl FROM l)""", """
+pairs AS (SELECT file // 2 AS company, min(file) AS old_file, max(file) AS new_file FROM sheets GROUP BY 1 HAVING min(file) < max(file))""", """
+r AS (SELECT company, file = new_file AS new, s.* FROM sheets s JOIN pairs ON file IN (old_file, new_file))""", """
+b AS (SELECT *, 'exposure' AS block FROM r WHERE row_no <= 1 UNION ALL SELECT *, 'balance' FROM r WHERE row_no BETWEEN 4 AND 11 UNION ALL SELECT *, 'off_balance' FROM r WHERE row_no BETWEEN 12 AND 14)""", """
+n AS (SELECT *, lower(trim(name)) AS low, block = 'balance' AND lower(trim(name)) IN ('current assets', 'equity') AS cls FROM b WHERE name <> '' OR usd <> 0 OR brl <> 0)""", """
+f AS (SELECT *, last_value(CASE WHEN cls THEN trim(name) END IGNORE NULLS) OVER (PARTITION BY file, block ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS class_name FROM n)""", """
+k AS (SELECT *, CASE WHEN block = 'exposure' THEN CASE WHEN low LIKE '%net%' THEN 'net_exposure' ELSE 'exposure_split' END WHEN low LIKE 'total%' THEN 'totals'
+  WHEN block = 'off_balance' THEN 'off_balance' ELSE 'items' END AS kind FROM f WHERE NOT cls OR low = 'equity')""", """
+x AS (SELECT company, new, kind AS block, CASE WHEN kind = 'totals' THEN CASE WHEN low LIKE '%liabilities%' THEN 'Liabilities and equity' WHEN low LIKE '%assets%' THEN 'Assets' END
+  WHEN kind = 'items' THEN class_name END AS class_name, CASE WHEN low LIKE 'total%' AND block = 'off_balance' THEN 'Off balance' ELSE trim(name) END AS name, usd, brl FROM k)""", """
+y AS (SELECT company, new, block, class_name, name, 'usd' AS currency_type, usd AS value FROM x UNION ALL SELECT company, new, block, class_name, name, 'brl', brl FROM x)""")
+
+
+@query("report_balance_blocks", BLOCK_SQL + """
+SELECT company, block, class_name, name, currency_type, coalesce(sum(value) FILTER (NOT new), 0) AS value_old, coalesce(sum(value) FILTER (new), 0) AS value_new,
+  coalesce(sum(value) FILTER (new), 0) - coalesce(sum(value) FILTER (NOT new), 0) AS value_diff FROM y GROUP BY ALL""")
+def report_balance_blocks(t):
+    lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("row_no", "line"))
+    name = F.create_map(*[F.lit(x) for pair in BLOCK_NAMES.items() for x in pair])
+    size = F.length("line")
+    rows = lines.select("file", F.col("row_no").cast("long").alias("row_no"), F.coalesce(F.try_element_at(name, F.col("row_no")), F.split("line", " ")[0]).alias("name"),
+                        size.cast("double").alias("usd"), (size - F.length(F.replace("line", F.lit("e"), F.lit("")))).cast("double").alias("brl"))
+    files = t.documents.groupBy(F.floor(F.col("doc_id") / 2).alias("company")).agg(
+        F.min("doc_id").alias("file_old"), F.max("doc_id").alias("file_new")).where(F.col("file_old") < F.col("file_new"))
+    head = F.col("name")
+    marks = {"exposure": (head == "USD Equivalent", head == "Net exposure"), "balance": (head == "USD denominated", head == "Total liabilities"),
+             "off_balance": (head == "Off-balance sheet", head == "Total Off Balance Assets")}
+    return monitoring.balance_blocks(rows, files, marks, ["Current assets", "Equity"], ["usd", "brl"])
+
+
 def profile_sql(src: str, cols: list[tuple[str, str]]) -> str:
     """SQL of a column profile over a table expression."""
     def number(c: str, ty: str) -> str:

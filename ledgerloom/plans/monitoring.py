@@ -49,6 +49,51 @@ def balance_changes(items: DataFrame, pairs: DataFrame) -> DataFrame:
     return period_diff(side("old"), side("new"), ["company", "class_name", "name", "currency_type"], "value")
 
 
+def balance_blocks(
+    sheets: DataFrame, pairs: DataFrame, marks: dict[str, tuple[Column, Column]], classes: list[str], values: list[str],
+    own_items: tuple[str, ...] = ("equity",),
+) -> DataFrame:
+    """Changes between the old and the new sheet of each company, for all blocks of a balance at once.
+
+    sheets(file, row_no, name, value columns); pairs(company, file_old, file_new). `marks` has the
+    start and end conditions of the blocks `exposure`, `balance` and `off_balance`; the first start
+    counts and the first end after it, both rows included. Lines come out under
+    - net_exposure and exposure_split: exposure rows with and without "net" in their name,
+    - items: balance rows by the class that opens above them; a class row is no item, unless it is
+      one of `own_items`,
+    - totals: rows named "total ..." of the balance, by side, and of the off-balance block,
+    - off_balance: the other rows of that block.
+    Sheets are tagged old or new once and compared by conditional sums in one grouping.
+    """
+    files = pairs.select("company", F.explode(F.array(
+        F.struct(F.col("file_old").alias("file"), F.lit(False).alias("new")), F.struct(F.col("file_new").alias("file"), F.lit(True).alias("new")),
+    )).alias("f")).select("company", "f.*")
+    rows = join_keys(sheets, files, ["file"], "inner", null_safe=False)
+    at = F.col("row_no")
+    starts = rows.groupBy("file").agg(*[F.min(F.when(s, at)).alias(f"__s_{b}") for b, (s, _) in marks.items()])
+    rows = join_keys(rows, starts, ["file"], "inner", null_safe=False)
+    ends = rows.groupBy("file").agg(*[F.min(F.when(e & (at > F.col(f"__s_{b}")), at)).alias(f"__e_{b}") for b, (_, e) in marks.items()])
+    rows = join_keys(rows, ends, ["file"], "inner", null_safe=False)
+    inside = [F.when((at >= F.col(f"__s_{b}")) & (at <= F.coalesce(f"__e_{b}", at)), F.lit(b)) for b in marks]
+    rows = drop_empty_rows(rows.withColumn("block", F.explode(F.array_compact(F.array(*inside)))), ["name", *values])
+    name = F.lower(F.trim("name"))
+    is_class = F.coalesce((F.col("block") == "balance") & name.isin(*[c.lower() for c in classes]), F.lit(False))
+    rows = forward_fill(rows.withColumn("class_name", F.when(is_class, F.trim("name"))), ["file", "block"], "row_no", ["class_name"])
+    total, off = name.startswith("total"), F.col("block") == "off_balance"
+    side = F.when(name.contains("liabilities"), "Liabilities and equity").when(name.contains("assets"), "Assets")
+    kind = F.when(F.col("block") == "exposure", F.when(name.contains("net"), "net_exposure").otherwise("exposure_split")).when(
+        total, "totals").when(off, "off_balance").otherwise("items")
+    keep = F.col("name").isNotNull() & (~is_class | name.isin(*own_items))
+    lines = rows.where(keep).select(
+        "company", "new", kind.alias("block"), F.when(kind == "totals", side).when(kind == "items", F.col("class_name")).alias("class_name"),
+        F.when(total & off, "Off balance").otherwise(F.trim("name")).alias("name"), *values)
+    long = melt(lines, ["company", "new", "block", "class_name", "name"], values, "currency_type", "value")
+    sums = long.groupBy("company", "block", "class_name", "name", "currency_type").agg(
+        F.coalesce(F.sum(F.when(~F.col("new"), F.col("value"))), F.lit(0.0)).alias("value_old"),
+        F.coalesce(F.sum(F.when(F.col("new"), F.col("value"))), F.lit(0.0)).alias("value_new"))
+    return sums.withColumn("value_diff", F.col("value_new") - F.col("value_old"))
+
+
 def archive_compare(old: dict[str, DataFrame], new: dict[str, DataFrame], tolerance: float = 0.4) -> dict[str, DataFrame]:
     """Column profiles of two runs of the same outputs, the outputs with a difference, and the
     outputs that only one run has (`unpaired`: dataset, side)."""

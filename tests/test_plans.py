@@ -21,7 +21,7 @@ WINDOWED = {
     "version_pairs", "ordered_report", "pct_change", "rolling_mean", "rolling_full_window", "volatility_horizons", "volatility_strict",
     "forward_fill", "backward_fill", "quantile_thresholds", "describe_columns", "iqr_filter", "report_triggers", "report_price_series",
     "report_price_volatility", "report_volatility", "report_balance_monitor", "recon_inventory_statistics", "report_market_shares",
-    "report_bank_limits_matrix",
+    "report_bank_limits_matrix", "report_balance_blocks",
 }
 
 
