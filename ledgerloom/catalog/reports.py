@@ -603,9 +603,9 @@ scale AS (SELECT p_size AS points, min(p_type) AS letter FROM part GROUP BY 1)""
 model AS (SELECT c_custkey AS party, c_mktsegment AS rating, c_acctbal / 100000 AS pd FROM customer WHERE c_acctbal > 3000)""", """
 j AS (SELECT i.*, letter, model.rating AS model_rating, model.pd AS model_pd FROM i LEFT JOIN scale ON try_cast(i.rating AS DOUBLE) = points LEFT JOIN model USING (party))""") + """
 SELECT invoice, party, country, CASE WHEN try_cast(rating AS DOUBLE) IS NULL THEN rating ELSE letter END AS rating,
-  round(coalesce(pd, avg(pd) OVER (PARTITION BY country)), 6) AS pd, model_rating, round(coalesce(model_pd, avg(model_pd) OVER (PARTITION BY country)), 6) AS model_pd FROM j""")
+  round(coalesce(pd, avg(pd) OVER (PARTITION BY country)), 6) AS pd, model_rating, """ + settled_sql("coalesce(model_pd, avg(model_pd) OVER (PARTITION BY country))", 6) + " AS model_pd FROM j")
 def report_invoice_pd(t):
-    return invoice_rates(t)["invoices"].withColumns({"pd": num("pd", 6), "model_pd": num("model_pd", 6)})
+    return invoice_rates(t)["invoices"].withColumns({"pd": num("pd", 6), "model_pd": settled("model_pd", 6)})
 
 
 def invoice_rates(t):
