@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import posixpath
 import tempfile
@@ -15,16 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_dir, staged
 
-__all__ = ["staged", "shared_dir", "ship", "table", "save", "load", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
+__all__ = ["staged", "shared_dir", "ship", "lean", "table", "save", "load", "mix64", "word_table", "scan_words", "text_buffer", "slices"]
 
 PIECE = 1 << 20
 
 
 _SHIPPED: set[str] = set()
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, whatever their import path is."""
+    """Send this package to the executors, once per application, whatever their import path is.
+
+    Batches of long texts are kept small, unless the session has a limit of its own.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) in (None, "67108864b"):  # Spark's default
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
     if spark.sparkContext.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -39,6 +48,20 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(spark.sparkContext.applicationId)
 
 
+def lean(run):
+    """A batch function that gives its memory back when it ends: Python workers are used again by later tasks."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

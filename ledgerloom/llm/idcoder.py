@@ -23,7 +23,7 @@ import numpy as np
 
 MAGIC = b"IDCM1\n"
 BLOCK_IDS = 4096
-LANES = 2048
+LANES = 1024
 GUESSES = 1 << 12
 ONE = 12  # bits of the mixing weights
 RATE = 5
@@ -212,7 +212,9 @@ def _unpack(data: bytes, at: int) -> tuple[bytes, int]:
 
 def write_ids(ids: np.ndarray, rows: bytes, block: int = BLOCK_IDS) -> bytes:
     """A file's bytes: magic, `rows` (any description of its documents), alphabet, checksummed blocks."""
-    counts = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    counts = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
+    for a in range(0, len(ids), 1 << 20):
+        counts += np.bincount(ids[a:a + (1 << 20)], minlength=len(counts))
     alphabet = np.flatnonzero(counts)
     rank = np.zeros(len(counts), np.int32)
     rank[alphabet] = np.arange(len(alphabet))

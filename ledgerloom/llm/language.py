@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, staged, table, text_buffer
+from ledgerloom.llm.common import lean, slices, staged, table, text_buffer
 
 LANGUAGES = ("de", "en", "es", "fr")
 NONE = "und"
@@ -96,7 +96,7 @@ def fit_text_model(docs: DataFrame, text: str, declared: Column, languages=LANGU
 
     number = F.array_position(F.array(*map(F.lit, languages)), declared) - 1
     known = docs.select(F.col(text).cast("string").alias("text"), number.cast("long").alias("number")).where("number >= 0")
-    counts = known.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = known.mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     flat = np.zeros(width * CELLS + LETTERS, np.float64)
     flat[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     cells = flat[:width * CELLS].reshape(width, CELLS) + SMOOTH
@@ -139,7 +139,7 @@ def text_scores(docs: DataFrame, text: str, keep: list[Column], model: np.ndarra
 
     source = docs.select(*keep, F.col(text).cast("string").alias("text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(score, f"{kept}, n_trigrams long, " + ", ".join(f"{x} double" for x in names))
+    return source.mapInArrow(lean(score), f"{kept}, n_trigrams long, " + ", ".join(f"{x} double" for x in names))
 
 
 def _posterior(rows: DataFrame, scores: list[Column]) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import mix64, scan_words, slices, staged, table, text_buffer, word_table
+from ledgerloom.llm.common import lean, mix64, scan_words, slices, staged, table, text_buffer, word_table
 from ledgerloom.llm.components import components
 
 WORDS = 3
@@ -135,7 +135,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64())],
                 names=["id", "n", "f1", "f2"])
 
-    return _source(docs, id_col, text_col).mapInArrow(run, "id long, n long, f1 long, f2 long")
+    return _source(docs, id_col, text_col).mapInArrow(lean(run), "id long, n long, f1 long, f2 long")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -196,8 +196,8 @@ def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent
             if len(followers):
                 yield pa.RecordBatch.from_arrays([pa.array(followers), pa.array(leaders)], names=["a", "b"])
 
-    emitted = _source(docs, id_col, text_col).mapInArrow(emit, LEADS)
-    return emitted.repartition(slots, "slot").mapInArrow(meet, "a long, b long").distinct()
+    emitted = _source(docs, id_col, text_col).mapInArrow(lean(emit), LEADS)
+    return emitted.repartition(slots, "slot").mapInArrow(lean(meet), "a long, b long").distinct()
 
 
 class Search:
@@ -296,7 +296,7 @@ def _search_groups(groups: DataFrame, width: int, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     keyed = groups.select("key", "id", F.col("side").cast("int").alias("side"), F.col("known").cast("long").alias("known"), "text")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lean(run), "a long, b long")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,

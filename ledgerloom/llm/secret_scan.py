@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import lean, table
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_BITS = 32.0
@@ -188,7 +188,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spans, pa.list_(span))], names=["id", "spans"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, spans array<struct<start: long, kind: string, end: long>>")
+    return source.mapInArrow(lean(run), "id long, spans array<struct<start: long, kind: string, end: long>>")
 
 
 def op6_secret_scan(spark, folder: str) -> DataFrame:

@@ -6,8 +6,8 @@ succeeded, so retried tasks leave nothing that is read. Files are read back from
 
 Encoding goes by distinct pieces: the tokenizer ignores letter case, drops white space and cuts
 words where letters, digits and signs meet before its merges, and no merge reaches over a cut,
-so a text's ids are those of its pieces in order. Every distinct piece of some megabytes of text
-is encoded once, by the tokenizer itself.
+so a text's ids are those of its pieces in order. A task encodes every distinct piece once, by
+the tokenizer itself, and remembers a bounded number of them.
 
 A null text is empty and holds only the end id. Rows of one document id stand together in an
 undefined order; rows without an id come first and keep none. An empty table gives no files and
@@ -16,7 +16,9 @@ no rows. Other columns are not stored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import os
 import struct
 import uuid
 import zlib
@@ -28,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import load, save, scan_words, shared_dir, slices, staged, table, text_buffer, word_table
+from ledgerloom.llm.common import lean, load, save, scan_words, shared_dir, slices, staged, table, text_buffer, word_table
 from ledgerloom.llm.idcoder import read_ids, write_ids
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
+CALL_PIECES = 1 << 14
+CACHE_PIECES = 1 << 20
 SPACE = b" \t\n\x0b\x0c\r"
 VALUES = word_table(SPACE)
 #: 0 other ASCII, 1 letters, 2 digits, 3 bytes beyond ASCII.
@@ -75,16 +79,41 @@ def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-class Encoder:
-    """Ids of texts, one tokenizer call per distinct piece of a group of texts."""
+@functools.cache
+def _tokenizer(path: str):
+    """Loaded once per Python worker, as it is large."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+    from tokenizers import Tokenizer
 
-    def __init__(self, path: str):
-        import os
+    return Tokenizer.from_file(path)
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+class Encoder:
+    """Ids of texts; every distinct piece goes to the tokenizer once, as long as it is remembered."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.first, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _learn(self, keys: np.ndarray, raw: bytes, begins: list[int], ends: list[int]) -> None:
+        """Encode new pieces; a call at a time, as the tokenizer's answers are large."""
+        lengths, flat = [], [self.flat]
+        for k in range(0, len(keys), CALL_PIECES):
+            span = slice(k, k + CALL_PIECES)
+            pieces = [raw[a:b].rstrip(SPACE).decode("utf-8", "replace") for a, b in zip(begins[span], ends[span])]
+            coded = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+            flat.append(np.fromiter(chain.from_iterable(coded), np.int32, int(lengths[-1].sum())))
+        lengths = np.concatenate(lengths)
+        first = np.r_[self.first, len(self.flat) + np.cumsum(lengths) - lengths]
+        keys = np.r_[self.keys, keys]
+        order = np.argsort(keys)
+        self.keys, self.first, self.lengths = keys[order], first[order], np.r_[self.lengths, lengths][order]
+        self.flat = np.concatenate(flat)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per row), each row closed by the end id."""
@@ -94,13 +123,15 @@ class Encoder:
         for place in np.unique(np.searchsorted(starts, np.flatnonzero(data == 0x3C), "right") - 1).tolist():
             own = data[bounds[place]:bounds[place + 1]].tobytes().rstrip(SPACE)
             hashes[place] = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little")
-        _, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        pieces = [raw[a:b].rstrip(SPACE).decode("utf-8", "replace") for a, b in zip(bounds[where].tolist(), bounds[where + 1].tolist())]
-        coded = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)] if pieces else []
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum()))
-        first = np.cumsum(lengths) - lengths
+        own, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_PIECES:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.keys, own), max(0, len(self.keys) - 1))
+        fresh = np.flatnonzero(self.keys[at] != own) if len(self.keys) else np.arange(len(own))
+        if len(fresh):
+            self._learn(own[fresh], data.tobytes(), bounds[where[fresh]].tolist(), bounds[where[fresh] + 1].tolist())
+        at = np.searchsorted(self.keys, own)
+        first, lengths = self.first[at], self.lengths[at]
         length = lengths[back]
         before = np.r_[0, np.cumsum(length)]
         ends = np.cumsum(counts)
@@ -108,7 +139,7 @@ class Encoder:
         inner = np.ones(int(per_row.sum()), bool)
         inner[np.cumsum(per_row) - 1] = False
         out = np.full(len(inner), end, np.int32)
-        out[inner] = flat[np.arange(before[-1]) + np.repeat(first[back] - before[:-1], length)]
+        out[inner] = self.flat[np.arange(before[-1]) + np.repeat(first[back] - before[:-1], length)]
         return out, per_row
 
 
@@ -144,7 +175,7 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = source.repartitionByRange("id").sortWithinPartitions("id")
-    return staged(ordered.mapInArrow(write, MANIFEST), "manifest")
+    return staged(ordered.mapInArrow(lean(write), MANIFEST), "manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -169,7 +200,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
     files = manifest.count()
     spread = placed.select("file", "path", "before").repartitionByRange(max(1, files), "file")  # a file a task
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, table, text_buffer
+from ledgerloom.llm.common import lean, slices, table, text_buffer
 
 ORDER = 5
 CELLS = 1 << 19
@@ -98,7 +98,7 @@ def fit(urls: DataFrame) -> np.ndarray:
         some = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(flat[some])], names=["cell", "n"])
 
-    counts = urls.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = urls.mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     flat = np.zeros(4 * CELLS, np.float32)
     flat[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     return flat.reshape(2, 2, CELLS)
@@ -126,7 +126,7 @@ def score(rows: DataFrame, model) -> DataFrame:
                                              names=[*batch.schema.names, "score"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, kept + ", score double")
+    return rows.mapInArrow(lean(run), kept + ", score double")
 
 
 def calibrate(decided: DataFrame) -> float:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import load, save, shared_dir, staged, table
+from ledgerloom.llm.common import lean, load, save, shared_dir, staged, table
 
 ARCHIVE_BYTES = 16 << 20
 SAMPLE_BYTES = 2 << 20
@@ -153,7 +153,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     marks = staged(mark_revisits(pages, id_col, payload_col), "marks").alias("m")
     joined = own.join(marks, (F.col("o.digest") == F.col("m.digest")) & F.col("o.id").eqNullSafe(F.col("m.id")))
     joined = joined.select("o.id", "o.url", "o.payload", "m.first")
-    return staged(joined.mapInArrow(write, "path string, records long, raw_bytes long, bytes long"), "manifest")
+    return staged(joined.mapInArrow(lean(write), "path string, records long, raw_bytes long, bytes long"), "manifest")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     ddl = ("page_id long, url string, payload string, payload_bytes long, payload_digest string, record_type string, "
            "refers_to long")
-    return manifest.select("path").repartition(F.xxhash64("path")).mapInArrow(read, ddl)
+    return manifest.select("path").repartition(F.xxhash64("path")).mapInArrow(lean(read), ddl)
 
 
 def _row(data: bytes) -> dict:
