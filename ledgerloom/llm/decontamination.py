@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import scan_words, slices, staged, table, text_buffer, word_table
+from ledgerloom.llm.common import lean, scan_words, slices, staged, table, text_buffer, word_table
 
 WINDOW = 10
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_WORDS = 1 << 20
 CANDIDATES = 1 << 21
 
@@ -123,7 +123,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield flush()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(build, SEGMENT_DDL)
+    return source.mapInArrow(lean(build), SEGMENT_DDL)
 
 
 class Windows:
@@ -168,7 +168,7 @@ def _read_items(items: DataFrame, id_col: str, text_col: str, block_words: int)
     source = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"),
                           F.col(text_col).cast("string").alias("text"))
     block, size = [], 0
-    for row in source.mapInArrow(hashed, "id string, words binary").toLocalIterator():
+    for row in source.mapInArrow(lean(hashed), "id string, words binary").toLocalIterator():
         if row.words:
             block.append((row.id, np.frombuffer(bytes(row.words), np.uint64)))
             size += len(block[-1][1])
@@ -196,7 +196,7 @@ def _totals(index: DataFrame, vocabulary) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["term", "n"])
 
     totals = np.zeros(len(vocabulary.value), np.int64)
-    for row in index.select("terms", "counts").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for row in index.select("terms", "counts").mapInArrow(lean(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         totals[row.term] = row.n
     return totals
 
@@ -230,29 +230,33 @@ def _find(postings: Postings, windows: Windows, slack: int) -> Iterator[tuple[np
 
 
 def match(index: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", width: int = WINDOW,
-          slack: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+          slack: int = 0, block_words: int = BLOCK_WORDS, digest: bool = False) -> DataFrame:
     """Per document: its words, the word ranges hit by a window of an item, and these items.
 
     A window is `width` consecutive words of an item, or the whole of a shorter one. With
     `slack` 0 matches are exact phrases; else each further term of a window may stand up to
     `slack` words from its place beside the rarest term, in the same document.
-    `index` must be written (`staged`), as its segments are named at random.
+    `index` must be written (`staged`), as its segments are named at random. With `digest` the
+    result is counted and digested per document, in the same tasks if one block holds all items.
     """
     spark = index.sparkSession
-    found = []
+    blocks = []
     for block in _read_items(items, item_id, item_text, block_words):
         windows = Windows(block, width)
         vocabulary = spark.sparkContext.broadcast(windows.vocabulary)
-        found.append(_search(index, spark.sparkContext.broadcast(windows.rank(_totals(index, vocabulary))), slack))
-    if not found:
-        found.append(_search(index, spark.sparkContext.broadcast(Windows([], width).rank(np.zeros(0))), slack))
-    if len(found) == 1:
-        return found[0].drop("segment", "row")
+        blocks.append(spark.sparkContext.broadcast(windows.rank(_totals(index, vocabulary))))
+    if not blocks:
+        blocks.append(spark.sparkContext.broadcast(Windows([], width).rank(np.zeros(0))))
+    if len(blocks) == 1:
+        found = _search(index, blocks[0], slack, digest)
+        return found if digest else found.drop("segment", "row")
+    found = [_search(index, block, slack) for block in blocks]
     merged = reduce(DataFrame.unionByName, found).groupBy("segment", "row").agg(
         F.first("id").alias("id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("begins")).alias("begins"), F.flatten(F.collect_list("ends")).alias("ends"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return merged.drop("segment", "row")
+    merged = merged.drop("segment", "row")
+    return merged.mapInArrow(lean(_digest), DIGEST) if digest else merged
 
 
 FOUND = pa.schema([
@@ -261,7 +265,10 @@ FOUND = pa.schema([
 ])
 
 
-def _search(index: DataFrame, windows, slack: int) -> DataFrame:
+DIGEST = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def _search(index: DataFrame, windows, slack: int, digest: bool = False) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -297,7 +304,9 @@ def _search(index: DataFrame, windows, slack: int) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows[a:a + 2000], schema=FOUND)
 
     ddl = "segment string, row int, id long, n_words long, begins array<int>, ends array<int>, items array<string>"
-    return index.mapInArrow(search, ddl)
+    if digest:
+        return index.mapInArrow(lean(lambda batches: _digest(search(batches))), DIGEST)
+    return index.mapInArrow(lean(search), ddl)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +331,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, segmen
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: words, words hit, test items found and their digest, whether any was hit."""
     index = staged(build_index(docs, segment_bytes=segment_bytes), "positions")
-    found = match(index, items, width=width, block_words=block_words)
-    ddl = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return found.mapInArrow(_digest, ddl)
+    return match(index, items, width=width, block_words=block_words, digest=True)
 
 
 def op7_decontamination(spark, folder: str) -> DataFrame:
