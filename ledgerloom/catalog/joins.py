@@ -314,7 +314,9 @@ def lineage_drill(t):
     keys = ["l_suppkey", "l_returnflag"]
     groups = t.lineitem.groupBy(*keys).agg(sum0("l_extendedprice").alias("amount"))
     selected = groups.where(F.col("amount") > groups.agg(F.avg("amount")).scalar())
-    lineage = collect_chunks(t.lineitem, keys, "l_orderkey", 1000)
-    sources = join_keys(lineage, selected.select(*keys), keys, "left_semi").select(F.explode("members").alias("source_id"))
+    # only the members of selected groups are collected; the selection is written, so its size is known
+    chosen = t.derived("selected_groups", lambda: selected.select(*keys))
+    lineage = collect_chunks(join_keys(t.lineitem, chosen, keys, "left_semi"), keys, "l_orderkey", 1000)
+    sources = lineage.select(F.explode("members").alias("source_id"))
     return t.orders.join(sources, F.col("o_orderkey") == F.col("source_id"), "left_semi").select(
         "o_orderkey", "o_custkey", "o_totalprice")
