@@ -6,8 +6,13 @@ is the difference of its log likelihoods per character. The threshold is calibra
 the decided URLs that the models have not seen: the score that splits them with the best mean
 of both classes' recall.
 
-Counts are gathered over all pages in tables of hashed cells of fixed size, so the models sent to
-the executors stay the same size whatever the input. Nothing but small sums is shuffled.
+Counts are kept in a table keyed by the real characters of a context and the next one, packed
+into a long, so the models grow with the input and no two contexts share a count. The orders are
+rolled up from the longest one and joined from the shortest to the longest; no key of these joins
+has more rows than there are characters. The characters of the URLs are joined to the result,
+except those of the `COMMON` most frequent contexts at most, which every task holds.
+
+A character's part of a score is rounded to a billionth, so sums do not depend on their order.
 
 A null URL, or one without `://`, has an empty host and path and no rule; a URL without
 characters scores 0. Rows are judged one by one, so repeated rows agree. If the rules decide no
@@ -21,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import lean, slices, table, text_buffer
+from ledgerloom.llm.common import lean, slices, staged, table, text_buffer
 
 ORDER = 5
-CELLS = 1 << 19
+SYMBOL_BITS = 9
+COMMON = 4096
+UNIT = 1_000_000_000
 STRENGTH = 4.0
 BINS = 4000
 WIDEST = 10.0
@@ -52,81 +59,109 @@ def judge(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _cells(column: pa.Array):
-    """Per slice of URLs: for each order the (context, context and character) cells of all characters, and row lengths."""
+def _grams(column: pa.Array):
+    """Per slice of URLs: its first row, each character with the `ORDER` before it in a long, and row lengths.
+
+    The character takes the lowest bits, the one before it the next ones; 0 is before the start.
+    """
     data, offsets = text_buffer(column)
     for a, b in slices(offsets):
         size = np.diff(offsets[a:b + 1])
-        own = data[offsets[a]:offsets[b]].astype(np.uint64)
+        own = data[offsets[a]:offsets[b]]
         # place of each character in its URL; the end is a character too
         rows = np.repeat(np.arange(b - a), size + 1)
         begin = np.cumsum(size + 1) - (size + 1)
         place = np.arange(len(rows)) - begin[rows]
-        text = np.full(len(rows), 256, np.uint64)
+        text = np.full(len(rows), 256, np.int64)
         text[place < size[rows]] = own
-        context = np.zeros(len(rows), np.uint64)
-        cells = []
-        for k in range(ORDER + 1):
-            if k:
-                back = np.zeros(len(rows), np.uint64)
-                back[k:] = text[:-k] + np.uint64(1)
-                back[place < k] = 0  # before the start
-                context = (context + back * np.uint64(0x9E3779B97F4A7C15 + 2 * k)) * np.uint64(0xD1B54A32D192ED03)
-            seed = context ^ np.uint64(k + 1)
-            joint = (seed + text * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)
-            cells.append(((seed * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(45)).astype(np.int64),
-                          (joint >> np.uint64(45)).astype(np.int64)))
-        yield cells, size, begin
-
-
-def fit(urls: DataFrame) -> np.ndarray:
-    """Counts [class][context, joint][cell] from (url, class) rows, class 0 rejected and 1 accepted."""
+        grams = text.copy()
+        for k in range(1, ORDER + 1):
+            back = np.zeros(len(rows), np.int64)
+            back[k:] = text[:-k] + 1
+            back[place < k] = 0
+            grams |= back << (SYMBOL_BITS * k)
+        yield a, grams, size
+
+
+def count_grams(urls: DataFrame) -> DataFrame:
+    """(gram, n, n0, n1) from (url, class) rows: all occurrences, and those in class 0 (rejected) and 1 (accepted)."""
 
     def count(batches):
-        totals = np.zeros((2, 2, CELLS), np.int64)
         for batch in batches:
-            kinds = batch.column(1).to_numpy()
-            first = 0
-            for cells, size, _ in _cells(batch.column(0)):
+            kinds = batch.column(1).fill_null(-1).to_numpy()
+            for first, grams, size in _grams(batch.column(0)):
+                own, at = np.unique(grams, return_inverse=True)
                 kind = np.repeat(kinds[first:first + len(size)], size + 1)
-                first += len(size)
-                for c in (0, 1):
-                    for context, joint in cells:
-                        totals[c, 0] += np.bincount(context[kind == c], minlength=CELLS)
-                        totals[c, 1] += np.bincount(joint[kind == c], minlength=CELLS)
-        flat = totals.ravel()
-        some = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(flat[some])], names=["cell", "n"])
-
-    counts = urls.mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(4 * CELLS, np.float32)
-    flat[counts["cell"].to_numpy()] = counts["n"].to_numpy()
-    return flat.reshape(2, 2, CELLS)
-
-
-def score(rows: DataFrame, model) -> DataFrame:
-    """`rows`, whose first column is the URL, with `score`: log likelihood difference per character."""
+                counts = [np.bincount(at, kind == c if c is not None else None, len(own)).astype(np.int64) for c in (None, 0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (own, *counts)], names=["gram", "n", "n0", "n1"])
+
+    counts = urls.mapInArrow(lean(count), "gram long, n long, n0 long, n1 long")
+    return counts.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("n", "n0", "n1")))
+
+
+def _last(gram: str, k: int) -> Column:
+    """A gram without the characters beyond its order k."""
+    return F.col(gram).bitwiseAND(F.lit((1 << SYMBOL_BITS * (k + 1)) - 1))
+
+
+def model_table(grams: DataFrame) -> DataFrame:
+    """(gram, n, part): log likelihood difference of each gram's character, from `count_grams`."""
+    levels = {ORDER: grams}
+    for k in range(ORDER - 1, -1, -1):
+        levels[k] = staged(levels[k + 1].groupBy(_last("gram", k).alias("gram")).agg(
+            F.sum("n").alias("n"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "grams")
+    start = F.lit(1 / 257)
+    shorter = None
+    for k in range(ORDER + 1):
+        rows = levels[k].withColumn("context", F.shiftright("gram", SYMBOL_BITS))
+        contexts = rows.groupBy("context").agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
+        rows = rows.join(contexts, "context")
+        if shorter is None:
+            rows = rows.withColumns({"q0": start, "q1": start})
+        else:
+            rows = rows.withColumn("short", _last("gram", k - 1)).join(shorter, "short")
+        p = {f"p{c}": (F.col(f"n{c}") + STRENGTH * F.col(f"q{c}")) / (F.col(f"c{c}") + STRENGTH) for c in (0, 1)}
+        rows = rows.select("gram", "n", *(v.alias(name) for name, v in p.items()))
+        shorter = rows.select(F.col("gram").alias("short"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+    return rows.select("gram", "n", F.round((F.log("p1") - F.log("p0")) * UNIT).cast("long").alias("part"))
+
+
+def score(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """`rows` of distinct `row` numbers and their `url`, with `score`: log likelihood difference per character."""
+    total = model.agg(F.sum("n").alias("n")).first().n or 0
+    common = model.where(F.col("n") * COMMON >= total).select("gram", "part").toArrow().sort_by("gram")
+    shared = rows.sparkSession.sparkContext.broadcast((common["gram"].to_numpy(), common["part"].to_numpy()))
+
+    def found(grams):
+        keys, parts = shared.value
+        if not len(keys):
+            return np.zeros(len(grams), bool), np.zeros(len(grams), np.int64)
+        at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+        known = keys[at] == grams
+        return known, np.where(known, parts[at], 0)
+
+    def rare(batches):
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            for first, grams, size in _grams(batch.column(1)):
+                left = ~found(grams)[0]
+                row = np.repeat(numbers[first:first + len(size)], size + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(row[left]), pa.array(grams[left])], names=["row", "gram"])
 
-    def run(batches):
+    def usual(batches):
         for batch in batches:
-            out = []
-            for cells, size, begin in _cells(batch.column(0)):
-                logs = []
-                for c in (1, 0):
-                    p = np.full(int((size + 1).sum()), 1 / 257, np.float64)
-                    for context, joint in cells:
-                        n = model.value[c, 0][context]
-                        # a joint cell shared with another by hash cannot exceed its context
-                        p = (np.minimum(model.value[c, 1][joint], n) + STRENGTH * p) / (n + STRENGTH)
-                    logs.append(np.log(p))
-                total = np.add.reduceat(logs[0] - logs[1], begin) if len(begin) else np.zeros(0)
-                out.append(np.where(size > 0, total / (size + 1), 0.0))
-            scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
-                                             names=[*batch.schema.names, "score"])
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(lean(run), kept + ", score double")
+            sums = [np.add.reduceat(found(grams)[1], np.cumsum(size + 1) - (size + 1)) for _, grams, size in _grams(batch.column(1))]
+            sums = np.concatenate(sums) if sums else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=[*batch.schema.names, "usual"])
+
+    url = rows.select("row", "url")
+    parts = url.mapInArrow(lean(rare), "row long, gram long").join(model.select("gram", "part"), "gram")
+    parts = parts.groupBy("row").agg(F.sum("part").alias("rare"))
+    whole = url.mapInArrow(lean(usual), "row long, url string, usual long").select("row", "usual")
+    size = F.coalesce(F.octet_length("url"), F.lit(0))
+    value = (F.col("usual") + F.coalesce("rare", F.lit(0))) / F.lit(float(UNIT)) / (size + 1)
+    scored = rows.join(whole, "row").join(parts, "row", "left")
+    return scored.withColumn("score", F.when(size > 0, value).otherwise(0.0)).drop("usual", "rare")
 
 
 def calibrate(decided: DataFrame) -> float:
@@ -162,12 +197,14 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     name, verdict = judge(F.col("host"), F.col("path"), rules)
     rows = pages.select(url.alias("url"), F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.select("*", name.alias("rule"), verdict.alias("ruled"))
-    known = rows.where("ruled IS NOT NULL").select(
-        "url", (F.col("ruled") == "allow").cast("int").alias("class"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).alias("fold"))
-    spark = pages.sparkSession
-    model = spark.sparkContext.broadcast(fit(known.where("fold > 0").select("url", "class")))
-    threshold = calibrate(score(known, model))
-    return score(rows, model).select(
+    fold = F.when(F.col("ruled").isNotNull(), F.pmod(F.xxhash64("url"), F.lit(FOLDS)))
+    kind = (F.col("ruled") == "allow").cast("int")
+    rows = rows.withColumns({"class": kind, "fold": fold, "row": F.monotonically_increasing_id()})
+    rows = staged(rows, "urls")  # the row numbers hold once they are written
+    grams = staged(count_grams(rows.select("url", F.when(F.col("fold") > 0, F.col("class")).alias("class"))), "grams")
+    scored = staged(score(rows, staged(model_table(grams), "model")), "scored")
+    threshold = calibrate(scored.where("ruled IS NOT NULL").select("class", "fold", "score"))
+    return scored.select(
         "id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("score") >= F.lit(float(threshold)), "allow").otherwise("block")).alias("verdict"),
         F.round("score", 6).alias("score"))

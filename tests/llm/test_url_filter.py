@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import url_filter as U
 
@@ -62,3 +66,35 @@ def test_repeated_rows_long_urls_extra_columns_and_empty_table(spark):
     got = U.filter_urls(df).collect()
     assert len(got) == 3 and len({(r.verdict, r.score) for r in got if r.id == 1}) == 1
     assert U.filter_urls(df.limit(0)).count() == 0
+
+
+def test_scores_are_those_of_real_contexts(spark):
+    rng = random.Random(5)
+    hosts = ["a.com", "b.net"]
+    urls = [f"http://{hosts[i % 2]}/{'fr/' if i % 2 else ''}" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=60)) for i in range(5000)]
+    urls += ["http://c.org/" + urls[i][20:50] for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    fold = dict(map(tuple, df.select("page_id", F.pmod(F.xxhash64("url"), F.lit(U.FOLDS))).collect()))
+    joint, context = (Counter(), Counter()), (Counter(), Counter())
+
+    def grams(url):
+        text = [0] * U.ORDER + [c + 1 for c in url.encode()] + [257]
+        for i in range(U.ORDER, len(text)):
+            yield [tuple(text[i - k:i]) for k in range(U.ORDER + 1)], text[i]
+
+    for i, u in enumerate(urls[:5000]):
+        if fold[i]:
+            for contexts, c in grams(u):
+                for x in contexts:
+                    joint[1 - i % 2][x, c] += 1
+                    context[1 - i % 2][x] += 1
+    assert len(context[0]) + len(context[1]) > 400_000
+    got = {r.id: r.score for r in U.filter_urls(df).collect()}
+    for i in [*range(0, 5000, 100), *range(5000, 5050)]:
+        total, n = 0.0, 0
+        for contexts, c in grams(urls[i]):
+            p = [1 / 257, 1 / 257]
+            for x in contexts:
+                p = [(joint[k][x, c] + U.STRENGTH * p[k]) / (context[k][x] + U.STRENGTH) for k in (0, 1)]
+            total, n = total + math.log(p[1] / p[0]), n + 1
+        assert got[i] == pytest.approx(total / n, abs=2e-6)
