@@ -20,6 +20,10 @@ from ledgerloom.llm.ngram_jaccard import link_components
 from ledgerloom.llm.token_files import encode_and_read
 
 
+#: Shingles of the near_duplicates stage; op9's own are narrower and must be more alike.
+WIDTH, PERCENT = 5, 80
+
+
 def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
     """The documents whose id is not among the dropped ones."""
     return docs.join(staged(dropped.where("doc_id IS NOT NULL").distinct(), name), "doc_id", "left_anti").select(docs.columns)
@@ -36,9 +40,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a shingle similarity of 0.9 or more, the one with the smallest id stays."""
+    """Of documents connected by a five-word shingle similarity of 0.8 or more, the one with the smallest id stays."""
     ship(spark)
-    linked = staged(link_components(docs), "linked")
+    linked = staged(link_components(docs, width=WIDTH, percent=PERCENT), "linked")
     kept = _without(docs, linked.where("component_id <> id").select(F.col("id").alias("doc_id")), "copies")
     repeated = linked.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
     if repeated.limit(1).count():  # rows of one id are one document

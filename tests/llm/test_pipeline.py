@@ -72,6 +72,19 @@ def test_near_duplicate_stage_with_repeated_rows(spark, docs, folder):
     assert got == [-1, 5, 9]
 
 
+def test_near_duplicate_stage_takes_five_words_and_eighty_percent(spark, docs, folder):
+    words = [f"w{i}" for i in range(200)]
+    near, far, apart = words.copy(), words.copy(), words.copy()
+    for i in (30, 90, 150):  # 181 of 211 shingles of five words, 0.858; of three words, 189 of 207
+        near[i] = "new"
+    for i in (20, 60, 100, 140):  # 176 of 216, 0.815; of three words 186 of 210, 0.886
+        far[i] = f"other{i}"
+    for i in range(10, 190, 20):  # 151 of 241, 0.627
+        apart[i] = f"third{i}"
+    rows = docs([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(apart))])
+    assert sorted(r.doc_id for r in STAGES[1][1](spark, rows, folder).collect()) == [1, 4]
+
+
 def test_stages_on_an_empty_table(spark, docs, folder):
     for _, stage in STAGES:
         assert stage(spark, docs([(1, "a")]).limit(0), folder).count() == 0
