@@ -4,7 +4,9 @@ The fixed patterns find assignments to credential names, access keys and long he
 Beyond them, every value that stands in a credential context gets a guess cost: the cheapest
 way to write it as words, dates, repeats, keyboard walks and brute-force stretches, by dynamic
 programming over its positions. Each piece costs the logarithm of the guesses it needs and a
-little for being a piece of its own. Values of at least `MIN_BITS` that no fixed pattern covers
+little for being a piece of its own. A brute-force stretch pays for each change between lower
+case, upper case, digits and other characters, so short values of mixed characters are dear,
+while unknown words of one kind (up to 9 characters, a capital in front allowed) stay cheap. Values of at least `MIN_BITS` that no fixed pattern covers
 are reported as kind `guess`; placeholders such as a word with a year stay below it.
 
 Word ranks come from all documents: a grouped count of their words, of which the most frequent
@@ -30,6 +32,7 @@ KINDS = ("assign", "access", "hex", "guess")
 MIN_BITS = 32.0
 PIECE_BITS = 2.0
 BRUTE_BITS = math.log2(10)
+SWITCH_BITS = PIECE_BITS + math.log2(4)  # to one of the kinds of characters
 DICTIONARY = 20_000
 WORD_LENGTHS = (3, 24)
 
@@ -71,16 +74,31 @@ def _case_bits(word: str) -> float:
     return math.log2(sum(math.comb(len(word), k) for k in range(1, min(upper, len(word) - upper) + 1)) + 1)
 
 
+def _kind(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+def _switches(value: str) -> list[float]:
+    """For each character, what a brute-force stretch pays to go on to it from the one before."""
+    kinds = [_kind(c) for c in value]
+    out = [0.0] + [SWITCH_BITS if a != b else 0.0 for a, b in zip(kinds, kinds[1:])]
+    if kinds[:2] == [1, 0]:
+        out[1] = 1.0  # a capital in front
+    return out
+
+
 def guess_bits(value: str, ranks: dict[str, int]) -> float:
     """Log2 of the guesses for the cheapest segmentation of a value."""
     n, low = len(value), value.lower()
     plain = low.translate(_PLAIN)
     best = [0.0] + [math.inf] * n  # cheapest cost of a prefix
+    closed = best.copy()  # the same, not ending in a brute-force stretch
     brute = [math.inf] * (n + 1)  # the same, ending in an open brute-force stretch
+    switch = _switches(value)
     runs, walks = _run_ends(low), _walk_ends(low)
     for i in range(n):
-        brute[i + 1] = min(brute[i], best[i] + PIECE_BITS) + BRUTE_BITS
-        best[i + 1] = min(best[i + 1], brute[i + 1])
+        best[i] = min(closed[i], brute[i])
+        brute[i + 1] = min(brute[i] + switch[i], closed[i] + PIECE_BITS) + BRUTE_BITS
         here = best[i] + PIECE_BITS
         for size in range(WORD_LENGTHS[0], min(WORD_LENGTHS[1], n - i) + 1):
             word = low[i:i + size]
@@ -89,22 +107,22 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
             if rank is None and plain[i:i + size] != word:
                 rank, swapped = ranks.get(plain[i:i + size]), 2.0
             if rank is not None:
-                best[i + size] = min(best[i + size], here + math.log2(rank) + _case_bits(value[i:i + size]) + swapped)
+                closed[i + size] = min(closed[i + size], here + math.log2(rank) + _case_bits(value[i:i + size]) + swapped)
         if low[i].isdigit() and (m := _DATE.match(low, i)):
             cost = math.log2(120 * 365 * 4) if m.end() - i > 4 else math.log2(120)
-            best[m.end()] = min(best[m.end()], here + cost)
+            closed[m.end()] = min(closed[m.end()], here + cost)
         for unit, end in runs.get(i, ()):
             cost = unit * BRUTE_BITS + math.log2((end - i) / unit)
             for stop in range(i + 2 * unit, end + 1, unit):
-                best[stop] = min(best[stop], here + cost)
+                closed[stop] = min(closed[stop], here + cost)
         if walks[i] - i >= 3:
             turns = 1
             for stop in range(i + 2, walks[i] + 1):
                 if stop - i > 2 and _step(low, stop - 1) != _step(low, stop - 2):
                     turns += 1
                 if stop - i >= 3:
-                    best[stop] = min(best[stop], here + math.log2(47 * (stop - i)) + turns * math.log2(4.6))
-    return best[n]
+                    closed[stop] = min(closed[stop], here + math.log2(47 * (stop - i)) + turns * math.log2(4.6))
+    return min(closed[n], brute[n])
 
 
 def _run_ends(text: str) -> dict[int, list[tuple[int, int]]]:

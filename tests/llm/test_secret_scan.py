@@ -91,3 +91,12 @@ def test_query_columns(spark, docs, tmp_path):
 
 def test_empty_table(docs):
     assert S.find_secrets(docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_short_values_of_mixed_characters():
+    for dear in ("9$Kq!x", "k7#Q2v!", "9$Kq!x7Z", "Xk9#mQ2v", "tG4wZ8r1", "q7R!z2M#k"):
+        assert S.guess_bits(dear, RANKS) >= S.MIN_BITS, dear
+        assert [(k, "pwd: " + dear) for _, k, _ in S.scan(f"pwd: {dear} x", RANKS)] == [(3, "pwd: " + dear)]
+    assert [k for _, k, _ in S.scan("password: 'Xk9#mQ2v'", RANKS)] == [3]
+    for cheap in ("summer", "Summer1", "admin123", "wolfram", "Wolfgang", "20240115", "123456", "horse99", "the2024"):
+        assert S.guess_bits(cheap, RANKS) < S.MIN_BITS, cheap
