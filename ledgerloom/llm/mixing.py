@@ -7,7 +7,8 @@ weights. Every step evaluates a row of exponents in one grouped query over the s
 table of sources reaches the driver.
 
 A token budget then gives every source a number of passes, budget x weight / tokens. A source
-is dealt by hash into blocks; each pass goes through all blocks in an order of its own, and the
+is dealt by hash into blocks; each pass goes through all blocks in an order of its own, which is
+returned on demand as the block's rank in its pass and the document's place in the block. The
 last, unfinished pass takes blocks until the budget of the source is met, cutting the last
 block by document. Only block totals are ordered per source, and only the one cut block is
 ordered by document, so no task ever orders a source.
@@ -87,12 +88,14 @@ def source_weights(counts: DataFrame, repetition: float | None = REPETITION, ent
 def mix(docs: DataFrame, source: str = "source", text: str | None = "text", tokens: Column | None = None,
         key: list[str] = ("doc_id",), budget: int | None = None, repetition: float | None = REPETITION,
         entropy: float | None = None, seed: int = 0, blocks: int = BLOCKS,
-        number: str = "pass") -> tuple[DataFrame, DataFrame]:
+        number: str = "pass", position: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The mixed documents with the number of their pass, and the sources' weights.
 
     Each source's documents come as often as its passes say; a started pass stops before the
     document that would exceed the source's share of the budget. Rows with one key stay together.
-    An input column named like `number` is replaced.
+    `position` names two more columns, the block's rank in the pass, from 1, and the document's
+    place in the block: by source, pass, rank and place the documents are in mixed order.
+    Input columns named like `number` or these are replaced.
     """
     # null sources are told from any text
     group = F.concat(F.when(F.col(source).isNull(), "0").otherwise("1"), F.coalesce(F.col(source).cast("string"), F.lit("")))
@@ -101,7 +104,7 @@ def mix(docs: DataFrame, source: str = "source", text: str | None = "text", toke
     block = F.pmod(F.xxhash64(F.lit(seed), group, *identity), F.lit(blocks)).cast("int")
     place = F.xxhash64(F.lit(seed), F.lit("cut"), *identity)
     dealt = docs.select(group.alias("g"), block.alias("b"), place.alias("place"), F.struct(
-        *(F.col(f"`{c}`") for c in docs.columns if c != number)).alias("doc"), count.alias("t"))
+        *(F.col(f"`{c}`") for c in docs.columns if c not in (number, *(position or ())))).alias("doc"), count.alias("t"))
     by_block = staged(dealt.groupBy("g", "b").agg(F.sum("t").alias("t")), "blocks")
     weights = staged(source_weights(by_block.groupBy("g").agg(F.sum("t").alias("tokens")), repetition, entropy), "weights")
     if budget is None:
@@ -125,14 +128,22 @@ def mix(docs: DataFrame, source: str = "source", text: str | None = "text", toke
         "upto", F.sum("t").over(within)).where("upto <= room").groupBy("g").agg(F.max("place").alias("reach"))
     order = staged(ordered.join(cut, "g", "left"), "order")
     passes = F.col("full") + F.col("whole") + (F.col("cut") & F.coalesce(F.col("place") <= F.col("reach"), F.lit(False))).cast("int")
-    placed = dealt.drop("t").join(order.select("g", "b", "full", "whole", "cut", "reach"), ["g", "b"])
-    mixed = placed.withColumn("passes", passes).where("passes > 0").withColumn(
-        "n", F.explode(F.sequence(F.lit(1), F.col("passes")))).select("doc.*", F.col("n").alias(number))
+    state = order.select("g", "b", "full", "whole", "cut", "reach")
+    if position is not None:
+        # pass n is ordered like the unfinished one above, which is number full + 1
+        turn = order.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("full") + 1))).select("g", "b", "n")
+        rank = F.row_number().over(Window.partitionBy("g", "n").orderBy(F.xxhash64(F.lit(seed), F.col("n") - 1, "g", "b"), "b"))
+        ranks = turn.withColumn("rank", rank).groupBy("g", "b").agg(F.array_sort(F.collect_list(F.struct("n", "rank"))).alias("ranks"))
+        state = staged(state.join(ranks.select("g", "b", F.col("ranks.rank").alias("ranks")), ["g", "b"]), "order")
+    placed = dealt.drop("t").join(state, ["g", "b"]).withColumn("passes", passes).where("passes > 0")
+    mixed = placed.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("passes"))))
+    ordered_by = [F.element_at("ranks", F.col("n")).alias(position[0]), F.col("place").alias(position[1])] if position else []
+    mixed = mixed.select("doc.*", F.col("n").alias(number), *ordered_by)
     name = F.when(F.substring("g", 1, 1) == "1", F.expr("substring(g, 2)"))
     return mixed, weights.select(name.alias(source), "tokens", "p", "weight")
 
 
 def op10_mixing(spark, folder: str) -> DataFrame:
     """Documents mixed so that no source is repeated over 1.25 times as often as another."""
-    mixed, _ = mix(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "source", "pass")
+    mixed, _ = mix(table(spark, folder, "documents"), position=("block_rank", "place"))
+    return mixed.select("doc_id", "source", "pass", "block_rank", "place")

@@ -98,3 +98,26 @@ def test_given_counts_nulls_repeated_rows_and_clashing_columns(spark, docs):
     assert Counter(r.doc_id for r in mixed.where(F.col("pass") == 1).collect()) == Counter([1, 2, 3, 3, None, 7])
     assert mix(df, tokens=F.lit(-5))[0].count() == 6
     assert mix(df.limit(0))[0].count() == 0
+
+
+def test_passes_are_different_permutations_of_the_same_blocks(docs):
+    _, df = corpus(docs, {"a": 900, "b": 100, None: 60})
+    mixed, weights = mix(df, budget=24_000, repetition=1.5, seed=3, blocks=8, position=("rank", "place"))
+    got = mixed.collect()
+    plain = mix(df, budget=24_000, repetition=1.5, seed=3, blocks=8)[0].select("doc_id", "pass").collect()
+    assert sorted((r.doc_id, r["pass"]) for r in got) == sorted(map(tuple, plain))
+    for w in weights.collect():
+        own = [r for r in got if r.source == w.source]
+        last = max(r["pass"] for r in own)
+        assert last > 3
+        orders = []
+        for n in range(1, last + 1):
+            blocks = {}
+            for r in sorted((r for r in own if r["pass"] == n), key=lambda r: (r.rank, r.place)):
+                blocks.setdefault(r.rank, []).append(r.doc_id)
+            assert sorted(blocks) == list(range(1, len(blocks) + 1))  # the unfinished pass takes the first blocks
+            orders.append([tuple(blocks[k]) for k in sorted(blocks)])
+        assert all(set(o) == set(orders[0]) for o in orders[:-1])
+        assert len({tuple(o) for o in orders[:-1]}) == last - 1
+        *begun, cut = orders[-1]
+        assert set(begun) <= set(orders[0]) and any(block[:len(cut)] == cut for block in orders[0])
