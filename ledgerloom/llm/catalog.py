@@ -10,6 +10,7 @@ from ledgerloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from ledgerloom.llm.mixing import op10_mixing
 from ledgerloom.llm.ngram_jaccard import OP9_SQL, op9_ngram_jaccard
 from ledgerloom.llm.secret_scan import op6_secret_scan
+from ledgerloom.llm.sharding import op13_sharding
 from ledgerloom.llm.token_files import op2_token_files
 from ledgerloom.llm.url_filter import op8_url_filter
 from ledgerloom.llm.warc import op5_warc
@@ -26,6 +27,7 @@ _ALL = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
+    "op13_sharding": op13_sharding,
 }
 
 
