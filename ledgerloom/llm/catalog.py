@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm.bm25 import OP3_SQL, op3_topk_search
+from ledgerloom.llm.collocations import OP11_SQL, op11_collocations
 from ledgerloom.llm.common import ship
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
 from ledgerloom.llm.language import language_id_pages, op4_language_id
@@ -27,6 +28,7 @@ _ALL = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_collocations": op11_collocations,
     "op13_sharding": op13_sharding,
 }
 
@@ -45,4 +47,5 @@ SQL = {
     "op3_topk_search": OP3_SQL,
     "op7_decontamination": OP7_SQL,
     "op9_ngram_jaccard": OP9_SQL,
+    "op11_collocations": OP11_SQL,
 }
