@@ -6,6 +6,7 @@ from ledgerloom.llm.bm25 import OP3_SQL, op3_topk_search
 from ledgerloom.llm.collocations import OP11_SQL, op11_collocations
 from ledgerloom.llm.common import ship
 from ledgerloom.llm.decontamination import OP7_SQL, op7_decontamination
+from ledgerloom.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from ledgerloom.llm.language import language_id_pages, op4_language_id
 from ledgerloom.llm.line_dedup import OP1_SQL, op1_line_dedup
 from ledgerloom.llm.mixing import op10_mixing
@@ -29,6 +30,7 @@ _ALL = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
     "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_sharding": op13_sharding,
 }
 
@@ -48,4 +50,5 @@ SQL = {
     "op7_decontamination": OP7_SQL,
     "op9_ngram_jaccard": OP9_SQL,
     "op11_collocations": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
