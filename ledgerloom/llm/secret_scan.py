@@ -13,11 +13,14 @@ Word ranks come from all documents: a grouped count of their words, of which the
 `DICTIONARY` are kept, so what is sent to the executors is bounded.
 
 Positions are code points, ends exclusive. A null text is empty and has no secrets; repeated
-rows are scanned each; an empty table gives an empty result and an empty dictionary.
+rows are scanned each; an empty table gives an empty result and an empty dictionary. Very long texts
+and values take time in proportion to their length. Columns other than id and text are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import lean, table
+from ledgerloom.llm.common import lean, staged, table
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_BITS = 32.0
@@ -65,6 +68,9 @@ def _neighbours(a: str, b: str) -> bool:
     return r2 - r1 == 1 and k2 - k1 in (-1, 0) or r1 - r2 == 1 and k1 - k2 in (-1, 0)
 
 
+_TOUCHING = {(a, b) for a in _PLACE for b in _PLACE if _neighbours(a, b)}
+
+
 def _case_bits(word: str) -> float:
     upper = sum(c.isupper() for c in word)
     if not upper:
@@ -87,20 +93,106 @@ def _switches(value: str) -> list[float]:
     return out
 
 
+class Ranks(dict):
+    """Ranks of words, and what their words begin with."""
+
+    def __init__(self, ranks: dict[str, int]):
+        super().__init__(ranks)
+        self.beginnings = {w[:WORD_LENGTHS[0]] for w in ranks}
+
+
+def _lower(value: str) -> str:
+    """Lower case of the same length: characters whose lower case is longer stay."""
+    low = value.lower()
+    return low if len(low) == len(value) else "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in value))
+
+
+class _Walks:
+    """The cheapest way to end a keyboard walk at each place, whatever its start.
+
+    A walk from i to x costs base(i) + log2(x - i) and what its turns cost, so of two starts the
+    later one is cheaper first and the earlier one may overtake it once, at a time that is known.
+    Starts that are overtaken are removed when their time comes, so the latest one left is the cheapest.
+    """
+
+    TURN_BITS = math.log2(4.6)
+    KEY_BITS = math.log2(47)
+
+    def __init__(self, text: str):
+        n = len(text)
+        self.begin, self.turns = list(range(n)), [0] * n  # of each place: where its walk begins, turns up to it
+        for k in range(1, n):
+            self.turns[k] = self.turns[k - 1]
+            if (text[k - 1], text[k]) in _TOUCHING:
+                self.begin[k] = self.begin[k - 1]
+                if k - 2 >= self.begin[k] and _step(text, k) != _step(text, k - 1):
+                    self.turns[k] += 1
+        self._reset()
+
+    def _reset(self) -> None:
+        self.base: dict[int, float] = {}
+        self.before: dict[int, int] = {}
+        self.after: dict[int, int] = {}
+        self.last, self.due = None, []
+
+    def _watch(self, i: int, j: int) -> None:
+        ratio = 2.0 ** min(self.base[j] - self.base[i], 500.0)
+        if ratio > 1:
+            heapq.heappush(self.due, ((ratio * j - i) / (ratio - 1), i, j))
+
+    def _drop(self, j: int) -> None:
+        i, k = self.before.pop(j, None), self.after.pop(j, None)
+        del self.base[j]
+        if i is not None:
+            self.after.pop(i, None)
+        if k is not None:
+            self.before.pop(k, None)
+            if i is not None:
+                self.before[k], self.after[i] = i, k
+                self._watch(i, k)
+        if self.last == j:
+            self.last = i
+
+    def ending_at(self, stop: int, best: list[float]) -> float:
+        """The least cost of a prefix that ends with a walk of 3 or more keys up to `stop`; best(i) is known before."""
+        start = stop - 3
+        if start < 0 or self.begin[stop - 1] > start:
+            return math.inf
+        if self.last is not None and self.begin[stop - 1] != self.begin[self.last]:
+            self._reset()
+        base = best[start] - self.turns[start + 1] * self.TURN_BITS
+        while self.last is not None and self.base[self.last] >= base:
+            self._drop(self.last)  # dearer from now on
+        self.base[start] = base
+        if self.last is not None:
+            self.before[start], self.after[self.last] = self.last, start
+            self._watch(self.last, start)
+        self.last = start
+        while self.due and self.due[0][0] <= stop:
+            _, i, j = heapq.heappop(self.due)
+            if self.after.get(i) == j:
+                self._drop(j)
+        i = self.last
+        return self.base[i] + PIECE_BITS + self.KEY_BITS + math.log2(stop - i) + (1 + self.turns[stop - 1]) * self.TURN_BITS
+
+
 def guess_bits(value: str, ranks: dict[str, int]) -> float:
     """Log2 of the guesses for the cheapest segmentation of a value."""
-    n, low = len(value), value.lower()
+    n, low = len(value), _lower(value)
     plain = low.translate(_PLAIN)
     best = [0.0] + [math.inf] * n  # cheapest cost of a prefix
     closed = best.copy()  # the same, not ending in a brute-force stretch
     brute = [math.inf] * (n + 1)  # the same, ending in an open brute-force stretch
     switch = _switches(value)
-    runs, walks = _run_ends(low), _walk_ends(low)
+    runs, walks = _run_ends(low), _Walks(low)
+    beginnings = (ranks if isinstance(ranks, Ranks) else Ranks(ranks)).beginnings
     for i in range(n):
+        closed[i] = min(closed[i], walks.ending_at(i, best))
         best[i] = min(closed[i], brute[i])
         brute[i + 1] = min(brute[i] + switch[i], closed[i] + PIECE_BITS) + BRUTE_BITS
         here = best[i] + PIECE_BITS
-        for size in range(WORD_LENGTHS[0], min(WORD_LENGTHS[1], n - i) + 1):
+        begins = low[i:i + WORD_LENGTHS[0]] in beginnings or plain[i:i + WORD_LENGTHS[0]] in beginnings
+        for size in range(WORD_LENGTHS[0], min(WORD_LENGTHS[1], n - i) + 1) if begins else ():
             word = low[i:i + size]
             rank = ranks.get(word)
             swapped = 0.0
@@ -115,14 +207,7 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
             cost = unit * BRUTE_BITS + math.log2((end - i) / unit)
             for stop in range(i + 2 * unit, end + 1, unit):
                 closed[stop] = min(closed[stop], here + cost)
-        if walks[i] - i >= 3:
-            turns = 1
-            for stop in range(i + 2, walks[i] + 1):
-                if stop - i > 2 and _step(low, stop - 1) != _step(low, stop - 2):
-                    turns += 1
-                if stop - i >= 3:
-                    closed[stop] = min(closed[stop], here + math.log2(47 * (stop - i)) + turns * math.log2(4.6))
-    return min(closed[n], brute[n])
+    return min(closed[n], brute[n], walks.ending_at(n, best))
 
 
 def _run_ends(text: str) -> dict[int, list[tuple[int, int]]]:
@@ -143,14 +228,6 @@ def _run_ends(text: str) -> dict[int, list[tuple[int, int]]]:
     return found
 
 
-def _walk_ends(text: str) -> list[int]:
-    """For each position, where the keyboard walk that starts there ends."""
-    ends = [0] * len(text)
-    for i in range(len(text) - 1, -1, -1):
-        ends[i] = ends[i + 1] if i + 1 < len(text) and _neighbours(text[i], text[i + 1]) else i + 1
-    return ends
-
-
 def _step(text: str, i: int) -> tuple[int, int]:
     (r1, k1), (r2, k2) = _PLACE[text[i - 1]], _PLACE[text[i]]
     return r2 - r1, k2 - k1
@@ -172,21 +249,33 @@ def scan(text: str, ranks: dict[str, int], least: float = MIN_BITS) -> list[tupl
     low = text.lower()
     found = base_spans(text, low)
     if any(h in low for h in HINTS):
-        taken = list(found)
+        taken, seen, reached = list(found), 0, -1
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            if not any(s < b and a < e for s, _, e in taken) and guess_bits(text[a:b], ranks) >= least:
+            while seen < len(taken) and taken[seen][0] < b:
+                seen, reached = seen + 1, max(reached, taken[seen][2])
+            if reached <= a and guess_bits(text[a:b], ranks) >= least:
                 found.append((a, 3, b))
     return sorted(found)
 
 
 def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> dict[str, int]:
-    """Ranks of the most frequent words of all documents, after the fixed first choices."""
+    """Ranks of the most frequent words of all documents, after the fixed first choices.
+
+    A histogram of the counts, in bins by their logarithm, first tells from which count on words can
+    be among the most frequent; only those are ordered, and only the result goes to the driver.
+    """
     words = docs.select(F.explode(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z]+")).alias("w"))
     words = words.where(F.length("w").between(*WORD_LENGTHS)).groupBy("w").agg(F.count("*").alias("n"))
-    top = [r.w for r in words.orderBy(F.desc("n"), "w").limit(size).collect()]
+    counted = staged(words.withColumn("bin", F.floor(F.log2("n") * 16).cast("int")), "words")
+    least, held = 0, 0
+    for r in sorted(counted.groupBy("bin").count().collect(), key=lambda r: -r.bin):  # about a thousand bins
+        least, held = r.bin, held + r["count"]
+        if held >= size:
+            break
+    top = staged(counted.where(F.col("bin") >= least).orderBy(F.desc("n"), "w").limit(size), "ranks")
     ranks: dict[str, int] = {}
-    for word in (*FIRST_CHOICES, *top):
+    for word in (*FIRST_CHOICES, *(r.w for r in sorted(top.collect(), key=lambda r: (-r.n, r.w)))):
         ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
@@ -194,7 +283,7 @@ def word_ranks(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: dict[str, int] | None = None,
                  least: float = MIN_BITS) -> DataFrame:
     """(id, spans): array of (start, kind, end) per row, by start, then kind."""
-    shared = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_col) if ranks is None else ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(Ranks(word_ranks(docs, text_col) if ranks is None else ranks))
     span = pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,21 +37,105 @@ def test_base_spans_against_brute_force():
 
 
 def cheapest(value, ranks):
-    """The same piece costs, over all segmentations."""
+    """The least cost over all segmentations into all kinds of pieces, from their definitions."""
     import functools
     import math
 
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+
+    def kind(c):
+        return "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "other"
+
+    def stretch(i, j):
+        bits = S.PIECE_BITS + (j - i) * S.BRUTE_BITS
+        for k in range(i + 1, j):
+            if kind(value[k]) != kind(value[k - 1]):
+                bits += 1 if k == 1 and (kind(value[0]), kind(value[1])) == ("upper", "lower") else S.SWITCH_BITS
+        return bits
+
+    def pieces(i, j):
+        out = [stretch(i, j)]
+        own, size = low[i:j], j - i
+        if 3 <= size <= 24:
+            plain = own.translate(S._PLAIN)
+            if own in ranks:
+                out.append(S.PIECE_BITS + math.log2(ranks[own]) + S._case_bits(value[i:j]))
+            elif plain != own and plain in ranks:
+                out.append(S.PIECE_BITS + math.log2(ranks[plain]) + S._case_bits(value[i:j]) + 2)
+        if low[i].isdigit() and (m := S._DATE.match(low, i)) and m.end() == j:
+            out.append(S.PIECE_BITS + math.log2(120 * 365 * 4 if size > 4 else 120))
+        for unit, end in S._run_ends(low).get(i, ()):
+            if j <= end and size >= 2 * unit and size % unit == 0:
+                out.append(S.PIECE_BITS + unit * S.BRUTE_BITS + math.log2((end - i) / unit))
+        if size >= 3 and all(S._neighbours(a, b) for a, b in zip(own, own[1:])):
+            steps = [S._step(low, k) for k in range(i + 1, j)]
+            turns = 1 + sum(a != b for a, b in zip(steps, steps[1:]))
+            out.append(S.PIECE_BITS + math.log2(47 * size) + turns * math.log2(4.6))
+        return min(out)
+
     @functools.cache
-    def best(i):
-        if i == len(value):
-            return 0.0
-        options = [S.PIECE_BITS + (j - i) * S.BRUTE_BITS + best(j) for j in range(i + 1, len(value) + 1)]
-        for j in range(i + 3, min(len(value), i + 24) + 1):
-            if value[i:j] in ranks:
-                options.append(S.PIECE_BITS + math.log2(ranks[value[i:j]]) + best(j))
-        return min(options)
-
-    return best(0)
+    def best(j, open_end):
+        """open_end: whether the last piece is a brute-force stretch; two of them never stand side by side."""
+        if j == 0:
+            return 0.0 if not open_end else math.inf
+        if open_end:
+            return min(best(i, False) + stretch(i, j) for i in range(j))
+        return min((min(best(i, False), best(i, True)) + p for i in range(j) if (p := closed_piece(i, j)) < math.inf), default=math.inf)
+
+    def closed_piece(i, j):
+        p = pieces(i, j)
+        return p if p < stretch(i, j) else math.inf
+
+    return min(best(len(value), False), best(len(value), True))
+
+
+def test_all_kinds_of_pieces_against_all_segmentations():
+    rng = random.Random(8)
+    parts = ["password", "Horse", "STAPLE", "p@ssw0rd", "2024", "20240115", "31.12.1999", "aaa", "abab", "xyzxyz", "qwerty", "zxcvb", "gfdsa", "1qaz",
+             "qwqwq", "poiuytrewq", "x", "Q", "7", "#", "é", "İ", "ß", "Σ", "١"]
+    for _ in range(400):
+        value = "".join(rng.choices(parts, k=rng.randint(1, 4)))[:18]
+        assert S.guess_bits(value, RANKS) == pytest.approx(cheapest(value, RANKS)), value
+    keys = "qwertasdfg"
+    for _ in range(300):  # walks with many turns
+        value = rng.choice(keys)
+        while len(value) < 16:
+            value += rng.choice([c for c in keys if S._neighbours(value[-1], c)] or list(keys))
+        assert S.guess_bits(value, RANKS) == pytest.approx(cheapest(value, RANKS)), value
+
+
+def test_any_character_is_scanned():
+    rng = random.Random(9)
+    odd = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if len(c.lower()) != 1 or len(c.upper()) != 1 or c.isdigit()]
+    for _ in range(4000):
+        value = "".join(rng.choice(odd) if rng.random() < 0.3 else chr(rng.choice([rng.randrange(33, 127), rng.randrange(0x80, 0xD800), rng.randrange(0xE000, 0x110000)]))
+                        for _ in range(rng.randint(6, 20)))
+        for a, k, b in S.scan(f"x pwd={value} y", RANKS):
+            assert 0 <= a < b <= len(value) + 8
+    assert S.scan("x pwd=İaaaaaaa y", RANKS) == []
+
+
+@pytest.mark.parametrize("unit", ["qw", "qwertyuiop", "a", "abc", "1qaz2wsx", "x9K2mQ7z", "password", "20240115", "qazwsx", "asdfdsa"])
+def test_long_values_are_fast(unit):
+    import time
+
+    value = (unit * 100_000)[:100_000]
+    start = time.process_time()
+    S.guess_bits(value, RANKS)
+    assert time.process_time() - start < 3
+
+
+def test_many_contexts_are_fast():
+    import time
+
+    start = time.process_time()
+    found = S.scan("password=abcdef12\n" * 30_000, RANKS)
+    assert len(found) == 30_000 and time.process_time() - start < 3
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "pwd=zV8#kd92Lq!xW", "a", 2, "b")], "doc_id long, text string, spans string, id long, w string")
+    assert [(r.id, [tuple(s) for s in r.spans]) for r in S.find_secrets(df).collect()] == [(1, [(4, "guess", 17)])]
 
 
 @pytest.mark.parametrize("value", ["correcthorse", "zkcorrectqv", "thepassword", "bvmwzkq", "adminsummervk", "p"])
