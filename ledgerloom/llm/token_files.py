@@ -11,7 +11,7 @@ the tokenizer itself, and remembers a bounded number of them.
 
 A null text is empty and holds only the end id. Rows of one document id stand together in an
 undefined order; rows without an id come first and keep none. An empty table gives no files and
-no rows. Other columns are not stored.
+no rows. Other columns are not stored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import functools
 import hashlib
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from itertools import chain
@@ -53,11 +54,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _cuts(data: np.ndarray, starts: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """Cut words where letters, digits and signs meet, as the tokenizer itself does before its merges.
 
     A cut is only made before an ASCII character, which nothing composes with, and after an ASCII
-    character or a Latin letter. Words with an apostrophe or `<` stay whole, as these start
+    character or one of the Latin `letters`. Words with an apostrophe or `<` stay whole, as these start
     endings and markers that the tokenizer knows.
     """
     if len(data) < 3:
@@ -65,8 +66,8 @@ def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     kind = KIND[data]
     before, after = kind[:-1], kind[1:]
     latin = np.zeros(len(data) - 1, bool)
-    lead, tail = data[:-2], data[1:-1]
-    latin[1:] = (lead >= 0xC3) & (lead <= 0xC9) & (tail >= 0x80) & ~((lead == 0xC3) & ((tail == 0x97) | (tail == 0xB7)))
+    beyond = np.flatnonzero(before[1:] == 3) + 1
+    latin[beyond] = letters[data[beyond - 1].astype(np.uint16) << 8 | data[beyond]]
     cut = (after < 3) & (VALUES[data[1:]] != 0) & (VALUES[data[:-1]] != 0)
     cut &= ((before < 3) & (before != after)) | ((before == 3) & latin & (after != 1))
     places = np.flatnonzero(cut) + 1
@@ -88,11 +89,26 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.cache
+def _latin_letters(path: str) -> np.ndarray:
+    """By the two bytes of a character from U+00C0 to U+024F: whether the tokenizer's normal form of it is letters only.
+
+    A capital whose lower case ends in a combining mark is not: the mark goes with signs that follow.
+    """
+    out = np.zeros(1 << 16, bool)
+    normal = _tokenizer(path).normalizer
+    for c in map(chr, range(0xC0, 0x250)):
+        a, b = c.encode()
+        out[a << 8 | b] = all(unicodedata.category(x).startswith("L") for x in (normal.normalize_str(c) if normal else c))
+    return out
+
+
 class Encoder:
     """Ids of texts; every distinct piece goes to the tokenizer once, as long as it is remembered."""
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.cuts = functools.partial(_cuts, letters=_latin_letters(path))
         self._forget()
 
     def _forget(self) -> None:
@@ -117,7 +133,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per row), each row closed by the end id."""
-        starts, hashes, counts = scan_words(data, offsets, VALUES, _cuts)
+        starts, hashes, counts = scan_words(data, offsets, VALUES, self.cuts)
         bounds = np.r_[starts, len(data)]
         # markers are told apart by letter case, other pieces are not
         for place in np.unique(np.searchsorted(starts, np.flatnonzero(data == 0x3C), "right") - 1).tolist():

@@ -86,3 +86,48 @@ def test_files_are_named_in_the_manifest(docs, tmp_path):
     for row in manifest.collect():
         assert os.path.getsize(row.path) == row.bytes
     assert read_token_files(manifest).count() == 50
+
+
+def whole(texts):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(tokenizer_path())
+    return [x.ids + [END] for x in coder.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def pieced(texts):
+    import pyarrow as pa
+
+    from ledgerloom.llm.common import text_buffer
+
+    data, offsets = text_buffer(pa.array(texts))
+    ids, counts = Encoder(tokenizer_path()).encode(data, offsets, END)
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_every_letter_in_ten_contexts():
+    import unicodedata
+
+    contexts = ["{}.", "a{}.", "({})", "~{}$", "{}1", "a{}b", "{0}{0}!", "{} {}-", "x.{}", "9{}́,"]
+    letters = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if unicodedata.category(c)[0] in "LM"]
+    for first in range(0, len(letters), 5000):
+        texts = [x.format(c, c) for c in letters[first:first + 5000] for x in contexts]
+        wrong = [t for t, a, b in zip(texts, pieced(texts), whole(texts)) if a != b]
+        assert not wrong, wrong[:5]
+
+
+def test_random_texts_with_odd_letters():
+    import random
+
+    rng = random.Random(5)
+    signs = list("İıſßŉǅǰẞ.,()~$'<>|1a Bé̇́‍٠")
+    texts = ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(20_000)]
+    wrong = [t for t, a, b in zip(texts, pieced(texts), whole(texts)) if a != b]
+    assert not wrong, wrong[:5]
+
+
+def test_long_texts_and_clashing_columns(spark):
+    rows = [(2, "Word1 çé. " * 40_000, 5, "p"), (1, "x" * 300_000, 6, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, file int, path string")
+    found = sorted(tuple(r) for r in encode_and_read(df).collect())
+    assert found == expected(sorted((r[:2] for r in rows)))
