@@ -1,31 +1,39 @@
 """Exact top-k search by BM25 over an inverted index in shards, with block-max WAND.
 
 A shard is a file in the shared folder that holds the postings of some megabytes of whole
-documents: per term the documents and term counts, in blocks with their largest count and
-shortest document. Document frequencies, the number of documents and their mean length are
-taken over all shards, so every shard scores alike and the merged result is exact.
-
-A query is a whole text. Its terms are weighed by their count in it and their inverse document
-frequency over all documents; all distinct terms make the query, or the `query_terms` heaviest if a number
-is given (the first in the text of equally heavy ones). `op3_topk_search` gives `QUERY_TERMS`, as
-its SQL does. Queries go only to shards that hold one of their terms; there,
-block-max WAND skips documents and blocks that cannot reach the k-th best score so far. A query
-visits the `FIRST_SHARDS` with the highest bounds first; its k-th best score there is where the
-search of the others starts, and shards whose bound is below it are not visited.
+documents: per term its documents and counts. Document frequencies, the number of documents and
+their mean length are taken over all shards, so every shard scores alike and the merged result
+is exact. A query is a whole text; all its distinct terms count, weighed by their inverse
+document frequency over all documents.
+
+Queries are written in batches of `QUERIES` to the shared folder; a task takes one batch through
+`SHARDS` shards, one after the other, and keeps the k best of each query on the way, so later
+shards start from the limits of earlier ones. What a term adds to a document's score does not
+depend on the query and is computed once per shard and batch. Each term's list is cut into blocks
+at every `BLOCK` documents of the shard, the same places for all terms, with the most a document of
+the block can get from the term. For a query,
+
+- a shard is skipped if the largest parts of its terms together stay below the k-th best score;
+- else the block maxima of its terms are summed block by block, and only documents in blocks
+  whose sum reaches the k-th best score are scored. Without a k-th best score the most promising
+  blocks are scored first to get one.
+
+Blocks are aligned so that the pivots of all blocks of a list are found at once instead of moving
+cursors one by one; what is skipped is what cannot reach the limit, as in the sequential form.
 
 A score is the sum of the terms' parts, each rounded to a millionth, so sums do not depend on
 their order. Ties are ranked by id, null ids last.
 
 Null and empty texts are documents of length 0: they are never found and find nothing. Repeated
-rows are documents of their own and count in all statistics. An empty table gives no rows.
+rows are documents of their own and count in all statistics; queries of one id are one query with the
+terms of all of them, and rows without an id are no queries. Very long texts have many terms, all of
+which count. Columns other than id and text are ignored, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import heapq
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +45,11 @@ from ledgerloom.llm.common import lean, load, save, scan_words, shared_dir, slic
 
 K1, B = 1.2, 0.75
 TOP = 10
-QUERY_TERMS = 16
 QUERY_STEP = 100
-SHARD_BYTES = 4 << 20
-POSTINGS = 64
-QUERIES_A_TASK = 2000
-FIRST_SHARDS = 4
+SHARD_BYTES = 32 << 20
+BLOCK = 64
+QUERIES, SHARDS = 500, 4  # of a task
+FIRST_BLOCKS = 4
 UNIT = 1_000_000
 LAST = (1 << 63) - 1
 
@@ -70,7 +77,7 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
 
 
 def build_shard(ids: np.ndarray, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
-    """Postings by term, then document, with the largest count and shortest document of each block."""
+    """Postings by term, then document."""
     row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     order = np.argsort(hashes, kind="stable")
     term, doc = hashes[order], row[order]
@@ -79,22 +86,12 @@ def build_shard(ids: np.ndarray, hashes: np.ndarray, lengths: np.ndarray) -> dic
     term, doc = term[first], doc[first]
     begin = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
     frequency = np.diff(np.r_[begin, len(term)]).astype(np.int32)
-    # blocks start anew at each term
-    place = np.arange(len(term)) - np.repeat(begin, frequency)
-    block = np.flatnonzero(place % POSTINGS == 0)
-    return {
-        "ids": ids, "lengths": lengths.astype(np.int32), "terms": term[begin], "frequency": frequency, "docs": doc, "counts": count,
-        "most": np.maximum.reduceat(count, block) if len(block) else np.zeros(0, np.int32),
-        "least": np.minimum.reduceat(lengths[doc].astype(np.int32), block) if len(block) else np.zeros(0, np.int32),
-        "term_most": np.maximum.reduceat(count, begin) if len(begin) else np.zeros(0, np.int32),
-        "term_least": np.minimum.reduceat(lengths[doc].astype(np.int32), begin) if len(begin) else np.zeros(0, np.int32),
-    }
+    return {"ids": ids, "lengths": lengths.astype(np.int32), "terms": term[begin], "frequency": frequency, "docs": doc, "counts": count}
 
 
 def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Write the shards; one manifest row each: path, docs, words, and its terms with their frequencies,
-    largest counts and shortest documents."""
+    """Write the shards; one manifest row each: path, docs, words, and its terms with their frequencies."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, lengths, size = [], [], [], 0
@@ -105,7 +102,7 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             return pa.RecordBatch.from_pydict({
                 "path": [path], "docs": [len(shard["ids"])], "words": [int(shard["lengths"].sum())],
                 "terms": pa.array([shard["terms"].view(np.int64)], pa.list_(pa.int64())),
-                **{k: pa.array([shard[k]], pa.list_(pa.int32())) for k in ("frequency", "term_most", "term_least")}})
+                "frequency": pa.array([shard["frequency"]], pa.list_(pa.int32()))})
 
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
@@ -123,7 +120,7 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             yield flush()
 
     return staged(_source(docs, id_col, text_col).mapInArrow(
-        lean(build), "path string, docs long, words long, terms array<long>, frequency array<int>, term_most array<int>, term_least array<int>"), "shards")
+        lean(build), "path string, docs long, words long, terms array<long>, frequency array<int>"), "shards")
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -131,7 +128,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def query_words(queries: DataFrame) -> DataFrame:
-    """(query, term, n, place): the distinct words of (id, text) rows, their count and first place."""
+    """(query, term): the distinct words of (id, text) rows."""
 
     def run(batches):
         for batch in batches:
@@ -139,182 +136,157 @@ def query_words(queries: DataFrame) -> DataFrame:
             _, hashes, counts = scan_words(data, offsets, VALUES)
             ends = np.cumsum(counts)
             for key, n, end in zip(batch.column(0).to_pylist(), counts.tolist(), ends.tolist()):
-                own, place, count = np.unique(hashes[end - n:end], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), key, np.int64)), pa.array(own.view(np.int64)), pa.array(count.astype(np.int64)),
-                     pa.array(place.astype(np.int64))], names=["query", "term", "n", "place"])
+                own = np.unique(hashes[end - n:end])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), key, np.int64)), pa.array(own.view(np.int64))], names=["query", "term"])
 
-    return queries.mapInArrow(lean(run), "query long, term long, n long, place long")
+    return queries.mapInArrow(lean(run), "query long, term long").distinct()
 
 
 def inverse_frequency(docs: Column | float, frequency: Column) -> Column:
     return F.log(1 + (F.lit(docs) - frequency + 0.5) / (frequency + 0.5))
 
 
-class Shard:
-    def __init__(self, data: bytes):
-        held = _unpack(data)
-        self.ids, self.lengths, self.terms = held["ids"], held["lengths"], held["terms"]
-        self.docs, self.counts, self.most, self.least = held["docs"], held["counts"], held["most"], held["least"]
-        self.first = np.r_[0, np.cumsum(held["frequency"].astype(np.int64))]
-        self.block = np.r_[0, np.cumsum(-(-held["frequency"].astype(np.int64) // POSTINGS))]
-
-    def cursors(self, terms: list[int], weights: list[float], mean: float) -> list[Cursor]:
-        out = []
-        for term, weight in zip(np.array(terms, np.int64).view(np.uint64), weights):
-            at = int(np.searchsorted(self.terms, term))
-            if at < len(self.terms) and self.terms[at] == term:
-                out.append(Cursor(self, at, weight, mean))
-        return out
-
-
-def part(weight: float, count, length, mean: float):
+def part(weight, count, length, mean: float):
     """A term's part of a score, in millionths."""
     return np.floor(UNIT * (weight * (count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean)))) + 0.5).astype(np.int64)
 
 
-class Cursor:
-    """A term's postings in a shard, with the most that each block can add."""
-
-    def __init__(self, shard: Shard, at: int, weight: float, mean: float):
-        a, b = int(shard.first[at]), int(shard.first[at + 1])
-        p, q = int(shard.block[at]), int(shard.block[at + 1])
-        self.docs = shard.docs[a:b].tolist()
-        self.parts = part(weight, shard.counts[a:b].astype(np.float64), shard.lengths[shard.docs[a:b]].astype(np.float64), mean).tolist()
-        self.bounds = part(weight, shard.most[p:q].astype(np.float64), shard.least[p:q].astype(np.float64), mean).tolist()
-        self.ends = shard.docs[np.minimum(np.arange(a + POSTINGS, b + POSTINGS, POSTINGS), b) - 1].tolist()
-        self.bound = max(self.bounds)
-        self.i, self.n = 0, b - a
-        self.doc = self.docs[0]
-
-    def seek(self, doc: int) -> None:
-        """Move to the first posting at or after the document, by doubling steps and bisection."""
-        from bisect import bisect_left
-
-        low, step = self.i, 1
-        while low + step < self.n and self.docs[low + step] < doc:
-            low += step
-            step *= 2
-        self.i = bisect_left(self.docs, doc, low, min(low + step + 1, self.n))
-        self.doc = self.docs[self.i] if self.i < self.n else LAST
-
-    def block_at(self, doc: int) -> tuple[int, int]:
-        """(bound, last document) of the block that would hold the document; (0, LAST) beyond the end."""
-        from bisect import bisect_left
-
-        k = bisect_left(self.ends, doc, self.i // POSTINGS if self.i < self.n else len(self.ends))
-        return (self.bounds[k], self.ends[k]) if k < len(self.ends) else (0, LAST)
-
-
-def search(shard: Shard, cursors: list[Cursor], k: int, limit: int = 0) -> list[tuple[int, int]]:
-    """Best (score, id) of a shard by block-max WAND, exact to the tie; none below `limit` are looked for."""
-    best: list[tuple[int, int]] = []  # (score, -id), the worst first
-    while cursors:
-        cursors.sort(key=lambda c: c.doc)
-        # the first document whose terms could reach the limit
-        total, pivot = 0, -1
-        for j, c in enumerate(cursors):
-            if c.doc == LAST:
-                break
-            total += c.bound
-            if total >= limit:
-                pivot = j
-                break
-        if pivot < 0:
-            break
-        doc = cursors[pivot].doc
-        while pivot + 1 < len(cursors) and cursors[pivot + 1].doc == doc:
-            pivot += 1
-        near, reach = 0, LAST
-        for c in cursors[:pivot + 1]:
-            bound, end = c.block_at(doc)
-            near, reach = near + bound, min(reach, end)
-        if near < limit:  # these blocks cannot: go past the first that ends, or to the next list
-            following = cursors[pivot + 1].doc if pivot + 1 < len(cursors) else LAST
-            target = max(doc + 1, min(reach + 1, following))
-            for c in cursors[:pivot + 1]:
-                if c.doc < target:
-                    c.seek(target)
-        elif cursors[0].doc == doc:
-            score = sum(c.parts[c.i] for c in cursors[:pivot + 1])
-            entry = (score, -int(shard.ids[doc]))
-            if len(best) < k:
-                heapq.heappush(best, entry)
-            elif entry > best[0]:
-                heapq.heapreplace(best, entry)
-            if len(best) == k:
-                limit = max(limit, best[0][0])
-            for c in cursors[:pivot + 1]:
-                c.seek(doc + 1)
-        else:
-            for c in cursors[:pivot]:
-                if c.doc < doc:
-                    c.seek(doc)
-        cursors = [c for c in cursors if c.doc != LAST]
-    return [(score, -key) for score, key in best]
-
-
-def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = TOP,
-          query_terms: int | None = None) -> DataFrame:
-    """(query, rank, id, score) of the k best documents of every query; queries are (id, text) rows.
-
-    All distinct terms of a query's text count, or only its `query_terms` heaviest.
-    """
-    shards = build_index(docs, shared_dir(docs.sparkSession, "index"), id_col, text_col)
-    whole = shards.agg(F.sum("docs").alias("n"), F.sum("words").alias("w")).first()
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges begin to end, one range after the other."""
+    sizes = end - begin
+    return np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    change = np.ones(len(columns[0]), bool)
+    change[1:] = False
+    for c in columns:
+        change[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(change)
+
+
+class Lists:
+    """The lists of some terms in a shard: parts by document, and the most of each block and of each list."""
+
+    def __init__(self, shard: dict[str, np.ndarray], terms: np.ndarray, weights: np.ndarray, mean: float):
+        held = shard["terms"]
+        at = np.minimum(np.searchsorted(held, terms), max(0, len(held) - 1))
+        self.known = held[at] == terms if len(held) else np.zeros(len(terms), bool)  # by position in `terms`
+        self.number = np.cumsum(self.known) - 1
+        at, weights = at[self.known], weights[self.known]
+        first = np.r_[0, np.cumsum(shard["frequency"].astype(np.int64))]
+        own = _ranges(first[at], first[at + 1])
+        term = np.repeat(np.arange(len(at)), shard["frequency"][at])
+        self.ids, self.docs = shard["ids"], shard["docs"][own]
+        self.parts = part(weights[term], shard["counts"][own].astype(np.float64), shard["lengths"][self.docs].astype(np.float64), mean)
+        block = self.docs // BLOCK
+        begin = _heads(term, block)
+        self.blocks = int(block.max()) + 1 if len(block) else 0
+        self.block = block[begin]
+        self.posting = np.r_[begin, len(own)]  # of each block, its first posting
+        self.block_most = np.maximum.reduceat(self.parts, begin) if len(begin) else np.zeros(0, np.int64)
+        heads = _heads(term[begin])
+        self.first = np.r_[heads, len(begin)]  # of each term, its first block
+        self.most = np.maximum.reduceat(self.block_most, heads) if len(heads) else np.zeros(0, np.int64)
+
+
+def search(lists: Lists, own: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
+    """The k best (-score, id) of `best` and the shard for a query whose terms are `own` of the lists; exact to the tie."""
+    limit = -best[-1][0] if len(best) == k else 1
+    if not len(own) or lists.most[own].sum() < limit:
+        return best
+    held = _ranges(lists.first[own], lists.first[own + 1])
+    block = lists.block[held]
+    bounds = np.bincount(block, weights=lists.block_most[held], minlength=lists.blocks)
+
+    def scored(wanted: np.ndarray) -> list[tuple[int, int]]:
+        blocks = held[wanted[block]]
+        postings = _ranges(lists.posting[blocks], lists.posting[blocks + 1])
+        scores = np.bincount(lists.docs[postings], weights=lists.parts[postings])  # whole numbers far below 2**53
+        found = np.flatnonzero(scores >= limit)
+        if len(found) > 4 * k:  # no more than the k best can stay, ties included
+            found = found[scores[found] >= np.partition(scores[found], len(found) - k)[len(found) - k]]
+        return sorted(best + [(-int(scores[d]), int(lists.ids[d])) for d in found])[:k]
+
+    if len(best) < k and lists.blocks > FIRST_BLOCKS:
+        promising = np.zeros(lists.blocks, bool)
+        promising[np.argpartition(-bounds, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
+        best = scored(promising)
+        limit = -best[-1][0] if len(best) == k else 1
+        bounds[promising] = 0
+    wanted = bounds >= limit
+    return scored(wanted) if wanted.any() else best
+
+
+def _write_batches(asked: DataFrame, folder: str, batches: int) -> DataFrame:
+    """(batch, path) of written query batches: ids, and their terms with weights."""
+
+    def run(rows):
+        kept: dict[int, list] = {}
+        for batch in rows:
+            for number, query, terms, weights in zip(*(batch.column(c).to_pylist() for c in ("batch", "query", "terms", "weights"))):
+                kept.setdefault(number, []).append((query, np.array(terms, np.int64).view(np.uint64), np.array(weights)))
+        for number, held in kept.items():
+            queries, terms, weights = zip(*held)
+            packed = _pack({"queries": np.array(queries, np.int64), "sizes": np.array([len(t) for t in terms], np.int64),
+                            "terms": np.concatenate(terms), "weights": np.concatenate(weights)})
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int32()), "path": [save(folder, f"queries-{uuid.uuid4().hex}.bin", packed)]})
+
+    lists = asked.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("t"))
+    lists = lists.select(F.pmod(F.xxhash64("query"), F.lit(batches)).cast("int").alias("batch"), "query",
+                         F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"))
+    return staged(lists.repartition(batches, "batch").mapInArrow(lean(run), "batch int, path string"), "batches")
+
+
+def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = TOP) -> DataFrame:
+    """(query, rank, id, score) of the k best documents of every query; queries are (id, text) rows."""
+    folder = shared_dir(docs.sparkSession, "index")
+    shards = build_index(docs, folder, id_col, text_col)
+    whole = shards.agg(F.sum("docs").alias("n"), F.sum("words").alias("w"), F.count("*").alias("shards")).first()
     n, mean = float(whole.n or 0), float(whole.w or 0) / max(1, whole.n or 0) or 1.0
     words = staged(query_words(_source(queries, id_col, text_col).where("id IS NOT NULL")), "words")
-    held = shards.select("path", F.explode(F.arrays_zip("terms", "frequency", "term_most", "term_least")).alias("t")).select(
-        "path", F.col("t.terms").alias("term"), F.col("t.frequency").alias("f"), F.col("t.term_most").alias("most"),
-        F.col("t.term_least").alias("least"))
-    held = staged(held.join(words.select("term").distinct(), "term", "left_semi"), "held")
+    held = shards.select(F.explode(F.arrays_zip("terms", "frequency")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.frequency").alias("f"))
     frequency = held.groupBy("term").agg(F.sum("f").alias("df"))
-    weighed = words.join(frequency, "term").withColumn("weight", inverse_frequency(n, F.col("df")))
-    if query_terms is not None:
-        heaviest = Window.partitionBy("query").orderBy(F.desc(F.floor(UNIT * (F.col("n") * F.col("weight")) + 0.5)), "place")
-        weighed = weighed.withColumn("r", F.row_number().over(heaviest)).where(F.col("r") <= query_terms)
-    chosen = staged(weighed, "chosen")
-    asked = chosen.groupBy("query").agg(F.collect_list(F.struct("term", "weight")).alias("terms"))
-    # no document of a shard can score more than its largest count in its shortest document
-    most, least = F.col("most").cast("double"), F.col("least").cast("double")
-    bound = F.floor(UNIT * (F.col("weight") * (most * (K1 + 1) / (most + K1 * (1 - B + B * least / F.lit(mean))))) + 0.5)
-    routes = chosen.join(held, "term").groupBy("path", "query").agg(F.sum(bound.cast("long")).alias("bound"))
-    order = Window.partitionBy("query").orderBy(F.desc("bound"), "path")
-    routes = staged(routes.withColumn("visit", F.row_number().over(order)), "routes")
-    tasks = max(1, -(-words.select("query").distinct().count() // QUERIES_A_TASK))
-
-    def run(batches):
-        def rows():
-            for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in ("visit", "path", "query", "terms", "limit")))
-
-        for _, visit in groupby(rows(), key=lambda r: r[0]):
-            shard, out = None, []
-            for _, path, query, terms, limit in visit:
-                shard = shard or Shard(load(path))
-                found = search(shard, shard.cursors([t["term"] for t in terms], [t["weight"] for t in terms], mean), k, limit)
-                out += [(query, None if key == LAST else key, score) for score, key in found]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query", "id", "score"])
-
-    def visit(some: DataFrame) -> DataFrame:
-        routed = some.join(asked, "query").select(
-            F.concat_ws("#", F.pmod(F.xxhash64("query"), F.lit(tasks)), "path").alias("visit"), "path", "query", "terms", "limit")
-        return staged(routed.repartition("visit").sortWithinPartitions("visit").mapInArrow(lean(run), "query long, id long, score long"), "found")
-
-    first = visit(routes.where(F.col("visit") <= FIRST_SHARDS).withColumn("limit", F.lit(0).cast("long")))
-    best = Window.partitionBy("query").orderBy(F.desc("score"))
-    limits = first.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query", F.col("score").alias("limit"))
-    rest = routes.where(F.col("visit") > FIRST_SHARDS).join(limits, "query", "left").na.fill(0, ["limit"])
-    found = first.unionByName(visit(rest.where("bound >= limit")))
+    weighed = words.join(frequency, "term").select("query", "term", inverse_frequency(n, F.col("df")).alias("weight"))
+    batches = max(1, -(-words.select("query").distinct().count() // QUERIES))
+    groups = max(1, -(-whole.shards // SHARDS))
+    written = _write_batches(weighed, folder, batches)
+    line = Window.orderBy("path")  # one row per shard
+    grouped = shards.select("path", F.floor((F.row_number().over(line) - 1) / SHARDS).cast("int").alias("grp"))
+    grouped = grouped.groupBy("grp").agg(F.sort_array(F.collect_list("path")).alias("shards"))  # SHARDS paths
+    visits = written.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(grouped, "grp")
+    visits = visits.select((F.col("batch").cast("long") * groups + F.col("grp")).alias("visit"), "path", "shards")
+
+    def run(rows):
+        for batch in rows:
+            for path, shard_paths in zip(batch.column("path").to_pylist(), batch.column("shards").to_pylist()):
+                asked = _unpack(load(path))
+                terms, back = np.unique(asked["terms"], return_inverse=True)
+                weights = np.zeros(len(terms))
+                weights[back] = asked["weights"]
+                ends = np.cumsum(asked["sizes"])
+                best: list[list[tuple[int, int]]] = [[] for _ in ends]
+                for shard in shard_paths:
+                    lists = Lists(_unpack(load(shard)), terms, weights, mean)
+                    for q, (size, end) in enumerate(zip(asked["sizes"].tolist(), ends.tolist())):
+                        own = back[end - size:end]
+                        best[q] = search(lists, lists.number[own[lists.known[own]]], best[q], k)
+                out = [(q, None if key == LAST else key, -s) for q, found in zip(asked["queries"].tolist(), best) for s, key in found]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query", "id", "score"])
+
+    found = visits.repartitionByRange(batches * groups, "visit").mapInArrow(lean(run), "query long, id long, score long")
     rank = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("id"))
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query", "rank", "id", "score")
 
 
 def op3_topk_search(spark, folder: str) -> DataFrame:
-    """Every document whose id is divisible by 100, by its 16 heaviest terms as in the SQL, against all documents."""
+    """Every document whose id is divisible by 100, by all terms of its text, against all documents."""
     docs = table(spark, folder, "documents")
-    found = top_k(docs, docs.where(F.col("doc_id") % QUERY_STEP == 0), query_terms=QUERY_TERMS)
+    found = top_k(docs, docs.where(F.col("doc_id") % QUERY_STEP == 0))
     return found.select("query", "rank", F.col("id").alias("doc_id"), (F.col("score") / UNIT).alias("score"))
 
 
@@ -324,12 +296,10 @@ WITH d AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 s AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(len(w)) AS mean FROM d),
 p AS (
-  SELECT doc_id, len(w) AS len, w[i] AS term, count(*) AS tf, min(i) AS place
+  SELECT doc_id, len(w) AS len, w[i] AS term, count(*) AS tf
   FROM d, unnest(range(1, len(w) + 1)) AS t(i) GROUP BY ALL),
 f AS (SELECT term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
-q AS (
-  SELECT doc_id AS query, term, idf FROM p JOIN f USING (term) WHERE doc_id % 100 = 0
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY floor(1000000 * (tf * idf) + 0.5) DESC, place) <= 16),
+q AS (SELECT doc_id AS query, term, idf FROM p JOIN f USING (term) WHERE doc_id % 100 = 0),
 r AS (
   SELECT query, doc_id, CAST(sum(floor(1000000 * (idf * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean)))) + 0.5)) AS BIGINT) AS score
   FROM q JOIN p USING (term), s GROUP BY query, doc_id)

@@ -8,7 +8,7 @@ from collections import Counter
 from ledgerloom.llm import bm25
 
 
-def brute(rows, queries, k, terms):
+def brute(rows, queries, k):
     words = [(key, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())) for key, text in rows]
     n, mean = len(words), sum(len(w) for _, w in words) / len(words)
     df = Counter(t for _, w in words for t in set(w))
@@ -16,13 +16,11 @@ def brute(rows, queries, k, terms):
     out = {}
     for key, text in queries:
         own = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
-        tf = Counter(own)
-        best = sorted(tf, key=lambda t: (-math.floor(1e6 * (tf[t] * idf[t]) + 0.5), own.index(t)))[:terms]
         scores = []
         for i, w in words:
             count = Counter(w)
             total = sum(math.floor(1e6 * (idf[t] * (count[t] * 2.2 / (count[t] + 1.2 * (0.25 + 0.75 * len(w) / mean)))) + 0.5)
-                        for t in best if count[t])
+                        for t in set(own) if count[t])
             if total:
                 scores.append((-total, i))
         out[key] = [(i, -s) for s, i in sorted(scores)[:k]]
@@ -46,27 +44,51 @@ def corpus(n, seed):
 def test_against_brute_force(docs, monkeypatch):
     rows = corpus(300, 1) + [(300, None), (301, ""), (302, "w1 " * 500)]
     monkeypatch.setattr(bm25, "SHARD_BYTES", 2000)
-    for terms in (3, 16):
-        asked = [r for r in rows if r[0] % 10 == 0]
-        got = found(bm25.top_k(docs(rows).repartition(5), docs(asked), k=5, query_terms=terms))
-        assert got == {q: hits for q, hits in brute(rows, asked, 5, terms).items() if hits}
+    monkeypatch.setattr(bm25, "BLOCK", 4)
+    asked = [r for r in rows if r[0] % 10 == 0]
+    for queries, shards in ((500, 4), (7, 1)):
+        monkeypatch.setattr(bm25, "QUERIES", queries)
+        monkeypatch.setattr(bm25, "SHARDS", shards)
+        got = found(bm25.top_k(docs(rows).repartition(5), docs(asked), k=5))
+        assert got == {q: hits for q, hits in brute(rows, asked, 5).items() if hits}
 
 
-def test_pruning_is_exact_over_many_blocks():
+def test_pruning_is_exact_over_many_blocks(monkeypatch):
     import numpy as np
 
     rng = np.random.default_rng(2)
-    lengths = rng.integers(1, 30, 3000)
-    hashes = rng.choice(np.arange(1, 9, dtype=np.uint64), lengths.sum(), p=[.4, .3, .1, .1, .05, .03, .01, .01])
-    shard = bm25.Shard(bm25._pack(bm25.build_shard(np.arange(3000), hashes, lengths)))
-    weights = [0.1, 0.2, 1.0, 1.1, 2.0, 2.5, 4.0, 4.2]
-    full: Counter = Counter()
-    for c in shard.cursors(list(range(1, 9)), weights, 15.0):
-        for d, p in zip(c.docs, c.parts):
-            full[d] += p
-    expected = sorted(((-s, d) for d, s in full.items()))[:10]
-    got = bm25.search(shard, shard.cursors(list(range(1, 9)), weights, 15.0), 10)
-    assert sorted((-s, d) for s, d in got) == expected
+    terms, p = np.arange(1, 9, dtype=np.uint64), [.4, .3, .1, .1, .05, .03, .01, .01]
+    weights = np.array([0.1, 0.2, 1.0, 1.1, 2.0, 2.5, 4.0, 4.2])
+    for block in (1, 8, 64, 10_000):
+        monkeypatch.setattr(bm25, "BLOCK", block)
+        best, full = [], Counter()
+        for shard in range(3):
+            lengths = rng.integers(1, 30, 2000)
+            built = bm25.build_shard(np.arange(2000) * 3 + shard, rng.choice(terms, lengths.sum(), p=p), lengths)
+            lists = bm25.Lists(built, terms, weights, 15.0)
+            for d, x in zip(built["ids"][lists.docs].tolist(), lists.parts.tolist()):
+                full[d] += x
+            best = bm25.search(lists, np.arange(8), best, 10)
+        assert best == sorted((-s, d) for d, s in full.items())[:10]
+
+
+def test_few_blocks_are_scored():
+    """A rare heavy term: documents in blocks without it are not looked at."""
+    import numpy as np
+
+    lengths = np.full(20_000, 10)
+    hashes = np.ones(200_000, np.uint64)
+    hashes[:4000:100] = 2
+    lists = bm25.Lists(bm25.build_shard(np.arange(20_000), hashes, lengths), np.array([1, 2], np.uint64), np.array([0.001, 9.0]), 10.0)
+    best = bm25.search(lists, np.arange(2), [], 10)
+    assert [d for _, d in best] == list(range(0, 100, 10))
+    seen, ranges = [], bm25._ranges
+    try:
+        bm25._ranges = lambda a, b: seen.append((b - a).sum()) or ranges(a, b)
+        bm25.search(lists, np.arange(2), best, 10)
+    finally:
+        bm25._ranges = ranges
+    assert seen[-1] < 2000  # postings of the blocks that were scored, of 20,040
 
 
 def test_ties_repeated_rows_and_extra_columns(spark):
@@ -77,9 +99,21 @@ def test_ties_repeated_rows_and_extra_columns(spark):
     assert bm25.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_queries_of_one_id_are_one(docs):
+    rows = [(1, "a b"), (2, "b c"), (3, "q")]
+    got = found(bm25.top_k(docs(rows), docs([(7, "a"), (7, "c a"), (None, "q")]), k=5))
+    assert set(got) == {7} and {i for i, _ in got[7]} == {1, 2}
+    assert got == brute(rows, [(7, "a c")], 5)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", "x", 2, "y")], "doc_id long, text string, path string, query long, term string")
+    assert [r.id for r in bm25.top_k(df, df).collect()] == [1]
+
+
 def test_all_terms_of_a_text_count(docs):
     asked = [(1, " ".join(f"rare{i}" for i in range(20)) + " plain")]
     # `plain` is in most documents, so it is the lightest of the 21 terms
     rows = asked + [(2, "plain alone")] + [(i, f"plain w{i}") for i in range(3, 30)]
     got = found(bm25.top_k(docs(rows), docs(asked), k=40))
-    assert got == brute(rows, asked, 40, None) and len(got[1]) == len(rows)
+    assert got == brute(rows, asked, 40) and len(got[1]) == len(rows)
