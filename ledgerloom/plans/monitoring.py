@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.measures import differs
+from ledgerloom.functions.columns import all_of
+from ledgerloom.functions.measures import differs, mostly_equal
 from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.quality import compare_profiles, drop_empty_rows, profile
 from ledgerloom.operators.reconcile import period_diff
@@ -113,6 +114,28 @@ def archive_compare(old: dict[str, DataFrame], new: dict[str, DataFrame], tolera
     return {"columns": compared, "problems": problems, "unpaired": unpaired}
 
 
+def compare_outputs(profiles: DataFrame, pairs: DataFrame, tolerance: float = 0.4) -> dict[str, DataFrame]:
+    """Profiles of paired outputs side by side, and the names with a difference.
+
+    profiles(output, column, type, n_columns, nulls, sum, rows, zero_rows); pairs(name, old_output,
+    new_output). Both runs of all names are compared in one join, whatever their number.
+    """
+    figures = ["type", "n_columns", "nulls", "sum", "rows", "zero_rows"]
+
+    def side(which: str) -> DataFrame:
+        named = pairs.select("name", F.col(f"{which}_output").alias("output"))
+        return join_keys(profiles, named, ["output"], "inner", null_safe=False).select(
+            "name", "column", *[F.col(c).alias(f"{c}_{which}") for c in figures])
+
+    both = join_keys(side("old"), side("new"), ["name", "column"], "full", null_safe=False)
+    both = both.na.fill(0, subset=[f"{c}_{w}" for c in figures[2:] for w in ("old", "new")])
+    flags = {f"{c}_equal": F.coalesce(mostly_equal(f"{c}_old", f"{c}_new", tolerance), F.lit(False)) for c in figures[2:]}
+    flags |= {f"{c}_equal": F.coalesce(F.col(f"{c}_old") == F.col(f"{c}_new"), F.lit(False)) for c in figures[:2]}
+    compared = both.withColumns(flags)
+    problems = compared.groupBy("name").agg(*[F.every(f).alias(f) for f in flags])
+    return {"columns": compared, "problems": problems.where(~all_of(F.col(f) for f in flags))}
+
+
 def summary_compare(history: DataFrame, keys: list[str], values: list[str], tolerance: float = 0.4) -> DataFrame:
     """Last two runs of a summary history side by side, each figure flagged when it differs."""
     newest = history.agg(F.max("run_date")).scalar()
