@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ledgerloom.catalog.registry import num, query, text
 from ledgerloom.functions.columns import sum_when
+from ledgerloom.operators.correlation import series_correlations, strong
 from ledgerloom.operators.dimensions import append_checked
 from ledgerloom.operators.grouping import (
     collect_chunks, correlations, describe, exact_quantiles, group_sum, latest_version, subtotals, top_k,
@@ -211,6 +212,47 @@ def corr_by_year(t):
     return correlations(x, ["q", "p"], ["year"]).withColumn("corr", num("corr", 6))
 
 
+def _dimensions(t):
+    """Components of all embeddings as series over their vectors, small ones missing."""
+    vectors = t.spark.read.parquet(f"{t.folder}/embeddings.parquet")
+    cells = vectors.select("vec_id", "label", F.posexplode("embedding").alias("dimension", "component"))
+    return cells.where(F.abs("component") >= 0.01)
+
+
+DIMENSIONS = """d AS (SELECT vec_id, label, CAST(i - 1 AS INTEGER) AS dimension, CAST(embedding[i] AS DOUBLE) AS v
+  FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i) WHERE abs(embedding[i]) >= CAST(0.01 AS FLOAT))"""
+
+
+@query("corr_dimensions", "WITH " + DIMENSIONS + """
+SELECT a.dimension AS series_a, b.dimension AS series_b, count(*) AS n, round(corr(a.v, b.v), 6) + 0 AS corr
+FROM d a JOIN d b ON a.vec_id = b.vec_id AND a.dimension <= b.dimension GROUP BY ALL""")
+def corr_dimensions(t):
+    """All pairs of dimensions, pairwise complete, in blocks of 24 series."""
+    found = series_correlations(_dimensions(t), "dimension", ["vec_id"], "component", block=24)
+    return found.withColumn("corr", num("corr", 6))
+
+
+@query("corr_dimensions_by_label", "WITH " + DIMENSIONS + """, c AS (
+SELECT a.label, a.dimension AS series_a, b.dimension AS series_b, count(*) AS n, corr(a.v, b.v) AS corr
+FROM d a JOIN d b ON a.vec_id = b.vec_id AND a.dimension < b.dimension GROUP BY ALL)
+SELECT label, series_a, series_b, n, round(corr, 6) AS corr FROM c WHERE abs(corr) > 0.3 AND abs(corr) < 1""")
+def corr_dimensions_by_label(t):
+    found = series_correlations(_dimensions(t), "dimension", ["vec_id"], "component", ["label"])
+    return strong(found, 0.3).withColumn("corr", num("corr", 6))
+
+
+@query("corr_suppliers", """
+WITH x AS (SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, avg(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
+c AS (SELECT a.l_suppkey AS series_a, b.l_suppkey AS series_b, count(*) AS n, corr(a.price, b.price) AS corr
+  FROM x a JOIN x b ON a.month = b.month AND a.l_suppkey < b.l_suppkey GROUP BY ALL)
+SELECT series_a, series_b, n, round(corr, 6) AS corr FROM c WHERE n >= 12 AND abs(corr) > 0.25 AND abs(corr) < 1""")
+def corr_suppliers(t):
+    """Suppliers whose mean monthly prices move together, out of all pairs of suppliers."""
+    lines = t.lineitem.select("l_suppkey", F.trunc(F.to_date("l_shipdate"), "month").alias("month"), "l_extendedprice")
+    found = series_correlations(lines, "l_suppkey", ["month"], "l_extendedprice")
+    return strong(found, 0.25).where("n >= 12").withColumn("corr", num("corr", 6))
+
+
 @query("ordered_report", """
 WITH x AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL)
 SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY total DESC, o_orderpriority) AS INTEGER) AS rank
