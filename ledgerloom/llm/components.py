@@ -1,46 +1,87 @@
-"""Connected components of a link table, by alternating star contractions."""
+"""Connected components of a link table, by star contractions with union-find inside tasks."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged
+from ledgerloom.llm.common import lean, staged
 
 MAX_ROUNDS = 60
+LINKS = 1 << 20  # that a task takes in before it contracts them
 
 
-def _contract(links: DataFrame, large: bool) -> DataFrame:
-    """One star step on (a, b) links with a > b: each node's neighbours are led to the smallest."""
-    if large:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        led = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = links.groupBy("a").agg(F.min("b").alias("m"))
-        led = links.join(least, "a")
-        led = led.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-    return led.where("a <> b").distinct()
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the same components in which every node but the smallest is linked with the smallest.
+
+    Roots are hooked onto smaller ones along all links at once, then paths are halved until they are flat.
+    """
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = place[:len(a)], place[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        hooked = root.copy()
+        np.minimum.at(hooked, root[u], low)
+        np.minimum.at(hooked, root[v], low)
+        while (flat := hooked[hooked]).tobytes() != hooked.tobytes():
+            hooked = flat
+        if (hooked == root).all():
+            break
+        root = hooked
+    inner = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[inner], nodes[root[inner]]
+
+
+@lean
+def contract(batches):
+    """The links of a task as stars; it holds the nodes it has seen and a bounded number of links."""
+    a, b, more, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+    for batch in batches:
+        more.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        size += batch.num_rows
+        if size >= max(LINKS, len(a)):
+            a, b = stars(*(np.concatenate([own, *(m[i] for m in more)]) for i, own in enumerate((a, b))))
+            more, size = [], 0
+    if more:
+        a, b = stars(*(np.concatenate([own, *(m[i] for m in more)]) for i, own in enumerate((a, b))))
+    if len(a):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one leader, and no leader has another."""
+    none = F.lit(None).cast("long")
+    ends = links.select(F.col("a").alias("node"), F.col("b").alias("to"), F.lit(False).alias("leads")).union(
+        links.select("b", none, F.lit(True)))
+    nodes = ends.groupBy("node").agg(F.min("to").alias("low"), F.max("to").alias("high"), F.max("leads").alias("leads"))
+    return not nodes.where("low <> high OR (leads AND low IS NOT NULL)").limit(1).count()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node in a link; the component is its smallest node.
 
-    Links may be repeated, in either direction or loops; nulls are ignored; nodes are longs.
-    Minima are combined before the shuffle and the joins that follow are plain key joins, whose
-    hot keys Spark splits. Each round is written to the shared folder, so lineage stays short.
+    Links may be repeated, in either direction or loops; nulls are ignored; nodes are longs. Links are
+    kept as (larger, smaller). A round leads the larger end of every link to the smallest
+    neighbour of the smaller end, found by minima that are combined before the shuffle; then the
+    links of a larger end meet in one task, where union-find contracts whatever has come together. A node
+    that most links lead to is only ever the key of a join, which Spark splits. Each round is written to the
+    shared folder, so lineage stays short.
     """
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
-    links = links.where(x.isNotNull() & y.isNotNull() & (x != y))
-    links = staged(links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct(), "links")
-    state = None
+    links = links.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
+    links = staged(links.mapInArrow(contract, "a long, b long"), "links")
     for _ in range(MAX_ROUNDS):
-        seen = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (seen.n, seen.h) == state:
+        if _settled(links):
             break
-        state = (seen.n, seen.h)
-        links = staged(_contract(_contract(links, large=True), large=False), "links")
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+        led = links.join(least, F.col("b") == F.col("node")).select("a", F.least("b", "m").alias("b"))
+        links = staged(led.repartition("a").mapInArrow(contract, "a long, b long"), "links")
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
+    found = links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        links.select(F.col("b").alias("node"), F.col("b").alias("component")))
+    return found.distinct()

@@ -17,7 +17,9 @@
 
 Shingles are compared by 64-bit hashes.
 
-A null text, one without words, has the empty set and no links. Rows of one id are one document:
+A null text, one without words, has the empty set and no links; an empty table gives an empty result. Very
+long texts have large sets, which are compared whole. Columns other than id and text are ignored, whatever
+their names. Rows of one id are one document:
 they count as connected, so repeated rows change nothing. Rows with a null id are linked with
 nothing and their component is null.
 """
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import lean, mix64, scan_words, slices, staged, table, text_buffer, word_table
-from ledgerloom.llm.components import components
+from ledgerloom.llm.components import components, stars
 
 WORDS = 3
 PERCENT = 90
@@ -142,23 +144,29 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-LEADS = "slot int, names binary, ids binary, followers binary, leaders binary"
+LEADS = "slot int, names binary, places binary, ids binary, followers binary, leaders binary"
+NAME = 5  # bytes of a signature that are sent; unlike ones that look alike only add leads
 
 
 def _lead(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal names the smallest id leads: (names, leaders) once each, and (follower, leader) pairs."""
+    """Of equal names the smallest id leads: (names, leaders) once each, and (follower, leader) stars."""
     order = np.lexsort((ids, names))
     names, ids = names[order], ids[order]
     first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
     leader = np.repeat(ids[first], np.diff(np.r_[first, len(ids)]))
-    pairs = np.unique(np.stack([ids, leader], 1)[ids != leader], axis=0)
-    return names[first], ids[first], pairs[:, 0], pairs[:, 1]
+    other = ids != leader
+    followers, leaders = stars(ids[other], leader[other])
+    return names[first], ids[first], followers, leaders
 
 
 def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """(a, b): links from each set to the leader of a signature they share. Superset of the true components."""
+    """(a, b): links from each set to the leader of a signature they share. Superset of the true components.
+
+    A batch sends its signatures by slot, `NAME` bytes each, with a 16-bit place in a list of their owners.
+    """
     spark = docs.sparkSession
-    slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low = np.uint64((1 << 8 * NAME) - 1)
 
     def emit(batches):
         overlap = Overlap(percent)
@@ -172,32 +180,42 @@ def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent
             if not names:
                 continue
             names, ids, followers, leaders = _lead(np.concatenate(names), np.concatenate(ids))
-            slot = (names >> np.uint64(33)) % np.uint64(slots)
+            slot = (names >> np.uint64(8 * NAME)) % np.uint64(slots)
             order = np.argsort(slot, kind="stable")
-            cuts = np.searchsorted(slot[order], np.arange(slots + 1))
-            own = np.array_split(np.arange(len(followers)), slots)
-            rows = [(s, names[order[a:b]].tobytes(), ids[order[a:b]].tobytes(), followers[own[s]].tobytes(), leaders[own[s]].tobytes())
-                    for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a or len(own[s])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), *[pa.binary()] * 4])],
-                                             names=["slot", "names", "ids", "followers", "leaders"])
+            names, ids = names[order] & low, ids[order]
+            cuts = np.searchsorted(slot[order], np.arange(slots + 1)).tolist()
+            share = np.array_split(np.arange(len(followers)), slots)
+            rows = []
+            for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                for c in range(a, max(b, a + 1), 1 << 16):  # places fit 16 bits
+                    d = min(b, c + (1 << 16))
+                    own, place = np.unique(ids[c:d], return_inverse=True)
+                    led = share[s] if c == a else share[s][:0]
+                    if d > c or len(led):
+                        rows.append((s, names[c:d].view(np.uint8).reshape(-1, 8)[:, :NAME].tobytes(), place.astype(np.uint16).tobytes(),
+                                     own.tobytes(), followers[led].tobytes(), leaders[led].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), *[pa.binary()] * 5])],
+                                             names=["slot", "names", "places", "ids", "followers", "leaders"])
 
     def meet(batches):
         gathered: dict[int, list] = {}
         pairs = []
         for batch in batches:
-            for slot, names, ids, followers, leaders in zip(*(c.to_pylist() for c in batch.columns)):
-                gathered.setdefault(slot, []).append((np.frombuffer(names, np.uint64), np.frombuffer(ids, np.int64)))
+            for slot, names, places, ids, followers, leaders in zip(*(c.to_pylist() for c in batch.columns)):
+                wide = np.zeros((len(places) // 2, 8), np.uint8)
+                wide[:, :NAME] = np.frombuffer(names, np.uint8).reshape(-1, NAME)
+                gathered.setdefault(slot, []).append((wide.reshape(-1).view(np.uint64), np.frombuffer(ids, np.int64)[np.frombuffer(places, np.uint16)]))
                 pairs.append((np.frombuffer(followers, np.int64), np.frombuffer(leaders, np.int64)))
         for slot in list(gathered):
             parts = gathered.pop(slot)
             _, _, followers, leaders = _lead(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
             pairs.append((followers, leaders))
-        for followers, leaders in pairs:
-            if len(followers):
-                yield pa.RecordBatch.from_arrays([pa.array(followers), pa.array(leaders)], names=["a", "b"])
+        if pairs:
+            followers, leaders = stars(*(np.concatenate([p[i] for p in pairs]) for i in range(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(followers), pa.array(leaders)], names=["a", "b"])
 
     emitted = _source(docs, id_col, text_col).mapInArrow(lean(emit), LEADS)
-    return emitted.repartition(slots, "slot").mapInArrow(lean(meet), "a long, b long").distinct()
+    return emitted.repartition(slots, "slot").mapInArrow(lean(meet), "a long, b long")
 
 
 class Search:
@@ -296,7 +314,8 @@ def _search_groups(groups: DataFrame, width: int, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     keyed = groups.select("key", "id", F.col("side").cast("int").alias("side"), F.col("known").cast("long").alias("known"), "text")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lean(run), "a long, b long")
+    tasks = max(1, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # fixed: searching costs more than reading
+    return keyed.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(lean(run), "a long, b long")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,
@@ -307,8 +326,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     percent / 100; the component is the smallest id reachable by links, itself included.
     """
     sets = staged(set_table(docs, id_col, text_col, width), "sets")
-    leads = staged(block_leads(docs, id_col, text_col, width, percent), "leads")
-    groups = components(leads).select(F.col("node").alias("id"), F.col("component").alias("grp"))
+    groups = components(block_leads(docs, id_col, text_col, width, percent)).select(F.col("node").alias("id"), F.col("component").alias("grp"))
     # one member of each class of equal sets, by its smallest id; a class lies inside one group
     named = sets.where("n > 0 AND id IS NOT NULL").select("id", "f1", "f2").distinct()
     classes = named.groupBy("f1", "f2").agg(F.min("id").alias("id"))
