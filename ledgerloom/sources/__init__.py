@@ -3,6 +3,7 @@ from ledgerloom.sources.tables import (
     Tables,
     dated_files,
     latest_snapshot,
+    read_checked,
     read_delimited,
     read_files,
     read_jdbc,
@@ -13,7 +14,7 @@ from ledgerloom.sources.tables import (
 )
 
 __all__ = [
-    "Tables", "append_history", "dated_files", "latest_snapshot", "read_delimited", "read_files", "read_jdbc", "read_table",
+    "Tables", "append_history", "dated_files", "latest_snapshot", "read_checked", "read_delimited", "read_files", "read_jdbc", "read_table",
     "snapshot_pairs", "trailing_period", "union_sources", "write_by", "write_delimited",
     "write_named",
 ]

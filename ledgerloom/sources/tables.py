@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.functions.columns import as_col
 from ledgerloom.session import staged
@@ -105,6 +105,28 @@ def read_delimited(
     return df.select(*columns) if columns else df
 
 
+def read_checked(
+    spark: SparkSession, path: str, schema: StructType | str, sep: str = ",", header: bool = True, options: dict[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Delimited text as (good rows, rejected lines); together they are all lines with content.
+
+    Rejected are lines with fewer or more fields than the schema and lines with a value that does not
+    fit its type: source_file, record (the whole line), problem. Good rows keep `source_file`.
+    """
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    wanted = StructType([*fields, StructField("__record", StringType())])
+    # the lines are written once: parsed with all columns, whatever the caller selects later
+    given = {"sep": sep, **(options or {})}
+    lines = spark.read.options(**given).csv(path, header=header, schema=wanted, mode="PERMISSIVE", columnNameOfCorruptRecord="__record")
+    lines = staged(lines.withColumn("source_file", F.col("_metadata.file_name")), "lines")
+    good = lines.where("__record IS NULL").drop("__record")
+    cells = F.from_csv("__record", ", ".join(f"`{f.name}` string" for f in fields), given)
+    wrong = F.array_compact(F.array(*(F.when(cells[f.name].isNotNull() & cells[f.name].try_cast(f.dataType).isNull(), F.lit(f.name)) for f in fields)))
+    problem = F.when(F.size(wrong) > 0, F.concat(F.lit("type of "), F.array_join(wrong, ", "))).otherwise("number of fields")
+    bad = lines.where("__record IS NOT NULL").select("source_file", F.col("__record").alias("record"), problem.alias("problem"))
+    return good, bad
+
+
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Many parquet files or folders as one table with merged columns and `source_file`."""
     df = spark.read.option("mergeSchema", "true").parquet(*paths)
