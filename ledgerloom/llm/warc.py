@@ -11,7 +11,8 @@ the manifest only when their task has succeeded; they are read back from the man
 
 A null html is an empty payload, a null url leaves the target out. Rows that share the smallest
 id and the payload are all responses, so are rows without an id whose payload no row with an
-id has. An empty table gives no archives. Other columns are not archived.
+id has; rows of one id get record ids of their own. Very long payloads are archived whole. An empty table gives
+no archives. Other columns are not archived, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,19 +41,24 @@ FRAME_DATA = 0xFD2FB528
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def _record_id(name: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{name}')}>"
 
 
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, first: int | None, revisit: bool) -> bytes:
-    """One record: a response with its payload, or a revisit of the page `first`."""
+def build_record(page_id: int | None, url: str | None, payload: bytes, first: int | None, revisit: bool,
+                 name: str | None = None, named_first: bool = True) -> bytes:
+    """One record: a response with its payload, or a revisit of the page `first`.
+
+    `name` is what makes the record's id where the page's id does not; a page whose id has
+    several records (not `named_first`) is referred to by its id only.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id)}",
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(str(page_id) if name is None else name)}",
             f"WARC-Date: {DATE}"]
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~-._"))
@@ -60,7 +66,8 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, first: in
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if revisit:
-        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {_record_id(first)}", f"X-Refers-To-Page-ID: {first}"]
+        head += [f"WARC-Profile: {REVISIT}", f"X-Refers-To-Page-ID: {first}"]
+        head += [f"WARC-Refers-To: {_record_id(str(first))}"] if named_first else []
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -118,10 +125,16 @@ def unpack_archive(data: bytes) -> Iterator[bytes]:
 
 
 def mark_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
-    """(id, digest, first): one row per distinct id and payload, with the smallest id of that payload."""
+    """(id, digest, first, many, first_many): one row per distinct id and payload, with the smallest id of that
+    payload, and whether either id has several rows."""
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), F.sha2(F.coalesce(
-        F.col(payload_col).cast("string"), F.lit("")), 256).alias("digest")).distinct()
-    return keyed.join(keyed.groupBy("digest").agg(F.min("id").alias("first")), "digest")
+        F.col(payload_col).cast("string"), F.lit("")), 256).alias("digest")).groupBy("id", "digest").agg(F.count("*").alias("n"))
+    marks = keyed.drop("n").join(keyed.groupBy("digest").agg(F.min("id").alias("first")), "digest")
+    again = staged(keyed.where("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n")).where("n > 1").select("id"), "repeated")
+    for column, own in (("id", "many"), ("first", "first_many")):
+        marks = marks.join(again.select(F.col("id").alias(column), F.lit(True).alias(own)), column, "left")
+    return marks.select("id", "digest", "first", (F.coalesce("many", F.lit(False)) | F.col("id").isNull()).alias("many"),
+                        F.coalesce("first_many", F.lit(False)).alias("first_many"))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
@@ -129,7 +142,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Write the archives; the manifest (path, records, raw_bytes, bytes)."""
 
     def write(batches):
-        held, size = [], 0
+        held, size, own, count = [], 0, uuid.uuid4().hex, 0
 
         def flush():
             data = pack_archive(held)
@@ -138,8 +151,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
         for batch in batches:
             for i in range(batch.num_rows):
-                page, url, payload, first = (c[i].as_py() for c in batch.columns)
-                held.append(build_record(page, url, (payload or "").encode(), first, first is not None and first != page))
+                page, url, payload, first, many, first_many = (c[i].as_py() for c in batch.columns)
+                count += 1
+                held.append(build_record(page, url, (payload or "").encode(), first, first is not None and first != page,
+                                         f"{page}:{own}:{count}" if many else None, not first_many))
                 size += len(held[-1])
                 if size >= archive_bytes:
                     yield flush()
@@ -152,7 +167,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     own = own.withColumn("digest", F.sha2("payload", 256)).alias("o")
     marks = staged(mark_revisits(pages, id_col, payload_col), "marks").alias("m")
     joined = own.join(marks, (F.col("o.digest") == F.col("m.digest")) & F.col("o.id").eqNullSafe(F.col("m.id")))
-    joined = joined.select("o.id", "o.url", "o.payload", "m.first")
+    joined = joined.select("o.id", "o.url", "o.payload", "m.first", "m.many", "m.first_many")
     return staged(joined.mapInArrow(lean(write), "path string, records long, raw_bytes long, bytes long"), "manifest")
 
 
@@ -176,7 +191,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     ddl = ("page_id long, url string, payload string, payload_bytes long, payload_digest string, record_type string, "
            "refers_to long")
-    return manifest.select("path").repartition(F.xxhash64("path")).mapInArrow(lean(read), ddl)
+    files = max(1, manifest.count())
+    return manifest.select("path").repartitionByRange(files, "path").mapInArrow(lean(read), ddl)  # an archive a task
 
 
 def _row(data: bytes) -> dict:

@@ -63,7 +63,7 @@ def test_stages_against_brute_force(spark, folder):
 def test_run_and_registration(spark, folder):
     assert ORACLE_SQL is None
     assert run(spark, folder).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES if q.startswith("op")}
 
 
 def test_near_duplicate_stage_with_repeated_rows(spark, docs, folder):
@@ -85,6 +85,31 @@ def test_near_duplicate_stage_takes_five_words_and_eighty_percent(spark, docs, f
     assert sorted(r.doc_id for r in STAGES[1][1](spark, rows, folder).collect()) == [1, 4]
 
 
+def test_contaminated_documents_without_an_id_go(spark, docs, folder):
+    item = " ".join(f"bench{i}" for i in range(15))
+    rows = docs([(None, f"some words {item} more"), (None, "clean words"), (7, f"x {item}"), (7, "clean too"), (8, None), (None, None)])
+    got = sorted((repr(r.doc_id), r.text) for r in STAGES[2][1](spark, rows, folder).collect() if r.text)
+    assert got == [("7", "clean too"), ("None", "clean words")]
+    assert STAGES[2][1](spark, rows, folder).count() == 4
+
+
+def test_stages_keep_clashing_columns_and_long_texts(spark, folder):
+    """Extra columns named like those that stages make for themselves stay as they are."""
+    extra = ["id", "mark", "_mark", "component_id", "pass", "g", "b", "t", "place", "doc", "accepted", "contaminated", "n"]
+    long = " ".join(f"the{i % 977} and{i % 983} ing{i % 991}" for i in range(20_000))
+    rows = [(1, long, "en", "s"), (2, "the and of the ing and tion the", "en", "s"), (3, "the words and the tion of them and", "en", None)]
+    plain = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = plain
+    for i, c in enumerate(extra):
+        docs = docs.withColumn(c, plain.doc_id * 100 + i)
+    for name, stage in STAGES:
+        out = stage(spark, docs, folder)
+        if name != "tokens":
+            assert out.columns == docs.columns
+            assert all(r[c] == r.doc_id * 100 + i for r in out.collect() for i, c in enumerate(extra))
+        assert out.select("doc_id").distinct().count() == stage(spark, plain, folder).select("doc_id").distinct().count()
+
+
 def test_stages_on_an_empty_table(spark, docs, folder):
     for _, stage in STAGES:
         assert stage(spark, docs([(1, "a")]).limit(0), folder).count() == 0

@@ -54,3 +54,18 @@ def test_null_ids_repeated_rows_long_and_empty(spark, tmp_path):
     assert got == sorted([(-1, "revisit", 5), (5, "response", None), (5, "response", None), (7, "response", None),
                           (-1, "response", None)], key=str)
     assert warc.read_archives(archive(spark, rows[:0], tmp_path)).count() == 0
+
+
+def test_record_ids_are_unique_and_archives_read_side_by_side(spark, tmp_path):
+    rows = [(i % 30, "u", f"{'x' * 900}{i % 45}", "d") for i in range(120)] + [(None, "u", "n", "d")] * 3
+    manifest = archive(spark, rows, tmp_path)
+    heads = [warc.parse_record(x)[0] for r in manifest.collect() for x in warc.unpack_archive(load(r.path))]
+    ids = [h["warc-record-id"] for h in heads]
+    assert len(ids) == 123 == len(set(ids))
+    assert all(h["warc-refers-to"] in ids for h in heads if "warc-refers-to" in h)
+    assert warc.read_archives(manifest).rdd.getNumPartitions() > manifest.count() // 2
+
+
+def test_clashing_columns(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "p", "a", 5, True)], "page_id long, url string, html string, digest string, first long, many boolean")
+    assert warc.read_archives(warc.write_archives(df, str(tmp_path))).first().payload == "p"
