@@ -291,11 +291,9 @@ def union_by_name(t):
 
 
 @query("key_intersect", """
-SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R' INTERSECT
-SELECT p_partkey FROM part WHERE p_size < 25""")
+SELECT l_partkey AS id FROM lineitem INTERSECT SELECT o_custkey FROM orders""")
 def key_intersect(t):
-    return t.lineitem.where(F.col("l_returnflag") == "R").select(
-        F.col("l_partkey").alias("id")).intersect(t.part.where(F.col("p_size") < 25).select(F.col("p_partkey").alias("id")))
+    return t.lineitem.select(F.col("l_partkey").alias("id")).intersect(t.orders.select(F.col("o_custkey").alias("id")))
 
 
 @query("key_except_both", """

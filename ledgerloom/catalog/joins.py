@@ -15,7 +15,7 @@ from ledgerloom.operators.grouping import collect_chunks
 from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.quality import last_seen
 from ledgerloom.sources.tables import newest_days, within_day
-from ledgerloom.operators.reconcile import mirror_pairs, reconcile, reporting_grid, version_pairs
+from ledgerloom.operators.reconcile import mirror_pairs, ordered_pairs, reconcile, reporting_grid, version_pairs
 
 CODES = """coded AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN CAST(l_suppkey AS VARCHAR)
   WHEN 'A' THEN 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0')
@@ -112,6 +112,15 @@ def version_pairs_(t):
         {c: text(c) for c in ("report_day_new", "report_day_old")})
 
 
+@query("version_pairs_all", ctes(BALANCES) + """, v AS (SELECT DISTINCT account, report_day FROM balances)
+SELECT a.account, CAST(a.report_day AS VARCHAR) AS report_day_old, CAST(b.report_day AS VARCHAR) AS report_day_new
+FROM v a JOIN v b ON a.account = b.account AND a.report_day < b.report_day AND b.report_day - a.report_day <= 7""")
+def version_pairs_all(t):
+    """All ordered pairs of an account's days that are at most a week apart."""
+    return ordered_pairs(balances(t), ["account"], "report_day", 7).withColumns(
+        {c: text(c) for c in ("report_day_new", "report_day_old")})
+
+
 FLOWS = """flows AS (SELECT s.n_name AS seller, b.n_name AS buyer, l_returnflag AS ccy, sum(l_extendedprice) AS value,
   sum(l_quantity) AS quantity
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation s ON s_nationkey = s.n_nationkey
@@ -159,11 +168,11 @@ def spine_cross(t):
 @query("spine_fill", ctes(COMPANIES, PARTIES, LEDGER, GRID, """
 pos AS (SELECT holding, segment AS row_label, party_segment AS col_label, sum(amount) AS amount
   FROM ledger JOIN companies ON company = unit_key JOIN orders ON document = o_orderkey JOIN parties ON o_custkey = party
-  WHERE report_type = 'AR' AND currency = 'EUR' AND line_status = 'F' GROUP BY ALL)""") + """
+  WHERE report_type = 'AR' GROUP BY ALL)""") + """
 SELECT g.holding, g.row_label, g.col_label, round(coalesce(amount, 0), 2) AS amount
 FROM grid g LEFT JOIN pos USING (holding, row_label, col_label)""")
 def spine_fill(t):
-    lines = ledger(t).where((F.col("report_type") == "AR") & (F.col("line_status") == "F"))
+    lines = ledger(t).where(F.col("report_type") == "AR")
     lines = join_keys(lines, companies(t).select("unit_key", "holding", "segment"), {"company": "unit_key"}, "inner", null_safe=False)
     lines = join_keys(lines, t.orders.select("o_orderkey", "o_custkey"), {"document": "o_orderkey"}, "inner", null_safe=False)
     lines = join_keys(lines, parties(t).select("party", "party_segment"), {"o_custkey": "party"}, "inner", null_safe=False)

@@ -154,15 +154,15 @@ def recon_derivatives(t):
 
 
 @query("recon_treasury_mapping", """
-WITH a AS (SELECT DISTINCT l_orderkey AS deal_no, l_returnflag AS holding, CAST(l_suppkey AS VARCHAR) AS code FROM lineitem WHERE l_linenumber = 1),
-b AS (SELECT DISTINCT o_orderkey AS deal_no, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END AS unified_holding, CAST(o_custkey AS VARCHAR) AS unified_code FROM orders WHERE o_totalprice > 50000)
+WITH a AS (SELECT DISTINCT l_orderkey AS deal_no, l_returnflag AS holding, CAST(l_suppkey AS VARCHAR) AS code FROM lineitem),
+b AS (SELECT DISTINCT o_orderkey AS deal_no, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'A' ELSE 'N' END AS unified_holding, CAST(o_custkey AS VARCHAR) AS unified_code FROM orders)
 SELECT coalesce(a.deal_no, b.deal_no) AS deal_no, holding, code, unified_holding, unified_code, coalesce(holding = unified_holding, false) AS holding_equal, coalesce(code = unified_code, false) AS code_equal
 FROM a FULL JOIN b ON a.deal_no = b.deal_no WHERE NOT coalesce(holding = unified_holding, false) OR NOT coalesce(code = unified_code, false)""")
 def recon_treasury_mapping(t):
-    debt = t.lineitem.where(F.col("l_linenumber") == 1).select(
+    debt = t.lineitem.select(
         F.col("l_orderkey").alias("deal_no"), F.col("l_returnflag").alias("holding"), text("l_suppkey").alias("code"))
     holding = F.when(F.col("o_orderstatus") == "F", "R").when(F.col("o_orderstatus") == "O", "A").otherwise("N")
-    unified = t.orders.where(F.col("o_totalprice") > 50000).select(
+    unified = t.orders.select(
         F.col("o_orderkey").alias("deal_no"), holding.alias("unified_holding"), text("o_custkey").alias("unified_code"))
     return recon.treasury_mapping(debt, unified, ["deal_no"], {"holding": "unified_holding", "code": "unified_code"})
 

@@ -161,7 +161,7 @@ kept AS (SELECT * FROM rows WHERE active <> 0 AND ("limit" IS NULL OR "limit" <>
 LIMIT_PARTS = {"south": ["NATION_1", "NATION_2", "NATION_3", "NATION_5"], "rest": ["NATION_8", "NATION_13", "NATION_21", "External"]}
 
 
-def bank_limit_tables(t):
+def bank_limit_table(t, name):
     b = balances(t)
     home = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"))
     held = join_keys(b, home, {"account": "c_custkey"}, "left", null_safe=False).select(
@@ -174,7 +174,7 @@ def bank_limit_tables(t):
         F.col("o_custkey").alias("bank_id"), holding.alias("holding"), F.col("o_orderpriority").alias("limit_type"),
         (F.col("o_totalprice") * 100).alias("limit"), F.to_date("o_orderdate").alias("active_from"))
     banks = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("bank_id"), F.col("c_name").alias("name"))
-    return positions.bank_limits(held, limits, banks, entities(t), day="ts", parts=LIMIT_PARTS)
+    return positions.bank_limits(held, limits, banks, entities(t), day="ts", parts=LIMIT_PARTS, wanted=(name,))[name]
 
 
 @query("report_bank_limits", BANK_LIMITS + """, g AS (SELECT holding, bank, coalesce(avg("limit"), 0) AS "limit", sum(active) AS active,
@@ -182,20 +182,20 @@ def bank_limit_tables(t):
 SELECT holding, bank, round("limit", 2) AS "limit", round(active, 2) AS active, round(pct_active, 1) AS pct_active, round(total, 2) AS total, round(pct_total, 1) AS pct_total,
   CASE WHEN active <= "limit" THEN 'ok' WHEN active - "limit" > "limit" * 0.1 OR active - "limit" > 10 THEN 'significant' ELSE 'insignificant' END AS breach FROM g""")
 def report_bank_limits(t):
-    return bank_limit_tables(t)["by_bank"].withColumns(
+    return bank_limit_table(t, "by_bank").withColumns(
         {"limit": num("limit"), "active": num("active"), "total": num("total"), "pct_active": num("pct_active", 1), "pct_total": num("pct_total", 1)})
 
 
 @query("report_bank_limits_by_segment", BANK_LIMITS + """
 SELECT holding, segment, round(sum(active), 2) AS active, round(sum(total), 2) AS total FROM kept GROUP BY ALL""")
 def report_bank_limits_by_segment(t):
-    return bank_limit_tables(t)["by_segment"].withColumns({"active": num("active"), "total": num("total")})
+    return bank_limit_table(t, "by_segment").withColumns({"active": num("active"), "total": num("total")})
 
 
 @query("report_bank_limits_by_country", BANK_LIMITS + """
 SELECT holding, country, round(sum(active), 2) AS active, round(sum(total), 2) AS total FROM kept GROUP BY ALL""")
 def report_bank_limits_by_country(t):
-    return bank_limit_tables(t)["by_country"].withColumns({"active": num("active"), "total": num("total")})
+    return bank_limit_table(t, "by_country").withColumns({"active": num("active"), "total": num("total")})
 
 
 @query("report_bank_limits_frame", BANK_LIMITS + """
@@ -205,7 +205,7 @@ SELECT CASE WHEN grouping(holding) = 1 THEN 'Total' ELSE holding END AS holding,
   CAST(grouping(holding) + grouping(country) + grouping(bank) + grouping(segment) AS INTEGER) AS level
 FROM kept GROUP BY ROLLUP (holding, country, bank, segment)""")
 def report_bank_limits_frame(t):
-    return bank_limit_tables(t)["frame"].withColumns({"active": num("active"), "total": num("total")})
+    return bank_limit_table(t, "frame").withColumns({"active": num("active"), "total": num("total")})
 
 
 @query("report_bank_limits_matrix", BANK_LIMITS + """, c AS (SELECT * FROM kept WHERE country IS NOT NULL),
@@ -221,7 +221,7 @@ SELECT l.holding, l.country, CAST(country_no AS INTEGER) AS country_no, l.bank,
   s.segment, CAST(segment_no AS INTEGER) AS segment_no, round(coalesce(v, 0), 2) AS segment_total
 FROM lines l JOIN seg s ON s.holding = l.holding LEFT JOIN held h ON h.holding = l.holding AND h.country = l.country AND h.bank IS NOT DISTINCT FROM l.bank AND h.segment = s.segment""")
 def report_bank_limits_matrix(t):
-    return bank_limit_tables(t)["matrix"].withColumns({c: num(c) for c in ("active", "total", "segment_total")})
+    return bank_limit_table(t, "matrix").withColumns({c: num(c) for c in ("active", "total", "segment_total")})
 
 
 @query("report_bank_limits_by_part", BANK_LIMITS + """, parts(part, segment) AS (VALUES ('south', 'NATION_1'), ('south', 'NATION_2'), ('south', 'NATION_3'), ('south', 'NATION_5'),
@@ -231,7 +231,7 @@ g AS (SELECT holding, part, bank, coalesce(avg("limit"), 0) AS "limit", sum(acti
 SELECT holding, part, bank, round("limit", 2) AS "limit", round(active, 2) AS active, round(total, 2) AS total,
   round(coalesce(active / nullif("limit", 0) * 100, 0), 1) AS pct_active, round(coalesce(total / nullif("limit", 0) * 100, 0), 1) AS pct_total FROM g JOIN w USING (holding, bank)""")
 def report_bank_limits_by_part(t):
-    return bank_limit_tables(t)["by_part"].withColumns({
+    return bank_limit_table(t, "by_part").withColumns({
         "limit": num("limit"), "active": num("active"), "total": num("total"), "pct_active": num("pct_active", 1), "pct_total": num("pct_total", 1)})
 
 
@@ -405,7 +405,7 @@ def report_treasury_debt(t):
 DERIV = f"""
 deals AS (SELECT l_orderkey AS deal_no, CAST(l_suppkey AS VARCHAR) AS entity, CAST(l_shipdate AS DATE) AS maturity, 'USD' AS pay_ccy, l_extendedprice AS pay,
   CASE WHEN l_linestatus = 'F' THEN 'CHF' ELSE 'EUR' END AS rec_ccy, l_quantity * 1000 AS rec FROM lineitem WHERE l_returnflag <> 'R'
-  AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45))"""
+  AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'))"""
 
 
 def deriv_inputs(t):
@@ -413,11 +413,11 @@ def deriv_inputs(t):
         F.col("l_orderkey").alias("deal_no"), F.to_date("l_shipdate").alias("position_day"), text("l_suppkey").alias("entity"),
         text("l_partkey").alias("party"), F.lit("USD").alias("pay_ccy"), F.col("l_extendedprice").alias("pay"),
         F.when(F.col("l_linestatus") == "F", "RUC").otherwise("EUR").alias("rec_ccy"), (F.col("l_quantity") * 1000).alias("rec"),
-        F.to_date("l_shipdate").alias("maturity"), "l_returnflag", "l_quantity")
+        F.to_date("l_shipdate").alias("maturity"), "l_returnflag")
     flag = F.col("l_returnflag")
-    own = deals.drop("l_returnflag", "l_quantity")
+    own = deals.drop("l_returnflag")
     return (deals.where(flag == "A").select(*own.columns), deals.where(flag == "N").select(*own.columns),
-            deals.where((flag == "R") & (F.col("l_quantity") > 45)).select("deal_no"))
+            deals.where(flag == "R").select("deal_no"))
 
 
 @query("report_derivatives", ctes(QUOTES, COMPANIES, MULTIKEY, DERIV, """

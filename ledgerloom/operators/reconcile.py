@@ -108,6 +108,20 @@ def version_pairs(df: DataFrame, keys: list[str], version: str) -> DataFrame:
             .withColumnRenamed(version, f"{version}_new"))
 
 
+def ordered_pairs(df: DataFrame, keys: list[str], day: str, within: int) -> DataFrame:
+    """Every ordered pair of distinct days of a key, old before new, at most `within` days apart.
+
+    Days are dealt to ranges of that length; a day meets its own range and the one before, so a
+    key with a long history never meets all of itself.
+    """
+    seen = df.select(*keys, F.col(day).cast("date").alias("__day")).where("__day IS NOT NULL").distinct()
+    part = F.floor(F.unix_date("__day") / F.lit(within)).cast("int")
+    new = seen.select(*keys, F.col("__day").alias(f"{day}_new"), F.explode(F.array(part, part - 1)).alias("__part"))
+    old = seen.select(*keys, F.col("__day").alias(f"{day}_old"), part.alias("__part"))
+    gap = F.date_diff(f"{day}_new", f"{day}_old")
+    return join_keys(new, old, [*keys, "__part"], "inner", extra=(gap > 0) & (gap <= within)).drop("__part")
+
+
 def difference_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: rows with a value and distinct values, counted by value first."""
     values = column_values(df, cols)

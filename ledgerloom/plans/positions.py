@@ -94,11 +94,13 @@ def liquidity_qc(balances: DataFrame, day: str, keys: list[str], amount: str, li
 def bank_limits(
     balances: DataFrame, limits: DataFrame, banks: DataFrame, entities: Entities,
     active_statuses: tuple[str, ...] = ("active", "mmarket"), day: str = "report_day",
-    parts: dict[str, list[str]] | None = None,
+    parts: dict[str, list[str]] | None = None, wanted: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
     """Use of bank limits on the last day, in millions: by bank, country and segment, banks by
     segment with country totals in report order, and by bank within `parts`, named groups of segments.
 
+    Only the `wanted` tables are built, by default all: some are written while they are built.
+
     balances(report_day, holding, bank_id, bank_name, country, unit_code, status, balance);
     limits(bank_id, holding, limit_type, limit, active_from); banks(bank_id, name).
     """
@@ -120,16 +122,19 @@ def bank_limits(
     def sums(*keys: str) -> DataFrame:
         return rows.groupBy("holding", *keys).agg(sum0("active").alias("active"), sum0("total").alias("total"))
 
-    by_bank = rows.groupBy("holding", "bank").agg(
-        F.coalesce(F.avg("limit"), F.lit(0.0)).alias("limit"), sum0("active").alias("active"), sum0("pct_active").alias("pct_active"),
-        sum0("total").alias("total"), sum0("pct_total").alias("pct_total"),
-    ).withColumn("breach", limit_breach("active", "limit"))
-    return {
-        "by_bank": by_bank, "by_country": sums("country"), "by_segment": sums("segment"),
-        "frame": subtotals(sums("country", "bank", "segment"), ["holding", "country", "bank", "segment"], ["active", "total"]),
-        "matrix": _limit_matrix(sums("country", "bank", "segment")),
-        "by_part": _limit_parts(rows, parts or {}),
+    def by_bank() -> DataFrame:
+        return rows.groupBy("holding", "bank").agg(
+            F.coalesce(F.avg("limit"), F.lit(0.0)).alias("limit"), sum0("active").alias("active"), sum0("pct_active").alias("pct_active"),
+            sum0("total").alias("total"), sum0("pct_total").alias("pct_total"),
+        ).withColumn("breach", limit_breach("active", "limit"))
+
+    tables = {
+        "by_bank": by_bank, "by_country": lambda: sums("country"), "by_segment": lambda: sums("segment"),
+        "frame": lambda: subtotals(sums("country", "bank", "segment"), ["holding", "country", "bank", "segment"], ["active", "total"]),
+        "matrix": lambda: _limit_matrix(sums("country", "bank", "segment")),
+        "by_part": lambda: _limit_parts(rows, parts or {}),
     }
+    return {name: tables[name]() for name in wanted or tables}
 
 
 def _placed(df: DataFrame, within: list[str], name: str, position: str) -> DataFrame:
