@@ -60,7 +60,7 @@ def _settled(links: DataFrame) -> bool:
     return not nodes.where("low <> high OR (leads AND low IS NOT NULL)").limit(1).count()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", contracted: bool = False) -> DataFrame:
     """(node, component) of every node in a link; the component is its smallest node.
 
     Links may be repeated, in either direction or loops; nulls are ignored; nodes are longs. Links are
@@ -68,11 +68,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbour of the smaller end, found by minima that are combined before the shuffle; then the
     links of a larger end meet in one task, where union-find contracts whatever has come together. A node
     that most links lead to is only ever the key of a join, which Spark splits. Each round is written to the
-    shared folder, so lineage stays short.
+    shared folder, so lineage stays short. `contracted` says that the tasks that make the links have contracted
+    them already, so that no second Python worker runs beside theirs.
     """
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     links = links.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-    links = staged(links.mapInArrow(contract, "a long, b long"), "links")
+    links = staged(links if contracted else links.mapInArrow(contract, "a long, b long"), "links")
     for _ in range(MAX_ROUNDS):
         if _settled(links):
             break

@@ -326,7 +326,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     percent / 100; the component is the smallest id reachable by links, itself included.
     """
     sets = staged(set_table(docs, id_col, text_col, width), "sets")
-    groups = components(block_leads(docs, id_col, text_col, width, percent)).select(F.col("node").alias("id"), F.col("component").alias("grp"))
+    groups = components(block_leads(docs, id_col, text_col, width, percent), contracted=True).select(F.col("node").alias("id"), F.col("component").alias("grp"))
     # one member of each class of equal sets, by its smallest id; a class lies inside one group
     named = sets.where("n > 0 AND id IS NOT NULL").select("id", "f1", "f2").distinct()
     classes = named.groupBy("f1", "f2").agg(F.min("id").alias("id"))
