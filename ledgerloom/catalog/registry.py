@@ -10,7 +10,7 @@ from ledgerloom.functions.columns import as_col
 from ledgerloom.sources.tables import Tables
 
 MODULES = ["scans", "filters", "joins", "groups", "windows", "scalars", "reshaping", "domain", "checks",
-           "reports", "reconciliations", "differences"]
+           "reports", "reconciliations", "differences", "large"]
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}

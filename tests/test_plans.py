@@ -16,12 +16,12 @@ from ledgerloom.operators.series import forward_fill
 from tests.oracle import compare, connect
 
 QUERIES = queries()
-# Windows are allowed over tables that a date, a row range or a sketch keeps small per key.
+# Windows are allowed over tables that a date, a row range, a range partition or a sketch keeps small per key.
 WINDOWED = {
     "version_pairs", "ordered_report", "pct_change", "rolling_mean", "rolling_full_window", "volatility_horizons", "volatility_strict",
     "forward_fill", "backward_fill", "quantile_thresholds", "describe_columns", "iqr_filter", "report_triggers", "report_price_series",
     "report_price_volatility", "report_volatility", "report_balance_monitor", "recon_inventory_statistics", "report_market_shares",
-    "report_bank_limits_matrix", "report_balance_blocks",
+    "report_bank_limits_matrix", "report_balance_blocks", "rank_rows", "running_share", "rank_distinct",
 }
 
 
