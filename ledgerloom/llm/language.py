@@ -1,16 +1,16 @@
 """Language identification by Bayesian fusion of evidence.
 
 The posterior of a language is the product of
-- the likelihood of the text under a model of hashed letter trigrams per language, counted over
-  all rows whose declared language is known. Each letter stands in three trigrams, so the log
+- the likelihood of the text under a model of letter trigrams per language, counted over all rows
+  whose declared language is known, every trigram by itself. Each letter stands in three trigrams, so the log
   likelihood counts a third. A background model of independent letters stands for no language;
 - the likelihood of the declared markup language and of the address suffix's country, given the
   language: confusion counts from one grouped aggregation each, smoothed;
 - the prior of the host: expected counts per host, smoothed towards its domain, the domain
   towards its suffix, and that towards the whole table, all from grouped aggregations.
 
-Texts are scored where they are read and only scores are joined, so texts never shuffle. The
-models have a fixed number of cells whatever the input. Counts cover all rows.
+Texts are scored where they are read and only scores are joined, so texts never shuffle. There are
+156^3 trigrams at most, whatever the input; those that occur make the model. Counts cover all rows.
 
 A text without letters (null, empty, digits only) has no language and is rejected, whatever is
 declared. A null or unknown declared language, suffix or host is no evidence. Repeated rows
@@ -34,8 +34,8 @@ NONE = "und"
 #: Countries whose address suffix tells a language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "uk": "en", "us": "en", "ie": "en", "au": "en", "es": "es", "mx": "es",
                    "ar": "es", "fr": "fr"}
-CELLS = 1 << 16
 LETTERS = 156
+TRIGRAMS = LETTERS ** 3
 SMOOTH = 0.05
 HOST_WEIGHT = 20.0
 PRIOR_NONE = 1e-3
@@ -48,9 +48,9 @@ _CLASS[0x80:] = np.arange(27, 155)
 
 
 def _trigrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per slice of rows: letter class of every byte, trigram cells, and the trigrams' row offsets.
+    """Per slice of rows: letter class of every byte, trigrams, and the trigrams' row offsets.
 
-    Every row is padded by a non-letter at both ends; trigrams without a letter get cell -1.
+    Every row is padded by a non-letter at both ends; trigrams without a letter are -1.
     """
     data, offsets = text_buffer(column)
     for a, b in slices(offsets):
@@ -61,7 +61,7 @@ def _trigrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         keep[begin[:-1]] = keep[begin[1:] - 1] = False
         letters[keep] = _CLASS[data[offsets[a]:offsets[b]]]
         code = (letters[:-2] * LETTERS + letters[1:-1]) * LETTERS + letters[2:]
-        cell = (code.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.int32)
+        cell = code
         cell[code == 0] = -1
         inside = np.ones(len(code), bool)  # no trigram over the border of two rows
         border = begin[1:-1]
@@ -70,16 +70,23 @@ def _trigrams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield letters, cell, begin
 
 
-def fit_text_model(docs: DataFrame, text: str, declared: Column, languages=LANGUAGES) -> np.ndarray:
-    """Log probabilities, (languages + background) x cells, counted over all rows with a known language.
+def fit_text_model(docs: DataFrame, text: str, declared: Column, languages=LANGUAGES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(trigrams, log probabilities, log letter frequencies), counted over all rows with a known language.
 
-    The last row holds log letter frequencies for the background.
+    Probabilities are languages x (trigrams + 1), the first of each language being that of a trigram that no language has;
+    trigrams are those that some language has, in order.
     """
     width = len(languages)
 
     def count(batches):
-        cells = np.zeros((width, CELLS), np.int64)
-        single = np.zeros(LETTERS, np.int64)
+        cells, single, size = np.zeros(width * TRIGRAMS, np.int32), np.zeros(LETTERS, np.int64), 0
+
+        def counted():
+            some = np.flatnonzero(cells)
+            letters = np.flatnonzero(single)
+            return pa.RecordBatch.from_arrays([pa.array(np.r_[some, width * TRIGRAMS + letters], pa.int64()),
+                                               pa.array(np.r_[cells[some].astype(np.int64), single[letters]])], names=["cell", "n"])
+
         for batch in batches:
             number = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             first = 0
@@ -88,45 +95,49 @@ def fit_text_model(docs: DataFrame, text: str, declared: Column, languages=LANGU
                 first += len(begin) - 1
                 at = np.repeat(own, np.diff(begin))[:len(cell)]
                 kept = cell >= 0
-                cells += np.bincount(at[kept] * CELLS + cell[kept], minlength=width * CELLS).reshape(width, CELLS)
+                np.add.at(cells, at[kept] * TRIGRAMS + cell[kept], np.int32(1))
                 single += np.bincount(letters, minlength=LETTERS)
-        flat = np.r_[cells.ravel(), single]
-        some = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(flat[some])], names=["cell", "n"])
+                size += len(letters)
+                if size > 1 << 30:  # before a count could overflow
+                    yield counted()
+                    cells[:], single[:], size = 0, 0, 0
+        yield counted()
 
     number = F.array_position(F.array(*map(F.lit, languages)), declared) - 1
     known = docs.select(F.col(text).cast("string").alias("text"), number.cast("long").alias("number")).where("number >= 0")
     counts = known.mapInArrow(lean(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(width * CELLS + LETTERS, np.float64)
-    flat[counts["cell"].to_numpy()] = counts["n"].to_numpy()
-    cells = flat[:width * CELLS].reshape(width, CELLS) + SMOOTH
-    single = flat[width * CELLS:] + SMOOTH
-    model = np.zeros((width + 1, CELLS), np.float64)
-    model[:width] = np.log(cells / cells.sum(axis=1, keepdims=True))
-    model[width, :LETTERS] = np.log(single / single.sum())
-    return model.astype(np.float32)
+    at, n = counts["cell"].to_numpy(), counts["n"].to_numpy()
+    single = np.full(LETTERS, SMOOTH)
+    single[at[at >= width * TRIGRAMS] - width * TRIGRAMS] += n[at >= width * TRIGRAMS]
+    at, n = at[at < width * TRIGRAMS], n[at < width * TRIGRAMS]
+    seen = np.unique(at % TRIGRAMS)
+    cells = np.full((width, len(seen) + 1), SMOOTH)
+    cells[at // TRIGRAMS, np.searchsorted(seen, at % TRIGRAMS) + 1] += n
+    return seen.astype(np.int32), np.log(cells / cells.sum(axis=1, keepdims=True)).astype(np.float32), np.log(single / single.sum()).astype(np.float32)
 
 
-def text_scores(docs: DataFrame, text: str, keep: list[Column], model: np.ndarray, languages=LANGUAGES) -> DataFrame:
+def text_scores(docs: DataFrame, text: str, keep: list[Column], model: tuple[np.ndarray, np.ndarray, np.ndarray], languages=LANGUAGES) -> DataFrame:
     """The kept columns, `n_trigrams`, and a log likelihood `t_<language>` per language and for none."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     names = [f"t_{x}" for x in (*languages, NONE)]
 
     def score(batches):
+        seen, table, frequency = shared.value
+        width, place = len(names) - 1, np.zeros(TRIGRAMS, np.int32)
+        place[seen] = np.arange(1, len(seen) + 1)
         for batch in batches:
-            table, width = shared.value, len(names) - 1
             parts, totals = [], []
             for letters, cell, begin in _trigrams(batch.column(batch.num_columns - 1)):
                 kept = cell >= 0
                 total = np.r_[0, np.cumsum(kept)]
                 ends = np.minimum(begin, len(cell))
                 row = np.empty((width + 1, len(begin) - 1))
-                found = np.where(kept, cell, 0)
+                found = place[np.where(kept, cell, 0)]
                 for k in range(width):
                     run = np.r_[0.0, np.cumsum(np.where(kept, table[k][found], 0), dtype=np.float64)]
                     row[k] = np.diff(run[ends])
-                lone = table[width][letters]
+                lone = frequency[letters]
                 run = np.r_[0.0, np.cumsum(np.where(kept, lone[:-2] + lone[1:-1] + lone[2:], 0), dtype=np.float64)]
                 row[width] = np.diff(run[ends])
                 parts.append(row / 3)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -121,3 +122,58 @@ def test_passes_are_different_permutations_of_the_same_blocks(docs):
         assert len({tuple(o) for o in orders[:-1]}) == last - 1
         *begun, cut = orders[-1]
         assert set(begun) <= set(orders[0]) and any(block[:len(cut)] == cut for block in orders[0])
+
+
+def test_dealing_against_brute_force(spark, docs):
+    """Every document's passes, block ranks and places, dealt again in Python from the sources' weights."""
+    import math
+
+    import xxhash
+
+    from ledgerloom.llm import mixing as M
+
+    def chain(*values):
+        seed = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else v.to_bytes(4 if isinstance(v, Small) else 8, "little", signed=True)
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+    class Small(int):
+        """A 32-bit number."""
+
+    rng = random.Random(3)
+    rows = [(i, " ".join("w" for _ in range(rng.choice([1, 3, 10, 40]))), "en", rng.choice(["a", "a", "a", "a", "b", "c", None])) for i in range(400)]
+    mixed, weights = M.mix(docs(rows), position=("rank", "place"), repetition=1.6, blocks=8)
+    got = sorted((r.doc_id, r["pass"], r["rank"], r.place) for r in mixed.collect())
+    sources = {r.source: (r.tokens, r.weight) for r in weights.collect()}
+    budget = max(t / w for t, w in sources.values() if w)
+    want = []
+    for source, (tokens, weight) in sources.items():
+        g = "0" if source is None else "1" + source
+        own = [(k, len(t.split())) for k, t, _, s in rows if s == source]
+        block = {k: chain(Small(0), g, k) % 8 for k, _ in own}
+        place = {k: chain(Small(0), "cut", k) for k, _ in own}
+        assert sum(n for _, n in own) == tokens
+        share = math.floor(budget * weight * (1 + 1e-12) + 1e-6)
+        full, rest = divmod(share, tokens)
+
+        def order(turn):
+            return sorted(set(block.values()), key=lambda b: (chain(Small(0), Small(turn - 1), g, Small(b)), b))
+
+        for turn in range(1, full + 2):
+            line = order(turn)
+            left = rest
+            for rank, b in enumerate(line, 1):
+                members = sorted((k for k, _ in own if block[k] == b), key=place.get)
+                for k in members:
+                    n = dict(own)[k]
+                    if turn <= full or n <= left:
+                        want.append((k, turn, rank, place[k]))
+                        left -= n if turn > full else 0
+                    elif turn > full:
+                        left = 0
+                        break
+                if turn > full and left <= 0:
+                    break
+    assert got == sorted(want)
