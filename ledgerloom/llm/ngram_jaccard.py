@@ -43,6 +43,7 @@ WORDS = 3
 PERCENT = 90
 GROUP = 512
 BLOCK = 256
+WIDE_BLOCK = 2048  # of sets outside the main component against all: wide ones send a text to few places
 SKIP_COST = 0.01
 WEAK = 2
 
@@ -319,7 +320,7 @@ def _search_groups(groups: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,
-                    percent: int = PERCENT, group: int = GROUP, block: int = BLOCK) -> DataFrame:
+                    percent: int = PERCENT, group: int = GROUP, block: int = BLOCK, wide: int = WIDE_BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) of every row.
 
     Two rows are linked when the Jaccard similarity of their shingle sets is at least
@@ -349,7 +350,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if repeats:
         links = staged(links.union(named.join(repeated, "id").join(
             classes.withColumnRenamed("id", "b"), ["f1", "f2"]).select(F.col("id").alias("a"), "b")), "found")
-    links = _finish(links, members, wanted, width, percent, block)
+    links = _finish(links, members, wanted, width, percent, wide)
     joined = components(links).select(F.col("node").alias("id"), "component")
     merged = classes.join(joined, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component"))
     return sets.join(merged, ["f1", "f2"], "left").select(
@@ -358,17 +359,17 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _finish(links: DataFrame, members: DataFrame, wanted: DataFrame, width: int, percent: int, block: int) -> DataFrame:
-    """For groups searched in blocks: the sets outside the group's main component against all blocks."""
+    """For groups searched in blocks: the sets outside the group's main component against all sets, by wide blocks."""
     large = members.where("blocks > 1")
     if not large.limit(1).count():
         return links
     joined = components(links).select(F.col("node").alias("id"), "component")
-    state = staged(large.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "state")
+    state = staged(large.select("id", "grp").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "state")
     sizes = state.groupBy("grp", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    main = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     left = state.join(main, "grp").where("component <> main")
-    left_blocks = left.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    state = state.join(left_blocks, "grp").join(main, "grp").withColumn(
+    parts = left.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    state = state.join(parts, "grp").join(main, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
         "part", F.when(F.col("component") != F.col("main"), F.pmod(F.xxhash64(F.lit(7), "id"), F.col("parts")).cast("int")))
     texts = wanted.select("id", "text")
     fixed = state.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(

@@ -63,7 +63,7 @@ def test_large_groups_are_searched_in_blocks(docs):
     expected = brute(rows)
     assert len({c for _, _, c in expected}) > 2  # some are too far from all others
     for group, block in ((10, 4), (10, 7)):
-        assert sorted(map(tuple, J.link_components(docs(rows), group=group, block=block).collect()), key=str) == expected
+        assert sorted(map(tuple, J.link_components(docs(rows), group=group, block=block, wide=2 * block).collect()), key=str) == expected
 
 
 def test_chains_and_borders_of_the_threshold(docs):
