@@ -109,3 +109,36 @@ def test_twenty_thousand_keywords(spark, small):
     found = K.last_rule(texts, "text", table)
     assert {r.doc_id: r.rule_no for r in found.collect()} == want
     assert len(found._jdf.queryExecution().analyzed().toString()) < 5_000
+
+
+@pytest.mark.parametrize("few,steps", [(30, 50), (60, 4), (10_000, 50)])
+def test_quantiles_of_adversarial_values(make, few, steps, monkeypatch):
+    import numpy as np
+
+    from ledgerloom.operators import selection as S
+
+    rng = np.random.default_rng(2)
+    data = {
+        "normal": rng.normal(size=700).tolist(), "wide": (10.0 ** rng.uniform(-300, 300, 400)).tolist(), "ties": [1.0] * 500 + [2.0] * 3,
+        "one": [4.0], "two": [1.0, 2.0], "close": [1.0 + i * 2.0 ** -52 for i in range(300)], None: [0.0, -0.0, 5.0], "signs": [-1e308, 1e308, 0.0, -5.0] * 20,
+    }
+    df = make([(k, float(v)) for k, vs in data.items() for v in vs] + [("one", None), ("none", None)], "k string, v double")
+    qs = {"a": 0.0, "b": 0.3, "c": 0.5, "e": 1.0}
+    monkeypatch.setattr(S, "STEPS", steps)  # a poor sketch as well
+    got = {r.k: r for r in S.select_quantiles(df, ["k"], "v", qs, few).collect()}
+    assert set(got) == set(data)
+    for k, vs in data.items():
+        assert got[k].n == len(vs)
+        own = sorted(vs)
+        for name, q in qs.items():
+            at = (len(vs) - 1) * q
+            low, high = own[int(at // 1)], own[-int(-at // 1)]
+            assert got[k][name] == pytest.approx(low + (high - low) * (at - at // 1), rel=1e-12, abs=0), (k, name)
+
+
+def test_quantiles_without_keys_and_of_nothing(make):
+    from ledgerloom.operators.selection import select_quantiles
+
+    df = make([("a", 3.0), ("b", 1.0), ("c", 2.0)], "k string, v double")
+    assert rows(select_quantiles(df, [], "v", {"m": 0.5})) == {(3, 2.0)}
+    assert select_quantiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
