@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.inputs import BALANCES, balances, ctes
-from ledgerloom.catalog.registry import num, query
+from ledgerloom.catalog.registry import num, query, settled, settled_sql
 from ledgerloom.operators.bitmaps import compare_spans, day_bitmaps, group_coverage, number_keys, span_counts
 from ledgerloom.operators.keywords import last_rule
 from ledgerloom.operators.ranking import rank_lines, with_rank
@@ -86,10 +86,9 @@ def keyword_dictionary(t):
     return last_rule(t.documents.select("doc_id", "text"), "text", rules).select("doc_id", "rule_no")
 
 
-@query("quantile_selection", """
-SELECT l_suppkey, count(*) AS n, round(quantile_cont(l_extendedprice, 0.9), 2) AS q90, round(quantile_cont(l_extendedprice, 0.5), 2) AS median,
-  round(quantile_cont(l_extendedprice, 0.01), 2) AS q01 FROM lineitem GROUP BY 1""")
+@query("quantile_selection", "SELECT l_suppkey, count(*) AS n, " + ", ".join(
+    f"{settled_sql(f'quantile_cont(l_extendedprice, {q})')} AS {name}" for name, q in (("q90", 0.9), ("median", 0.5), ("q01", 0.01))) + " FROM lineitem GROUP BY 1")
 def quantile_selection(t):
     """Exact quantiles per supplier by narrowing brackets down to fifty rows."""
     found = select_quantiles(t.lineitem, ["l_suppkey"], "l_extendedprice", {"q90": 0.9, "median": 0.5, "q01": 0.01}, few=50)
-    return found.select("l_suppkey", "n", *(num(c).alias(c) for c in ("q90", "median", "q01")))
+    return found.select("l_suppkey", "n", *(settled(c).alias(c) for c in ("q90", "median", "q01")))
