@@ -45,7 +45,6 @@ GROUP = 512
 BLOCK = 256
 WIDE_BLOCK = 2048  # of sets outside the main component against all: wide ones send a text to few places
 SKIP_COST = 0.01
-WEAK = 2
 
 VALUES = word_table(bytes([0x20, *range(0x09, 0x0E)]))
 _FACTORS = [np.uint64(x | 1) for x in mix64(np.arange(100, 164, dtype=np.uint64)).tolist()]
@@ -97,13 +96,17 @@ class Overlap:
         """Parts for pairs whose larger set is in range r, and how many of them may be left out."""
         self.range_of(self.bounds[-1] + 1 if r >= len(self.bounds) else 1)
         differ = 2 * self.bounds[r] * (100 - self.percent) // (100 + self.percent)
-        spare = 0 if differ < 3 else 1 if differ < 20 else differ // 8
+        spare = 0 if differ < 3 else max(1, differ // 4)
         return differ + 1 + spare, spare
 
 
 def signatures(own: np.ndarray, overlap: Overlap) -> np.ndarray:
-    """Part hashes of a set. Parts of very few shingles, which unlike sets may share, are left out
-    where the spare parts still leave an equal part to every linked pair."""
+    """Part hashes of a set, without those of its `spare` smallest parts, which unlike sets may share.
+
+    Linked sets agree on more than `spare` parts. Parts are ordered by size and hash, which are the same
+    in both sets for a part that they share, so the last part that they share stands behind `spare`
+    others in both and is left out of neither.
+    """
     out = []
     r = overlap.range_of(len(own))
     for step in (r, r + 1):
@@ -115,8 +118,7 @@ def signatures(own: np.ndarray, overlap: Overlap) -> np.ndarray:
         name = mix64(low.astype(np.uint64) * _FACTORS[0] + high.astype(np.uint64) * _FACTORS[1]
                      + size.astype(np.uint64) * _FACTORS[2] + np.arange(k, dtype=np.uint64) * _FACTORS[3]
                      + np.full(k, step, np.uint64) * _FACTORS[4])
-        strong = size > (WEAK if spare >= 3 else 0)
-        out.append(name[strong] if k - strong.sum() <= spare else name)
+        out.append(name[np.lexsort((name, size))[spare:]])
     return np.concatenate(out)
 
 
