@@ -502,7 +502,7 @@ s AS (
 p AS (
   SELECT anchor, anchor_id, place, vec_id AS positive_id, score AS positive_score FROM s WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, place) <= 5)
-SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
 FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
-QUALIFY rank <= 5 WINDOW w AS (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id, s.place)
+WINDOW w AS (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id, s.place) QUALIFY rank <= 5
 """
