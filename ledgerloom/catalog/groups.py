@@ -249,8 +249,8 @@ SELECT series_a, series_b, n, round(corr, 6) AS corr FROM c WHERE n >= 12 AND ab
 def corr_suppliers(t):
     """Suppliers whose mean monthly prices move together, out of all pairs of suppliers."""
     lines = t.lineitem.select("l_suppkey", F.trunc(F.to_date("l_shipdate"), "month").alias("month"), "l_extendedprice")
-    found = series_correlations(lines, "l_suppkey", ["month"], "l_extendedprice")
-    return strong(found, 0.25).where("n >= 12").withColumn("corr", num("corr", 6))
+    found = series_correlations(lines, "l_suppkey", ["month"], "l_extendedprice", least=12, low=0.25)
+    return strong(found, 0.25).withColumn("corr", num("corr", 6))
 
 
 @query("ordered_report", """

@@ -70,6 +70,35 @@ def test_empty_single_and_constant(make):
     assert {(r.series_a, r.series_b, r.n, r["corr"]) for r in found} == {("a", "a", 2, None), ("b", "b", 1, None), ("a", "b", 1, None)}
 
 
+@pytest.mark.parametrize("points,wide", [(60, 1), (60, 1000), (4, 1)])  # held points, narrow and wide, and added sums
+def test_weak_pairs_are_dropped_in_their_task(make, monkeypatch, points, wide):
+    rows = sample(3, 13, 40)
+    monkeypatch.setattr(C, "POINTS", points)
+    monkeypatch.setattr(C, "BLOCKS", wide)
+    monkeypatch.setattr(C, "TILE", 3)
+    df = make(rows, "g string, t int, s string, v double")
+    got = {(r.g, r.series_a, r.series_b): (r.n, r["corr"]) for r in C.series_correlations(
+        df, "s", ["t"], "v", ["g"], block=4, least=25, low=0.3).collect()}
+    want = {k: v for k, v in brute(rows).items() if v[0] >= 25 and v[1] is not None and abs(v[1]) > 0.3}
+    assert set(got) == set(want) and 0 < len(want) < len(brute(rows))
+    assert all(got[k][0] == n and got[k][1] == pytest.approx(r, abs=1e-9) for k, (n, r) in want.items())
+
+
+def test_tasks_give_out_only_pairs_that_can_pass():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(84, 1500))
+    x[:, 7] = x[:, 1400] + 0.1 * rng.normal(size=84)
+    held = [(0, 0, 0, {"none": 0}, {"t": t}, 0, list(range(1500)), x[t].tolist()) for t in range(84)]
+    schema = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("salt", pa.int32()), ("grp", pa.struct([("none", pa.int32())])),
+                        ("at", pa.struct([("t", pa.int32())])), ("block", pa.int32()), ("slots", pa.list_(pa.int32())), ("vals", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+    parts = [batch.slice(0, 30), batch.slice(30)]
+    found = pa.Table.from_batches(C._gram(1500, True, 12, 0.8)(iter(parts))).to_pylist()
+    assert {(r["a"], r["b"]) for r in found if r["a"] != r["b"]} == {(7, 1400)} and len(found) == 1501
+
+
 def test_thousand_series_stay_one_small_plan(spark, make):
     from pyspark.sql import functions as F
 
