@@ -404,20 +404,23 @@ def report_treasury_debt(t):
 
 DERIV = f"""
 deals AS (SELECT l_orderkey AS deal_no, CAST(l_suppkey AS VARCHAR) AS entity, CAST(l_shipdate AS DATE) AS maturity, 'USD' AS pay_ccy, l_extendedprice AS pay,
-  CASE WHEN l_linestatus = 'F' THEN 'CHF' ELSE 'EUR' END AS rec_ccy, l_quantity * 1000 AS rec FROM lineitem WHERE l_returnflag <> 'R'
-  AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'))"""
+  CASE WHEN l_linestatus = 'F' THEN 'CHF' ELSE 'EUR' END AS rec_ccy, l_quantity * 1000 AS rec FROM lineitem
+  WHERE (l_returnflag <> 'R' OR l_returnflag = 'R' AND coalesce(l_quantity, 0) <= 45)
+  AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45))"""
 
 
 def deriv_inputs(t):
+    """Forwards, swaps and debt deals: every line is one of them, R lines above 45 are debt and the others swaps."""
     deals = t.lineitem.select(
         F.col("l_orderkey").alias("deal_no"), F.to_date("l_shipdate").alias("position_day"), text("l_suppkey").alias("entity"),
         text("l_partkey").alias("party"), F.lit("USD").alias("pay_ccy"), F.col("l_extendedprice").alias("pay"),
         F.when(F.col("l_linestatus") == "F", "RUC").otherwise("EUR").alias("rec_ccy"), (F.col("l_quantity") * 1000).alias("rec"),
-        F.to_date("l_shipdate").alias("maturity"), "l_returnflag")
+        F.to_date("l_shipdate").alias("maturity"), "l_returnflag", "l_quantity")
     flag = F.col("l_returnflag")
-    own = deals.drop("l_returnflag")
-    return (deals.where(flag == "A").select(*own.columns), deals.where(flag == "N").select(*own.columns),
-            deals.where(flag == "R").select("deal_no"))
+    owed = F.coalesce(F.col("l_quantity"), F.lit(0.0)) > 45
+    own = deals.drop("l_returnflag", "l_quantity")
+    return (deals.where(flag == "A").select(*own.columns), deals.where((flag == "N") | (flag == "R") & ~owed).select(*own.columns),
+            deals.where((flag == "R") & owed).select("deal_no"))
 
 
 @query("report_derivatives", ctes(QUOTES, COMPANIES, MULTIKEY, DERIV, """

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import datetime as dt
 
 from ledgerloom.operators.treasury import control_totals, effective_params, legs, minimum_of_versions, net_bonds
@@ -55,3 +57,17 @@ def test_control_totals(make):
     df = make([("a", 50.0), ("a", 50.5), ("b", 10.0)], "k string, v double")
     stated = make([("a", 100.0), ("b", 11.0)], "k string, stated double")
     assert rows(control_totals(df, stated, ["k"], "v", "stated")) == {("a", 100.0, 100.5, True), ("b", 11.0, 10.0, False)}
+
+
+def test_every_line_is_a_derivative_or_a_debt_deal(make):
+    import types
+
+    from ledgerloom.catalog.reports import deriv_inputs
+
+    lines = [(1, 10, 100, 5.0, 10.0, "A", "F"), (1, 10, 100, 45.0, 10.0, "R", "F"), (2, 10, 100, 46.0, 10.0, "R", "O"), (2, 10, 100, 3.0, 10.0, "N", "O"),
+             (3, 10, 100, None, 10.0, "R", "F"), (4, 10, 100, 50.0, 10.0, "N", "F")]
+    df = make(lines, "l_orderkey bigint, l_suppkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string")
+    df = df.withColumn("l_shipdate", F.lit("1998-07-01").cast("timestamp_ntz"))
+    forwards, swaps, debt = deriv_inputs(types.SimpleNamespace(lineitem=df))
+    numbers = [sorted(r.deal_no for r in d.select("deal_no").collect()) for d in (forwards, swaps, debt)]
+    assert numbers == [[1], [1, 2, 3, 4], [2]]
