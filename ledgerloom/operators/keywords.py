@@ -2,7 +2,8 @@
 
 `functions.text.keyword_tag` is one CASE per keyword, for a handful of rules. Here the dictionary is compared with
 all texts at once: positions where a keyword can begin are found by its first bytes, and at these places the text's
-windows of each keyword length are looked up by their hash and compared byte by byte.
+windows of each keyword length are looked up by their hash and compared byte by byte. Texts are gone through in
+pieces of `PIECE` bytes, wherever they begin or end, so memory does not grow with batches or single texts.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEYWORDS = 200_000  # of a pass; more rules take more passes
+PIECE = 1 << 18  # bytes at whose places keywords are looked for at once
 START = 3  # bytes by which a beginning is known
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n + 1, _BASE, np.uint64)
+def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
@@ -63,18 +66,25 @@ class Dictionary:
         best = np.full(len(offsets) - 1, -1, np.int64)
         if not len(data) or not self.lengths:
             return best
-        start = _starts(data)
+        longest = max(START, *self.lengths)
+        powers, inverse = _powers(PIECE + longest), _powers(PIECE + longest, _INVERSE)
+        for first in range(0, len(data), PIECE):
+            self._piece(data[first:first + PIECE + longest], min(PIECE, len(data) - first), first, offsets, powers, inverse, best)
+        return best
+
+    def _piece(self, data: np.ndarray, places: int, first: int, offsets: np.ndarray, powers: np.ndarray, inverse: np.ndarray, best: np.ndarray) -> None:
+        """Raise `best` by the keywords that begin at the first `places` bytes of a piece, which stands at `first`."""
+        start = _starts(data)[:places]
         can = self.begins[0][start & np.uint32(0xFF)] | self.begins[1][start & np.uint32(0xFFFF)] | self.begins[2][start]
         at = np.flatnonzero(can)
-        text = np.searchsorted(offsets, at, "right") - 1
-        room = offsets[text + 1] - at
-        powers = _powers(len(data))
+        text = np.searchsorted(offsets, at + first, "right") - 1
+        room = offsets[text + 1] - first - at
         sums = _sums(data, powers)
         for size, (hashes, rules, words) in self.lengths.items():
             own = room >= size
             place, owner = at[own], text[own]
-            window = sums[place + size] - sums[place]  # times a power of the place
-            wanted = self._scaled(hashes, place, powers, window)
+            flat = (sums[place + size] - sums[place]) * inverse[place]  # the window's hash as if it stood at place 0
+            wanted = self._known(hashes, flat)
             hit = np.flatnonzero(wanted >= 0)
             found = wanted[hit]
             # every keyword of that hash; two unlike ones of one hash stand side by side
@@ -85,15 +95,10 @@ class Dictionary:
                 again = found + 1
                 more = (again < len(hashes)) & (hashes[np.minimum(again, len(hashes) - 1)] == hashes[found])
                 hit, found = hit[more], again[more]
-        return best
 
     @staticmethod
-    def _scaled(hashes: np.ndarray, place: np.ndarray, powers: np.ndarray, window: np.ndarray) -> np.ndarray:
-        """The first keyword whose hash the window at a place has, -1 if none: windows are brought to place 0."""
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        down = np.full(len(powers), inverse, np.uint64)
-        down[0] = 1
-        flat = window * np.multiply.accumulate(down)[place]
+    def _known(hashes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """The first keyword of a hash, -1 if none."""
         spot = np.searchsorted(hashes, flat)
         return np.where((spot < len(hashes)) & (hashes[np.minimum(spot, len(hashes) - 1)] == flat), spot, -1)
 

@@ -99,6 +99,34 @@ def test_keywords_against_search(make, seed, monkeypatch):
         assert {r.id: r.rule_no for r in K.last_rule(df, "t", table).collect()} == want
 
 
+@pytest.mark.parametrize("piece", [1, 2, 7, 64])
+def test_keywords_across_pieces(piece, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(piece)
+    words = [bytes(rng.choices(b"ab", k=k)) for k in (1, 2, 3, 5, 9, 9)] + [b"q"]
+    texts = [bytes(rng.choices(b"abcc", k=rng.choice([0, 1, 4, 40]))) for _ in range(60)]
+    monkeypatch.setattr(K, "PIECE", piece)
+    found = K.Dictionary(words, list(range(len(words)))).last_rules(
+        np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    assert found.tolist() == [max((i for i, w in enumerate(words) if w in t), default=-1) for t in texts]
+
+
+def test_keywords_take_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    data = np.frombuffer(b"some words of a long text, keyword among them. " * 400_000, np.uint8)
+    held = K.Dictionary([b"keyword", b"words of", b"never"], [1, 2, 3])
+    tracemalloc.start()
+    try:
+        assert held.last_rules(data, np.array([0, 30, len(data)])).tolist() == [2, 2]
+        assert tracemalloc.get_traced_memory()[1] < 3 * len(data)
+    finally:
+        tracemalloc.stop()
+
+
 def test_twenty_thousand_keywords(spark, small):
     texts = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     words = [f"w{i}q{i * 7 % 1000}" for i in range(19_990)] + ["the ", "ing", "Tion", "und", "les ", "est", "ähn", "zzzz", "on the", "."]
