@@ -16,6 +16,7 @@ from ledgerloom.operators.joins import join_keys
 from ledgerloom.operators.quality import last_seen
 from ledgerloom.sources.tables import newest_days, within_day
 from ledgerloom.operators.reconcile import mirror_pairs, ordered_pairs, reconcile, reporting_grid, version_pairs
+from ledgerloom.session import staged
 
 CODES = """coded AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN CAST(l_suppkey AS VARCHAR)
   WHEN 'A' THEN 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0')
@@ -129,17 +130,23 @@ FLOWS = """flows AS (SELECT s.n_name AS seller, b.n_name AS buyer, l_returnflag
 
 
 def flows(t):
-    """Sales between nations, one row per seller, buyer and currency."""
-    per_pair = join_keys(
-        t.lineitem, t.orders.select("o_orderkey", "o_custkey"), {"l_orderkey": "o_orderkey"}, "inner", null_safe=False,
-    ).groupBy("l_suppkey", "o_custkey", "l_returnflag").agg(
+    """Sales between nations, one row per seller, buyer and currency.
+
+    Orders get the nation of their customer and lines that of their supplier first, so lines are shuffled once,
+    by their order, and what is left after that join is summed per pair of nations before the next shuffle.
+    """
+    homes = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("seller_no"))
+    owners = staged(t.customer.select("c_custkey", F.col("c_nationkey").alias("buyer_no")), "owners")  # read with its real size
+    sold = join_keys(t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag", "l_extendedprice", "l_quantity"), homes,
+                     {"l_suppkey": "s_suppkey"}, "inner", null_safe=False)
+    bought = join_keys(t.orders.select("o_orderkey", "o_custkey"), owners, {"o_custkey": "c_custkey"}, "inner", null_safe=False)
+    both = join_keys(sold.drop("l_suppkey"), bought.drop("o_custkey"), {"l_orderkey": "o_orderkey"}, "inner", null_safe=False)
+    per_pair = both.groupBy("seller_no", "buyer_no", "l_returnflag").agg(
         F.sum("l_extendedprice").alias("value"), F.sum("l_quantity").alias("quantity"))
-    sellers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("seller"))
-    buyers = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("n_name").alias("buyer"))
-    named = join_keys(per_pair, sellers, {"l_suppkey": "s_suppkey"}, "inner", null_safe=False)
-    named = join_keys(named, buyers, {"o_custkey": "c_custkey"}, "inner", null_safe=False)
+    named = per_pair
+    for side in ("seller", "buyer"):
+        names = t.nation.select(F.col("n_nationkey").alias(f"{side}_key"), F.col("n_name").alias(side))
+        named = join_keys(named, names, {f"{side}_no": f"{side}_key"}, "inner", null_safe=False)
     return named.groupBy("seller", "buyer", F.col("l_returnflag").alias("ccy")).agg(
         F.sum("value").alias("value"), F.sum("quantity").alias("quantity"))
 

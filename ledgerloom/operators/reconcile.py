@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import all_of, sum0
 from ledgerloom.functions.measures import differs, signed_pct
 from ledgerloom.operators.joins import join_keys
+from ledgerloom.session import staged
 
 
 def reconcile(
@@ -31,8 +32,10 @@ def mirror_pairs(pairs: DataFrame, a: str, b: str, keys: list[str], values: list
 
     `pairs` must hold one row per (a, b, keys). Both directions of a pair meet in one group
     of at most two rows, so the table is read once and not joined with itself. Rows with a
-    missing party or key have no mirror.
+    missing party or key have no mirror; they are another part of the result, so `pairs` is written
+    once, not made twice.
     """
+    pairs = staged(pairs, "pairs")
     named = {v: f"{v}_mirror" for v in values}
     known = all_of(F.col(c).isNotNull() for c in (a, b, *keys))
     row = F.struct(*values)

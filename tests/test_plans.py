@@ -112,3 +112,17 @@ def test_small_tables_do_not_shuffle_facts(spark, small, name):
         assert "SortMergeJoin" not in plan_of(queries()[name](spark, small))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_are_shuffled_once_for_flows(spark, small):
+    from ledgerloom.catalog.joins import flows
+    from ledgerloom.sources.tables import Tables
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(50 << 10))  # suppliers and nations fit, nothing else
+    try:
+        lines = plan_of(flows(Tables(spark, small))).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [x for x in lines if "Exchange hashpartitioning(l_suppkey" in x or "Exchange hashpartitioning(o_custkey" in x and "l_suppkey" in x]
+    assert sum("Exchange hashpartitioning(l_orderkey" in x for x in lines) == 1
