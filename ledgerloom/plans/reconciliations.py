@@ -19,6 +19,7 @@ from ledgerloom.operators.rules import condition_filter
 from ledgerloom.plans.entities import Entities
 from ledgerloom.session import staged
 
+ROWS_A_TASK = 1_000_000  # of both sides, near one group each
 
 def arap(position: DataFrame, unified: DataFrame) -> dict[str, DataFrame]:
     """Own position against the unified one: segments, companies, currencies, coverage.
@@ -69,13 +70,16 @@ def treasury_derivatives(legs: DataFrame, unified: DataFrame, debt_deals: DataFr
     """Derivative legs against the unified position, whole on both sides.
 
     Both: (keys with the deal number among them, amount). `in_debt` tells deals that treasury
-    debt reports as well; a leg differs beyond the tolerance or if one side has no amount.
+    debt reports as well; a leg differs beyond the tolerance or if one side has no amount. Both sides
+    are summed in one pass over the rows of a deal, dealt to as many tasks as there are rows for.
     """
-    cents = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double")
-    a = legs.groupBy(*keys).agg(cents.alias("amount"))
-    b = unified.groupBy(*keys).agg(cents.alias("amount_unified"))
+    cents, none = F.col("amount").cast("decimal(18,2)"), F.lit(None).cast("decimal(18,2)")
+    rows = legs.select(*keys, cents.alias("own"), none.alias("other")).unionByName(
+        unified.select(*keys, none.alias("own"), cents.alias("other")))
+    dealt = rows.repartition(max(1, -(-2 * legs.count() // ROWS_A_TASK)), deal)
+    sums = dealt.groupBy(*keys).agg(F.sum("own").cast("double").alias("amount"), F.sum("other").cast("double").alias("amount_unified"))
     debt = debt_deals.select(deal).distinct().withColumn("__debt", F.lit(True))
-    both = join_keys(join_keys(a, b, keys, "full"), debt, [deal], "left", null_safe=False)
+    both = join_keys(sums, debt, [deal], "left", null_safe=False)
     missing = F.col("amount").isNull() | F.col("amount_unified").isNull()
     return both.withColumns({
         "in_debt": F.coalesce("__debt", F.lit(False)),

@@ -72,3 +72,18 @@ def test_reporting_grid_is_whole(make):
         ("h", "s1", "s1"), ("h", "s1", "s2"), ("h", "s2", "s1"), ("h", "s2", "s2"), ("g", "s3", "s3")}
     many = make([("h", f"s{i}") for i in range(1100)], "holding string, segment string")
     assert reporting_grid(many, "holding", "segment").count() == 1100 ** 2
+
+
+def test_treasury_derivatives_sums_both_sides_in_bounded_tasks(make, monkeypatch):
+    from ledgerloom.plans import reconciliations as R
+
+    schema = "deal int, leg string, ccy string, amount double"
+    own = [(1, "pay", "A", 10.0), (1, "pay", "A", 5.0), (1, "pay", None, 1.0), (2, "pay", "A", None), (3, "pay", "A", 7.0), (None, "pay", "A", 2.0)]
+    other = [(1, "pay", "A", 30.0), (1, "pay", None, 1.0), (2, "pay", "A", 4.0), (4, "receive", "A", 8.0), (None, "pay", "A", 2.0)]
+    monkeypatch.setattr(R, "ROWS_A_TASK", 4)
+    found = R.treasury_derivatives(make(own, schema), make(other, schema), make([(1,), (1,), (None,)], "deal int"), ["deal", "leg", "ccy"], "deal")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (1, "pay", "A", 15.0, 30.0, True, True), (1, "pay", None, 1.0, 1.0, True, False), (2, "pay", "A", None, 4.0, False, True),
+        (3, "pay", "A", 7.0, None, False, True), (4, "receive", "A", None, 8.0, False, True), (None, "pay", "A", 2.0, 2.0, False, False)], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "hashpartitioning(deal" in plan and ", 3), REPARTITION_BY_NUM" in plan
