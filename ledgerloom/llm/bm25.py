@@ -169,7 +169,11 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """The lists of some terms in a shard: parts by document, and the most of each block and of each list."""
+    """The lists of some terms in a shard: parts by document, and the most of each block and of each list.
+
+    Documents, blocks and parts are held in the types that sums by `bincount` take, which would copy others for
+    every query; parts are whole numbers far below 2**53.
+    """
 
     def __init__(self, shard: dict[str, np.ndarray], terms: np.ndarray, weights: np.ndarray, mean: float):
         held = shard["terms"]
@@ -180,17 +184,17 @@ class Lists:
         first = np.r_[0, np.cumsum(shard["frequency"].astype(np.int64))]
         own = _ranges(first[at], first[at + 1])
         term = np.repeat(np.arange(len(at)), shard["frequency"][at])
-        self.ids, self.docs = shard["ids"], shard["docs"][own]
-        self.parts = part(weights[term], shard["counts"][own].astype(np.float64), shard["lengths"][self.docs].astype(np.float64), mean)
+        self.ids, self.docs = shard["ids"], shard["docs"][own].astype(np.intp)
+        self.parts = part(weights[term], shard["counts"][own].astype(np.float64), shard["lengths"][self.docs].astype(np.float64), mean).astype(np.float64)
         block = self.docs // BLOCK
         begin = _heads(term, block)
         self.blocks = int(block.max()) + 1 if len(block) else 0
         self.block = block[begin]
         self.posting = np.r_[begin, len(own)]  # of each block, its first posting
-        self.block_most = np.maximum.reduceat(self.parts, begin) if len(begin) else np.zeros(0, np.int64)
+        self.block_most = np.maximum.reduceat(self.parts, begin) if len(begin) else np.zeros(0)
         heads = _heads(term[begin])
         self.first = np.r_[heads, len(begin)]  # of each term, its first block
-        self.most = np.maximum.reduceat(self.block_most, heads) if len(heads) else np.zeros(0, np.int64)
+        self.most = np.maximum.reduceat(self.block_most, heads) if len(heads) else np.zeros(0)
 
 
 def search(lists: Lists, own: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
@@ -205,7 +209,7 @@ def search(lists: Lists, own: np.ndarray, best: list[tuple[int, int]], k: int) -
     def scored(wanted: np.ndarray) -> list[tuple[int, int]]:
         blocks = held[wanted[block]]
         postings = _ranges(lists.posting[blocks], lists.posting[blocks + 1])
-        scores = np.bincount(lists.docs[postings], weights=lists.parts[postings])  # whole numbers far below 2**53
+        scores = np.bincount(lists.docs[postings], weights=lists.parts[postings])
         found = np.flatnonzero(scores >= limit)
         if len(found) > 4 * k:  # no more than the k best can stay, ties included
             found = found[scores[found] >= np.partition(scores[found], len(found) - k)[len(found) - k]]
