@@ -13,7 +13,7 @@
    long lists by binary search. Those that reach the required overlap are linked. Sets already
    known to be connected are not probed again.
 4. Large groups are searched in blocks: every block together with the first one, then the sets
-   not connected to the main component against all blocks, by pairs of blocks.
+   not connected to the main component against all blocks of sets of like size, by pairs of blocks.
 
 Shingles are compared by 64-bit hashes.
 
@@ -352,7 +352,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if repeats:
         links = staged(links.union(named.join(repeated, "id").join(
             classes.withColumnRenamed("id", "b"), ["f1", "f2"]).select(F.col("id").alias("a"), "b")), "found")
-    links = _finish(links, members, wanted, width, percent, wide)
+    links = _finish(links, members, sets.select("id", "n"), wanted, width, percent, wide)
     joined = components(links).select(F.col("node").alias("id"), "component")
     merged = classes.join(joined, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component"))
     return sets.join(merged, ["f1", "f2"], "left").select(
@@ -360,24 +360,36 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
-def _finish(links: DataFrame, members: DataFrame, wanted: DataFrame, width: int, percent: int, block: int) -> DataFrame:
-    """For groups searched in blocks: the sets outside the group's main component against all sets, by wide blocks."""
+def _finish(links: DataFrame, members: DataFrame, counts: DataFrame, wanted: DataFrame, width: int, percent: int, block: int) -> DataFrame:
+    """For groups searched in blocks: the sets outside the group's main component against all sets that their size lets them link with.
+
+    The sets of a group are dealt to cells by the range of their size, counts(id, n), and a cell to wide blocks. A set outside the main
+    component goes to the cell of its range and those beside it; sets of further ranges cannot be linked with it.
+    """
     large = members.where("blocks > 1")
     if not large.limit(1).count():
         return links
     joined = components(links).select(F.col("node").alias("id"), "component")
     state = staged(large.select("id", "grp").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "state")
     sizes = state.groupBy("grp", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    left = state.join(main, "grp").where("component <> main")
-    parts = left.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    state = state.join(parts, "grp").join(main, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
-        "part", F.when(F.col("component") != F.col("main"), F.pmod(F.xxhash64(F.lit(7), "id"), F.col("parts")).cast("int")))
+    main = sizes.groupBy("grp").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    counts = counts.join(state.select("id"), "id", "left_semi").select("id", "n").distinct()  # an id may have several sets
+    overlap = Overlap(percent)
+    overlap.range_of(int(counts.agg(F.max("n")).first()[0] or 0))
+    below = F.size(F.filter(F.array(*map(F.lit, overlap.bounds)), lambda x: x < F.col("n")))
+    held = staged(state.join(counts, "id").join(main, "grp").withColumn("cell", below).drop("n").distinct(), "cells")
+    near = F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))
+    left = held.where("component <> main").withColumn("cell", near).distinct()
+    blocks = held.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    parts = left.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    grid = blocks.join(parts, ["grp", "cell"])
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    part = F.pmod(F.xxhash64(F.lit(7), "id"), F.col("parts")).cast("int")
     texts = wanted.select("id", "text")
-    fixed = state.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        F.concat_ws("/", "grp", "block", "turn").alias("key"), "id", F.lit(0).alias("side"), F.col("component").alias("known"))
-    asked = state.where("part IS NOT NULL").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.concat_ws("/", "grp", "turn", "part").alias("key"), "id", F.lit(1).alias("side"), F.col("component").alias("known"))
+    fixed = held.join(grid, ["grp", "cell"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        F.concat_ws("/", "grp", "cell", own, "turn").alias("key"), "id", F.lit(0).alias("side"), F.col("component").alias("known"))
+    asked = left.join(grid, ["grp", "cell"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.concat_ws("/", "grp", "cell", "turn", part).alias("key"), "id", F.lit(1).alias("side"), F.col("component").alias("known"))
     more = _search_groups(fixed.union(asked).join(texts, "id"), width, percent)
     # what is known to be connected was skipped, so the earlier links stay beside the new ones
     return staged(links.union(more), "found")

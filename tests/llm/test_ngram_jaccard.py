@@ -66,6 +66,23 @@ def test_large_groups_are_searched_in_blocks(docs):
         assert sorted(map(tuple, J.link_components(docs(rows), group=group, block=block, wide=2 * block).collect()), key=str) == expected
 
 
+def test_sets_of_unlike_sizes_do_not_meet(docs, spark, monkeypatch):
+    rng = random.Random(4)
+    words = [[f"w{i}" for i in rng.sample(range(3000), 900)] for _ in range(4)]
+    rows = [(i, " ".join(words[i % 4][:n])) for i, n in enumerate([3, 9, 28, 29, 31, 95, 100, 104, 300, 330, 800, 880] * 4)]
+    rows += [(500, rows[20][1]), (500, rows[45][1]), (None, rows[3][1])]  # one id with two sets
+    met = []
+    plain = J._search_groups
+    monkeypatch.setattr(J, "_search_groups", lambda groups, *more: met.append(groups.count()) or plain(groups, *more))
+    ids = [i for i, _ in rows if i is not None]
+    one = spark.createDataFrame([(i, min(ids)) for i in ids], "node long, component long").distinct()
+    whole = J.components
+    monkeypatch.setattr(J, "components", lambda links, *a, **more: one if more.get("contracted") else whole(links, *a, **more))
+    found = J.link_components(docs(rows), group=8, block=4, wide=4)
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+    assert len(met) == 2 and met[1] < len(set(ids)) ** 2 // 4  # 490 rows meet all the others in blocks of 4
+
+
 def test_chains_and_borders_of_the_threshold(docs):
     # 19 shingles against 19 with 18 shared: 18 / 20 is exactly 0.9
     words = [f"w{i}" for i in range(21)]
