@@ -2,11 +2,11 @@
 
 1. Every text becomes its set of hashed word shingles. Texts with equal sets form a class.
 2. Blocking that loses no link: a set of n shingles is cut by hash into k parts, k being more
-   than the largest symmetric difference that two linked sets of its size range can have, so
-   linked sets agree on a whole part (pigeonhole). A part's hash is its signature. Sets that
-   share a signature are led to the smallest id among them, first inside each batch, so that a
-   signature reaches the shuffle at most once per batch however many copies share it. The
-   components of these leads hold every component of the true links.
+   than the largest symmetric difference that two linked sets of its size range can have, by so
+   much that linked sets agree on a number of whole parts (pigeonhole). A part's hash is its
+   signature. Pairs that share enough signatures are led together, see `block_leads`, first inside
+   each batch, so that a signature reaches the shuffle once per batch however many near copies
+   share it. The components of these leads hold every component of the true links.
 3. Inside each of them runs the T-occurrence search: an inverted index of the group's sets; for
    a set the inverted lists are ordered by length, DivideSkip leaves L long ones aside, the
    short ones are merged with a heap, and every set met at least T - L times is probed in the
@@ -29,7 +29,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -92,25 +92,31 @@ class Overlap:
             self.bounds.append(max(low, low * 100 // self.percent))
         return int(np.searchsorted(self.bounds, n))
 
-    def parts(self, r: int) -> tuple[int, int]:
-        """Parts for pairs whose larger set is in range r, and how many of them may be left out."""
-        self.range_of(self.bounds[-1] + 1 if r >= len(self.bounds) else 1)
+    def parts(self, r: int) -> tuple[int, int, int]:
+        """Parts for pairs whose larger set is in range r, how many of them may be left out, and on how many of the others linked sets agree."""
+        while r >= len(self.bounds):
+            self.range_of(self.bounds[-1] + 1)
         differ = 2 * self.bounds[r] * (100 - self.percent) // (100 + self.percent)
         spare = 0 if differ < 3 else max(1, differ // 4)
-        return differ + 1 + spare, spare
+        return differ + 1 + 2 * spare, spare, spare + 1
+
+    def agreed(self, steps: np.ndarray) -> np.ndarray:
+        """The last of `parts` of many ranges."""
+        known, back = np.unique(steps, return_inverse=True)
+        return np.array([self.parts(r)[2] for r in known.tolist()], np.int64)[back]
 
 
 def signatures(own: np.ndarray, overlap: Overlap) -> np.ndarray:
     """Part hashes of a set, without those of its `spare` smallest parts, which unlike sets may share.
 
-    Linked sets agree on more than `spare` parts. Parts are ordered by size and hash, which are the same
-    in both sets for a part that they share, so the last part that they share stands behind `spare`
-    others in both and is left out of neither.
+    Linked sets agree on 2 * spare + 1 parts at least. Parts are ordered by size and hash, which are the same
+    in both sets for a part that they share, so of the parts that they share, all but the first `spare` stand
+    behind `spare` others in both and are left out of neither. A hash ends in a bit for the range it is made for.
     """
     out = []
     r = overlap.range_of(len(own))
     for step in (r, r + 1):
-        k, spare = overlap.parts(step)
+        k, spare, _ = overlap.parts(step)
         part = (own % np.uint64(k)).astype(np.int64)
         low = np.bincount(part, (own >> np.uint64(8) & np.uint64(0xFFFFFFFF)).astype(np.float64), k)
         high = np.bincount(part, (own >> np.uint64(32)).astype(np.float64), k)
@@ -118,6 +124,7 @@ def signatures(own: np.ndarray, overlap: Overlap) -> np.ndarray:
         name = mix64(low.astype(np.uint64) * _FACTORS[0] + high.astype(np.uint64) * _FACTORS[1]
                      + size.astype(np.uint64) * _FACTORS[2] + np.arange(k, dtype=np.uint64) * _FACTORS[3]
                      + np.full(k, step, np.uint64) * _FACTORS[4])
+        name = name & ~np.uint64(1) | np.uint64(step & 1)
         out.append(name[np.lexsort((name, size))[spare:]])
     return np.concatenate(out)
 
@@ -147,23 +154,89 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-LEADS = "slot int, names binary, places binary, ids binary, followers binary, leaders binary"
 NAME = 5  # bytes of a signature that are sent; unlike ones that look alike only add leads
+FEW = 8  # sets of a signature that meet pair by pair
+SIGNED = "slot int, names binary, places binary, ids binary, ranges binary, followers binary, leaders binary"
+MET = "slot int, a binary, b binary, steps binary, times binary, owners binary, names binary, ranges binary"
+LED = "slot int, names binary, ids binary, followers binary, leaders binary"
 
 
-def _lead(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal names the smallest id leads: (names, leaders) once each, and (follower, leader) stars."""
+def _lead(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal names the smallest id leads: (follower, leader) stars."""
     order = np.lexsort((ids, names))
     names, ids = names[order], ids[order]
     first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
     leader = np.repeat(ids[first], np.diff(np.r_[first, len(ids)]))
     other = ids != leader
-    followers, leaders = stars(ids[other], leader[other])
-    return names[first], ids[first], followers, leaders
+    return stars(ids[other], leader[other])
+
+
+def _tally(*columns: np.ndarray, times: np.ndarray | None = None) -> list[np.ndarray]:
+    """Distinct rows of these columns, and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for c in columns:
+        fresh[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(fresh)
+    times = np.ones(len(order), np.int64) if times is None else times[order]
+    return [*(c[first] for c in columns), np.add.reduceat(times, first) if len(first) else np.zeros(0, np.int64)]
+
+
+def _step(names: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """The range that a signature is made for, by its last bit: its set's or the next one."""
+    return ranges + (ranges + names.astype(np.int64) & 1)
+
+
+def _of(ids: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """One hash for an id and a range."""
+    return mix64(mix64(ids.view(np.uint64)) + steps.view(np.uint64) * _FACTORS[0])
+
+
+def _together(names: np.ndarray, place: np.ndarray, ranges: np.ndarray, ids: np.ndarray, overlap: Overlap) -> np.ndarray:
+    """Per set of a batch, the set that stands for it: sets agreeing on as many signatures as linked ones do stand together."""
+    order = np.lexsort((ids[place], names))
+    names, place = names[order], place[order]
+    first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+    leader = np.repeat(place[first], np.diff(np.r_[first, len(names)]))
+    other = place != leader
+    a, b, steps, times = _tally(place[other], leader[other], _step(names[other], ranges[place[other]]))
+    enough = times >= overlap.agreed(steps)
+    followers, leaders = stars(a[enough], b[enough])
+    root = np.arange(len(ids))
+    root[followers] = leaders
+    return root
 
 
-def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """(a, b): links from each set to the leader of a signature they share. Superset of the true components.
+def _dealt(slots: int, slot: np.ndarray, *columns: np.ndarray) -> list[list[bytes]]:
+    """Per slot, the bytes of the rows dealt to it."""
+    order = np.argsort(slot, kind="stable")
+    cuts = np.searchsorted(slot[order], np.arange(slots + 1)).tolist()
+    columns = [c[order] for c in columns]
+    return [[c[a:b].tobytes() for c in columns] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _packed(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of a slot and binaries."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32() if k == 0 else pa.binary()) for k in range(len(names))], names=names)
+
+
+def _gathered(batches, types: tuple) -> list[np.ndarray]:
+    """All rows' binaries after the slot, as one array a column."""
+    parts = [[np.frombuffer(v, t) for v in batch.column(k + 1).to_pylist()] for batch in batches for k, t in enumerate(types)]
+    return [np.concatenate([np.zeros(0, t), *(x for p in parts[k::len(types)] for x in p)]) for k, t in enumerate(types)]
+
+
+def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, few: int = FEW) -> DataFrame:
+    """(a, b): links that hold every component of the true ones together, by signatures that sets share.
+
+    Linked sets share some number of signatures of one range, say c, or more. Signatures of `few` sets or less give pairs,
+    and a pair's are counted. How many signatures of more sets a pair shares is not known, but no more than its larger id
+    has, say f; so a pair is left out if it is counted less than c - f times. A linked pair that is never counted
+    shares c signatures of more sets: sets that have so many are led to the smallest such set of each of them, others are not.
+    So a passage that unlike sets share, however frequent, joins none of them into a group.
 
     A batch sends its signatures by slot, `NAME` bytes each, with a 16-bit place in a list of their owners.
     """
@@ -174,51 +247,113 @@ def block_leads(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     def emit(batches):
         overlap = Overlap(percent)
         for batch in batches:
-            keys = batch.column(0)
-            names, ids = [], []
-            for own, key in zip(shingle_sets(batch.column(1), width), keys.to_pylist()):
+            names, ids, ranges, equal, copies = [], [], [], {}, []
+            for own, key in zip(shingle_sets(batch.column(1), width), batch.column(0).to_pylist()):
                 if len(own) and key is not None:
+                    at = equal.setdefault(fingerprint(own), len(ids))
+                    if at < len(ids):
+                        copies.append((key, at))
+                        continue
                     names.append(signatures(own, overlap))
-                    ids.append(np.full(len(names[-1]), key, np.int64))
+                    ids.append(key)
+                    ranges.append(overlap.range_of(len(own)))
             if not names:
                 continue
-            names, ids, followers, leaders = _lead(np.concatenate(names), np.concatenate(ids))
+            ids, ranges = np.array(ids, np.int64), np.array(ranges, np.int64)
+            place = np.repeat(np.arange(len(ids)), [len(x) for x in names])
+            names = np.concatenate(names)
+            root = ids[_together(names, place, ranges, ids, overlap)]
+            led = np.array(copies, np.int64).reshape(-1, 2)
+            a, b = np.r_[led[:, 0], ids], np.r_[root[led[:, 1]], root]
+            followers, leaders = a[a != b], b[a != b]
             slot = (names >> np.uint64(8 * NAME)) % np.uint64(slots)
-            order = np.argsort(slot, kind="stable")
-            names, ids = names[order] & low, ids[order]
-            cuts = np.searchsorted(slot[order], np.arange(slots + 1)).tolist()
+            order = np.lexsort((root[place], names, slot))
+            slot, names, place = slot[order], names[order], place[order]
+            once = np.r_[True, (names[1:] != names[:-1]) | (root[place[1:]] != root[place[:-1]])]
+            slot, names, place = slot[once], names[once] & low, place[once]
+            cuts = np.searchsorted(slot, np.arange(slots + 1)).tolist()
             share = np.array_split(np.arange(len(followers)), slots)
             rows = []
             for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 for c in range(a, max(b, a + 1), 1 << 16):  # places fit 16 bits
                     d = min(b, c + (1 << 16))
-                    own, place = np.unique(ids[c:d], return_inverse=True)
+                    own, at = np.unique(place[c:d], return_inverse=True)
                     led = share[s] if c == a else share[s][:0]
                     if d > c or len(led):
-                        rows.append((s, names[c:d].view(np.uint8).reshape(-1, 8)[:, :NAME].tobytes(), place.astype(np.uint16).tobytes(),
-                                     own.tobytes(), followers[led].tobytes(), leaders[led].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), *[pa.binary()] * 5])],
-                                             names=["slot", "names", "places", "ids", "followers", "leaders"])
+                        rows.append((s, names[c:d].view(np.uint8).reshape(-1, 8)[:, :NAME].tobytes(), at.astype(np.uint16).tobytes(),
+                                     root[own].tobytes(), ranges[own].astype(np.int16).tobytes(), followers[led].tobytes(), leaders[led].tobytes()))
+            yield _packed(rows, SIGNED)
 
     def meet(batches):
         gathered: dict[int, list] = {}
         pairs = []
         for batch in batches:
-            for slot, names, places, ids, followers, leaders in zip(*(c.to_pylist() for c in batch.columns)):
+            for slot, names, places, ids, ranges, followers, leaders in zip(*(c.to_pylist() for c in batch.columns)):
                 wide = np.zeros((len(places) // 2, 8), np.uint8)
                 wide[:, :NAME] = np.frombuffer(names, np.uint8).reshape(-1, NAME)
-                gathered.setdefault(slot, []).append((wide.reshape(-1).view(np.uint64), np.frombuffer(ids, np.int64)[np.frombuffer(places, np.uint16)]))
+                at = np.frombuffer(places, np.uint16)
+                gathered.setdefault(slot, []).append((wide.reshape(-1).view(np.uint64), np.frombuffer(ids, np.int64)[at],
+                                                      np.frombuffer(ranges, np.int16)[at].astype(np.int64)))
                 pairs.append((np.frombuffer(followers, np.int64), np.frombuffer(leaders, np.int64)))
         for slot in list(gathered):
             parts = gathered.pop(slot)
-            _, _, followers, leaders = _lead(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-            pairs.append((followers, leaders))
+            names, ids, ranges = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            names, ids, steps, _ = _tally(names, ids, _step(names, ranges))
+            first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
+            many = np.diff(np.r_[first, len(names)])
+            a, b, at = [], [], []
+            for m in range(2, few + 1):
+                start = first[many == m]
+                for i, j in combinations(range(m), 2):  # ids ascend
+                    a.append(start + j)
+                    b.append(start + i)
+            a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+            apart = ids[a] != ids[b]
+            a, b, steps_met, times = _tally(ids[a[apart]], ids[b[apart]], steps[a[apart]])
+            more = np.repeat(many > few, many)
+            yield _sent(a, b, steps_met, times, ids[more], names[more] | np.uint64(slot) << np.uint64(8 * NAME), steps[more])
         if pairs:
             followers, leaders = stars(*(np.concatenate([p[i] for p in pairs]) for i in range(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(followers), pa.array(leaders)], names=["a", "b"])
+            none = np.zeros(0, np.int64)
+            yield _sent(followers, leaders, np.full(len(followers), -1), np.ones(len(followers), np.int64), none, none.astype(np.uint64), none)
 
-    emitted = _source(docs, id_col, text_col).mapInArrow(lean(emit), LEADS)
-    return emitted.repartition(slots, "slot").mapInArrow(lean(meet), "a long, b long")
+    def _sent(a, b, steps, times, owners, names, ranges):
+        """Rows for the larger id's slot; pairs known to belong together are of range -1."""
+        pairs = _dealt(slots, mix64(a.view(np.uint64)) % np.uint64(slots), a, b, steps.astype(np.int16), times.astype(np.int32))
+        own = _dealt(slots, mix64(owners.view(np.uint64)) % np.uint64(slots), owners, names, ranges.astype(np.int16))
+        return _packed([(s, *x, *y) for s, (x, y) in enumerate(zip(pairs, own)) if x[0] or y[0]], MET)
+
+    def sift(batches):
+        overlap = Overlap(percent)
+        a, b, steps, times, owners, names, ranges = _gathered(batches, (np.int64, np.int64, np.int16, np.int32, np.int64, np.uint64, np.int16))
+        a, b, steps, times = _tally(a, b, steps.astype(np.int64), times=times.astype(np.int64))
+        ranges = ranges.astype(np.int64)
+        own = _of(owners, ranges)
+        which, back, often = np.unique(own, return_inverse=True, return_counts=True)
+        apart = steps >= 0
+        at, many = _of(a, steps), np.zeros(len(a), np.int64)
+        if len(which):
+            place = np.minimum(np.searchsorted(which, at), len(which) - 1)
+            many = np.where(which[place] == at, often[place], 0)
+        keep = np.ones(len(a), bool)
+        keep[apart] = times[apart] >= overlap.agreed(steps[apart]) - many[apart]
+        followers, leaders = stars(a[keep], b[keep])
+        stay = often[back] >= overlap.agreed(ranges)
+        owners, names = owners[stay], names[stay]
+        sent = _dealt(slots, mix64(names) % np.uint64(slots), names, owners)
+        links = _dealt(slots, np.arange(len(followers)) % slots, followers, leaders)
+        yield _packed([(s, *x, *y) for s, (x, y) in enumerate(zip(sent, links)) if x[0] or y[0]], LED)
+
+    def close(batches):
+        names, ids, followers, leaders = _gathered(batches, (np.uint64, np.int64, np.int64, np.int64))
+        a, b = _lead(names, ids)
+        followers, leaders = stars(np.r_[a, followers], np.r_[b, leaders])
+        yield pa.RecordBatch.from_arrays([pa.array(followers), pa.array(leaders)], names=["a", "b"])
+
+    signed = _source(docs, id_col, text_col).mapInArrow(lean(emit), SIGNED)
+    met = signed.repartition(slots, "slot").mapInArrow(lean(meet), MET)
+    led = met.repartition(slots, "slot").mapInArrow(lean(sift), LED)
+    return led.repartition(slots, "slot").mapInArrow(lean(close), "a long, b long")
 
 
 class Search:
@@ -344,6 +479,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeats = bool(repeated.limit(1).count())
     if repeats:
         wanted = wanted.dropDuplicates(["id", "text"])
+    wanted = staged(wanted, "texts")  # all texts are read once for the members' own
     hub = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = wanted.withColumn("turn", F.explode(hub)).select(
         F.concat_ws("/", "grp", "turn").alias("key"), "id", (F.col("block") > 0).cast("int").alias("side"),

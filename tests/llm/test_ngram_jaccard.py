@@ -116,3 +116,53 @@ def test_linked_sets_share_a_signature(percent):
         shared = len(np.intersect1d(a, b))
         if len(b) and 100 * shared >= percent * (len(a) + len(b) - shared):
             assert np.intersect1d(J.signatures(a, overlap), J.signatures(b, overlap)).size, (len(a), len(b), shared)
+
+
+def groups_of(links):
+    """Smallest node by node of any link."""
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("few", [1, 2, 8])
+def test_leads_hold_all_links(docs, few):
+    rng = random.Random(few)
+    base = [f"w{i}" for i in range(90)]
+    rows = [*corpus(7), *enumerate([*near_copies(rng, base, 40, 4), *near_copies(rng, base[:50], 5, 1)], 1000)]
+    group = groups_of(map(tuple, J.block_leads(docs(rows).repartition(5), "doc_id", "text", 3, 90, few).collect()))
+    for key, _, component in brute(rows):
+        assert group.get(key, key) == group.get(component, component)
+
+
+def test_shared_passages_lead_no_unlike_sets_together(docs):
+    rng = random.Random(3)
+    passages = [[f"p{k}x{i}" for i in range(20)] for k in range(8)]
+    rows = []
+    for i in range(96):  # every passage stands in many texts, each in a chain with the next
+        own = [f"d{i}x{k}" for k in range(100)]
+        rows.append((i, " ".join([*own[:50], *passages[i % 8], *own[50:], *passages[(i + 1) % 8]])))
+    rows += [(1000 + i, text) for i, text in enumerate(near_copies(rng, rows[5][1].split(), 6, 3))]
+    group = groups_of(map(tuple, J.block_leads(docs(rows).repartition(4), "doc_id", "text", 5, 80).collect()))
+    assert {x for x in group if x < 1000} <= {5}
+    assert {group[x] for x in group} == {5}
+
+
+def test_near_copies_of_a_batch_are_led_once(docs, spark):
+    rng = random.Random(6)
+    rows = list(enumerate(near_copies(rng, [f"w{i}" for i in range(200)], 400, 6)))
+    slots = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        leads = [tuple(r) for r in J.block_leads(docs(rows).repartition(4), "doc_id", "text", 5, 80).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", slots)
+    assert set(groups_of(leads).values()) == {0} and len(leads) < 2 * len(rows)
