@@ -43,7 +43,7 @@ WORDS = 3
 PERCENT = 90
 GROUP = 512
 BLOCK = 256
-WIDE_BLOCK = 2048  # of sets outside the main component against all: wide ones send a text to few places
+WIDE_BLOCK = 1024  # of sets outside the main component against all: wide ones send a text to few places, narrow ones spread the search
 SKIP_COST = 0.01
 
 VALUES = word_table(bytes([0x20, *range(0x09, 0x0E)]))
