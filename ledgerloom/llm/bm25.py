@@ -6,11 +6,11 @@ their mean length are taken over all shards, so every shard scores alike and the
 is exact. A query is a whole text; all its distinct terms count, weighed by their inverse
 document frequency over all documents.
 
-Queries are written in batches of `QUERIES` to the shared folder; a task takes one batch through
-`SHARDS` shards, one after the other, and keeps the k best of each query on the way, so later
-shards start from the limits of earlier ones. What a term adds to a document's score does not
-depend on the query and is computed once per shard and batch. Each term's list is cut into blocks
-at every `BLOCK` documents of the shard, the same places for all terms, with the most a document of
+Queries are written in batches of up to `QUERIES` to the shared folder, those with common terms side by
+side; a task takes one batch through `SHARDS` shards, small ones put together, and keeps the k best of
+each query on the way, so later shards start from the limits of earlier ones. What a term adds to a
+document's score does not depend on the query and is computed once per shard and batch. Each term's list
+is cut into blocks at every `BLOCK` documents, the same places for all terms, with the most a document of
 the block can get from the term. For a query,
 
 - a shard is skipped if the largest parts of its terms together stay below the k-th best score;
@@ -21,6 +21,13 @@ the block can get from the term. For a query,
 Blocks are aligned so that the pivots of all blocks of a list are found at once instead of moving
 cursors one by one; what is skipped is what cannot reach the limit, as in the sequential form.
 
+Queries of more than `FEW` terms in a shard go through it up to `TOGETHER` at a time, as their lists are mostly
+the same ones. Terms that many of them share and many documents have are left to a matrix product; the lists of the
+others are summed query by query. These sums are the bounds of the blocks together with the products of the block
+maxima, and only blocks that can reach a limit enter the product. Without a k-th best score, the k-th largest of the
+blocks' best sums stands for it. The product is taken in single precision: it chooses documents with a margin above
+its error, and their scores are summed from whole numbers.
+
 A score is the sum of the terms' parts, each rounded to a millionth, so sums do not depend on
 their order. Ties are ranked by id, null ids last.
 
@@ -48,8 +55,14 @@ TOP = 10
 QUERY_STEP = 100
 SHARD_BYTES = 32 << 20
 BLOCK = 64
-QUERIES, SHARDS = 500, 4  # of a task
+QUERIES, SHARDS = 6000, 8  # of a task at most
+DOCS = 20_000  # of shards that are put together
 FIRST_BLOCKS = 4
+FEW, TOGETHER = 8, 512
+CELLS = 1 << 23  # of a matrix at most
+DENSE, HEAVY = 0.005, 4096  # share of pairs of a query and a document that have a term of the product; such terms at most
+SHORT = 16  # lists below are gathered by position
+POSTING = np.dtype([("part", "<i4"), ("doc", "<i4")])
 UNIT = 1_000_000
 LAST = (1 << 63) - 1
 
@@ -146,9 +159,13 @@ def inverse_frequency(docs: Column | float, frequency: Column) -> Column:
     return F.log(1 + (F.lit(docs) - frequency + 0.5) / (frequency + 0.5))
 
 
-def part(weight, count, length, mean: float):
+def norm(length, mean: float):
+    return K1 * (1 - B + B * length / mean)
+
+
+def part(weight, count, norms):
     """A term's part of a score, in millionths."""
-    return np.floor(UNIT * (weight * (count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean)))) + 0.5).astype(np.int64)
+    return np.floor(UNIT * (weight * (count * (K1 + 1) / (count + norms))) + 0.5)
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -169,32 +186,54 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """The lists of some terms in a shard: parts by document, and the most of each block and of each list.
+    """The lists of some terms in a shard, or in some as if they were one: parts by document, and the most of each
+    block and of each list.
 
-    Documents, blocks and parts are held in the types that sums by `bincount` take, which would copy others for
-    every query; parts are whole numbers far below 2**53.
+    A posting is one number of 64 bits, the document above the part, so that lists are put together in one go.
     """
 
-    def __init__(self, shard: dict[str, np.ndarray], terms: np.ndarray, weights: np.ndarray, mean: float):
-        held = shard["terms"]
-        at = np.minimum(np.searchsorted(held, terms), max(0, len(held) - 1))
-        self.known = held[at] == terms if len(held) else np.zeros(len(terms), bool)  # by position in `terms`
+    def __init__(self, shards: dict[str, np.ndarray] | list[dict[str, np.ndarray]], terms: np.ndarray, weights: np.ndarray, mean: float):
+        shards = [shards] if isinstance(shards, dict) else shards
+        sizes = np.zeros((len(shards), len(terms)), np.int64)
+        begins = np.zeros_like(sizes)
+        for shard, size, begin in zip(shards, sizes, begins):
+            held = shard["terms"]
+            if len(held):
+                at = np.minimum(np.searchsorted(held, terms), len(held) - 1)
+                own = held[at] == terms
+                size[own] = shard["frequency"][at[own]]
+                begin[:] = np.r_[0, np.cumsum(shard["frequency"].astype(np.int64))][at]
+        total = sizes.sum(0)
+        self.known = total > 0  # by position in `terms`
         self.number = np.cumsum(self.known) - 1
-        at, weights = at[self.known], weights[self.known]
-        first = np.r_[0, np.cumsum(shard["frequency"].astype(np.int64))]
-        own = _ranges(first[at], first[at + 1])
-        term = np.repeat(np.arange(len(at)), shard["frequency"][at])
-        self.ids, self.docs = shard["ids"], shard["docs"][own].astype(np.intp)
-        self.parts = part(weights[term], shard["counts"][own].astype(np.float64), shard["lengths"][self.docs].astype(np.float64), mean).astype(np.float64)
+        self.sizes = total[self.known]
+        self.at = np.r_[0, np.cumsum(self.sizes)]  # of each list, its first posting
+        self.ids = np.concatenate([s["ids"] for s in shards])
+        self.packed = np.empty(self.at[-1], "<i8")
+        to, offset = np.cumsum(total) - total, 0
+        for shard, size, begin in zip(shards, sizes, begins):
+            own = _ranges(begin, begin + size)
+            docs = shard["docs"][own]
+            parts = part(np.repeat(weights, size), shard["counts"][own].astype(np.float64), norm(shard["lengths"].astype(np.float64), mean)[docs])
+            postings = np.empty(len(own), POSTING)
+            postings["part"], postings["doc"] = parts, docs + offset
+            if len(shards) == 1:
+                self.packed = postings.view("<i8")
+            else:
+                self.packed[_ranges(to, to + size)] = postings.view("<i8")
+            to, offset = to + size, offset + len(shard["ids"])
+        self.docs, self.parts = self.packed.view(POSTING)["doc"], self.packed.view(POSTING)["part"]
         block = self.docs // BLOCK
-        begin = _heads(term, block)
+        change = np.ones(len(block), bool)
+        change[1:] = block[1:] != block[:-1]
+        change[self.at[:-1]] = True
+        begin = np.flatnonzero(change)
         self.blocks = int(block.max()) + 1 if len(block) else 0
         self.block = block[begin]
-        self.posting = np.r_[begin, len(own)]  # of each block, its first posting
+        self.posting = np.r_[begin, len(block)]  # of each block, its first posting
         self.block_most = np.maximum.reduceat(self.parts, begin) if len(begin) else np.zeros(0)
-        heads = _heads(term[begin])
-        self.first = np.r_[heads, len(begin)]  # of each term, its first block
-        self.most = np.maximum.reduceat(self.block_most, heads) if len(heads) else np.zeros(0)
+        self.first = np.searchsorted(begin, self.at)  # of each list, its first block
+        self.most = np.maximum.reduceat(self.block_most, self.first[:-1]) if len(begin) else np.zeros(0)
 
 
 def search(lists: Lists, own: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
@@ -225,18 +264,137 @@ def search(lists: Lists, own: np.ndarray, best: list[tuple[int, int]], k: int) -
     return scored(wanted) if wanted.any() else best
 
 
+def _limit(best: list[tuple[int, int]], k: int) -> int:
+    return -best[-1][0] if len(best) == k else 1
+
+
+def search_all(lists: Lists, own: list[np.ndarray], best: list[list[tuple[int, int]]], k: int) -> list[list[tuple[int, int]]]:
+    """What `search` gives for each of the queries, those of many terms together."""
+    out, left = list(best), []
+    for q, terms in enumerate(own):
+        if len(terms) <= FEW:
+            out[q] = search(lists, terms, best[q], k)
+        elif lists.most[terms].sum() >= _limit(best[q], k):
+            left.append(q)
+    step = max(1, min(TOGETHER, CELLS // max(1, len(lists.ids))))
+    for i in range(0, len(left), step):
+        some = left[i:i + step]
+        for q, found in zip(some, _search_together(lists, [own[q] for q in some], [best[q] for q in some], k)):
+            out[q] = found
+    return out
+
+
+def _search_together(lists: Lists, own: list[np.ndarray], best: list[list[tuple[int, int]]], k: int) -> list[list[tuple[int, int]]]:
+    n, wide = len(own), -(-len(lists.ids) // BLOCK)
+    term, row = np.concatenate(own), np.repeat(np.arange(n), [len(t) for t in own])
+    pairs = np.bincount(term, minlength=len(lists.sizes)) * lists.sizes
+    heavy = np.flatnonzero(pairs > DENSE * n * len(lists.ids))
+    most = max(1, min(HEAVY, CELLS // (wide * BLOCK)))
+    if len(heavy) > most:
+        heavy = heavy[np.argpartition(-pairs[heavy], most)[:most]]
+    column = np.full(len(lists.sizes), -1)
+    column[heavy] = np.arange(len(heavy))
+    column = column[term]
+    asks = np.zeros((n, len(heavy)), np.float32)
+    asks[row[column >= 0], column[column >= 0]] = 1
+    held, tops = np.zeros((len(heavy), wide * BLOCK), np.int32), np.zeros((len(heavy), wide), np.float32)
+    for i, t in enumerate(heavy.tolist()):
+        a, b = lists.at[t], lists.at[t + 1]
+        held[i, lists.docs[a:b]] = lists.parts[a:b]
+        a, b = lists.first[t], lists.first[t + 1]
+        tops[i, lists.block[a:b]] = lists.block_most[a:b]
+
+    sums = _light_sums(lists, term[column < 0], row[column < 0], n, wide * BLOCK)
+    limits = np.array([_limit(b, k) for b in best], np.float64)
+    new = np.array([len(b) < k for b in best])
+    peaks = sums.reshape(n, wide, BLOCK).max(2)
+    if wide >= k and new.any():
+        limits[new] = np.maximum(1, np.partition(peaks[new], wide - k, axis=1)[:, wide - k])
+    slack = 1 - (len(heavy) + 8) * 2.0**-23  # a sum in single precision is off by half of this share at most
+    wanted = ((peaks + asks @ tops) >= (limits * slack)[:, None]).any(0)
+    docs = np.flatnonzero(np.repeat(wanted, BLOCK))
+    whole = len(docs) == wide * BLOCK
+    rough = asks @ (held if whole else held[:, docs]).astype(np.float32)
+
+    out = list(best)
+    for i in range(n):
+        total = rough[i] + (sums[i] if whole else sums[i, docs])
+        if new[i] and len(total) >= k * BLOCK:
+            limits[i] = max(limits[i], np.partition(total.reshape(-1, BLOCK).max(1), -k)[-k] * slack)
+        found = np.flatnonzero(total >= limits[i] * slack)
+        if len(found) > 4 * k:  # no more than the k best can stay, ties included
+            found = found[total[found] >= np.partition(total[found], len(found) - k)[len(found) - k] * slack * slack]
+        if len(found):
+            found = docs[found]
+            scores = sums[i, found] + held[np.ix_(np.flatnonzero(asks[i]), found)].sum(0, dtype=np.int64)
+            ids = lists.ids[found]
+            first = np.lexsort((ids, -scores))[:k]
+            out[i] = sorted(best[i] + list(zip((-scores[first]).astype(np.int64).tolist(), ids[first].tolist())))[:k]
+    return out
+
+
+def _light_sums(lists: Lists, term: np.ndarray, row: np.ndarray, n: int, width: int) -> np.ndarray:
+    """The sums of the lists `term` of query `row`, in ascending order of rows, by query and document."""
+    sums = np.zeros((n, width))
+    short = lists.sizes[term] < SHORT
+    some, some_end = term[short], np.cumsum(np.bincount(row[short], minlength=n)).tolist()
+    begin, end = lists.at[some], lists.at[some + 1]
+    used, which = np.unique(term[~short], return_inverse=True)
+    views = [lists.packed[a:b] for a, b in zip(lists.at[used].tolist(), lists.at[used + 1].tolist())]
+    which, which_end = which.tolist(), np.cumsum(np.bincount(row[~short], minlength=n)).tolist()
+    a = b = 0
+    for i in range(n):
+        x, y = some_end[i], which_end[i]
+        postings = np.concatenate([lists.packed[_ranges(begin[a:x], end[a:x])], *[views[t] for t in which[b:y]]]).view(POSTING)
+        sums[i] = np.bincount(postings["doc"], weights=postings["part"], minlength=width)
+        a, b = x, y
+    return sums
+
+
+def likeness(sizes: np.ndarray, terms: np.ndarray, kinds: int = 16, top: int = 256, rounds: int = 8) -> np.ndarray:
+    """An order in which queries with common terms are near each other. `terms` are numbers from 0, query by query.
+
+    Queries are put to the nearest of some centres by their commonest terms, the rarer of these weighing more. It
+    only decides which queries share a matrix product.
+    """
+    n, row = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+    asked = np.bincount(terms)
+    common = np.argsort(-asked, kind="stable")[:top]
+    column = np.full(len(asked), -1)
+    column[common] = np.arange(len(common))
+    column = column[terms]
+    rows = np.zeros((n, len(common)), np.float32)
+    rows[row[column >= 0], column[column >= 0]] = np.log((n + 1) / asked[common])[column[column >= 0]]
+    rows /= np.maximum(1e-9, np.linalg.norm(rows, axis=1))[:, None]
+    centres = rows[np.linspace(0, n - 1, kinds).astype(int)]
+    for _ in range(rounds):
+        kind = (rows @ centres.T).argmax(1)
+        centres = np.array([rows[kind == j].sum(0) if (kind == j).any() else centres[j] for j in range(kinds)])
+        centres /= np.maximum(1e-9, np.linalg.norm(centres, axis=1))[:, None]
+    return np.lexsort((sizes, (rows @ centres.T).argmax(1)))
+
+
 def _write_batches(asked: DataFrame, folder: str, batches: int) -> DataFrame:
-    """(batch, path) of written query batches: ids, and their terms with weights."""
+    """(batch, path) of written query batches: ids, their numbers of terms, and the terms with weights."""
 
     def run(rows):
         kept: dict[int, list] = {}
         for batch in rows:
-            for number, query, terms, weights in zip(*(batch.column(c).to_pylist() for c in ("batch", "query", "terms", "weights"))):
-                kept.setdefault(number, []).append((query, np.array(terms, np.int64).view(np.uint64), np.array(weights)))
-        for number, held in kept.items():
-            queries, terms, weights = zip(*held)
-            packed = _pack({"queries": np.array(queries, np.int64), "sizes": np.array([len(t) for t in terms], np.int64),
-                            "terms": np.concatenate(terms), "weights": np.concatenate(weights)})
+            lists = {c: batch.column(c) for c in ("terms", "weights")}
+            ends = lists["terms"].offsets.to_numpy()
+            terms, weights = (lists[c].values.to_numpy() for c in ("terms", "weights"))
+            for number, query, a, b in zip(batch.column("batch").to_pylist(), batch.column("query").to_pylist(), ends.tolist(), ends[1:].tolist()):
+                kept.setdefault(number, []).append((query, terms[a:b].copy(), weights[a:b].copy()))
+        for number in list(kept):
+            queries, terms, weights = zip(*kept.pop(number))
+            sizes = np.array([len(t) for t in terms], np.int64)
+            each, back = np.unique(np.concatenate(terms).view(np.uint64), return_inverse=True)
+            order = likeness(sizes, back)
+            weight = np.zeros(len(each))
+            weight[back] = np.concatenate(weights)
+            begin = np.cumsum(sizes) - sizes
+            packed = _pack({"queries": np.array(queries, np.int64)[order], "sizes": sizes[order], "terms": each, "weights": weight,
+                            "own": back[_ranges(begin[order], (begin + sizes)[order])].astype(np.int32)})
             yield pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int32()), "path": [save(folder, f"queries-{uuid.uuid4().hex}.bin", packed)]})
 
     lists = asked.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("t"))
@@ -245,6 +403,24 @@ def _write_batches(asked: DataFrame, folder: str, batches: int) -> DataFrame:
     return staged(lists.repartition(batches, "batch").mapInArrow(lean(run), "batch int, path string"), "batches")
 
 
+def _opened(paths: list[str], terms: np.ndarray, weights: np.ndarray, mean: float) -> Iterator[Lists]:
+    """The lists of the shards, those of small ones put together."""
+    held, docs = [], 0
+    for path in paths:
+        shard = _unpack(load(path))
+        if held and docs + len(shard["ids"]) > DOCS:
+            lists = Lists(held, terms, weights, mean)
+            held, docs = [], 0
+            yield lists
+            del lists
+        held.append(shard)
+        docs += len(shard["ids"])
+    if held:
+        lists = Lists(held, terms, weights, mean)
+        del held, shard
+        yield lists
+
+
 def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = TOP) -> DataFrame:
     """(query, rank, id, score) of the k best documents of every query; queries are (id, text) rows."""
     folder = shared_dir(docs.sparkSession, "index")
@@ -255,8 +431,10 @@ def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col:
     held = shards.select(F.explode(F.arrays_zip("terms", "frequency")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.frequency").alias("f"))
     frequency = held.groupBy("term").agg(F.sum("f").alias("df"))
     weighed = words.join(frequency, "term").select("query", "term", inverse_frequency(n, F.col("df")).alias("weight"))
-    batches = max(1, -(-words.select("query").distinct().count() // QUERIES))
+    asked = words.select("query").distinct().count()
     groups = max(1, -(-whole.shards // SHARDS))
+    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    batches = max(1, -(-asked // QUERIES), min(-(-tasks // groups), -(-asked // TOGETHER)))
     written = _write_batches(weighed, folder, batches)
     line = Window.orderBy("path")  # one row per shard
     grouped = shards.select("path", F.floor((F.row_number().over(line) - 1) / SHARDS).cast("int").alias("grp"))
@@ -268,16 +446,11 @@ def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col:
         for batch in rows:
             for path, shard_paths in zip(batch.column("path").to_pylist(), batch.column("shards").to_pylist()):
                 asked = _unpack(load(path))
-                terms, back = np.unique(asked["terms"], return_inverse=True)
-                weights = np.zeros(len(terms))
-                weights[back] = asked["weights"]
-                ends = np.cumsum(asked["sizes"])
-                best: list[list[tuple[int, int]]] = [[] for _ in ends]
-                for shard in shard_paths:
-                    lists = Lists(_unpack(load(shard)), terms, weights, mean)
-                    for q, (size, end) in enumerate(zip(asked["sizes"].tolist(), ends.tolist())):
-                        own = back[end - size:end]
-                        best[q] = search(lists, lists.number[own[lists.known[own]]], best[q], k)
+                terms, weights = asked["terms"], asked["weights"]
+                own = np.split(asked["own"], np.cumsum(asked["sizes"])[:-1])
+                best: list[list[tuple[int, int]]] = [[] for _ in own]
+                for lists in _opened(shard_paths, terms, weights, mean):
+                    best = search_all(lists, [lists.number[o[lists.known[o]]] for o in own], best, k)
                 out = [(q, None if key == LAST else key, -s) for q, found in zip(asked["queries"].tolist(), best) for s, key in found]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query", "id", "score"])

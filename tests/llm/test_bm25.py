@@ -117,3 +117,128 @@ def test_all_terms_of_a_text_count(docs):
     rows = asked + [(2, "plain alone")] + [(i, f"plain w{i}") for i in range(3, 30)]
     got = found(bm25.top_k(docs(rows), docs(asked), k=40))
     assert got == brute(rows, asked, 40) and len(got[1]) == len(rows)
+
+
+def full_sums(shards, terms, weights, mean, own):
+    import numpy as np
+
+    out = [Counter() for _ in own]
+    for shard in shards:
+        first = np.r_[0, np.cumsum(shard["frequency"])]
+        where = {t: i for i, t in enumerate(shard["terms"].tolist())}
+        for total, asked in zip(out, own):
+            for t in asked.tolist():
+                i = where.get(int(terms[t]))
+                for p in range(first[i], first[i + 1]) if i is not None else ():
+                    d, count = shard["docs"][p], int(shard["counts"][p])
+                    total[int(shard["ids"][d])] += math.floor(1e6 * (weights[t] * (count * 2.2 / (count + 1.2 * (0.25 + 0.75 * shard["lengths"][d] / mean)))) + 0.5)
+    return out
+
+
+def zipf_shards(rng, docs, words, sizes):
+    """Shards of documents of common and rare words, some of them copies of others with a word changed."""
+    import numpy as np
+
+    p = 1 / np.arange(1, words + 1)
+    shards, ids = [], 0
+    for size in sizes:
+        texts = [rng.choice(np.arange(1, words + 1, dtype=np.uint64), rng.integers(0, docs), p=p / p.sum()) for _ in range(size)]
+        for i in range(0, size - 1, 7):
+            texts[i + 1] = texts[i].copy()
+            texts[i + 1][:1] = words
+        lengths = np.array([len(t) for t in texts])
+        shards.append(bm25.build_shard(np.arange(ids, ids + size), np.concatenate(texts), lengths))
+        ids += size
+    return shards
+
+
+def test_queries_together_are_exact(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    shards = zipf_shards(rng, 60, 400, (300, 1, 90, 200))
+    terms = np.arange(1, 403, dtype=np.uint64)
+    weights = rng.uniform(0.001, 17, len(terms))  # parts beyond the whole numbers of single precision
+    own = [np.sort(rng.choice(len(terms), n, replace=False)) for n in (0, 1, 3, 9, 10, 60, 60, 200, 402)]
+    sums = full_sums(shards, terms, weights, 20.0, own)
+    for block, dense, most, together, cells, short in ((64, 0.005, 4096, 512, 1 << 23, 16), (1, 0, 4096, 3, 1 << 23, 0), (7, 0.05, 3, 2, 1 << 23, 4), (1000, 1, 9, 512, 600, 99)):
+        for name, value in (("BLOCK", block), ("DENSE", dense), ("HEAVY", most), ("TOGETHER", together), ("CELLS", cells), ("SHORT", short)):
+            monkeypatch.setattr(bm25, name, value)
+        for k in (1, 10, 1000):
+            for parts in (([0, 1], [2, 3]), ([0], [1], [2], [3]), ([0, 1, 2, 3],)):
+                best = [[] for _ in own]
+                for part in parts:
+                    lists = bm25.Lists([shards[i] for i in part], terms, weights, 20.0)
+                    best = bm25.search_all(lists, [lists.number[o[lists.known[o]]] for o in own], best, k)
+                assert best == [sorted((-s, d) for d, s in total.items() if s)[:k] for total in sums]
+
+
+def test_shards_put_together_are_one():
+    import numpy as np
+
+    shards = zipf_shards(np.random.default_rng(6), 30, 100, (40, 25))
+    terms, weights = np.array([1, 2, 50, 99, 1000], np.uint64), np.array([0.2, 0.4, 3.0, 4.0, 9.0])
+    apart, both = [bm25.Lists(s, terms, weights, 15.0) for s in shards], bm25.Lists(shards, terms, weights, 15.0)
+    assert both.known.tolist() == (apart[0].known | apart[1].known).tolist() and both.ids.tolist() == list(range(65))
+    for t in np.flatnonzero(both.known).tolist():
+        want = []
+        for x, offset in zip(apart, (0, 40)):
+            if x.known[t]:
+                a, b = x.at[x.number[t]], x.at[x.number[t] + 1]
+                want += list(zip((x.docs[a:b] + offset).tolist(), x.parts[a:b].tolist()))
+        a, b = both.at[both.number[t]], both.at[both.number[t] + 1]
+        assert list(zip(both.docs[a:b].tolist(), both.parts[a:b].tolist())) == want
+
+
+def test_common_lists_are_not_read_query_by_query(monkeypatch):
+    """The work of long queries: few of their pairs of a query and a posting are summed one query at a time."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    shards = zipf_shards(rng, 300, 3000, (1500,))
+    terms, weights = np.arange(1, 3001, dtype=np.uint64), np.log(1 + np.arange(1, 3001) / 3)
+    lists = bm25.Lists(shards, terms, weights, 150.0)
+    p = 1 / np.arange(1, 3001)
+    own = [np.unique(rng.choice(3000, 400, p=p / p.sum())) for _ in range(200)]
+    own = [lists.number[o[lists.known[o]]] for o in own]
+    seen, light = [], bm25._light_sums
+    monkeypatch.setattr(bm25, "_light_sums", lambda x, term, *rest: seen.append(x.sizes[term].sum()) or light(x, term, *rest))
+    best = bm25.search_all(lists, own, [[] for _ in own], 10)
+    assert sum(seen) < sum(lists.sizes[o].sum() for o in own) / 10
+    assert best[:5] == [bm25.search(lists, o, [], 10) for o in own[:5]]
+
+
+def test_blocks_that_reach_no_limit_stay_out_of_the_product(monkeypatch):
+    import numpy as np
+
+    half = [np.tile(np.arange(a, a + 20, dtype=np.uint64), 640) for a in (1, 101)]
+    shard = bm25.build_shard(np.arange(1280), np.concatenate(half), np.full(1280, 20))
+    terms = np.r_[1:21, 101:121].astype(np.uint64)
+    lists = bm25.Lists(shard, terms, np.ones(40), 20.0)
+    own, taken, where = [np.arange(20)] * 4, [], np.repeat
+    monkeypatch.setattr(np, "repeat", lambda a, n, *rest: taken.append(a) or where(a, n, *rest))
+    best = bm25.search_all(lists, own, [[] for _ in own], 10)
+    assert [[d for _, d in b] for b in best] == [list(range(10))] * 4
+    wanted = next(a for a in taken if getattr(a, "dtype", None) == bool)
+    assert wanted.tolist() == [True] * 10 + [False] * 10  # blocks of 64
+
+
+def test_likeness_puts_common_terms_side_by_side():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    kinds = [i % 2 for i in range(60)]
+    own = [rng.choice(100, 20, replace=False) + 100 * kind for kind in kinds] + [np.zeros(0, np.int64)]
+    order = bm25.likeness(np.array([len(o) for o in own]), np.concatenate(own))
+    assert sorted(order.tolist()) == list(range(61))
+    found = [kinds[i] for i in order.tolist() if i < 60]
+    assert sum(a != b for a, b in zip(found, found[1:])) < 20
+    assert bm25.likeness(np.array([3]), np.array([0, 1, 2])).tolist() == [0]
+
+
+def test_many_copies_and_long_queries(docs):
+    words = " ".join(f"t{i}" for i in range(30))
+    rows = [(i, words) for i in range(200, 0, -1)] + [(900 + i, f"{words} x{i}") for i in range(50)] + [(None, words)]
+    got = found(bm25.top_k(docs(rows).repartition(3), docs([(1, words), (2, "t1 x7")]), k=12))
+    assert [i for i, _ in got[1]] == list(range(1, 13)) and got[2][0][0] == 907
+    assert got[2] == brute([(1 << 60 if i is None else i, t) for i, t in rows], [(2, "t1 x7")], 12)[2]
