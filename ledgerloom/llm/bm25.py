@@ -21,12 +21,12 @@ the block can get from the term. For a query,
 Blocks are aligned so that the pivots of all blocks of a list are found at once instead of moving
 cursors one by one; what is skipped is what cannot reach the limit, as in the sequential form.
 
-Queries of more than `FEW` terms in a shard go through it up to `TOGETHER` at a time, as their lists are mostly
-the same ones. Terms that many of them share and many documents have are left to a matrix product; the lists of the
-others are summed query by query. These sums are the bounds of the blocks together with the products of the block
-maxima, and only blocks that can reach a limit enter the product. Without a k-th best score, the k-th largest of the
-blocks' best sums stands for it. The product is taken in single precision: it chooses documents with a margin above
-its error, and their scores are summed from whole numbers.
+Queries of more than `FEW` terms in a shard go through it up to `TOGETHER` at a time, as their lists are mostly the
+same ones. Terms that many of them share and many documents have are left to a matrix product; the other lists are
+summed query by query. A block's bound is the product of the block maxima and the most of the query's other lists;
+only blocks in which one of the queries can reach its limit enter the product. Without a k-th best score, the k-th
+largest of the blocks' best sums stands for it. The product is taken in single precision: it chooses documents with a
+margin above its error, and their scores are summed from whole numbers.
 
 A score is the sum of the terms' parts, each rounded to a millionth, so sums do not depend on
 their order. Ties are ranked by id, null ids last.
@@ -55,13 +55,12 @@ TOP = 10
 QUERY_STEP = 100
 SHARD_BYTES = 32 << 20
 BLOCK = 64
-QUERIES, SHARDS = 6000, 8  # of a task at most
+QUERIES, SHARDS = 8000, 8  # of a task at most
 DOCS = 20_000  # of shards that are put together
 FIRST_BLOCKS = 4
 FEW, TOGETHER = 8, 512
-CELLS = 1 << 23  # of a matrix at most
-DENSE, HEAVY = 0.005, 4096  # share of pairs of a query and a document that have a term of the product; such terms at most
-SHORT = 16  # lists below are gathered by position
+CELLS = 1 << 24  # of a matrix at most
+DENSE, HEAVY = 0.004, 4096  # share of pairs of a query and a document that have a term of the product; such terms at most
 POSTING = np.dtype([("part", "<i4"), ("doc", "<i4")])
 UNIT = 1_000_000
 LAST = (1 << 63) - 1
@@ -89,10 +88,23 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
         return {k: held[k] for k in held.files}
 
 
+def _stable_order(hashes: np.ndarray) -> np.ndarray:
+    """Upper bits and places are sorted as one number, which is faster; hashes that differ in lower bits only are rare."""
+    bits = np.uint64(len(hashes).bit_length())
+    order = hashes >> bits
+    order <<= bits
+    order |= np.arange(len(hashes), dtype=np.uint64)
+    order.sort()
+    order &= (np.uint64(1) << bits) - np.uint64(1)
+    order = order.view(np.int64)
+    found = hashes[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(hashes, kind="stable")
+
+
 def build_shard(ids: np.ndarray, hashes: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     """Postings by term, then document."""
     row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    order = np.argsort(hashes, kind="stable")
+    order = _stable_order(hashes)
     term, doc = hashes[order], row[order]
     first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])]) if len(term) else np.zeros(0, np.int64)
     count = np.diff(np.r_[first, len(term)]).astype(np.int32)
@@ -110,7 +122,9 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         ids, words, lengths, size = [], [], [], 0
 
         def flush():
-            shard = build_shard(np.concatenate(ids), np.concatenate(words), np.concatenate(lengths))
+            hashes = np.concatenate(words)
+            words.clear()
+            shard = build_shard(np.concatenate(ids), hashes, np.concatenate(lengths))
             path = save(folder, f"shard-{uuid.uuid4().hex}.bin", _pack(shard))
             return pa.RecordBatch.from_pydict({
                 "path": [path], "docs": [len(shard["ids"])], "words": [int(shard["lengths"].sum())],
@@ -276,7 +290,7 @@ def search_all(lists: Lists, own: list[np.ndarray], best: list[list[tuple[int, i
             out[q] = search(lists, terms, best[q], k)
         elif lists.most[terms].sum() >= _limit(best[q], k):
             left.append(q)
-    step = max(1, min(TOGETHER, CELLS // max(1, len(lists.ids))))
+    step = max(1, min(TOGETHER, CELLS // max(1, 2 * len(lists.ids))))
     for i in range(0, len(left), step):
         some = left[i:i + step]
         for q, found in zip(some, _search_together(lists, [own[q] for q in some], [best[q] for q in some], k)):
@@ -286,69 +300,78 @@ def search_all(lists: Lists, own: list[np.ndarray], best: list[list[tuple[int, i
 
 def _search_together(lists: Lists, own: list[np.ndarray], best: list[list[tuple[int, int]]], k: int) -> list[list[tuple[int, int]]]:
     n, wide = len(own), -(-len(lists.ids) // BLOCK)
+    width = wide * BLOCK
     term, row = np.concatenate(own), np.repeat(np.arange(n), [len(t) for t in own])
     pairs = np.bincount(term, minlength=len(lists.sizes)) * lists.sizes
     heavy = np.flatnonzero(pairs > DENSE * n * len(lists.ids))
-    most = max(1, min(HEAVY, CELLS // (wide * BLOCK)))
+    most = max(1, min(HEAVY, CELLS // width))
     if len(heavy) > most:
         heavy = heavy[np.argpartition(-pairs[heavy], most)[:most]]
     column = np.full(len(lists.sizes), -1)
     column[heavy] = np.arange(len(heavy))
     column = column[term]
+    light = column < 0
     asks = np.zeros((n, len(heavy)), np.float32)
-    asks[row[column >= 0], column[column >= 0]] = 1
-    held, tops = np.zeros((len(heavy), wide * BLOCK), np.int32), np.zeros((len(heavy), wide), np.float32)
+    asks[row[~light], column[~light]] = 1
+    held = np.zeros((len(heavy), width), np.float32)
+    large = len(heavy) and lists.most[heavy].max() >= 1 << 24  # beyond the whole numbers of single precision
+    rest = np.zeros((len(heavy), width), np.int8) if large else None
+    tops = np.zeros((len(heavy), wide), np.float32)
     for i, t in enumerate(heavy.tolist()):
         a, b = lists.at[t], lists.at[t + 1]
-        held[i, lists.docs[a:b]] = lists.parts[a:b]
+        docs, parts = lists.docs[a:b], lists.parts[a:b]
+        held[i, docs] = parts
+        if large:
+            rest[i, docs] = parts - parts.astype(np.float32).astype(np.int64)
         a, b = lists.first[t], lists.first[t + 1]
         tops[i, lists.block[a:b]] = lists.block_most[a:b]
-
-    sums = _light_sums(lists, term[column < 0], row[column < 0], n, wide * BLOCK)
-    limits = np.array([_limit(b, k) for b in best], np.float64)
-    new = np.array([len(b) < k for b in best])
-    peaks = sums.reshape(n, wide, BLOCK).max(2)
-    if wide >= k and new.any():
-        limits[new] = np.maximum(1, np.partition(peaks[new], wide - k, axis=1)[:, wide - k])
     slack = 1 - (len(heavy) + 8) * 2.0**-23  # a sum in single precision is off by half of this share at most
-    wanted = ((peaks + asks @ tops) >= (limits * slack)[:, None]).any(0)
+    limits = np.array([_limit(b, k) for b in best], np.float64)
+    bounds = asks @ tops + np.bincount(row[light], weights=lists.most[term[light]], minlength=n)[:, None]
+    wanted = (bounds >= (limits * slack)[:, None]).any(0)
     docs = np.flatnonzero(np.repeat(wanted, BLOCK))
-    whole = len(docs) == wide * BLOCK
-    rough = asks @ (held if whole else held[:, docs]).astype(np.float32)
+    if len(docs) < width:
+        held, rest = held[:, docs], rest[:, docs] if large else None
+    rough = asks @ held
 
     out = list(best)
-    for i in range(n):
-        total = rough[i] + (sums[i] if whole else sums[i, docs])
-        if new[i] and len(total) >= k * BLOCK:
-            limits[i] = max(limits[i], np.partition(total.reshape(-1, BLOCK).max(1), -k)[-k] * slack)
-        found = np.flatnonzero(total >= limits[i] * slack)
+    for i, total in enumerate(_light_sums(lists, term[light], row[light], n, width)):
+        if len(docs) < width:
+            total = total[docs]
+        total = total + rough[i]
+        limit = limits[i]
+        if len(best[i]) < k <= len(total) // BLOCK:  # as many documents are as good as the k-th of the blocks' best
+            limit = max(limit, np.partition(total.reshape(-1, BLOCK).max(1), -k)[-k] * slack)
+        found = np.flatnonzero(total >= limit * slack)
         if len(found) > 4 * k:  # no more than the k best can stay, ties included
             found = found[total[found] >= np.partition(total[found], len(found) - k)[len(found) - k] * slack * slack]
         if len(found):
-            found = docs[found]
-            scores = sums[i, found] + held[np.ix_(np.flatnonzero(asks[i]), found)].sum(0, dtype=np.int64)
-            ids = lists.ids[found]
+            at = np.ix_(np.flatnonzero(asks[i]), found)
+            exact = held[at].sum(0, dtype=np.float64) + (rest[at].sum(0, dtype=np.int64) if large else 0)
+            scores = (total[found] - rough[i, found] + exact).astype(np.int64)
+            ids = lists.ids[docs[found]]
             first = np.lexsort((ids, -scores))[:k]
-            out[i] = sorted(best[i] + list(zip((-scores[first]).astype(np.int64).tolist(), ids[first].tolist())))[:k]
+            out[i] = sorted(best[i] + list(zip((-scores[first]).tolist(), ids[first].tolist())))[:k]
     return out
 
 
-def _light_sums(lists: Lists, term: np.ndarray, row: np.ndarray, n: int, width: int) -> np.ndarray:
-    """The sums of the lists `term` of query `row`, in ascending order of rows, by query and document."""
-    sums = np.zeros((n, width))
-    short = lists.sizes[term] < SHORT
-    some, some_end = term[short], np.cumsum(np.bincount(row[short], minlength=n)).tolist()
-    begin, end = lists.at[some], lists.at[some + 1]
-    used, which = np.unique(term[~short], return_inverse=True)
-    views = [lists.packed[a:b] for a, b in zip(lists.at[used].tolist(), lists.at[used + 1].tolist())]
-    which, which_end = which.tolist(), np.cumsum(np.bincount(row[~short], minlength=n)).tolist()
-    a = b = 0
-    for i in range(n):
-        x, y = some_end[i], which_end[i]
-        postings = np.concatenate([lists.packed[_ranges(begin[a:x], end[a:x])], *[views[t] for t in which[b:y]]]).view(POSTING)
-        sums[i] = np.bincount(postings["doc"], weights=postings["part"], minlength=width)
-        a, b = x, y
-    return sums
+def _light_sums(lists: Lists, term: np.ndarray, row: np.ndarray, n: int, width: int) -> Iterator[np.ndarray]:
+    """Of each of n queries the sums by document of its lists: `term` of query `row`, in ascending order of rows."""
+    sizes = lists.sizes[term]
+    most = int(np.bincount(row, weights=sizes, minlength=n).max())
+    places, docs = np.empty((2, most), np.intp)  # all used again, as memory is dear to get
+    postings, parts, numbers = np.empty(most, "<i8"), np.empty(most), np.arange(most)
+    begin, a = lists.at[term], 0
+    for b in np.cumsum(np.bincount(row, minlength=n)).tolist():
+        own = sizes[a:b]
+        after = np.cumsum(own)
+        m = int(after[-1]) if b > a else 0
+        np.add(np.repeat(begin[a:b] - after + own, own), numbers[:m], out=places[:m])
+        np.take(lists.packed, places[:m], out=postings[:m], mode="clip")  # with other modes a copy is made first
+        pairs = postings[:m].view(POSTING)
+        docs[:m], parts[:m] = pairs["doc"], pairs["part"]
+        yield np.bincount(docs[:m], weights=parts[:m], minlength=width)
+        a = b
 
 
 def likeness(sizes: np.ndarray, terms: np.ndarray, kinds: int = 16, top: int = 256, rounds: int = 8) -> np.ndarray:
@@ -433,7 +456,7 @@ def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col:
     weighed = words.join(frequency, "term").select("query", "term", inverse_frequency(n, F.col("df")).alias("weight"))
     asked = words.select("query").distinct().count()
     groups = max(1, -(-whole.shards // SHARDS))
-    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
     batches = max(1, -(-asked // QUERIES), min(-(-tasks // groups), -(-asked // TOGETHER)))
     written = _write_batches(weighed, folder, batches)
     line = Window.orderBy("path")  # one row per shard
